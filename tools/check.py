@@ -6,6 +6,7 @@ usage: python tools/check.py SF_DIR [key-substring ...]
 from __future__ import annotations
 
 import decimal
+import logging
 import math
 import os
 import sys
@@ -22,6 +23,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+# the driver-side error log repeats whole JVM traces
+logging.disable(logging.ERROR)
+
+
 def canon(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else repr(value + 0.0)
@@ -43,7 +48,7 @@ def rows_of(names, rows):
 
 def main(sf_dir, wanted):
     spark = build_session("check", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.ui.enabled": "false"})
+        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     duck = duckdb.connect()
     for name in TABLES:
