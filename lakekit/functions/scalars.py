@@ -38,6 +38,11 @@ def date_bin(ts: Column, seconds: int) -> Column:
     return F.timestamp_micros(shifted - F.pmod(shifted, F.lit(micros)))
 
 
+def base64_text(body: Column) -> Column:
+    """Base64 on one line, whatever line length the encoder uses."""
+    return F.translate(F.base64(body), "\r\n", "")
+
+
 # ---------------------------------------------------------------- objects and mime types
 
 def object_url(bucket: Column, name: Column) -> Column:

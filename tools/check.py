@@ -49,7 +49,7 @@ def rows_of(names, rows):
 def main(sf_dir, wanted):
     spark = build_session("check", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     duck = duckdb.connect()
     for name in TABLES:
         duck.execute(f"create view {name} as select * from '{sf_dir}/{name}.parquet'")
