@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakekit.functions import fixed_values as fixed
 from lakekit.functions.scalars import base64_text, mime_guess
@@ -94,7 +95,7 @@ def token_usage(decoded: DataFrame) -> DataFrame:
 def call_model(requests: DataFrame, request: str, client: Callable[[], Callable[[str], str]],
                response: str = "response") -> DataFrame:
     """Send each request body through a client built once per partition; batches stream through."""
-    schema = requests.schema.add(response, "string")
+    schema = T.StructType([*requests.schema.fields, T.StructField(response, T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         send = client()

@@ -16,8 +16,7 @@ def write_result(df: DataFrame, path: str, remove: bool = False) -> str:
     kind = format_of(path, WRITE_FORMATS)
     writer = df.write.mode("overwrite" if remove else "errorifexists")
     if kind == "csv":
-        # quotes are doubled and nulls stay apart from empty strings, so text round-trips
-        writer = writer.option("header", True).option("escape", '"').option("emptyValue", '""')
+        writer = writer.option("header", True).option("escape", '"')  # quotes are doubled
     if kind == "json":
         writer = writer.option("ignoreNullFields", False)
     writer.format(kind).save(path)

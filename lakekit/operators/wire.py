@@ -221,7 +221,7 @@ def decode_rows(lines: DataFrame, line: str, fields: list[WireField], json_text:
           for i in range(len(fields))])
     staged = staged.select("*", *[_kind(F.col(f"_c{i}")).alias(f"_k{i}") for i, f in enumerate(fields) if f in flat],
                            *[_text(F.col(f"_c{i}")).alias(f"_t{i}") for i, f in enumerate(fields) if f in flat])
-    out, unreadable = [], F.col("_n") > len(fields)
+    out, unreadable = [], F.coalesce(F.col("_n") > len(fields), F.lit(False))
     for i, f in enumerate(fields):
         if f in flat:
             value = _scalar(F.col(f"_c{i}"), F.col(f"_k{i}"), F.col(f"_t{i}"), f.type, json_text)
@@ -242,9 +242,8 @@ def encode_row(*cells: Column) -> Column:
 # ---------------------------------------------------------------- rows by name
 
 def get_column(df: DataFrame, name: str) -> Column:
-    """Column by name, null when there is none; among equal names the last wins."""
-    at = [i for i, c in enumerate(df.columns) if c == name]
-    return dedupe_columns_last(df)[name] if at else _null(T.StringType())
+    """Column of a deduplicated row by name, null when there is none."""
+    return F.col(f"`{name}`") if name in df.columns else _null(T.StringType())
 
 
 def dedupe_columns_last(df: DataFrame) -> DataFrame:

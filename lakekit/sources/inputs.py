@@ -32,7 +32,7 @@ def read_input(spark: SparkSession, path: str, schema: T.StructType | str | None
     reader = spark.read
     kind = format_of(path, READ_FORMATS)
     if kind == "csv":
-        reader = reader.option("header", True).option("inferSchema", schema is None)
+        reader = reader.option("header", True).option("escape", '"').option("inferSchema", schema is None)
     if schema is not None and kind != "parquet":
         reader = reader.schema(schema)
     return reader.format(kind).load(path)
