@@ -8,25 +8,26 @@ from pyspark.sql import functions as F
 from lakekit.operators.components import connected_components
 from lakekit.operators.features import distinct_features, label_join_back, with_rank
 from lakekit.operators.neighbours import (MAX_DEPTH, STEP, Grid, cell_pairs, cell_table, index_points,
-                                          neighbour_counts)
+                                          largest_cell, neighbour_counts)
 from lakekit.session import cut_lineage
 
 PAIR_WORK = 65_536  # two blocks are compared point by point up to this many pairs
 
 
-def _core_points(points: DataFrame, cells: DataFrame, pairs: DataFrame, grid: Grid, min_points: int) -> DataFrame:
+def _core_points(points: DataFrame, cells: DataFrame, pairs: DataFrame, grid: Grid, min_points: int,
+                 fullest: int) -> DataFrame:
     """points plus `core`. A cell with min_points points is all core and needs no counting,
     so only cells with fewer points send queries: a bounded number per neighbouring cell."""
     sized = points.join(cells.select("cell", "n"), "cell")
     sparse = cut_lineage(sized.where(F.col("n") < min_points).drop("n"))
-    counts = neighbour_counts(points, sparse, cells, pairs, grid)
+    counts = neighbour_counts(points, sparse, pairs, grid, fullest)
     sparse = sparse.join(counts, "id", "left").withColumn(
         "core", F.coalesce(F.col("n_neighbours") >= min_points, F.lit(False))).drop("n_neighbours")
     dense = sized.where(F.col("n") >= min_points).drop("n").withColumn("core", F.lit(True))
     return cut_lineage(dense.unionByName(sparse))
 
 
-def _linked_cells(core: DataFrame, pairs: DataFrame, grid: Grid) -> DataFrame:
+def _linked_cells(core: DataFrame, pairs: DataFrame, grid: Grid, fullest: int) -> DataFrame:
     """(u, v) cell pairs, by cell node, holding two core points within the radius.
 
     Boxes settle most pairs. Of the rest, small ones are compared point by
@@ -47,10 +48,12 @@ def _linked_cells(core: DataFrame, pairs: DataFrame, grid: Grid) -> DataFrame:
         right = core.select(grid.block(depth).alias("block_b"), *[F.col(c).alias(f"_q{c}") for c in grid.columns])
         touching = (small.select("cell_a", "cell_b", "block_a", "block_b").join(left, "block_a").join(right, "block_b")
                     .where(grid.distance("_p", "_q") <= grid.limit).select("cell_a", "cell_b").distinct())
-        here = cut_lineage(sure.union(touching))
-        linked = here if linked is None else linked.union(here)
-        if depth >= MAX_DEPTH:
+        here = sure.union(touching)
+        if fullest * fullest <= PAIR_WORK or depth >= MAX_DEPTH:
+            linked = here if linked is None else linked.union(here)
             break
+        here = cut_lineage(here)
+        linked = here if linked is None else linked.union(here)
         crowded = cut_lineage(rest.where(F.col("a_n") * F.col("b_n") > PAIR_WORK)
                               .join(here, ["cell_a", "cell_b"], "left_anti")
                               .select("cell_a", "cell_b", "block_a", "block_b"))
@@ -84,8 +87,8 @@ def _border_roots(points: DataFrame, core: DataFrame, roots: DataFrame, core_pai
     return sure.union(hits).groupBy("id").agg(F.min("root").alias("root"))
 
 
-def cluster_points(points: DataFrame, columns: list[str], eps: float, min_points: int) -> DataFrame:
-    """Distinct points (columns) plus `cluster`, null for noise.
+def cluster_points(points: DataFrame, columns: list[str], eps: float, min_points: int) -> tuple[DataFrame, int]:
+    """Distinct points (id, columns, core, cluster) with a null cluster for noise, and their number.
 
     A point is core when at least min_points distinct points, itself included,
     lie within eps. Clusters are numbered from 0 by their smallest core point
@@ -94,8 +97,9 @@ def cluster_points(points: DataFrame, columns: list[str], eps: float, min_points
     grid = Grid(columns, eps)
     indexed = index_points(points, grid)
     cells = cut_lineage(cell_table(indexed, grid))
+    fullest, total = largest_cell(cells)
     pairs = cut_lineage(cell_pairs(cells, grid))
-    marked = _core_points(indexed, cells, pairs, grid, min_points)
+    marked = _core_points(indexed, cells, pairs, grid, min_points, fullest)
     core = marked.where("core")
 
     # cells holding core points are the nodes; each is named by its first core point
@@ -107,7 +111,7 @@ def cluster_points(points: DataFrame, columns: list[str], eps: float, min_points
     to_core = cut_lineage(pairs.select("a", "b").join(core_side, "b"))
     own = core_cells.select(F.col("cell").alias("a"), F.col("n").alias("a_n"),
                             *[F.col(c).alias(f"a_{c}") for c in grid.bound_names])
-    linked = _linked_cells(core, to_core.join(own, "a"), grid)
+    linked = _linked_cells(core, to_core.join(own, "a"), grid, fullest)
     edges = (linked.join(nodes.withColumnsRenamed({"cell": "cell_a", "node": "u"}), "cell_a")
              .join(nodes.withColumnsRenamed({"cell": "cell_b", "node": "v"}), "cell_b").select("u", "v"))
     roots = connected_components(nodes.select("node"), edges)
@@ -116,7 +120,8 @@ def cluster_points(points: DataFrame, columns: list[str], eps: float, min_points
     numbered = with_rank(roots.select("root").distinct(), ["root"], "cluster")
     core_roots = core.select("id", "cell").join(roots, "cell").select("id", "root")
     all_roots = core_roots.union(_border_roots(marked, core, roots, to_core, grid))
-    return marked.join(all_roots, "id", "left").join(numbered, "root", "left").select("id", *columns, "core", "cluster")
+    return marked.join(all_roots, "id", "left").join(numbered, "root", "left").select(
+        "id", *columns, "core", "cluster"), total
 
 
 def dbscan(df: DataFrame, columns: list[str], eps: float, min_points: int, label: str = "label") -> DataFrame:
@@ -125,8 +130,8 @@ def dbscan(df: DataFrame, columns: list[str], eps: float, min_points: int, label
     Noise labels start at the number of distinct points plus one and follow
     coordinate order.
     """
-    clustered = cut_lineage(cluster_points(distinct_features(df, columns), columns, eps, min_points))
-    total = clustered.count()
+    clustered, total = cluster_points(distinct_features(df, columns), columns, eps, min_points)
+    clustered = cut_lineage(clustered)
     noise = with_rank(clustered.where("cluster IS NULL").select("id", *columns), ["id"], "_rank")
     labels = clustered.where("cluster IS NOT NULL").select(*columns, F.col("cluster").alias(label)).unionByName(
         noise.select(*columns, (F.col("_rank") + (total + 1)).alias(label)))

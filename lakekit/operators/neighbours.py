@@ -17,7 +17,6 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.operators.features import with_rank
 from lakekit.session import cut_lineage
 
 LEAF = 256        # blocks up to this many points are compared point by point
@@ -84,8 +83,12 @@ class Grid:
 
 
 def index_points(points: DataFrame, grid: Grid) -> DataFrame:
-    """Distinct points with `id` (their position in coordinate order) and `cell`, checkpointed."""
-    return cut_lineage(with_rank(points.select(*grid.columns), grid.columns, "id").withColumn("cell", grid.block()))
+    """Points with `cell` and an `id` that grows in coordinate order, checkpointed.
+
+    Range partitions sorted within make the row id follow the order; it has gaps.
+    """
+    ordered = points.select(*grid.columns).repartitionByRange(*grid.columns).sortWithinPartitions(*grid.columns)
+    return cut_lineage(ordered.withColumn("id", F.monotonically_increasing_id()).withColumn("cell", grid.block()))
 
 
 def cell_table(points: DataFrame, grid: Grid) -> DataFrame:
@@ -120,16 +123,23 @@ def cell_pairs(cells: DataFrame, grid: Grid) -> DataFrame:
     return left.join(right, [f"_g{i}" for i in dims]).where(near <= grid.limit).drop(*[f"_g{i}" for i in dims])
 
 
-def neighbour_counts(points: DataFrame, queries: DataFrame, cells: DataFrame, pairs: DataFrame, grid: Grid) -> DataFrame:
+def largest_cell(cells: DataFrame) -> tuple[int, int]:
+    """Points of the fullest cell, and points of all cells."""
+    row = cells.agg(F.max("n"), F.sum("n")).first()
+    return row[0] or 0, row[1] or 0
+
+
+def neighbour_counts(points: DataFrame, queries: DataFrame, pairs: DataFrame, grid: Grid, fullest: int) -> DataFrame:
     """(id, n_neighbours) for each query point, itself included.
 
     points(id, coordinates, cell) and queries (some of the points) are
-    checkpointed tables; cells and pairs come from the functions above.
+    checkpointed tables, pairs comes from `cell_pairs`, and `fullest` is the
+    size of the fullest cell.
     """
     bounds = [F.col(f"b_{c}").alias(c) for c in grid.bound_names]
     targets = pairs.select(F.col("a").alias("cell"), F.col("b").alias("block"), F.col("b_n").alias("n"), *bounds)
     ask = queries.select("id", *grid.columns, "cell").join(targets, "cell").drop("cell")
-    crowded = (cells.agg(F.max("n")).first()[0] or 0) > LEAF
+    crowded = fullest > LEAF
     found, depth = [], 0
     while True:
         near, far = grid.point_box()
@@ -158,5 +168,5 @@ def eps_neighbours(points: DataFrame, columns: list[str], eps: float) -> DataFra
     grid = Grid(columns, eps)
     indexed = index_points(points, grid)
     cells = cut_lineage(cell_table(indexed, grid))
-    counts = neighbour_counts(indexed, indexed, cells, cell_pairs(cells, grid), grid)
+    counts = neighbour_counts(indexed, indexed, cell_pairs(cells, grid), grid, largest_cell(cells)[0])
     return indexed.join(counts, "id").select(*columns, "n_neighbours")
