@@ -135,8 +135,9 @@ def _scalar(cell: Column, kind: Column, text: Column, declared: str, json_text:
     whole = F.when(kind == "BIGINT", F.try_variant_get(cell, "$", "bigint"))
     is_number = kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
 
+    # the wire almost always carries strings, so every type tests for them first
     if declared == "STRING":
-        return F.when(is_string | is_number, text)
+        return F.when(is_string, text).when(is_number, text)
     if declared == "INTEGER":
         parsed = F.when(text.rlike(_INTEGER), text.try_cast("bigint"))
         return (F.when(is_string, F.coalesce(parsed, F.lit(0)))
@@ -178,24 +179,58 @@ def _unwrapped(cell: Column) -> Column:
         F.coalesce(F.try_variant_get(cell, "$.v", "variant"), cell))
 
 
-def _cell_of(field: WireField, json_text: bool, cell: Column) -> Column:
-    return _cell(cell, field, json_text)
+BOXED_CELLS = "array<struct<v: variant>>"
+BOXED_RECORDS = "array<struct<v: struct<f: array<struct<v: variant>>>>>"
+
+
+def _members(cells: Column, field: WireField, json_text: bool) -> Column:
+    """A record from its boxed cells, by position; null without cells."""
+    return F.when(cells.isNotNull(), F.struct(*[
+        _cell(F.get(cells, F.lit(i))["v"], f, json_text).alias(f.name) for i, f in enumerate(field.fields)]))
 
 
 def _cell(cell: Column, field: WireField, json_text: bool) -> Column:
-    """Decode a cell that may be repeated or a record."""
+    """Decode a cell that may be repeated or a record.
+
+    The usual shape, where every nested cell sits in a `{"v": ...}` box, is
+    unpacked by one typed read per level; any other shape is walked cell by cell.
+    """
+    if field.mode == "REPEATED":
+        single = dataclasses.replace(field, mode="NULLABLE")
+        if field.type == "RECORD":
+            boxed = _bind(F.try_variant_get(cell, "$", BOXED_RECORDS), lambda xs: F.when(
+                F.forall(xs, lambda x: x.isNotNull() & F.coalesce(_all_boxed(x["v"]["f"]), F.lit(True))),
+                F.transform(xs, lambda x: _members(x["v"]["f"], single, json_text))))
+        else:
+            boxed = _bind(F.try_variant_get(cell, "$", BOXED_CELLS), lambda xs: F.when(
+                _all_boxed(xs), F.transform(xs, lambda x: _cell(x["v"], single, json_text))))
+        return F.coalesce(boxed, _walk(cell, field, json_text))
+    if field.type == "RECORD":
+        boxed = _bind(F.try_variant_get(cell, "$.f", BOXED_CELLS), lambda cells: F.when(
+            _all_boxed(cells), _members(cells, field, json_text)))
+        return F.coalesce(boxed, _walk(cell, field, json_text))
+    return _scalar(cell, _kind(cell), _text(cell), field.type, json_text)
+
+
+def _all_boxed(cells: Column) -> Column:
+    """Whether every item was a `{"v": ...}` box; a bare item reads as null."""
+    return F.forall(cells, lambda x: x.isNotNull())
+
+
+def _walk(cell: Column, field: WireField, json_text: bool) -> Column:
+    """Decode a cell of any shape: bare or boxed items, a lone value for a repeated column."""
     if field.mode == "REPEATED":
         single = dataclasses.replace(field, mode="NULLABLE")
 
         def one(x: Column) -> Column:
-            return _cell(x, single, json_text)
+            return _walk(x, single, json_text)
 
         items = F.try_variant_get(cell, "$", "array<variant>")
         return _bind(items, lambda xs: F.when(xs.isNotNull(), F.transform(xs, lambda x: _bind(_unwrapped(x), one)))
                      .when(cell.isNotNull() & ~F.is_variant_null(cell), F.array(one(cell))))
     if field.type == "RECORD":
         def members(cells: Column) -> Column:
-            values = [_bind(_unwrapped(F.get(cells, F.lit(i))), partial(_cell_of, f, json_text)).alias(f.name)
+            values = [_bind(_unwrapped(F.get(cells, F.lit(i))), partial(_walk_as, f, json_text)).alias(f.name)
                       for i, f in enumerate(field.fields)]
             return F.when(cells.isNotNull(), F.struct(*values))
 
@@ -203,6 +238,10 @@ def _cell(cell: Column, field: WireField, json_text: bool) -> Column:
     return _scalar(cell, _kind(cell), _text(cell), field.type, json_text)
 
 
+def _walk_as(field: WireField, json_text: bool, cell: Column) -> Column:
+    return _walk(cell, field, json_text)
+
+
 def decode_rows(lines: DataFrame, line: str, fields: list[WireField], json_text: bool = False,
                 keep: list[str] | None = None) -> DataFrame:
     """Typed columns of wire lines plus `_decode_error`.
@@ -213,18 +252,19 @@ def decode_rows(lines: DataFrame, line: str, fields: list[WireField], json_text:
     columns give null unless `json_text` asks for their text.
     """
     keep = keep or []
-    flat = [f for f in fields if f.type != "RECORD" and f.mode != "REPEATED"]
-    cells = F.try_variant_get(F.try_parse_json(F.col(line)), "$.f", "array<variant>")
+    flat = [i for i, f in enumerate(fields) if f.type != "RECORD" and f.mode != "REPEATED"]
+    cells = F.from_json(F.col(line), "f ARRAY<STRUCT<v: VARIANT>>")["f"]
     staged = lines.select(*keep, cells.alias("_cells")).select(
         *keep, F.size("_cells").alias("_n"),
-        *[_unwrapped(F.try_variant_get(F.get("_cells", F.lit(i)), "$.v", "variant")).alias(f"_c{i}")
-          for i in range(len(fields))])
-    staged = staged.select("*", *[_kind(F.col(f"_c{i}")).alias(f"_k{i}") for i, f in enumerate(fields) if f in flat],
-                           *[_text(F.col(f"_c{i}")).alias(f"_t{i}") for i, f in enumerate(fields) if f in flat])
+        *[F.get("_cells", F.lit(i))["v"].alias(f"_c{i}") for i in range(len(fields))])
+    staged = staged.select("*", *[_kind(F.col(f"_c{i}")).alias(f"_k{i}") for i in flat],
+                           *[_text(F.col(f"_c{i}")).alias(f"_t{i}") for i in flat])
     out, unreadable = [], F.coalesce(F.col("_n") > len(fields), F.lit(False))
     for i, f in enumerate(fields):
-        if f in flat:
-            value = _scalar(F.col(f"_c{i}"), F.col(f"_k{i}"), F.col(f"_t{i}"), f.type, json_text)
+        if i in flat:
+            cell, kind = F.col(f"_c{i}"), F.col(f"_k{i}")
+            value = F.when(kind.startswith("OBJECT"), _walk(_unwrapped(cell), f, json_text)).otherwise(
+                _scalar(cell, kind, F.col(f"_t{i}"), f.type, json_text))
             if f.type in ("DATE", "DATETIME", "TIME", "TIMESTAMP"):
                 unreadable = unreadable | F.coalesce((F.col(f"_k{i}") == "STRING") & value.isNull(), F.lit(False))
         else:

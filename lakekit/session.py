@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # the JVM never compiles methods over 8000 bytes, so wide projections are better split than fused
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
