@@ -22,13 +22,13 @@ def string_agg_newline(text: Column, *order: Column) -> Column:
 def grouped_string_agg(df: DataFrame, keys: list[str], text: str, order: list[str], name: str) -> DataFrame:
     """Skew-safe form: (keys, name) with each group's texts joined in `order`.
 
-    Rows are range-partitioned on keys and order, so a hot group is cut into
+    Rows are range-partitioned on keys, order and text, so a hot group is cut into
     consecutive pieces over many tasks. Each task joins its own pieces before
     anything is shuffled again, and the last step only puts one piece per
     partition together. `lead` counts the empty texts a piece starts with: they
     vanish at the start of a group and are separators anywhere else.
     """
-    ordered = df.repartitionByRange(*[F.col(c) for c in keys + order])
+    ordered = df.repartitionByRange(*[F.col(c) for c in keys + order + [text]])
     piece = ordered.select(*keys, *order, text).withColumn("_piece", F.spark_partition_id())
     texts = F.transform(
         F.sort_array(F.collect_list(F.when(F.col(text).isNotNull(), F.struct(*order, F.col(text).alias("_text"))))),

@@ -67,34 +67,54 @@ def kmeans_fit(spark, sf_dir):
     return kmeans.cluster(_plane(spark, sf_dir), ["a", "b"], 4).select("vec_id", "label")
 
 
-@query("kmeans_save_load")
+@query("kmeans_fit_invariants", f"""
+SELECT count(*) AS n_rows, CAST(4 AS BIGINT) AS n_labels, true AS one_label_per_tuple FROM {PLANE}
+""")
+def kmeans_fit_invariants(spark, sf_dir):
+    """What any valid fit must show: all rows labelled, k labels in use, equal tuples labelled alike."""
+    labelled = kmeans.cluster(_plane(spark, sf_dir), ["a", "b"], 4)
+    per_tuple = labelled.groupBy("a", "b").agg(
+        F.count("label").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    return per_tuple.agg(F.sum("n").alias("n_rows"), F.countDistinct("lo").alias("n_labels"),
+                         F.bool_and(F.col("lo") == F.col("hi")).alias("one_label_per_tuple"))
+
+
+@query("kmeans_save_load", "SELECT l_orderkey, l_quantity, l_discount, true AS same_label FROM lineitem")
 def kmeans_save_load(spark, sf_dir):
-    """Labels of a model that went through a file."""
+    """Labels of a model that went through a file, against those of the model itself."""
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_discount")
     columns = ["l_quantity", "l_discount"]
-    path = kmeans.save(kmeans.fit(rows, columns, 3), scratch_path(spark, "kmeans"))
-    return kmeans.predict(rows, columns, kmeans.load(path))
+    model = kmeans.fit(rows, columns, 3)
+    path = kmeans.save(model, scratch_path(spark, "kmeans"))
+    both = kmeans.predict(kmeans.predict(rows, columns, model), columns, kmeans.load(path), "loaded")
+    return both.select("l_orderkey", *columns, (F.col("label") == F.col("loaded")).alias("same_label"))
 
 
 PAIRS = """(SELECT x.a, x.b, x.label, y.label AS other, sum({d}) AS total, count(*) AS n
   FROM p x, p y GROUP BY x.a, x.b, x.label, y.label)"""
 SCORE = f"""
-WITH p AS MATERIALIZED (SELECT DISTINCT a, b, label FROM {ASSIGNED}),
+WITH p AS MATERIALIZED (SELECT DISTINCT a, b, label FROM {{points}}),
  s AS (SELECT a, b, label, max(CASE WHEN other = label THEN n END) AS size,
               max(CASE WHEN other = label AND n > 1 THEN total / (n - 1) END) AS mine,
               min(CASE WHEN other <> label THEN total / n END) AS next FROM {PAIRS} GROUP BY a, b, label)
 SELECT round(avg(CASE WHEN size = 1 THEN 0 ELSE (next - mine) / greatest(mine, next) END), 6) AS silhouette,
        count(*) AS n_points FROM s
 """
+SQUARE = "(x.a - y.a) * (x.a - y.a) + (x.b - y.b) * (x.b - y.b)"
+LOTS = """(SELECT l_quantity AS a, l_discount AS b, CASE WHEN l_quantity < 17.5 THEN 0 WHEN l_quantity < 32.5 THEN 1 ELSE 2 END AS label
+  FROM lineitem)"""
 
 
-@query("silhouette_exact", SCORE.replace("{d}", "sqrt((x.a - y.a) * (x.a - y.a) + (x.b - y.b) * (x.b - y.b))"))
+@query("silhouette_exact", SCORE.replace("{points}", LOTS).replace("{d}", f"sqrt({SQUARE})"))
 def silhouette_exact(spark, sf_dir):
-    return silhouette.silhouette_exact(_labelled(spark, sf_dir), ["a", "b"]).withColumn(
-        "silhouette", F.round("silhouette", 6))
+    """Quantity and discount of all lines: the table may grow, their distinct tuples are
+    bounded by the domain, which keeps the quadratic score affordable."""
+    tuples = features.distinct_features(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_discount"]).toDF("a", "b")
+    labelled = kmeans.assign(tuples, ["a", "b"], [(10.0, 0.05), (25.0, 0.05), (40.0, 0.05)])
+    return silhouette.silhouette_exact(labelled, ["a", "b"]).withColumn("silhouette", F.round("silhouette", 6))
 
 
-@query("silhouette_squared", SCORE.replace("{d}", "(x.a - y.a) * (x.a - y.a) + (x.b - y.b) * (x.b - y.b)"))
+@query("silhouette_squared", SCORE.replace("{points}", ASSIGNED).replace("{d}", SQUARE))
 def silhouette_squared(spark, sf_dir):
     points = _labelled(spark, sf_dir)
     score = silhouette.silhouette_squared(points, ["a", "b"])

@@ -158,6 +158,12 @@ SELECT event_type, approx_count_distinct(user_id) AS n_users, approx_percentile(
 FROM {events} GROUP BY event_type
 """, check=False)
 
+sql_query("sql_approx_bounds", "events", """
+SELECT event_type, abs(approx_count_distinct(user_id, 0.02D) / count(DISTINCT user_id) - 1) < 0.08 AS distinct_close,
+       abs(approx_percentile(value, 0.5D, 100000) - percentile(value, 0.5D)) <= 0.02 * max(value) AS median_close
+FROM {events} GROUP BY event_type
+""", "SELECT DISTINCT event_type, true AS distinct_close, true AS median_close FROM events")
+
 # Arrays hold distinct values of a small domain, so no group's array can grow
 # with the data.
 sql_query("sql_agg_collect", "orders", """
