@@ -77,10 +77,12 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def query_to_table(df: DataFrame, name: str, disposition: str = "empty", location: str | None = None) -> None:
+def query_to_table(df: DataFrame, name: str, disposition: str = "empty", location: str | None = None,
+                   dry_run: bool = False) -> None:
     """Write a query result to a table: `truncate`, `append`, or `empty` (the default).
 
     `empty` accepts a missing table or one without rows and refuses any other.
+    A dry run checks the query and the disposition and writes nothing.
     """
     spark = df.sparkSession
     if disposition not in ("truncate", "append", "empty"):
@@ -88,6 +90,8 @@ def query_to_table(df: DataFrame, name: str, disposition: str = "empty", locatio
     exists = spark.catalog.tableExists(name)
     if disposition == "empty" and exists and not spark.table(name).isEmpty():
         raise TableNotEmpty(f"table {name} already holds rows")
+    if dry_run:
+        return
     if not exists:
         df.write.format("parquet").option("path", location or scratch_path(spark, name)).saveAsTable(name)
     else:

@@ -97,7 +97,9 @@ def test_only_noise(spark):
     assert got == [(0.0, 4), (10.0, 5), (10.0, 5), (20.0, 6)]
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hot", [1_000_000, 5])
+def test_components(spark, monkeypatch, hot):
+    monkeypatch.setattr(components, "HOT", hot)  # the low value sends hubs the broadcast way
     rng = random.Random(5)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 360)]
     nodes = sorted({x for e in edges for x in e} | {999})

@@ -47,9 +47,11 @@ def test_csv_types_are_inferred_and_text_survives(spark):
 def test_dispositions(spark):
     df = spark.range(3)
     name = "t_disp"
+    tables.query_to_table(df, name, dry_run=True)
+    assert not spark.catalog.tableExists(name)
     tables.query_to_table(df, name)
     with pytest.raises(tables.TableNotEmpty):
-        tables.query_to_table(df, name)
+        tables.query_to_table(df, name, dry_run=True)
     tables.query_to_table(df, name, "append")
     assert catalog.read_table(spark, name).count() == 6
     tables.query_to_table(df.limit(1), name, "truncate")
