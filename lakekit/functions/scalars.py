@@ -81,14 +81,19 @@ def split_object_url(text: Column) -> Column:
 # ---------------------------------------------------------------- names and classes
 
 def parse_resource_name(name: Column, kind: str) -> Column:
-    """Struct of the name's parts plus is_valid; parts are null when the name does not match."""
-    pattern = fixed.RESOURCE_PATTERNS[kind]
-    valid = F.coalesce(name.rlike(pattern), F.lit(False))
+    """Struct of the name's parts plus is_valid; parts are null when the name does not match.
+
+    One match per row: the groups are rewritten around a separator and split.
+    """
     fields = {"service": ["project", "location", "service_name"],
               "job": ["project", "location", "job_name"],
               "execution": ["project", "location", "job_name", "execution_name"]}[kind]
-    parts = [F.when(valid, F.regexp_extract(name, pattern, i)).alias(f) for i, f in enumerate(fields, 1)]
-    return F.struct(*parts, valid.alias("is_valid"))
+    whole = r"(?s:^.*?)" + fixed.RESOURCE_PATTERNS[kind] + r"(?s:.*)$"
+    groups = "\u0001".join(f"${i}" for i in range(1, len(fields) + 1))
+    parts = F.split(F.regexp_replace(name, whole, groups), "\u0001")
+    valid = F.coalesce(F.size(parts) == len(fields), F.lit(False))
+    return F.struct(*[F.when(valid, F.get(parts, F.lit(i))).alias(f) for i, f in enumerate(fields)],
+                    valid.alias("is_valid"))
 
 
 def location_path(project: Column, location: Column) -> Column:
