@@ -59,6 +59,11 @@ def _run(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint:
     return query
 
 
+def _prepare(spark: SparkSession, out: str, column: str) -> None:
+    """An empty first part, so an output no batch has reached yet reads as no rows."""
+    spark.createDataFrame([], f"{column} STRING").write.mode("ignore").parquet(f"{out}/batch_id=-1/outcome=none")
+
+
 def process_messages(messages: DataFrame, handler: Handler, out: str, checkpoint: str) -> None:
     """Handle everything available and stop; a second run on the same checkpoint adds nothing."""
 
@@ -66,6 +71,7 @@ def process_messages(messages: DataFrame, handler: Handler, out: str, checkpoint
         (handle_messages(batch, handler).write.mode("overwrite").partitionBy("outcome")
          .parquet(f"{out}/batch_id={batch_id}"))
 
+    _prepare(messages.sparkSession, out, "ack_id")
     _run(messages, write, checkpoint)
 
 
@@ -92,6 +98,7 @@ def stream_insert(lines: DataFrame, line: str, schema: T.StructType, out: str, c
             "outcome", F.when(F.col("reason").isNull(), "inserted").otherwise("refused"))
         checked.write.mode("overwrite").partitionBy("outcome").parquet(f"{out}/batch_id={batch_id}")
 
+    _prepare(lines.sparkSession, out, line)
     _run(lines, write, checkpoint)
 
 

@@ -58,3 +58,22 @@ def test_publish_returns_ids(spark):
     ids = messages.publish(df, "t", F.col("v"), F.col("k"), path=path)
     assert sorted(r.message_id for r in ids.collect()) == ["t/1", "t/2"]
     assert spark.read.parquet(path).schema["value"].dataType == T.BinaryType()
+
+
+def test_a_stream_without_messages_reads_as_empty(spark):
+    source, out, checkpoint = (scratch_path(spark, n) for n in ("src", "out", "ckpt"))
+    put(spark, source, [])
+    stream = messages.file_stream(spark, source, "ack_id string, payload binary", "*.parquet")
+    messages.process_messages(stream.where("ack_id = 'none'"), handler, out, checkpoint)
+    assert messages.results(spark, out).count() == 0 and messages.dead_letters(spark, out).count() == 0
+
+
+def test_a_replayed_insert_batch_never_doubles(spark):
+    source, out, checkpoint = (scratch_path(spark, n) for n in ("src", "out", "ckpt"))
+    schema = T.StructType([T.StructField("id", T.LongType(), False)])
+    spark.createDataFrame([('{"id": 1}',), ('{"id": "x"}',), ('{"id": 2, "k": 1}',)], "line string").write.parquet(source)
+    for _ in range(2):
+        stream = messages.file_stream(spark, source, "line string", "*.parquet", max_files=10)
+        messages.stream_insert(stream, "line", schema, out, checkpoint)
+    assert [r.id for r in messages.inserted_rows(spark, out, "line", schema).collect()] == [1]
+    assert sorted(r.reason for r in messages.refused_lines(spark, out, "line", schema).collect()) == ["unknown field", "wrong type"]
