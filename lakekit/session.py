@@ -40,7 +40,19 @@ SESSION_FUNCTIONS = (
 )
 
 
-def build_session(app: str = "lakekit", master: str | None = None, **conf: str) -> SparkSession:
+SHUFFLE_TARGET = 512 << 20  # bytes one shuffle partition should hold
+
+
+def shuffle_partitions_for(data_bytes: int) -> int:
+    """Shuffle partitions for the data a job moves. AQE merges small partitions but never makes more."""
+    return max(200, -(-data_bytes // SHUFFLE_TARGET))
+
+
+def build_session(app: str = "lakekit", master: str | None = None, data_bytes: int | None = None,
+                  **conf: str) -> SparkSession:
+    """A configured session; `data_bytes`, the size of the largest shuffle, sets the partition count."""
+    if data_bytes is not None:
+        conf.setdefault("spark.sql.shuffle.partitions", str(shuffle_partitions_for(data_bytes)))
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

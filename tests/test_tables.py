@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from lakekit.operators import features, sinks, tables, wire
 from lakekit.operators.wire import WireField
-from lakekit.session import scratch_path, shared_dir
+from lakekit.session import scratch_path, shared_dir, shuffle_partitions_for
 from lakekit.sources import catalog, grid, inputs, inventory
 
 
@@ -217,3 +217,8 @@ def test_with_rank_is_a_total_order(spark):
 
 def test_shared_dir_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_shuffle_partitions_grow_with_the_data():
+    assert shuffle_partitions_for(10 << 30) == 200
+    assert shuffle_partitions_for(100 << 40) == 204800
