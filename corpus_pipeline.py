@@ -1,8 +1,73 @@
-"""The training-text pipeline (stages follow as their operators are ready)."""
+"""The training-text pipeline: toxicity, near copies, benchmark text, source mix, token files.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept. Every stage
+but the last returns the columns of documents. Rows with a null or empty text pass the filters;
+the mix takes tokens, so it drops texts without any.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakekit.llm import jaccard_join, mixing, phrase_index, token_files, toxicity
+from lakekit.session import scratch_path
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below the toxicity threshold; the model learns from the labels of this stage's own input."""
+    model = toxicity.train_on_labels(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.score(docs, model, docs.columns, name="_toxicity")
+    return scored.where(F.col("_toxicity") < toxicity.THRESHOLD).drop("_toxicity")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least id of each class at a Jaccard similarity of 0.8 over five-word shingles, once."""
+    found = jaccard_join.similar_classes(docs).where("component_id is null or doc_id = component_id").select("doc_id").distinct()
+    named = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).join(found, "doc_id")
+    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any ten-word window of a benchmark item."""
+    checked = phrase_index.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), near=False)
+    hit = checked.where("contaminated and doc_id is not null").select("doc_id").distinct()
+    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of three fifths of all tokens; a document stands once per epoch, the last of a source cut to its budget."""
+    mixed = mixing.mix_documents(docs)
+    text = mixing.cut_text(F.col("text"), F.col("take"), F.col("_mix_n"))
+    return mixed.withColumn("text", text).withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+
+
+def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every text in Huffman-coded token files, listed as read back."""
+    path = token_files.write_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_tokens(spark, path).drop("ids")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near copies", drop_near_copies),
+    ("benchmark text", drop_benchmark_text),
+    ("source mix", mix_sources),
+    ("token files", write_token_files),
+]
+
+# The classifier and the tokenizer are not expressible in SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`, each one's rows written and read again before the next."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            path = scratch_path(spark, "stage")
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+    return docs

@@ -244,9 +244,9 @@ def phrase_matches(index: DataFrame, benchmark: DataFrame, id_col: str = "item_i
         *(F.flatten(F.collect_list(c)).alias(c) for c in ("items", "runs", "near")))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", window: int = WINDOW) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", window: int = WINDOW, near: bool = True) -> DataFrame:
     """Per document: n_words, n_hit, n_items, item ids, hit runs, n_near, near items and the contaminated flag."""
-    found = phrase_matches(build_index(docs, id_col), benchmark, window=window)
+    found = phrase_matches(build_index(docs, id_col), benchmark, window=window, near=near)
     covered = F.expr("""aggregate(array_sort(runs), named_struct('n', 0L, 'e', 0L),
         (s, r) -> named_struct('n', s.n + greatest(0L, r.b - greatest(r.a, s.e)), 'e', greatest(s.e, r.b)), s -> s.n)""")
     return found.select(

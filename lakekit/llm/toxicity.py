@@ -1,10 +1,9 @@
 """Toxicity: a character n-gram linear classifier on naive Bayes log-count ratios.
 
-Training has three steps. The log-count ratio of every hashed n-gram comes from counts
-over all labelled training rows, added up by Spark. The FEATURES n-grams that tell the
-classes apart best are kept. A logistic regression on their presence, scaled by the ratios, is
-fitted on at most SAMPLE labelled rows, chosen by a hash of the id; that bound is the only
-sample. Scoring reads every whole text.
+Training takes at most SAMPLE labels of each class, chosen by a hash of the id; that bound is the
+only sample. The log-count ratio of every hashed n-gram comes from their counts, added up by
+Spark. The FEATURES n-grams that tell the classes apart best are kept, and a logistic regression
+is fitted on their presence, scaled by the ratios. Scoring reads every whole text.
 
 An n-gram is 4 or 5 code points of the text with A-Z lower-cased and every run of other characters
 than letters and digits as one space. Text labels are 0 or 1; rows with a null label, id
@@ -22,13 +21,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakekit.llm.arrays import BYTE_VALUES, byte_class, chunks, fold_case, mix, powers
+from lakekit.session import scratch_path
 
 SIZES = (4, 5)
 BUCKETS = 1 << 20
 FEATURES = 2048
-SAMPLE = 20_000
+SAMPLE = 8_000
 MIN_DOCS = 4
 THRESHOLD = 0.7
 _PLAIN = byte_class(lambda b: 48 <= b <= 57 or 97 <= b <= 122 or b >= 128)
@@ -137,13 +138,13 @@ def _fit(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, rounds:
     return w, bias
 
 
-def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label", id_col: str = "doc_id",
-          features: int = FEATURES, sample: int = SAMPLE) -> Model:
-    """Fit on labelled rows; counts cover all of them, the regression at most `sample`."""
-    spark = labelled.sparkSession
-    rows = labelled.where(F.col(label_col).isin(0, 1) & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    rows = rows.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), F.col(id_col).alias("id"))
-    counted = rows.select("text", "label").mapInArrow(_count, "gram int, n0 bigint, n1 bigint").groupBy("gram").agg(
+def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label", features: int = FEATURES) -> Model:
+    """Fit on labelled rows; the caller bounds their number, as their features meet on the driver."""
+    spark, path = labelled.sparkSession, scratch_path(labelled.sparkSession, "labelled")
+    rows = labelled.where(F.col(label_col).isin(0, 1) & F.col(text_col).isNotNull())
+    rows.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")).write.parquet(path)
+    rows = spark.read.schema("text string, label int").parquet(path)
+    counted = rows.mapInArrow(_count, "gram int, n0 bigint, n1 bigint").groupBy("gram").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     seen = counted.where("gram = -1").first()
     if seen is None or not seen["n0"] or not seen["n1"]:
@@ -157,49 +158,38 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label",
         "gram", ratio.alias("ratio"), gap.alias("gap")).orderBy(F.desc("gap"), "gram").limit(features).collect()
     best.sort(key=lambda r: r["gram"])
     grams, ratios = np.array([r["gram"] for r in best], np.int32), np.array([r["ratio"] for r in best])
-    drawn = _sample(rows, n0 + n1, sample).select("text", "label").mapInArrow(
-        _sparse_rows(spark.sparkContext.broadcast(grams)), "features array<int>, label int").toArrow()
+    drawn = rows.mapInArrow(_sparse_rows(spark.sparkContext.broadcast(grams)), "features array<int>, label int").toArrow()
     lists = drawn.column("features").combine_chunks()
     values, cuts = lists.flatten().to_numpy(), np.cumsum(np.diff(lists.offsets.to_numpy()))
-    labels = drawn.column("label").to_numpy().astype(np.float64)
-    if not len(labels) or labels.min() == labels.max():
-        return Model(np.zeros(0, np.int32), np.zeros(0), -30.0)
-    w, bias = _fit(np.split(values, cuts[:-1]), labels, ratios)
+    w, bias = _fit(np.split(values, cuts[:-1]), drawn.column("label").to_numpy().astype(np.float64), ratios)
     return Model(grams, w * ratios, bias)
 
 
-def _sample(rows: DataFrame, total: float, sample: int) -> DataFrame:
-    """About `sample` rows, the same ones each time: those whose id hashes below a share."""
-    if total <= sample:
-        return rows
-    cut = int(sample / total * (1 << 31))
-    return rows.where(F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 31)) < cut)
-
-
-def _scorer(model):
+def _scorer(model, text_at: int, kept: int, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = model.value
         place = _table(fitted.grams, np.arange(len(fitted.grams)) + 1)
         for batch in batches:
             scores = np.zeros(batch.num_rows)
-            for chunk in chunks(batch.column(batch.num_columns - 1)):
+            for chunk in chunks(batch.column(text_at)):
                 hashes, rows = _grams(chunk)
                 at = place[hashes].astype(np.int64)
                 grams, rows = _present(at[at > 0], rows[at > 0])
                 z = np.bincount(rows, fitted.weights[grams - 1], chunk.rows) + fitted.bias
                 scores[chunk.lo:chunk.hi] = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())],
-                                             names=[*batch.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(scores, pa.float64())],
+                                             names=[*batch.schema.names[:kept], name])
 
     return run
 
 
-def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The `keep` columns of every row with its `score` in 0..1."""
+def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", name: str = "score") -> DataFrame:
+    """The `keep` columns of every row with its score in 0..1 under `name`, which must not be one of them."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most FEATURES weights
-    plain = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("_text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields[:-1])
-    return plain.mapInArrow(_scorer(shared), f"{kinds}, score double")
+    columns = keep if text_col in keep else [*keep, text_col]
+    plain = docs.select(*(F.col("`" + c.replace("`", "``") + "`") for c in columns))
+    schema = T.StructType([*plain.schema.fields[:len(keep)], T.StructField(name, T.DoubleType())])
+    return plain.mapInArrow(_scorer(shared, columns.index(text_col), len(keep), name), schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -207,7 +197,12 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train_on_labels(docs: DataFrame, labels: DataFrame) -> Model:
-    """The model of the documents' `toxic` labels outside the held-out third."""
-    marks = labels.select(F.col("doc_id"), F.col("toxic").alias("label")).where(~held_out())
-    return train(docs.select("doc_id", "text").join(marks, "doc_id"))
+def train_on_labels(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    """The model of the documents' `toxic` labels outside the held-out third, `sample` labels of each class at most."""
+    marks = labels.select("doc_id", F.col("toxic").alias("label")).where(~held_out() & F.col("doc_id").isNotNull())
+    drawn = None
+    for label in (0, 1):
+        own = marks.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+        drawn = own if drawn is None else drawn.union(own)
+    # at most 2 * sample rows of two numbers
+    return train(docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id"))
