@@ -7,10 +7,16 @@ from pyspark.sql import functions as F
 
 
 def newline_fold(parts: Column) -> Column:
-    """Join an ordered string array: nulls skipped, empties vanish only while nothing was added."""
-    return F.aggregate(
-        F.filter(parts, lambda x: x.isNotNull()), F.lit(""),
-        lambda acc, x: F.when(F.length(acc) > 0, F.concat(acc, F.lit("\n"), x)).otherwise(x))
+    """Join an ordered string array: nulls skipped, empties vanish only before the first other text.
+
+    One join over what starts at that text: linear in the total length.
+    """
+    def join(xs: Column) -> Column:
+        first = F.array_position(F.transform(xs, lambda x: F.length(x) > 0), True).cast("int")
+        return F.when(first > 0, F.array_join(F.slice(xs, first, F.size(xs)), "\n")).otherwise("")
+
+    # a one-element array binds the filtered texts, so they are computed once
+    return F.get(F.transform(F.array(F.array_compact(parts)), join), F.lit(0))
 
 
 def string_agg_newline(text: Column, *order: Column) -> Column:
@@ -41,10 +47,6 @@ def grouped_string_agg(df: DataFrame, keys: list[str], text: str, order: list[st
         .drop("_texts")
     )
     pieces = F.sort_array(F.collect_list(F.struct("_piece", "_lead", "_body")))
-    whole = F.aggregate(
-        pieces, F.lit(""),
-        lambda acc, p: F.when(F.length(acc) == 0, p["_body"])
-        .when(F.length(p["_body"]) == 0, F.concat(acc, F.repeat(F.lit("\n"), p["_lead"])))
-        .otherwise(F.concat(acc, F.repeat(F.lit("\n"), p["_lead"] + 1), p["_body"])))
-    return joined.groupBy(*keys).agg(whole.alias(name))
-
+    texts = F.flatten(F.transform(pieces, lambda p: F.concat(
+        F.array_repeat(F.lit(""), p["_lead"]), F.when(F.length(p["_body"]) > 0, F.array(p["_body"])).otherwise(F.array().cast("array<string>")))))
+    return joined.groupBy(*keys).agg(newline_fold(texts).alias(name))

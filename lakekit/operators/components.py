@@ -8,36 +8,19 @@ from pyspark.sql import functions as F
 from lakekit.session import cut_lineage
 
 
-HOT = 1_000_000  # edges at one node beyond which its minimum is broadcast instead of joined by shuffle
 
-
-def _join_least(edges: DataFrame, least: DataFrame, total: int) -> DataFrame:
-    """edges with the minimum `m` of their node u.
-
-    A node can only be hot when there are more than HOT edges at all, and at
-    most total / HOT nodes are, so broadcasting those few is bounded. Their
-    edges stay where they are; the rest meet their minimum through a shuffle.
-    """
-    if total <= HOT:
-        return edges.join(least.drop("n"), "u")
-    hot = F.broadcast(least.where(F.col("n") > HOT).select("u", F.col("m").alias("_hot")))
-    marked = edges.join(hot, "u", "left")
-    return marked.where("_hot IS NOT NULL").select("u", "v", F.col("_hot").alias("m")).unionByName(
-        marked.where("_hot IS NULL").drop("_hot").join(least.drop("n"), "u"))
-
-
-def _large_star(edges: DataFrame, total: int) -> DataFrame:
+def _large_star(edges: DataFrame) -> DataFrame:
     """Tie every larger neighbour of a node to the node's smallest neighbour (itself included)."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count("*").alias("n"))
-    return _join_least(both.where("v > u"), least, 2 * total).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame, total: int) -> DataFrame:
+def _small_star(edges: DataFrame) -> DataFrame:
     """Tie every smaller neighbour of a node, and the node, to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
-    least = down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-    moved = _join_least(down, least, total).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -51,14 +34,14 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, root) for every node; the root is the smallest node it connects to.
 
     nodes(node BIGINT), edges(u BIGINT, v BIGINT). Minima are partially
-    aggregated before the shuffle and a hub's edges are never gathered. Every
-    round ends in a reliable checkpoint, and the loop ends when the edges stop
+    aggregated before the shuffle. A hub's edges are one side of a join with one row on the
+    other, which AQE splits, so they are never gathered. Every round is written out, and the loop ends when the edges stop
     changing.
     """
     current = cut_lineage(edges.where("u <> v").distinct())
     state = _state(current)
     while state[0]:
-        current = cut_lineage(_small_star(_large_star(current, state[0]), state[0]))
+        current = cut_lineage(_small_star(_large_star(current)))
         after = _state(current)
         if after == state:
             break

@@ -15,8 +15,12 @@ def write_result(df: DataFrame, path: str, remove: bool = False) -> str:
     """Write by extension; an existing target is an error unless `remove` replaces it."""
     kind = format_of(path, WRITE_FORMATS)
     writer = df.write.mode("overwrite" if remove else "errorifexists")
-    if kind == "csv":
-        writer = writer.option("header", True).option("escape", '"')  # quotes are doubled
+    if kind in ("csv", "json"):  # times with all their digits
+        writer = (writer.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+                  .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    if kind == "csv":  # quotes are doubled, blanks kept; null is nothing at all and the empty text is ""
+        writer = (writer.option("header", True).option("escape", '"').option("nullValue", "").option("emptyValue", '""')
+                  .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("lineSep", "\n"))
     if kind == "json":
         writer = writer.option("ignoreNullFields", False)
     writer.format(kind).save(path)

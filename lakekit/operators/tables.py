@@ -67,21 +67,29 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, descripti
                  location: str | None = None) -> None:
     """Create a table from a declared schema, keeping comments and the description.
 
-    With no warehouse of its own in view, data lives under the shared folder.
+    Its data live in the warehouse and go with the table, unless a location of their own is given.
     """
-    spark.catalog.createTable(name, path=location or scratch_path(spark, name), source="parquet",
-                              schema=schema, description=description)
+    spark.catalog.createTable(name, path=location, source="parquet", schema=schema, description=description)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def _by_name(df: DataFrame, name: str) -> DataFrame:
+    """df's columns in the order of the table's, which must be the same by name."""
+    stored = df.sparkSession.table(name).columns
+    if sorted(c.lower() for c in df.columns) != sorted(c.lower() for c in stored):
+        raise ValueError(f"columns {df.columns} do not fit table {name} with {stored}")
+    return df.select(*[F.col("`" + c.replace("`", "``") + "`") for c in stored])
+
+
 def query_to_table(df: DataFrame, name: str, disposition: str = "empty", location: str | None = None,
                    dry_run: bool = False) -> None:
     """Write a query result to a table: `truncate`, `append`, or `empty` (the default).
 
     `empty` accepts a missing table or one without rows and refuses any other.
+    Columns are matched by name; `truncate` replaces the schema along with the rows.
     A dry run checks the query and the disposition and writes nothing.
     """
     spark = df.sparkSession
@@ -90,12 +98,15 @@ def query_to_table(df: DataFrame, name: str, disposition: str = "empty", locatio
     exists = spark.catalog.tableExists(name)
     if disposition == "empty" and exists and not spark.table(name).isEmpty():
         raise TableNotEmpty(f"table {name} already holds rows")
+    if exists and disposition != "truncate":
+        df = _by_name(df, name)
     if dry_run:
         return
-    if not exists:
-        df.write.format("parquet").option("path", location or scratch_path(spark, name)).saveAsTable(name)
-    else:
-        df.write.insertInto(name, overwrite=disposition == "truncate")
+    if exists and disposition != "truncate":
+        df.write.insertInto(name)
+        return
+    writer = df.write.format("parquet").mode("overwrite" if exists else "errorifexists")
+    (writer.option("path", location) if location else writer).saveAsTable(name)
 
 
 # ---------------------------------------------------------------- validated insert
@@ -141,9 +152,15 @@ def insert_lines(lines: DataFrame, line: str, name: str, schema: T.StructType, s
     spark = lines.sparkSession
     if not spark.catalog.tableExists(name):
         create_table(spark, name, all_nullable(schema))
-    checked = validate_lines(lines, line, schema, ignore_unknown)
-    refused = checked.where("reason IS NOT NULL").select(line, "reason")
+    # validated once, into two parts by outcome: what was checked is what is written
+    path = scratch_path(spark, "validated")
+    checked = validate_lines(lines, line, schema, ignore_unknown).select(line, "reason", "row")
+    checked.withColumn("_refused", F.col("reason").isNotNull()).write.partitionBy("_refused").parquet(path)
+    stored = spark.read.schema(T.StructType([
+        T.StructField(line, T.StringType()), T.StructField("reason", T.StringType()),
+        T.StructField("row", all_nullable(schema)), T.StructField("_refused", T.BooleanType())])).parquet(path)
+    refused = stored.where("_refused").select(line, "reason")
     if not skip_invalid and not refused.isEmpty():
         raise InvalidRows(f"batch for {name} refused")
-    checked.where("reason IS NULL").select("row.*").write.insertInto(name)
+    _by_name(stored.where("NOT _refused").select("row.*"), name).write.insertInto(name)
     return refused

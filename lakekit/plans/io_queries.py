@@ -6,7 +6,7 @@ from lakekit.functions import render
 from lakekit.functions.aggregates import grouped_string_agg
 from lakekit.operators import sinks, tables
 from lakekit.plans.registry import query, table
-from lakekit.session import scratch_path
+from lakekit.session import cut_lineage, scratch_path
 from lakekit.sources import catalog, inputs
 
 # Three inputs of three formats as t0..t2, one SQL text with both session functions.
@@ -34,11 +34,12 @@ def register_multi_input(spark, sf_dir):
                             {0: customer.schema, 1: orders.schema})
 
 
-@query("scan_ndjson", "SELECT event_id, user_id, event_type, value, props FROM events")
+@query("scan_ndjson", "SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, value, props FROM events")
 def scan_ndjson(spark, sf_dir):
-    events = table(spark, sf_dir, "events").drop("ts")
+    events = table(spark, sf_dir, "events")
     path = sinks.write_result(events, scratch_path(spark, "events") + ".json")
-    return inputs.read_input(spark, path).select("event_id", "user_id", "event_type", "value", "props")
+    return inputs.read_input(spark, path).select(
+        "event_id", F.col("ts").cast("timestamp_ntz").cast("string").alias("ts"), "user_id", "event_type", "value", "props")
 
 
 @query("scan_parquet", """
@@ -67,9 +68,42 @@ def _round_trip(spark, df, extension):
     return inputs.read_input(spark, path, df.schema)
 
 
-@query("sink_roundtrip_json", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+# documents with the values that plain text formats tend to lose, chosen by the id
+HARD = """CASE doc_id % 8 WHEN 0 THEN '  pad ' WHEN 1 THEN 'a' || chr(10) || 'b' || chr(13) || chr(10) || 'c' WHEN 2 THEN '' WHEN 3 THEN NULL
+  WHEN 4 THEN 'say "x", ' || chr(92) || 'n' WHEN 5 THEN '"' WHEN 6 THEN chr(9) || ',' ELSE text END"""
+HARD_DOCUMENTS = f"SELECT doc_id, text, {HARD} AS hard, lang, source, n_chars FROM documents"
+EVENT_ROWS = "SELECT event_id, CAST(ts AS VARCHAR) AS ts, CAST(ts AS VARCHAR) || '+00' AS at, user_id, event_type, value, props FROM events"
+
+
+def _hard_documents(spark, sf_dir):
+    return table(spark, sf_dir, "documents").withColumn("hard", F.expr(HARD))
+
+
+def _event_round_trip(spark, sf_dir, extension):
+    """Events with their time twice: without a zone, and as an instant."""
+    events = table(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp"))
+    return _round_trip(spark, events, extension).withColumns({
+        "ts": F.col("ts").cast("string"), "at": F.concat(F.col("at").cast("string"), F.lit("+00"))})
+
+
+@query("sink_roundtrip_json", HARD_DOCUMENTS)
 def sink_roundtrip_json(spark, sf_dir):
-    return _round_trip(spark, table(spark, sf_dir, "documents"), ".json")
+    return _round_trip(spark, _hard_documents(spark, sf_dir), ".json")
+
+
+@query("sink_roundtrip_json_times", EVENT_ROWS)
+def sink_roundtrip_json_times(spark, sf_dir):
+    return _event_round_trip(spark, sf_dir, ".json")
+
+
+@query("sink_roundtrip_csv_text", HARD_DOCUMENTS)
+def sink_roundtrip_csv_text(spark, sf_dir):
+    return _round_trip(spark, _hard_documents(spark, sf_dir), ".csv")
+
+
+@query("sink_roundtrip_csv_times", EVENT_ROWS)
+def sink_roundtrip_csv_times(spark, sf_dir):
+    return _event_round_trip(spark, sf_dir, ".csv")
 
 
 @query("sink_roundtrip_parquet", """
@@ -149,8 +183,8 @@ def query_limited(spark, sf_dir):
 
 
 @query("catalog_listing", """
-SELECT 'orders' AS table_name, 'EXTERNAL' AS table_type, true AS has_created, count(*) AS n_rows FROM orders
-UNION ALL SELECT 'customer', 'EXTERNAL', true, count(*) FROM customer
+SELECT 'orders' AS table_name, 'MANAGED' AS table_type, true AS has_created, count(*) AS n_rows FROM orders
+UNION ALL SELECT 'customer', 'MANAGED', true, count(*) FROM customer
 """)
 def catalog_listing(spark, sf_dir):
     """Two tables stored in a database of their own, listed with creation time and row count."""
@@ -163,14 +197,71 @@ def catalog_listing(spark, sf_dir):
         counts = one if counts is None else counts.unionByName(one)
     listed = catalog.list_tables(spark, database).select(
         "table_name", "table_type", F.col("created_epoch").isNotNull().alias("has_created"))
-    out = listed.join(F.broadcast(counts), "table_name")
-    out.schema  # analysed: the names below may go, the files stay
-    for name in ("orders", "customer"):
-        tables.drop_table(spark, f"{database}.{name}")
-    spark.sql(f"DROP DATABASE {database}")
+    out = cut_lineage(listed.join(F.broadcast(counts), "table_name"))
+    spark.sql(f"DROP DATABASE {database} CASCADE")
     return out
 
 
+@query("catalog_databases", """
+SELECT 'spark_catalog' AS catalog, 'own' AS database, count(*) AS n_rows FROM nation
+""")
+def catalog_databases(spark, sf_dir):
+    """The catalog and the database a stored table stands in, found through both listings."""
+    database = "lk_" + scratch_path(spark, "x").rsplit("-", 1)[1][:12]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, database)}'")
+    tables.query_to_table(table(spark, sf_dir, "nation"), f"{database}.nation")
+    n_rows = spark.table(f"{database}.nation").agg(F.count("*").alias("n_rows"))
+    found = catalog.list_catalogs(spark).join(catalog.list_databases(spark).where(F.col("database") == database), "catalog")
+    out = cut_lineage(found.withColumn("database", F.lit("own")).join(F.broadcast(n_rows)))
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return out
+
+
+# ---------------------------------------------------------------- statements through the SQL front door
+
+def _statements(spark, sf_dir, name, texts):
+    """Run SQL statements in turn over the named table as t0; the last one's rows, kept in scratch."""
+    path = f"{sf_dir}/{name}.parquet"
+    out = None
+    for text in texts:
+        out = inputs.run_query(spark, [path], text)
+    return cut_lineage(out)
+
+
+@query("sql_create_view", "SELECT o_orderstatus, count(*) AS n, sum(o_custkey)::BIGINT AS keys FROM orders WHERE o_totalprice > 1000 GROUP BY 1")
+def sql_create_view(spark, sf_dir):
+    return _statements(spark, sf_dir, "orders", [
+        "CREATE OR REPLACE TEMPORARY VIEW lk_dear AS SELECT * FROM t0 WHERE o_totalprice > 1000",
+        "SELECT o_orderstatus, count(*) AS n, sum(o_custkey) AS keys FROM lk_dear GROUP BY 1"])
+
+
+@query("sql_ctas_insert_show", """
+SELECT n_regionkey, 2 * count(*) AS n, 1 AS n_tables FROM nation WHERE n_regionkey < 3 GROUP BY 1
+UNION ALL SELECT n_regionkey, count(*), 1 FROM nation WHERE n_regionkey >= 3 GROUP BY 1
+""")
+def sql_ctas_insert_show(spark, sf_dir):
+    """CREATE TABLE AS, INSERT with named columns, SHOW TABLES and DROP as statements."""
+    name = "lk_" + scratch_path(spark, "x").rsplit("-", 1)[1][:12]
+    out = _statements(spark, sf_dir, "nation", [
+        f"CREATE TABLE {name} USING parquet AS SELECT n_nationkey, n_regionkey FROM t0",
+        f"INSERT INTO {name} (n_regionkey, n_nationkey) SELECT n_regionkey, n_nationkey FROM t0 WHERE n_regionkey < 3",
+        f"SELECT n_regionkey, count(*) AS n FROM {name} GROUP BY 1"])
+    shown = inputs.run_query(spark, [], f"SHOW TABLES LIKE '{name}'").where("NOT isTemporary").agg(F.count("*").cast("int").alias("n_tables"))
+    out = cut_lineage(out.join(F.broadcast(shown)))
+    inputs.run_query(spark, [], f"DROP TABLE {name}")
+    return out
+
+
+@query("sql_session_functions", """
+SELECT event_type, strftime(time_bucket(INTERVAL 15 MINUTE, ts, TIMESTAMP '1970-01-01'), '%Y-%m-%d %H:%M:%S') AS bin,
+       count(*) AS n, sum(user_id // 7)::BIGINT AS sevenths FROM events GROUP BY 1, 2
+""")
+def sql_session_functions(spark, sf_dir):
+    return inputs.run_query(spark, [f"{sf_dir}/events.parquet"], """
+        SELECT event_type, date_format(date_bin(INTERVAL 15 MINUTE, cast(ts AS TIMESTAMP)), 'yyyy-MM-dd HH:mm:ss') AS bin,
+               count(*) AS n, sum(int_div(user_id, 7)) AS sevenths FROM t0 GROUP BY 1, 2""")
+
+
 @query("schema_flatten", """
 SELECT 'l_orderkey' AS path, 'bigint' AS type, 'NULLABLE' AS mode, count(l_orderkey) AS n_values FROM lineitem
 UNION ALL SELECT 'price', 'RECORD', 'NULLABLE', count(*) FROM lineitem
@@ -202,8 +293,7 @@ SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, value, props FR
 def read_table(spark, sf_dir):
     name = "lk_" + scratch_path(spark, "x").rsplit("-", 1)[1][:12]
     tables.query_to_table(table(spark, sf_dir, "events"), name)
-    out = catalog.read_table(spark, name).withColumn("ts", F.col("ts").cast("string"))
-    out.schema
+    out = cut_lineage(catalog.read_table(spark, name).withColumn("ts", F.col("ts").cast("string")))
     tables.drop_table(spark, name)
     return out
 
@@ -244,6 +334,54 @@ def rows_to_text(spark, sf_dir):
     return render.rows_to_text(_rendered(spark, sf_dir).withColumn("l", F.array("n", "s")))
 
 
+# times with no, three and six digits of a second, and numbers from 1e-290 to 1e300
+TIMED = """SELECT event_id AS k, date_trunc('second', ts) + to_microseconds(CASE event_id % 3 WHEN 0 THEN 0 WHEN 1 THEN 250000 ELSE 123456 END) AS t
+FROM events"""
+DIGITS = "CASE event_id % 3 WHEN 0 THEN '' WHEN 1 THEN '.250' ELSE '.123456' END"
+
+
+def _timed(spark, sf_dir):
+    fraction = F.expr("CASE event_id % 3 WHEN 0 THEN 0 WHEN 1 THEN 250000 ELSE 123456 END")
+    at = F.timestamp_micros(F.unix_micros(F.date_trunc("second", F.col("ts").cast("timestamp"))) + fraction)
+    return table(spark, sf_dir, "events").select(F.col("event_id").alias("k"), at.alias("t"), at.cast("timestamp_ntz").alias("l"))
+
+
+@query("rows_to_json_times", f"""
+SELECT '{{"k":' || event_id || ',"t":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || {DIGITS} || '+00:00","l":"' ||
+       strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.' || rpad(ltrim({DIGITS}, '.'), 6, '0') || '"}}' AS json FROM events
+""")
+def rows_to_json_times(spark, sf_dir):
+    return render.rows_to_json(_timed(spark, sf_dir))
+
+
+@query("rows_to_json_cells_times", f"""
+SELECT CAST(event_id AS VARCHAR) AS k, '"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || {DIGITS} || '+00:00"' AS t,
+       '"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.' || rpad(ltrim({DIGITS}, '.'), 6, '0') || '"' AS l FROM events
+""")
+def rows_to_json_cells_times(spark, sf_dir):
+    return render.rows_to_json_cells(_timed(spark, sf_dir))
+
+
+@query("rows_to_text_times", f"""
+SELECT '{{"k": ' || event_id || ',"t": "' || strftime(ts, '%Y-%m-%d %H:%M:%S') || {DIGITS} || ' UTC","l": "' ||
+       strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.' || rpad(ltrim({DIGITS}, '.'), 6, '0') || '"}}' AS row_text FROM events
+""")
+def rows_to_text_times(spark, sf_dir):
+    return render.rows_to_text(_timed(spark, sf_dir))
+
+
+@query("rows_to_text_numbers", """
+WITH c AS (SELECT CAST(c_custkey + 1 AS VARCHAR) AS k FROM customer)
+SELECT '{"tiny": ' || '0.' || repeat('0', 290 - length(k)) || rtrim(k, '0') ||
+       ',"huge": -' || k || repeat('0', 300) || ',"mid": ' || k || '.5}' AS row_text FROM c
+""")
+def rows_to_text_numbers(spark, sf_dir):
+    key = (F.col("c_custkey") + 1).cast("string")
+    return render.rows_to_text(table(spark, sf_dir, "customer").select(
+        F.concat(key, F.lit("e-290")).cast("double").alias("tiny"), F.concat(F.lit("-"), key, F.lit("e300")).cast("double").alias("huge"),
+        F.concat(key, F.lit(".5")).cast("double").alias("mid")))
+
+
 @query("string_agg_newline", """
 SELECT l_orderkey, list_reduce(list(x ORDER BY l_linenumber, l_partkey, x), lambda a, v:
          CASE WHEN length(a) > 0 THEN a || chr(10) || v ELSE v END, '') AS lines
@@ -256,3 +394,34 @@ def string_agg_newline(spark, sf_dir):
         "l_orderkey", "l_linenumber", "l_partkey",
         F.when(F.col("l_returnflag") == "N", "").otherwise(F.concat("l_returnflag", "l_suppkey")).alias("x"))
     return grouped_string_agg(lines, ["l_orderkey"], "x", ["l_linenumber", "l_partkey"], "lines")
+
+
+@query("string_agg_large_groups", """
+SELECT l_returnflag, count(*) AS n, length(string_agg(x, chr(10) ORDER BY l_orderkey, l_linenumber, l_partkey, x)) AS n_chars,
+       md5(string_agg(x, chr(10) ORDER BY l_orderkey, l_linenumber, l_partkey, x)) AS joined
+FROM (SELECT *, concat(l_returnflag, l_suppkey) AS x FROM lineitem) GROUP BY l_returnflag
+""")
+def string_agg_large_groups(spark, sf_dir):
+    """Three groups that hold the whole table."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", F.concat("l_returnflag", "l_suppkey").alias("x"))
+    joined = grouped_string_agg(lines, ["l_returnflag"], "x", ["l_orderkey", "l_linenumber", "l_partkey"], "text")
+    sizes = lines.groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    return joined.join(sizes, "l_returnflag").select(
+        "l_returnflag", "n", F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("joined"))
+
+
+@query("sql_newline_agg", """
+SELECT l_orderkey, list_reduce(list(x ORDER BY l_linenumber, l_partkey, x), lambda a, v:
+         CASE WHEN length(a) > 0 THEN a || chr(10) || v ELSE v END, '') AS lines
+FROM (SELECT l_orderkey, l_linenumber, l_partkey,
+             CASE WHEN l_returnflag = 'N' THEN '' ELSE concat(l_returnflag, l_suppkey) END AS x FROM lineitem)
+GROUP BY l_orderkey
+""")
+def sql_newline_agg(spark, sf_dir):
+    """The one-argument aggregate in SQL; sorted rows of a key reach it in order."""
+    return inputs.run_query(spark, [f"{sf_dir}/lineitem.parquet"], """
+        SELECT l_orderkey, newline_agg(x) AS lines FROM (
+          SELECT l_orderkey, CASE WHEN l_returnflag = 'N' THEN '' ELSE concat(l_returnflag, l_suppkey) END AS x
+          FROM t0 DISTRIBUTE BY l_orderkey SORT BY l_orderkey, l_linenumber, l_partkey, x)
+        GROUP BY l_orderkey""")

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 from lakekit.operators import tables, wire
 from lakekit.operators.wire import WireField
 from lakekit.plans.registry import query, table
-from lakekit.session import scratch_path
+from lakekit.session import cut_lineage, scratch_path
 from lakekit.sources import catalog, inputs
 
 
@@ -15,9 +15,8 @@ def _name(spark):
 
 
 def _stored(spark, name):
-    """The stored rows as a DataFrame that outlives the table's name."""
-    out = spark.table(name)
-    out.schema
+    """The stored rows, kept in scratch; the table goes with its data."""
+    out = cut_lineage(spark.table(name))
     tables.drop_table(spark, name)
     return out
 
@@ -62,6 +61,47 @@ def query_to_table_empty(spark, sf_dir):
             .withColumn("second_refused", F.lit(refused)))
 
 
+@query("query_to_table_by_name", """
+SELECT c_custkey, c_name, c_acctbal, CAST(1 + (c_nationkey < 10)::INT AS BIGINT) AS copies FROM customer
+""")
+def query_to_table_by_name(spark, sf_dir):
+    """An append whose columns stand in another order lands by name."""
+    name, rows = _name(spark), table(spark, sf_dir, "customer")
+    tables.query_to_table(rows.select("c_custkey", "c_name", "c_acctbal"), name)
+    tables.query_to_table(rows.where("c_nationkey < 10").select("c_acctbal", "c_custkey", "c_name"), name, "append")
+    return _stored(spark, name).groupBy("c_custkey", "c_name", "c_acctbal").agg(F.count("*").alias("copies"))
+
+
+@query("query_to_table_new_schema", """
+SELECT CAST(c_custkey AS VARCHAR) AS label, c_acctbal > 0 AS positive, 'label,positive' AS columns_now FROM customer
+""")
+def query_to_table_new_schema(spark, sf_dir):
+    """A truncating write replaces the columns along with the rows."""
+    name, rows = _name(spark), table(spark, sf_dir, "customer")
+    tables.query_to_table(rows.select("c_custkey", "c_name"), name)
+    tables.query_to_table(rows.select(F.col("c_custkey").cast("string").alias("label"), (F.col("c_acctbal") > 0).alias("positive")),
+                          name, "truncate")
+    out = _stored(spark, name)
+    return out.withColumn("columns_now", F.lit(",".join(out.columns)))
+
+
+@query("drop_table_removes_data", """
+SELECT count(*) AS n_rows, count(*) > 0 AS files_before, false AS files_after FROM customer
+""")
+def drop_table_removes_data(spark, sf_dir):
+    """The files under a managed table's location before and after the drop."""
+    name = _name(spark)
+    tables.query_to_table(table(spark, sf_dir, "customer"), name)
+    n_rows = spark.table(name).count()
+    where = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+    path = spark._jvm.org.apache.hadoop.fs.Path(where)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    before = files.exists(path)
+    tables.drop_table(spark, name)
+    return spark.createDataFrame([(n_rows, bool(before), bool(files.exists(path)))],
+                                 "n_rows BIGINT, files_before BOOLEAN, files_after BOOLEAN")
+
+
 PART_SCHEMA = T.StructType([
     T.StructField("p_partkey", T.LongType(), True, {"comment": "part number"}),
     T.StructField("p_name", T.StringType(), True, {"comment": "display name"}),

@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 
+import pandas as pd
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings the operators rely on. Partition counts and memory are left
 # to the cluster; AQE coalesces and splits shuffle partitions from there.
@@ -30,16 +32,34 @@ SESSION_FUNCTIONS = (
                 WHEN base = -1 AND abs(expo) = double('inf') THEN 1D
                 ELSE power(base, expo) END
     """,
+    # what is joined starts at the first text that is not empty, so one pass over the array is enough
     """
     CREATE OR REPLACE TEMPORARY FUNCTION newline_join(parts ARRAY<STRING>) RETURNS STRING
-    RETURN aggregate(parts, '', (acc, x) ->
-             CASE WHEN x IS NULL THEN acc
-                  WHEN length(acc) > 0 THEN concat(acc, '\\n', x)
-                  ELSE x END)
+    RETURN CASE WHEN parts IS NOT NULL THEN
+             CASE WHEN exists(parts, x -> coalesce(length(x) > 0, false))
+                  THEN array_join(slice(array_compact(parts), cast(array_position(
+                         transform(array_compact(parts), x -> length(x) > 0), true) AS INT), size(parts)), '\\n')
+                  ELSE '' END END
+    """,
+    """
+    CREATE OR REPLACE TEMPORARY FUNCTION int_div(a BIGINT, b BIGINT) RETURNS BIGINT
+    RETURN a div b
+    """,
+    """
+    CREATE OR REPLACE TEMPORARY FUNCTION date_bin(width INTERVAL DAY TO SECOND, ts TIMESTAMP) RETURNS TIMESTAMP
+    RETURN timestamp_micros(unix_micros(ts) - pmod(unix_micros(ts),
+             cast(extract(DAY FROM width) AS BIGINT) * 86400000000 + extract(HOUR FROM width) * 3600000000
+             + extract(MINUTE FROM width) * 60000000 + cast(extract(SECOND FROM width) * 1000000 AS BIGINT)))
     """,
 )
 
 
+def _newline_texts(parts: pd.Series) -> str:
+    present = [p for p in parts if p is not None]
+    first = next((i for i, p in enumerate(present) if p), len(present))
+    return "\n".join(present[first:])
+
+
 SHUFFLE_TARGET = 512 << 20  # bytes one shuffle partition should hold
 
 
@@ -69,6 +89,8 @@ def configure(spark: SparkSession) -> SparkSession:
         spark.conf.set(key, value)
     for ddl in SESSION_FUNCTIONS:
         spark.sql(ddl)
+    # one-argument aggregate for SQL: texts in the order they come, which a subquery's sort settles
+    spark.udf.register("newline_agg", F.pandas_udf(_newline_texts, "string"))
     spark.conf.set("lakekit.configured", "yes")
     return spark
 
@@ -94,12 +116,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; nothing is created yet."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []  # paths handed out in this process
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what this process wrote under the shared folder; results read from there must be stored first."""
+    deleted = 0
+    while _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        deleted += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return deleted
 
 
 def cut_lineage(df):
-    """Reliable checkpoint: the rows are written to the shared folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """The rows written to the shared folder and read back, so that later reads prune and a lost executor costs nothing."""
+    path = scratch_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -27,12 +27,16 @@ def format_of(path: str, formats: dict[str, str]) -> str:
 def read_input(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """One input by extension. Paths and URLs go to the Hadoop connector; a glob is one table.
 
-    A schema given here saves the extra pass that CSV and JSON inference needs.
+    A schema given here saves the extra pass that CSV and JSON inference needs. Quoted CSV
+    values may span lines, so a CSV file is one task: large tables should be many files, as sinks write them.
     """
     reader = spark.read
     kind = format_of(path, READ_FORMATS)
     if kind == "csv":
-        reader = reader.option("header", True).option("escape", '"').option("inferSchema", schema is None)
+        # only an unquoted nothing is null: the parser then reports this text, which no value has
+        reader = (reader.option("header", True).option("escape", '"').option("inferSchema", schema is None)
+                  .option("multiLine", True).option("lineSep", "\n").option("nullValue", "\x00null\x00").option("emptyValue", "")
+                  .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if schema is not None and kind != "parquet":
         reader = reader.schema(schema)
     return reader.format(kind).load(path)
