@@ -1,5 +1,7 @@
 """Lookup tables, names and patterns whose text decides results."""
 
+import mimetypes
+
 # Export formats per source mime type (target, mime type, file extension).
 DOCUMENT_MIME = "application/vnd.google-apps.document"
 SPREADSHEET_MIME = "application/vnd.google-apps.spreadsheet"
@@ -27,8 +29,10 @@ EXPORT_FORMATS = (
     (PRESENTATION_MIME, "PlainText", "text/plain", "txt"),
 )
 
-# Mime types by file extension; anything else takes the caller's default.
+# Mime types by file extension: the standard library's own table, whatever the machine's files say, and after it
+# fixed values for newer or differing names; anything else takes the caller's default.
 MIME_BY_EXTENSION = {
+    **{ending[1:]: kind for strict in (False, True) for ending, kind in mimetypes.MimeTypes().types_map[strict].items()},
     "txt": "text/plain", "md": "text/markdown", "html": "text/html", "htm": "text/html",
     "css": "text/css", "csv": "text/csv", "tsv": "text/tab-separated-values",
     "js": "text/javascript", "json": "application/json", "xml": "text/xml",
@@ -43,7 +47,12 @@ MIME_BY_EXTENSION = {
     "png": "image/png", "jpg": "image/jpeg", "jpeg": "image/jpeg", "gif": "image/gif",
     "svg": "image/svg+xml", "webp": "image/webp", "bmp": "image/bmp",
     "mp3": "audio/mpeg", "wav": "audio/wav", "mp4": "video/mp4", "mpeg": "video/mpeg",
-    "mov": "video/quicktime", "avi": "video/x-msvideo",
+    "mov": "video/quicktime", "avi": "video/x-msvideo", "webm": "video/webm", "ogg": "audio/ogg", "oga": "audio/ogg",
+    "ogv": "video/ogg", "flac": "audio/flac", "m4a": "audio/mp4", "aac": "audio/aac", "ico": "image/x-icon",
+    "tif": "image/tiff", "tiff": "image/tiff", "heic": "image/heic", "avif": "image/avif", "yaml": "text/yaml", "yml": "text/yaml",
+    "doc": "application/msword", "xls": "application/vnd.ms-excel", "ppt": "application/vnd.ms-powerpoint",
+    "tar": "application/x-tar", "bz2": "application/x-bzip2", "7z": "application/x-7z-compressed", "wasm": "application/wasm",
+    "parquet": "application/vnd.apache.parquet", "woff": "font/woff", "woff2": "font/woff2", "ttf": "font/ttf", "otf": "font/otf",
 }
 OCTET_STREAM = "application/octet-stream"
 TEXT_PLAIN = "text/plain"

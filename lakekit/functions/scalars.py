@@ -58,7 +58,8 @@ def mime_normalize(content_type: Column) -> Column:
 def mime_guess(path: Column, default: str = fixed.OCTET_STREAM) -> Column:
     """Mime type from the extension of the last path segment."""
     extension = F.lower(F.regexp_extract(path, r"[^/]\.([A-Za-z0-9]+)$", 1))
-    return lookup(extension, fixed.MIME_BY_EXTENSION, default)
+    table = F.create_map(*[F.lit(x) for pair in fixed.MIME_BY_EXTENSION.items() for x in pair])  # folded to one literal
+    return F.coalesce(F.try_element_at(table, extension), F.lit(default))
 
 
 def prefix_normalize(prefix: Column) -> Column:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from lakekit.operators.components import connected_components
 from lakekit.operators.features import distinct_features, label_join_back, with_rank
-from lakekit.operators.neighbours import (MAX_DEPTH, STEP, Grid, cell_pairs, cell_table, index_points,
-                                          largest_cell, neighbour_counts)
+from lakekit.operators.neighbours import (STEP, Grid, cell_pairs, cell_table, index_points, largest_cell,
+                                          neighbour_counts, too_deep)
 from lakekit.session import cut_lineage
 
 PAIR_WORK = 65_536  # two blocks are compared point by point up to this many pairs
@@ -43,13 +43,13 @@ def _linked_cells(core: DataFrame, pairs: DataFrame, grid: Grid, fullest: int) -
             F.col("_near") <= grid.limit))
         sure = judged.where(F.col("_far") <= grid.limit).select("cell_a", "cell_b").distinct()
         rest = judged.where(F.col("_far") > grid.limit).join(sure, ["cell_a", "cell_b"], "left_anti")
-        small = rest.where(F.col("a_n") * F.col("b_n") <= PAIR_WORK) if depth < MAX_DEPTH else rest
+        small = rest.where(F.col("a_n") * F.col("b_n") <= PAIR_WORK)
         left = core.select(grid.block(depth).alias("block_a"), *[F.col(c).alias(f"_p{c}") for c in grid.columns])
         right = core.select(grid.block(depth).alias("block_b"), *[F.col(c).alias(f"_q{c}") for c in grid.columns])
         touching = (small.select("cell_a", "cell_b", "block_a", "block_b").join(left, "block_a").join(right, "block_b")
                     .where(grid.distance("_p", "_q") <= grid.limit).select("cell_a", "cell_b").distinct())
         here = sure.union(touching)
-        if fullest * fullest <= PAIR_WORK or depth >= MAX_DEPTH:
+        if fullest * fullest <= PAIR_WORK:
             linked = here if linked is None else linked.union(here)
             break
         here = cut_lineage(here)
@@ -69,6 +69,7 @@ def _linked_cells(core: DataFrame, pairs: DataFrame, grid: Grid, fullest: int) -
         undecided = (crowded.join(halves("a"), "block_a").join(halves("b"), "block_b").drop("block_a", "block_b")
                      .withColumnsRenamed({"child_a": "block_a", "child_b": "block_b"}))
         depth += STEP
+        too_deep(depth)
     return linked.distinct()
 
 

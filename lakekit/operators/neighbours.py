@@ -21,8 +21,8 @@ from lakekit.session import cut_lineage
 
 LEAF = 256        # blocks up to this many points are compared point by point
 STEP = 2          # a crowded block is cut into (2**STEP)**d blocks
-MAX_DEPTH = 40    # beyond this depth blocks are compared whatever their size
-HASH_DIMS = 3     # dimensions used to find neighbouring cells
+MAX_DEPTH = 40    # a block this deep holds points closer than the radius' last bits; beyond it is an error
+HASH_DIMS = 3     # dimensions used to find neighbouring cells: those that tell the most cells apart
 
 
 class Grid:
@@ -101,19 +101,37 @@ def cell_table(points: DataFrame, grid: Grid) -> DataFrame:
     return points.groupBy("cell").agg(*grid.bounds()).withColumn("n", checked)
 
 
+def _coarse(grid: Grid, i: int) -> Column:
+    return F.floor(F.col(f"lo{i}") / F.lit(grid.side * grid.reach)).cast("long")
+
+
+def hash_dims(cells: DataFrame, grid: Grid) -> list[int]:
+    """The HASH_DIMS dimensions with the most coarse buckets, so constant ones are left out."""
+    if grid.d <= HASH_DIMS:
+        return list(range(grid.d))
+    spread = cells.agg(*[F.approx_count_distinct(_coarse(grid, i)).alias(f"d{i}") for i in range(grid.d)]).first()
+    return sorted(sorted(range(grid.d), key=lambda i: (-spread[f"d{i}"], i))[:HASH_DIMS])
+
+
+def too_deep(depth: int) -> None:
+    """Blocks halve STEP times a round; distinct doubles part long before MAX_DEPTH rounds of that."""
+    if depth > MAX_DEPTH:
+        raise RuntimeError("points crowd closer than the radius can resolve in double precision")
+
+
 def cell_pairs(cells: DataFrame, grid: Grid) -> DataFrame:
     """(a, b, b_n, bounds of both) for cells whose boxes come within the radius, own cell included.
 
-    Cells meet through coarse buckets over the first dimensions: an equi-join
-    on the bucket, never a product of all cells.
+    Cells meet through coarse buckets over the dimensions that part them best: an
+    equi-join on the bucket, never a product of all cells.
     """
-    dims = range(min(grid.d, HASH_DIMS))
-    index = [F.floor(F.col(f"lo{i}") / F.lit(grid.side * grid.reach)).cast("long") for i in dims]
+    dims = hash_dims(cells, grid)
+    index = [_coarse(grid, i) for i in dims]
 
     def named(prefix: str, buckets: list[Column]) -> DataFrame:
         return cells.select(F.col("cell").alias(prefix), F.col("n").alias(f"{prefix}_n"),
                             *[F.col(c).alias(f"{prefix}_{c}") for c in grid.bound_names],
-                            *[b.alias(f"_g{i}") for i, b in enumerate(buckets)])
+                            *[b.alias(f"_g{i}") for i, b in zip(dims, buckets)])
 
     left = named("a", index)
     for i in dims:
@@ -145,12 +163,13 @@ def neighbour_counts(points: DataFrame, queries: DataFrame, pairs: DataFrame, gr
         near, far = grid.point_box()
         open_ = (near <= grid.limit) & (far > grid.limit)
         found.append(ask.where(far <= grid.limit).select("id", "n"))
-        leaves = ask.where(open_ & ((F.col("n") <= LEAF) if depth < MAX_DEPTH else F.lit(True)))
+        leaves = ask.where(open_ & (F.col("n") <= LEAF))
         members = points.select(grid.block(depth).alias("block"), *[F.col(c).alias(f"_q{c}") for c in grid.columns])
         hits = (leaves.select("id", "block", *[F.col(c).alias(f"_p{c}") for c in grid.columns])
                 .join(members, "block").where(grid.distance("_p", "_q") <= grid.limit))
         found.append(hits.groupBy("id").agg(F.count("*").alias("n")))
-        if not crowded or depth >= MAX_DEPTH:
+        if not crowded:
+            # no block is open, as none holds more than LEAF points
             break
         opened = cut_lineage(ask.where(open_ & (F.col("n") > LEAF)).select("id", *grid.columns, "block"))
         if opened.isEmpty():
@@ -159,6 +178,7 @@ def neighbour_counts(points: DataFrame, queries: DataFrame, pairs: DataFrame, gr
             *grid.bounds())
         ask = opened.join(children, "block").drop("block").withColumnRenamed("child", "block")
         depth += STEP
+        too_deep(depth)
     total = reduce(DataFrame.unionByName, found)
     return total.groupBy("id").agg(F.sum("n").alias("n_neighbours"))
 
@@ -168,5 +188,7 @@ def eps_neighbours(points: DataFrame, columns: list[str], eps: float) -> DataFra
     grid = Grid(columns, eps)
     indexed = index_points(points, grid)
     cells = cut_lineage(cell_table(indexed, grid))
-    counts = neighbour_counts(indexed, indexed, cell_pairs(cells, grid), grid, largest_cell(cells)[0])
+    # written out: renaming many filtered columns would make the optimizer derive every combination of names
+    pairs = cut_lineage(cell_pairs(cells, grid))
+    counts = neighbour_counts(indexed, indexed, pairs, grid, largest_cell(cells)[0])
     return indexed.join(counts, "id").select(*columns, "n_neighbours")

@@ -2,8 +2,9 @@
 
 A line is `{"f": [{"v": cell}, ...]}`. A cell is a JSON string, number, boolean,
 null, an array of cells (repeated) or an object `{"f": [...]}` (record). The
-decoder is one expression tree generated from the declared schema over VARIANT
-values, so the kind of each JSON token is known and no Python runs per row.
+decoder is one expression tree generated from the declared schema; no Python runs
+per row. Lines of the usual shape are read as typed texts, the others as VARIANT
+values, where the kind of each JSON token is known.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakekit.functions import fixed_values as fixed
+from lakekit.functions.render import plain_number
 from lakekit.functions.scalars import lookup
 
 
@@ -103,69 +105,84 @@ def map_declared_columns(columns: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- decoding
 
 # Texts accepted for each type; anything else takes the lenient default.
-_INTEGER = r"^[+-]?[0-9]+$"
-_FLOAT = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))$"
-_DATE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
-_DATETIME = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(\.[0-9]+)?$"
-_TIME = r"^[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(\.[0-9]+)?$"
+_INTEGER = r"\A[+-]?[0-9]+\z"
+_FLOAT = r"\A[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))\z"
+_DATE = r"\A[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"
+_DATETIME = r"\A[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(\.[0-9]+)?\z"
+_TIME = r"\A[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(\.[0-9]+)?\z"
 _MAX_SECONDS = 253_402_300_799  # end of year 9999
+_TIMED = ("DATE", "DATETIME", "TIME", "TIMESTAMP")
 
 
 def _null(kind: T.DataType) -> Column:
     return F.lit(None).cast(kind)
 
 
-def _kind(cell: Column) -> Column:
-    return F.schema_of_variant(cell)
-
-
-def _text(cell: Column) -> Column:
-    return F.try_variant_get(cell, "$", "string")
-
-
 def _seconds(number: Column) -> Column:
     """Timestamp of whole seconds, null when outside the calendar."""
     return F.when(F.abs(number) <= _MAX_SECONDS, F.timestamp_seconds(number))
 
 
-def _scalar(cell: Column, kind: Column, text: Column, declared: str, json_text: bool) -> Column:
-    """Decode one scalar cell: a JSON string, number or boolean under a declared type."""
-    spark_type = SPARK_TYPES[declared]
-    is_string, is_bool = kind == "STRING", kind == "BOOLEAN"
-    whole = F.when(kind == "BIGINT", F.try_variant_get(cell, "$", "bigint"))
-    is_number = kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-
-    # the wire almost always carries strings, so every type tests for them first
+def _from_string(text: Column, declared: str, json_text: bool) -> Column:
+    """A JSON string under a declared type; null for a null text."""
     if declared == "STRING":
-        return F.when(is_string, text).when(is_number, text)
+        return text
     if declared == "INTEGER":
         parsed = F.when(text.rlike(_INTEGER), text.try_cast("bigint"))
-        return (F.when(is_string, F.coalesce(parsed, F.lit(0)))
-                .when(is_number, F.coalesce(whole, F.lit(0))).cast("bigint"))
+        return F.when(text.isNotNull(), F.coalesce(parsed, F.lit(0).cast("bigint")))
     if declared == "FLOAT":
         parsed = F.when(text.rlike(_FLOAT), text.try_cast("double"))
-        return (F.when(is_string, F.coalesce(parsed, F.lit(0.0)))
-                .when(is_number, F.try_variant_get(cell, "$", "double")))
+        return F.when(text.isNotNull(), F.coalesce(parsed, F.lit(0.0)))
     if declared == "BOOLEAN":
-        return F.when(is_string, text == "true").when(is_bool, F.try_variant_get(cell, "$", "boolean"))
+        return text == "true"
     if declared == "TIMESTAMP":
         parsed = F.when(text.rlike(_FLOAT), text.try_cast("double"))
         parsed = F.coalesce(F.when(F.isnan(parsed), F.lit(0.0)).otherwise(parsed), F.lit(0.0))
         inside = F.when(F.abs(parsed) <= _MAX_SECONDS, parsed).cast("bigint")  # cast drops the fraction
-        return F.when(is_string, _seconds(inside)).when(is_number, _seconds(F.coalesce(whole, F.lit(0))))
+        return F.when(text.isNotNull(), _seconds(inside))
     if declared == "DATETIME":
-        parsed = F.when(text.rlike(_DATETIME), text.try_cast("timestamp_ntz"))
-        return F.when(is_string, parsed).when(
-            is_number, _seconds(F.coalesce(whole, F.lit(0))).cast("timestamp_ntz"))
+        return F.when(text.rlike(_DATETIME), text.try_cast("timestamp_ntz"))
     if declared == "DATE":
-        parsed = F.when(text.rlike(_DATE), text.try_cast("date"))
-        return F.when(is_string, parsed).when(is_number, _seconds(F.coalesce(whole, F.lit(0))).cast("date"))
+        return F.when(text.rlike(_DATE), text.try_cast("date"))
     if declared == "TIME":
         stamp = F.when(text.rlike(_TIME), F.concat(F.lit("1970-01-01 "), text).try_cast("timestamp_ntz"))
-        return F.when(is_string, F.date_format(stamp, "HH:mm:ss"))
+        return F.date_format(stamp, "HH:mm:ss")
     if declared == "JSON" and json_text:
-        return F.when(~kind.isin("VOID"), text)
-    return _null(spark_type)
+        return text
+    return _null(SPARK_TYPES[declared])
+
+
+# ---- usual lines: strings and nulls only, every cell in its `{"v": ...}` box
+#
+# A line's skeleton is its text with every JSON string replaced by `s` and blanks removed. A line whose
+# skeleton has the declared shape is read as texts, level by level, and cast; any
+# other line, and any token that is not a string or null, goes through VARIANT.
+
+_STRING = r'"(?:[^"\\]|\\.)*+"'
+_BOXES = "array<struct<v:string>>"
+_RECORD = f"struct<f:{_BOXES}>"
+
+
+def _shape(fields: tuple[WireField, ...] | list[WireField]) -> str:
+    """Pattern of the skeleton of a record: its cells in order, later ones may be absent."""
+    tail = ""
+    for k, field in reversed(list(enumerate(fields))):
+        tail = f"(?:{',' if k else ''}{_box(field)}{tail})?+"
+    return rf"\{{s:\[{tail}\]\}}"
+
+
+def _box(field: WireField) -> str:
+    inner = _shape(field.fields) if field.type == "RECORD" else "s"
+    if field.mode == "REPEATED":
+        item = rf"\{{s:(?:null|{inner})\}}"
+        inner = rf"\[(?:{item}(?:,{item})*+)?+\]"
+    return rf"\{{s:(?:null|{inner})\}}"
+
+
+def _nested_schema(field: WireField) -> str:
+    if field.mode == "REPEATED":
+        return f"array<struct<v:{_RECORD}>>" if field.type == "RECORD" else _BOXES
+    return _RECORD
 
 
 def _bind(value: Column, body) -> Column:
@@ -173,104 +190,177 @@ def _bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _unwrapped(cell: Column) -> Column:
-    """The inner cell of `{"v": cell}`; a record or anything else as it is."""
-    return F.when(F.try_variant_get(cell, "$.f", "variant").isNotNull(), cell).otherwise(
-        F.coalesce(F.try_variant_get(cell, "$.v", "variant"), cell))
-
+def _usual_cell(text: Column, field: WireField, json_text: bool) -> Column:
+    """The value of a cell given its text: a string's own, or the JSON of what is nested."""
+    if field.type != "RECORD" and field.mode != "REPEATED":
+        return _from_string(text, field.type, json_text)
+    return _bind(F.from_json(text, _nested_schema(field)), lambda read: _usual_nested(read, field, json_text))
 
-BOXED_CELLS = "array<struct<v: variant>>"
-BOXED_RECORDS = "array<struct<v: struct<f: array<struct<v: variant>>>>>"
 
+def _usual_nested(read: Column, field: WireField, json_text: bool) -> Column:
+    if field.mode == "REPEATED":
+        single = dataclasses.replace(field, mode="NULLABLE")
+        if field.type == "RECORD":
+            return F.transform(read, lambda x: _usual_nested(x["v"], single, json_text))
+        return F.transform(read, lambda x: _from_string(x["v"], field.type, json_text))
+    return F.when(read["f"].isNotNull(), F.struct(*[
+        _usual_cell(F.get(read["f"], F.lit(k))["v"], f, json_text).alias(f.name) for k, f in enumerate(field.fields)]))
 
-def _members(cells: Column, field: WireField, json_text: bool) -> Column:
-    """A record from its boxed cells, by position; null without cells."""
-    return F.when(cells.isNotNull(), F.struct(*[
-        _cell(F.get(cells, F.lit(i))["v"], f, json_text).alias(f.name) for i, f in enumerate(field.fields)]))
 
+def _usual_bad(text: Column, field: WireField) -> Column | None:
+    """Whether a time in the cell is unreadable; None where no time is declared."""
+    if field.type != "RECORD" and field.mode != "REPEATED":
+        return text.isNotNull() & _from_string(text, field.type, False).isNull() if field.type in _TIMED else None
+    if not _has_time(field):
+        return None
+    return _bind(F.from_json(text, _nested_schema(field)), lambda read: _usual_nested_bad(read, field))
 
-def _cell(cell: Column, field: WireField, json_text: bool) -> Column:
-    """Decode a cell that may be repeated or a record.
 
-    The usual shape, where every nested cell sits in a `{"v": ...}` box, is
-    unpacked by one typed read per level; any other shape is walked cell by cell.
-    """
+def _usual_nested_bad(read: Column, field: WireField) -> Column:
     if field.mode == "REPEATED":
         single = dataclasses.replace(field, mode="NULLABLE")
         if field.type == "RECORD":
-            boxed = _bind(F.try_variant_get(cell, "$", BOXED_RECORDS), lambda xs: F.when(
-                F.forall(xs, lambda x: x.isNotNull() & F.coalesce(_all_boxed(x["v"]["f"]), F.lit(True))),
-                F.transform(xs, lambda x: _members(x["v"]["f"], single, json_text))))
-        else:
-            boxed = _bind(F.try_variant_get(cell, "$", BOXED_CELLS), lambda xs: F.when(
-                _all_boxed(xs), F.transform(xs, lambda x: _cell(x["v"], single, json_text))))
-        return F.coalesce(boxed, _walk(cell, field, json_text))
-    if field.type == "RECORD":
-        boxed = _bind(F.try_variant_get(cell, "$.f", BOXED_CELLS), lambda cells: F.when(
-            _all_boxed(cells), _members(cells, field, json_text)))
-        return F.coalesce(boxed, _walk(cell, field, json_text))
-    return _scalar(cell, _kind(cell), _text(cell), field.type, json_text)
+            return F.coalesce(F.exists(read, lambda x: _usual_nested_bad(x["v"], single)), F.lit(False))
+        return F.coalesce(F.exists(read, lambda x: _usual_bad(x["v"], single)), F.lit(False))
+    found = [_usual_bad(F.get(read["f"], F.lit(k))["v"], f) for k, f in enumerate(field.fields) if _has_time(f)]
+    return _any(found)
+
+
+def _has_time(field: WireField) -> bool:
+    return field.type in _TIMED or any(map(_has_time, field.fields))
+
+
+def _any(flags: list[Column]) -> Column:
+    out = F.lit(False)
+    for flag in flags:
+        out = out | F.coalesce(flag, F.lit(False))
+    return out
+
 
+# ---- any other line, token kind by token kind
 
-def _all_boxed(cells: Column) -> Column:
-    """Whether every item was a `{"v": ...}` box; a bare item reads as null."""
-    return F.forall(cells, lambda x: x.isNotNull())
+def _number_text(number: Column) -> Column:
+    """A JSON number's text: at least one decimal for a fraction type, an exponent far from 1."""
+    java = number.cast("string")
+    near = (F.abs(number) >= 1e-5) & (F.abs(number) < 1e16)
+    plain = plain_number(java)
+    short = F.concat(F.regexp_replace(F.regexp_extract(java, "^(-?[0-9.]+)E", 1), r"\.0$", ""), F.lit("e"), F.regexp_extract(java, "E(-?[0-9]+)$", 1))
+    return F.when(~java.contains("E"), java).when(near, F.when(plain.contains("."), plain).otherwise(F.concat(plain, F.lit(".0")))).otherwise(short)
+
+
+def _scalar(cell: Column, declared: str, json_text: bool) -> Column:
+    """Decode one scalar cell: a JSON string, number or boolean under a declared type."""
+    kind, text = F.schema_of_variant(cell), F.try_variant_get(cell, "$", "string")
+    is_string, is_number = kind == "STRING", kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+    whole = F.when(kind == "BIGINT", F.try_variant_get(cell, "$", "bigint"))
+    double = F.try_variant_get(cell, "$", "double")
+    seconds = _seconds(F.coalesce(whole, F.lit(0)))
+    value = F.when(is_string, _from_string(text, declared, json_text))
+    if declared == "STRING":
+        exact = (kind == "BIGINT") | (kind.startswith("DECIMAL") & (F.abs(double) > 9.2e18))
+        return value.when(is_number, F.when(exact, text).otherwise(_number_text(double)))
+    if declared == "INTEGER":
+        return value.when(is_number, F.coalesce(whole, F.lit(0)))
+    if declared == "FLOAT":
+        return value.when(is_number, double)
+    if declared == "BOOLEAN":
+        return value.when(kind == "BOOLEAN", F.try_variant_get(cell, "$", "boolean"))
+    if declared == "TIMESTAMP":
+        return value.when(is_number, seconds)
+    if declared == "DATETIME":
+        return value.when(is_number, seconds.cast("timestamp_ntz"))
+    if declared == "DATE":
+        return value.when(is_number, seconds.cast("date"))
+    if declared == "JSON" and json_text:
+        return F.when(kind != "VOID", text)
+    return value
+
+
+def _scalar_bad(cell: Column, declared: str) -> Column:
+    """A time that cannot be read, or a list where one value is declared."""
+    kind = F.schema_of_variant(cell)
+    lists = kind.startswith("ARRAY") if declared != "JSON" else F.lit(False)
+    if declared not in _TIMED:
+        return lists
+    read = kind == "STRING" if declared == "TIME" else kind.rlike("^(STRING|BIGINT|DECIMAL|DOUBLE|FLOAT)")
+    return lists | (read & _scalar(cell, declared, False).isNull())
+
+
+def _unwrapped(cell: Column) -> Column:
+    """The inner cell of `{"v": cell}`; a record or anything else as it is."""
+    return F.when(F.try_variant_get(cell, "$.f", "variant").isNotNull(), cell).otherwise(
+        F.coalesce(F.try_variant_get(cell, "$.v", "variant"), cell))
+
+
+def _items(cell: Column) -> Column:
+    return F.try_variant_get(cell, "$", "array<variant>")
+
+
+def _cells(cell: Column) -> Column:
+    return F.try_variant_get(cell, "$.f", "array<variant>")
 
 
 def _walk(cell: Column, field: WireField, json_text: bool) -> Column:
     """Decode a cell of any shape: bare or boxed items, a lone value for a repeated column."""
     if field.mode == "REPEATED":
-        single = dataclasses.replace(field, mode="NULLABLE")
-
-        def one(x: Column) -> Column:
-            return _walk(x, single, json_text)
-
-        items = F.try_variant_get(cell, "$", "array<variant>")
-        return _bind(items, lambda xs: F.when(xs.isNotNull(), F.transform(xs, lambda x: _bind(_unwrapped(x), one)))
+        one = partial(_walk_as, dataclasses.replace(field, mode="NULLABLE"), json_text)
+        return _bind(_items(cell), lambda xs: F.when(xs.isNotNull(), F.transform(xs, lambda x: _bind(_unwrapped(x), one)))
                      .when(cell.isNotNull() & ~F.is_variant_null(cell), F.array(one(cell))))
     if field.type == "RECORD":
-        def members(cells: Column) -> Column:
-            values = [_bind(_unwrapped(F.get(cells, F.lit(i))), partial(_walk_as, f, json_text)).alias(f.name)
-                      for i, f in enumerate(field.fields)]
-            return F.when(cells.isNotNull(), F.struct(*values))
-
-        return _bind(F.try_variant_get(cell, "$.f", "array<variant>"), members)
-    return _scalar(cell, _kind(cell), _text(cell), field.type, json_text)
+        return _bind(_cells(cell), lambda xs: F.when(xs.isNotNull(), F.struct(*[
+            _bind(_unwrapped(F.get(xs, F.lit(k))), partial(_walk_as, f, json_text)).alias(f.name)
+            for k, f in enumerate(field.fields)])))
+    return _scalar(cell, field.type, json_text)
 
 
 def _walk_as(field: WireField, json_text: bool, cell: Column) -> Column:
     return _walk(cell, field, json_text)
 
 
+def _walk_bad(field: WireField, cell: Column) -> Column:
+    """Whether anything in the cell cannot be read."""
+    if field.mode == "REPEATED":
+        one = partial(_walk_bad, dataclasses.replace(field, mode="NULLABLE"))
+        return _bind(_items(cell), lambda xs: F.when(xs.isNotNull(), F.exists(
+            xs, lambda x: F.coalesce(_bind(_unwrapped(x), one), F.lit(False)))).otherwise(F.coalesce(one(cell), F.lit(False))))
+    if field.type == "RECORD":
+        return _bind(_cells(cell), lambda xs: F.coalesce(F.size(xs) > len(field.fields), F.lit(False)) | _any([
+            _bind(_unwrapped(F.get(xs, F.lit(k))), partial(_walk_bad, f)) for k, f in enumerate(field.fields)]))
+    return _scalar_bad(cell, field.type)
+
+
 def decode_rows(lines: DataFrame, line: str, fields: list[WireField], json_text: bool = False,
                 keep: list[str] | None = None) -> DataFrame:
     """Typed columns of wire lines plus `_decode_error`.
 
     Unparsable integers and floats become zero, unparsable timestamps the epoch.
-    Cells that cannot be read at all (a bad date, datetime or time, more cells
-    than columns) become null and raise the row's `_decode_error` flag. JSON
+    What cannot be read at all becomes null and raises the row's `_decode_error` flag: a bad
+    date, datetime or time at any depth, a time outside the calendar, more cells than columns, a list under
+    a single column, and a missing or malformed line. JSON
     columns give null unless `json_text` asks for their text.
     """
-    keep = keep or []
-    flat = [i for i, f in enumerate(fields) if f.type != "RECORD" and f.mode != "REPEATED"]
-    cells = F.from_json(F.col(line), "f ARRAY<STRUCT<v: VARIANT>>")["f"]
-    staged = lines.select(*keep, cells.alias("_cells")).select(
-        *keep, F.size("_cells").alias("_n"),
-        *[F.get("_cells", F.lit(i))["v"].alias(f"_c{i}") for i in range(len(fields))])
-    staged = staged.select("*", *[_kind(F.col(f"_c{i}")).alias(f"_k{i}") for i in flat],
-                           *[_text(F.col(f"_c{i}")).alias(f"_t{i}") for i in flat])
-    out, unreadable = [], F.coalesce(F.col("_n") > len(fields), F.lit(False))
-    for i, f in enumerate(fields):
-        if i in flat:
-            cell, kind = F.col(f"_c{i}"), F.col(f"_k{i}")
-            value = F.when(kind.startswith("OBJECT"), _walk(_unwrapped(cell), f, json_text)).otherwise(
-                _scalar(cell, kind, F.col(f"_t{i}"), f.type, json_text))
-            if f.type in ("DATE", "DATETIME", "TIME", "TIMESTAMP"):
-                unreadable = unreadable | F.coalesce((F.col(f"_k{i}") == "STRING") & value.isNull(), F.lit(False))
-        else:
-            value = _cell(F.col(f"_c{i}"), f, json_text)
-        out.append(value.alias(f.name))
-    return staged.select(*keep, *out, unreadable.alias("_decode_error"))
+    keep, text = keep or [], F.col(line)
+    skeleton = F.translate(F.regexp_replace(text, _STRING, "s"), " \t\r\n", "")
+    usual = F.coalesce(skeleton.rlike(rf"\A{_shape(fields)}\z"), F.lit(False))
+    staged = lines.select(*keep, text.alias("_line"), usual.alias("_usual"))
+    staged = staged.select(
+        *keep, "_usual", F.from_json(F.when(F.col("_usual"), F.col("_line")), _RECORD)["f"].alias("_cells"),
+        F.try_parse_json(F.when(~F.col("_usual"), F.col("_line"))).alias("_root"))
+    staged = staged.select(*keep, "_usual", "_root", _cells(F.col("_root")).alias("_odd"),
+                           *[F.get("_cells", F.lit(k))["v"].alias(f"_t{k}") for k in range(len(fields))])
+    out, bad, odd_bad = [], [], []
+    for k, f in enumerate(fields):
+        nested = f.type == "RECORD" or f.mode == "REPEATED"
+        odd = _unwrapped(_unwrapped(F.get("_odd", F.lit(k)))) if nested else _unwrapped(F.get("_odd", F.lit(k)))
+        usual_value = _usual_cell(F.col(f"_t{k}"), f, json_text)
+        out.append(F.when(F.col("_usual"), usual_value).otherwise(_bind(odd, partial(_walk_as, f, json_text))).alias(f.name))
+        flag = _usual_bad(F.col(f"_t{k}"), f)
+        if flag is not None:
+            bad.append(flag)
+        odd_bad.append(_bind(odd, partial(_walk_bad, f)))
+    unread = F.col("_root").isNull() | ~F.schema_of_variant("_root").startswith("OBJECT") | F.coalesce(F.size("_odd") > len(fields), F.lit(False))
+    flag = F.when(F.col("_usual"), _any(bad)).otherwise(unread | _any(odd_bad))
+    return staged.select(*keep, *out, flag.alias("_decode_error"))
 
 
 def encode_row(*cells: Column) -> Column:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lakekit.operators import dbscan as db
 from lakekit.operators import features, kmeans, neighbours, silhouette
 from lakekit.plans.registry import query, table
-from lakekit.session import scratch_path
+from lakekit.session import cut_lineage, scratch_path
 
 EPS, MIN_POINTS = 0.02, 6
 CENTRES = [(-0.1, -0.1), (-0.1, 0.1), (0.1, -0.1), (0.1, 0.1)]
@@ -37,10 +37,11 @@ def eps_neighbours(spark, sf_dir):
     return neighbours.eps_neighbours(points, ["a", "b"], EPS)
 
 
-@query("dbscan", f"""
-WITH RECURSIVE p AS MATERIALIZED (SELECT row_number() OVER (ORDER BY a, b) AS id, a, b FROM (SELECT DISTINCT a, b FROM {PLANE})),
- e AS MATERIALIZED (SELECT x.id AS i, y.id AS j FROM p x JOIN p y ON {CLOSE}),
- core AS MATERIALIZED (SELECT i FROM e GROUP BY i HAVING count(*) >= {MIN_POINTS}),
+# Clustering as SQL: distinct points, pairs within the radius, core points, their components, borders and noise.
+DBSCAN = """
+WITH RECURSIVE p AS MATERIALIZED (SELECT row_number() OVER (ORDER BY {cols}) AS id, {cols} FROM (SELECT DISTINCT {cols} FROM {rows})),
+ e AS MATERIALIZED (SELECT x.id AS i, y.id AS j FROM p x JOIN p y ON {close}),
+ core AS MATERIALIZED (SELECT i FROM e GROUP BY i HAVING count(*) >= {min_points}),
  ce AS MATERIALIZED (SELECT e.i, e.j FROM e JOIN core c ON c.i = e.i JOIN core d ON d.i = e.j),
  r(i, j) AS (SELECT i, j FROM ce UNION SELECT r.i, ce.j FROM r JOIN ce ON r.j = ce.i),
  comp AS (SELECT i, min(j) AS root FROM r GROUP BY i),
@@ -51,12 +52,45 @@ WITH RECURSIVE p AS MATERIALIZED (SELECT row_number() OVER (ORDER BY a, b) AS id
  noise AS (SELECT id AS i, (SELECT count(*) FROM p) + row_number() OVER (ORDER BY id) AS label
            FROM p WHERE id NOT IN (SELECT i FROM clustered)),
  labels AS (SELECT * FROM numbered UNION ALL SELECT * FROM noise)
-SELECT s.vec_id, labels.label FROM {PLANE} s JOIN p ON s.a = p.a AND s.b = p.b JOIN labels ON labels.i = p.id
-""")
+SELECT s.vec_id, {cols}, labels.label FROM {rows} s JOIN p USING ({cols}) JOIN labels ON labels.i = p.id
+"""
+
+
+def _dbscan_sql(rows, columns, eps, min_points):
+    close = " + ".join(f"(x.{c} - y.{c}) * (x.{c} - y.{c})" for c in columns) + f" <= CAST({eps} AS DOUBLE) * CAST({eps} AS DOUBLE)"
+    return DBSCAN.format(rows=rows, cols=", ".join(columns), close=close, min_points=min_points)
+
+
+@query("dbscan", f"SELECT vec_id, label FROM ({_dbscan_sql(PLANE, ['a', 'b'], EPS, MIN_POINTS)})")
 def dbscan(spark, sf_dir):
     return db.dbscan(_plane(spark, sf_dir), ["a", "b"], EPS, MIN_POINTS).select("vec_id", "label")
 
 
+# eight embedding columns
+WIDE, WIDE_EPS, WIDE_MIN = [f"c{i}" for i in range(1, 9)], 0.2, 4
+WIDE_ROWS = f"(SELECT vec_id, {', '.join(f'CAST(embedding[{i}] AS DOUBLE) AS c{i}' for i in range(1, 9))} FROM embeddings)"
+
+
+def _wide(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select(
+        "vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(WIDE)])
+
+
+@query("eps_neighbours_wide", f"""
+WITH p AS (SELECT DISTINCT {', '.join(WIDE)} FROM {WIDE_ROWS})
+SELECT {', '.join('x.' + c for c in WIDE)}, count(*) AS n_neighbours FROM p x JOIN p y
+  ON {' + '.join(f'(x.{c} - y.{c}) * (x.{c} - y.{c})' for c in WIDE)} <= CAST({WIDE_EPS} AS DOUBLE) * CAST({WIDE_EPS} AS DOUBLE)
+GROUP BY {', '.join('x.' + c for c in WIDE)}
+""")
+def eps_neighbours_wide(spark, sf_dir):
+    return neighbours.eps_neighbours(features.distinct_features(_wide(spark, sf_dir), WIDE), WIDE, WIDE_EPS)
+
+
+@query("dbscan_wide", f"SELECT vec_id, label FROM ({_dbscan_sql(WIDE_ROWS, WIDE, WIDE_EPS, WIDE_MIN)})")
+def dbscan_wide(spark, sf_dir):
+    return db.dbscan(_wide(spark, sf_dir), WIDE, WIDE_EPS, WIDE_MIN).select("vec_id", "label")
+
+
 @query("kmeans_assign", f"SELECT vec_id, label FROM {ASSIGNED}")
 def kmeans_assign(spark, sf_dir):
     return kmeans.assign(_plane(spark, sf_dir), ["a", "b"], CENTRES).select("vec_id", "label")
@@ -67,16 +101,37 @@ def kmeans_fit(spark, sf_dir):
     return kmeans.cluster(_plane(spark, sf_dir), ["a", "b"], 4).select("vec_id", "label")
 
 
+@query("kmeans_fit_known", """
+SELECT c_custkey, (c_custkey % 4) // 2 AS label, 1.0::DOUBLE AS cost FROM customer
+""")
+def kmeans_fit_known(spark, sf_dir):
+    """Four distinct points in two far pairs: the only sensible fit costs 1."""
+    points = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.expr("CASE WHEN c_custkey % 4 < 2 THEN 0D ELSE 10D END").alias("a"),
+        F.expr("cast(c_custkey % 2 + CASE WHEN c_custkey % 4 < 2 THEN 0 ELSE 10 END AS DOUBLE)").alias("b"))
+    model = kmeans.fit(points, ["a", "b"], 2, seeds=(42, 43, 44))
+    return kmeans.predict(points, ["a", "b"], model).select(
+        "c_custkey", F.col("label").cast("bigint").alias("label"), F.lit(round(model.summary.trainingCost, 9)).alias("cost"))
+
+
 @query("kmeans_fit_invariants", f"""
-SELECT count(*) AS n_rows, CAST(4 AS BIGINT) AS n_labels, true AS one_label_per_tuple FROM {PLANE}
+SELECT count(*) AS n_rows, CAST(4 AS BIGINT) AS n_labels, true AS all_nearest, true AS centres_are_means, true AS below_half FROM {PLANE}
 """)
 def kmeans_fit_invariants(spark, sf_dir):
-    """What any valid fit must show: all rows labelled, k labels in use, equal tuples labelled alike."""
-    labelled = kmeans.cluster(_plane(spark, sf_dir), ["a", "b"], 4)
-    per_tuple = labelled.groupBy("a", "b").agg(
-        F.count("label").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    return per_tuple.agg(F.sum("n").alias("n_rows"), F.countDistinct("lo").alias("n_labels"),
-                         F.bool_and(F.col("lo") == F.col("hi")).alias("one_label_per_tuple"))
+    """What a finished fit must show: every row at its nearest centre, centres near the means of their distinct points, and a
+    cost well below that of one cluster."""
+    rows, columns = _plane(spark, sf_dir), ["a", "b"]
+    model = kmeans.fit(rows, columns, 4)
+    centres = kmeans.centroids(model)
+    labelled = kmeans.assign(kmeans.predict(rows, columns, model), columns, centres, "nearest")
+    distinct = labelled.select(*columns, "label").distinct()
+    means = {r["label"]: (r["a"], r["b"]) for r in distinct.groupBy("label").agg(F.avg("a").alias("a"), F.avg("b").alias("b")).collect()}
+    near = all(abs(x - y) < 0.02 for k, c in enumerate(centres) for x, y in zip(c, means[k]))
+    whole = distinct.agg((F.var_pop("a") + F.var_pop("b")) * F.count("*")).first()[0]
+    return labelled.agg(
+        F.count("*").alias("n_rows"), F.countDistinct("label").alias("n_labels"),
+        F.bool_and(F.col("label") == F.col("nearest")).alias("all_nearest"), F.lit(near).alias("centres_are_means"),
+        F.lit(model.summary.trainingCost < whole / 2).alias("below_half"))
 
 
 @query("kmeans_save_load", "SELECT l_orderkey, l_quantity, l_discount, true AS same_label FROM lineitem")
@@ -119,3 +174,12 @@ def silhouette_squared(spark, sf_dir):
     points = _labelled(spark, sf_dir)
     score = silhouette.silhouette_squared(points, ["a", "b"])
     return points.agg(F.lit(round(score, 6)).alias("silhouette"), F.count("*").alias("n_points"))
+
+
+@query("silhouette_dbscan", SCORE.replace("{points}", f"(SELECT a, b, label FROM ({_dbscan_sql(PLANE, ['a', 'b'], EPS, MIN_POINTS)}))").replace("{d}", SQUARE))
+def silhouette_dbscan(spark, sf_dir):
+    """The squared score of the `dbscan` query's labels, each noise point a cluster of its own."""
+    points = db.dbscan(_plane(spark, sf_dir).select("a", "b").distinct(), ["a", "b"], EPS, MIN_POINTS)
+    points = cut_lineage(points.select("a", "b", "label"))
+    score = silhouette.silhouette_squared(points, ["a", "b"])
+    return points.agg(F.lit(round(score, 6)).alias("silhouette"), F.count("*").alias("n_points"))

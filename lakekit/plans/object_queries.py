@@ -39,12 +39,18 @@ def list_buckets(spark, sf_dir):
     return inventory.list_buckets(_objects(spark, sf_dir), "blog.")
 
 
-@query("object_metadata")
+@query("object_metadata", """
+SELECT lang || '/' || doc_id || '.txt' AS name, CAST(octet_length(encode(text)) AS BIGINT) AS length, 'text/plain' AS content_type
+FROM documents WHERE lang = 'fr' AND starts_with(CAST(doc_id AS VARCHAR), '1')
+""")
 def object_metadata(spark, sf_dir):
-    """Metadata of the stored table files themselves; no body is read."""
-    found = inventory.inventory_from_files(spark, sf_dir, "*.parquet")
-    return found.select(F.element_at(F.split("path", "/"), -1).alias("name"), "length",
-                        F.col("modificationTime").cast("string").alias("updated_at"))
+    """Documents put as named objects; the listing of a prefix gives their metadata, no body is read."""
+    path = scratch_path(spark, "named")
+    named = table(spark, sf_dir, "documents").select(
+        F.concat("lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"), F.encode("text", "UTF-8").alias("body"))
+    put = inventory.put_objects(named, "name", "body", path)
+    found = inventory.inventory_from_files(spark, path, "*.txt", prefix="/fr/1")
+    return found.select(F.substring_index("path", "/", -2).alias("name"), "length").join(put.select("name", "content_type"), "name")
 
 
 def _put_documents(spark, sf_dir):
@@ -131,11 +137,21 @@ def array_filter_emails(spark, sf_dir):
 TARGETS = ("PDF", "Word", "CSV", "ODP", "HTML", "PlainText")
 
 
+# the formats a target can have, written out again, so that the library's table is checked against a second one
+EXPORTS = """
+ ('document', 'Word', 'application/vnd.openxmlformats-officedocument.wordprocessingml.document', 'docx'),
+ ('document', 'PDF', 'application/pdf', 'pdf'), ('document', 'PlainText', 'text/plain', 'txt'), ('document', 'HTML', 'application/zip', 'zip'),
+ ('spreadsheet', 'PDF', 'application/pdf', 'pdf'), ('spreadsheet', 'HTML', 'application/zip', 'zip'), ('spreadsheet', 'CSV', 'text/csv', 'csv'),
+ ('presentation', 'ODP', 'application/vnd.oasis.opendocument.presentation', 'odp'), ('presentation', 'PDF', 'application/pdf', 'pdf'),
+ ('presentation', 'PlainText', 'text/plain', 'txt')"""
+
+
 @query("export_plan", f"""
 WITH f AS (SELECT *, [{','.join(repr(t) for t in TARGETS)}][CAST(1 + size % {len(TARGETS)} AS INT)] AS target FROM {FILES}),
- d(source_mime, target, export_mime, extension) AS (VALUES {','.join(str(r) for r in fixed.EXPORT_FORMATS)})
+ d(kind, target, export_mime, extension) AS (VALUES {EXPORTS})
 SELECT id, f.target, export_mime, f.name || '.' || extension AS output_name, extension IS NOT NULL AS is_valid
-FROM f LEFT JOIN d ON f.mime_type = d.source_mime AND f.target = d.target
+FROM f LEFT JOIN d ON CASE lang WHEN 'en' THEN 'document' WHEN 'fr' THEN 'spreadsheet' WHEN 'de' THEN 'presentation' END = d.kind
+  AND f.target = d.target
 """)
 def export_plan(spark, sf_dir):
     wanted = F.get(F.array(*map(F.lit, TARGETS)), (F.col("size") % len(TARGETS)).cast("int"))
@@ -179,13 +195,13 @@ def mime_normalize(spark, sf_dir):
 
 
 @query("mime_guess", f"""
-WITH f AS (SELECT page_id, name || CASE WHEN page_id % 4 = 0 THEN '.PNG' WHEN page_id % 4 = 1 THEN '.csv'
-                  WHEN page_id % 4 = 2 THEN '.unknown' ELSE '' END AS path FROM {INVENTORY})
-SELECT page_id, CASE WHEN path LIKE '%/.%' THEN 'application/octet-stream' WHEN path LIKE '%.PNG' THEN 'image/png' WHEN path LIKE '%.csv' THEN 'text/csv'
+WITH f AS (SELECT page_id, name || CASE WHEN page_id % 4 = 0 THEN '.PNG' WHEN page_id % 4 = 1 THEN CASE WHEN page_id % 8 = 1 THEN '.csv' ELSE '.doc' END
+                  WHEN page_id % 4 = 2 THEN CASE WHEN page_id % 8 = 2 THEN '.unknown' ELSE '.webm' END ELSE '' END AS path FROM {INVENTORY})
+SELECT page_id, CASE WHEN path LIKE '%/.%' THEN 'application/octet-stream' WHEN path LIKE '%.PNG' THEN 'image/png' WHEN path LIKE '%.csv' THEN 'text/csv' WHEN path LIKE '%.doc' THEN 'application/msword' WHEN path LIKE '%.webm' THEN 'video/webm'
                      WHEN path LIKE '%.html' THEN 'text/html' ELSE 'application/octet-stream' END AS mime FROM f
 """)
 def mime_guess(spark, sf_dir):
-    ending = F.get(F.array(*map(F.lit, (".PNG", ".csv", ".unknown", ""))), (F.col("page_id") % 4).cast("int"))
+    ending = F.get(F.array(*map(F.lit, (".PNG", ".csv", ".unknown", "", ".PNG", ".doc", ".webm", ""))), (F.col("page_id") % 8).cast("int"))
     return _objects(spark, sf_dir).select(
         "page_id", scalars.mime_guess(F.concat("name", ending)).alias("mime"))
 

@@ -342,7 +342,7 @@ FROM {supplier} JOIN revenue ON s_suppkey = l_suppkey
 """)
 
 sql_query("sql_recursive_cte", "conversations", """
-WITH RECURSIVE chain(conv_id, turn, chars) MAX RECURSION LEVEL 10000 AS (
+WITH RECURSIVE chain(conv_id, turn, chars) MAX RECURSION LEVEL 2147483647 AS (
   SELECT conv_id, turn, CAST(length(text) AS BIGINT) FROM {conversations} WHERE turn = 0
   UNION ALL
   SELECT n.conv_id, n.turn, c.chars + length(n.text)

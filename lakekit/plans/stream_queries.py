@@ -79,7 +79,13 @@ def stream_insert_validated(spark, sf_dir):
     return rows.unionByName(refused, allowMissingColumns=True)
 
 
-@query("publish_batch", "SELECT 'events/' || event_id AS message_id FROM events")
+@query("publish_batch", """
+SELECT 'events/' || event_id AS message_id, CAST(1 + event_id % 2 AS INT) AS batch, (SELECT count(*) FROM events) AS n_in_topic FROM events
+""")
 def publish_batch(spark, sf_dir):
-    return messages.publish(table(spark, sf_dir, "events"), "events", F.encode("props", "UTF-8"), F.col("event_id"),
-                            path=scratch_path(spark, "topic"))
+    """Two publishes to one topic: each returns its own ids, the topic holds both."""
+    events, path = table(spark, sf_dir, "events"), scratch_path(spark, "topic")
+    sent = [messages.publish(events.where(f"event_id % 2 = {k}"), "events", F.encode("props", "UTF-8"), F.col("event_id"), path=path)
+            .withColumn("batch", F.lit(k + 1)) for k in (0, 1)]
+    held = spark.read.parquet(path).agg(F.count("*").alias("n_in_topic"))
+    return sent[0].unionByName(sent[1]).join(F.broadcast(held))

@@ -292,6 +292,40 @@ def decode_rows_nested(spark, sf_dir):
         "_decode_error")
 
 
+FAULT_FIELDS = [
+    WireField("id", "INTEGER"), WireField("part", "RECORD", "NULLABLE", (WireField("day", "DATE"), WireField("n", "INTEGER"))),
+    WireField("days", "DATE", "REPEATED"), WireField("at", "TIMESTAMP")]
+
+
+@query("decode_rows_faults", """
+SELECT event_id, CASE WHEN event_id % 8 < 6 THEN event_id END AS id, CASE WHEN event_id % 8 NOT IN (1, 6, 7) THEN strftime(ts, '%Y-%m-%d') END AS part_day,
+       CASE WHEN event_id % 8 < 6 THEN CAST(2 AS BIGINT) END AS n_days,
+       CASE WHEN event_id % 8 NOT IN (4, 5, 6, 7) THEN event_id END AS at,
+       event_id % 8 <> 0 AS _decode_error FROM events
+""")
+def decode_rows_faults(spark, sf_dir):
+    """One fault for each id modulo 8: none, a bad date in a record, a bad date in a list, a surplus nested cell, a number and
+    a text outside the calendar, a malformed line, a missing line."""
+    fault, key = F.col("event_id") % 8, F.col("event_id").cast("string")
+    day = F.date_format("ts", "yyyy-MM-dd")
+
+    def box(raw):
+        return F.concat(F.lit('{"v":'), raw, F.lit("}"))
+
+    def text(raw):
+        return box(F.concat(F.lit('"'), raw, F.lit('"')))
+
+    part = F.concat(F.lit('{"f":['), text(F.when(fault == 1, F.lit("2024-02-30")).otherwise(day)), F.lit(","), text(key),
+                    F.when(fault == 3, F.lit(',{"v":"more"}')).otherwise(""), F.lit("]}"))
+    days = F.concat(F.lit("["), text(day), F.lit(","), text(F.when(fault == 2, F.lit("soon")).otherwise(day)), F.lit("]"))
+    at = F.when(fault == 4, box(F.lit("999999999999"))).when(fault == 5, text(F.lit("999999999999"))).otherwise(text(key))
+    line = F.concat(F.lit('{"f":['), text(key), F.lit(","), box(part), F.lit(","), box(days), F.lit(","), at, F.lit("]}"))
+    line = F.when(fault == 6, F.substring(line, 1, 20)).when(fault < 6, line)
+    rows = wire.decode_rows(table(spark, sf_dir, "events").select("event_id", line.alias("line")), "line", FAULT_FIELDS, keep=["event_id"])
+    return rows.select("event_id", "id", F.date_format("part.day", "yyyy-MM-dd").alias("part_day"),
+                       F.nullif(F.size("days"), F.lit(-1)).cast("bigint").alias("n_days"), F.unix_seconds("at").alias("at"), "_decode_error")
+
+
 @query("dedupe_columns_last", "SELECT event_id, round(value * 2, 2) AS value FROM events")
 def dedupe_columns_last(spark, sf_dir):
     events = table(spark, sf_dir, "events")

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.functions.scalars import mime_guess, split_object_url
+from lakekit.functions.scalars import mime_guess, mime_normalize, split_object_url
+from lakekit.session import cut_lineage
 
 
 def inventory_from_urls(df: DataFrame, url: str, *keep: str) -> DataFrame:
@@ -15,12 +22,26 @@ def inventory_from_urls(df: DataFrame, url: str, *keep: str) -> DataFrame:
                      mime_guess(parts["path"]).alias("content_type"))
 
 
-def inventory_from_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """File metadata (path, length, modificationTime); bodies are pruned, so never read."""
+INVENTORY_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT"
+
+
+def inventory_from_files(spark: SparkSession, path: str, glob: str | None = None, prefix: str = "") -> DataFrame:
+    """File metadata (path, length, modificationTime); bodies are pruned, so never read.
+
+    A prefix becomes part of the listed path, so only folders and files that begin with it are visited.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).drop("content")
+    place, head = path.rstrip("/"), prefix.removeprefix("/")
+    if not head:
+        return reader.load(place).drop("content")
+    plain = re.split(r"[][{}*?\\,]", head)[0]  # what a path pattern can say without escapes
+    name = spark._jvm.org.apache.hadoop.fs.Path(f"{place}/{plain}*")
+    if not name.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(name):
+        return spark.createDataFrame([], INVENTORY_SCHEMA)
+    inside = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", place)
+    return reader.load(f"{place}/{plain}*").drop("content").where(F.col("path").contains(f"{inside}/{head}"))
 
 
 def list_objects(inventory: DataFrame, prefix: str | None = None, start: str | None = None,
@@ -61,8 +82,54 @@ def read_text_objects(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_binary_chunks(spark: SparkSession, path: str, chunk: int = 1 << 20) -> DataFrame:
-    """Objects as byte streams: (path, position, bytes) in chunks of bounded size."""
-    files = spark.read.format("binaryFile").load(path)
-    position = F.explode(F.sequence(F.lit(0), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(chunk)))
-    return files.select("path", position.alias("position"), "content").select(
-        "path", "position", F.expr(f"substring(content, CAST(position AS INT) + 1, {chunk})").alias("bytes"))
+    """Objects as byte streams: (path, position, bytes) in chunks of bounded size.
+
+    The listing gives one row per range; tasks seek and read their ranges, so no object is ever held as a
+    whole. The ranges are read through Arrow's file systems (local, HDFS, S3, GCS).
+    """
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+    position = F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(chunk).cast("bigint")))
+    ranges = files.select("path", position.alias("position")).repartition("path", "position")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, start in zip(*(c.to_pylist() for c in batch.columns)):
+                store, inner = pafs.FileSystem.from_uri(_uri(name))
+                with store.open_input_file(inner) as source:
+                    body = source.read_at(chunk, start)
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([start], pa.int64()), pa.array([body], pa.binary())],
+                                                 names=["path", "position", "bytes"])
+
+    return ranges.mapInArrow(read, "path STRING, position BIGINT, bytes BINARY")
+
+
+def _uri(path: str) -> str:
+    """`file:/x`, as listings spell it, is `file:///x` elsewhere."""
+    return re.sub(r"^file:/(?!/)", "file:///", path)
+
+
+def put_objects(df: DataFrame, name: str, body: str, path: str, content_type: str | None = None) -> DataFrame:
+    """Put each row's body under its own name below `path`; returns (name, content_type, size).
+
+    An object is written aside and moved to its name, so a repeated task leaves it whole. The type is the
+    given column's, put in order, or guessed from the name.
+    """
+    kind = mime_normalize(F.col(content_type)) if content_type else F.lit(None).cast("string")
+    rows = df.select(F.col(name).alias("name"), F.coalesce(kind, mime_guess(F.col(name))).alias("content_type"),
+                     F.col(body).cast("binary").alias("body"))
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = pafs.FileSystem.from_uri(_uri(path))
+        for batch in batches:
+            sizes = []
+            for own, content in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                target = f"{base}/{own}"
+                store.create_dir(target.rpartition("/")[0], recursive=True)
+                aside = f"{target.rpartition('/')[0]}/.{uuid.uuid4().hex}"
+                with store.open_output_stream(aside) as sink:
+                    sink.write(content or b"")
+                store.move(aside, target)
+                sizes.append(len(content or b""))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64())], names=["name", "content_type", "size"])
+
+    return cut_lineage(rows.mapInArrow(put, "name STRING, content_type STRING, size BIGINT"))

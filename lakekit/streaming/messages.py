@@ -28,10 +28,12 @@ Handler = Callable[[Column], Column]
 
 
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType | str, glob: str,
-                max_files: int = 1) -> DataFrame:
-    """Files of a folder as a stream; `max_files` bounds a micro-batch."""
-    return (spark.readStream.schema(schema).option("pathGlobFilter", glob)
-            .option("maxFilesPerTrigger", max_files).parquet(folder))
+                max_files: int | None = None) -> DataFrame:
+    """Files of a folder as a stream; `max_files` bounds a micro-batch, which else takes all new files."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(folder)
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, max_messages: int) -> DataFrame:
@@ -119,9 +121,9 @@ def refused_lines(spark: SparkSession, out: str, line: str, schema: T.StructType
 
 def publish(df: DataFrame, topic: str, payload: Column, key: Column, path: str | None = None,
             servers: str | None = None) -> DataFrame:
-    """Publish payload bytes to a topic and return the message ids: to Kafka, or to a folder when offline.
+    """Publish payload bytes to a topic, Kafka's or a folder's, and return the ids of these messages alone.
 
-    Ids are topic and key, so publishing the same rows again gives the same ids.
+    Ids are topic and key, one per message, so the keys of a batch should be unique.
     """
     messages = df.select(F.concat(F.lit(topic + "/"), key.cast("string")).alias("message_id"),
                          key.cast("string").alias("key"), payload.cast("binary").alias("value"))
@@ -130,4 +132,4 @@ def publish(df: DataFrame, topic: str, payload: Column, key: Column, path: str |
          .option("topic", topic).save())
         return messages.select("message_id")
     messages.write.mode("append").parquet(path)
-    return df.sparkSession.read.parquet(path).select("message_id")
+    return messages.select("message_id")

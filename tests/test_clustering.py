@@ -97,9 +97,7 @@ def test_only_noise(spark):
     assert got == [(0.0, 4), (10.0, 5), (10.0, 5), (20.0, 6)]
 
 
-@pytest.mark.parametrize("hot", [1_000_000, 5])
-def test_components(spark, monkeypatch, hot):
-    monkeypatch.setattr(components, "HOT", hot)  # the low value sends hubs the broadcast way
+def test_components(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 360)]
     nodes = sorted({x for e in edges for x in e} | {999})
@@ -156,3 +154,27 @@ def test_silhouettes(spark, monkeypatch):
     assert exact.silhouette == pytest.approx(brute(lambda p, q: math.dist(p[:2], q[:2])))
     squared = silhouette.silhouette_squared(df, ["a", "b"])
     assert squared == pytest.approx(brute(lambda p, q: math.dist(p[:2], q[:2]) ** 2))
+
+
+def test_cells_meet_in_the_dimensions_that_part_them(spark):
+    """The first three of six columns are constant: buckets over those would pair every cell with every other."""
+    rng = random.Random(5)
+    rows = [(1.0, 2.0, 3.0, rng.uniform(0, 20), rng.uniform(0, 20), rng.uniform(0, 20)) for _ in range(400)]
+    columns = [f"x{i}" for i in range(6)]
+    grid = neighbours.Grid(columns, 1.0)
+    cells = neighbours.cell_table(neighbours.index_points(spark.createDataFrame(rows, columns), grid), grid)
+    dims = neighbours.hash_dims(cells, grid)
+    assert dims == [3, 4, 5]
+    index = [neighbours._coarse(grid, i).alias(f"g{i}") for i in dims]
+    boxes = [tuple(r) for r in cells.select(*index).collect()]
+    met = sum(all(abs(a - b) <= 1 for a, b in zip(x, y)) for x in boxes for y in boxes)
+    kept = neighbours.cell_pairs(cells, grid).count()
+    assert kept <= met <= 8 * kept
+    got = neighbours.eps_neighbours(spark.createDataFrame(rows, columns), columns, 1.0)
+    assert {tuple(r)[:6]: r.n_neighbours for r in got.collect()} == brute_counts(rows, 1.0)
+
+
+def test_depth_is_bounded():
+    neighbours.too_deep(neighbours.MAX_DEPTH)
+    with pytest.raises(RuntimeError):
+        neighbours.too_deep(neighbours.MAX_DEPTH + 1)

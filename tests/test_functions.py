@@ -152,3 +152,20 @@ def test_tokenize_with_analyzer(spark):
 def test_infinite_numbers_render(spark):
     df = spark.createDataFrame([(float("inf"), math.nan)], "a double, b double")
     assert render.rows_to_text(df).first()[0] == '{"a": inf,"b": NaN}'
+
+
+def test_newline_aggregates_agree_and_are_linear(spark):
+    df = spark.sql("SELECT id % 2 AS g, CASE WHEN id < 4 THEN '' WHEN id % 7 = 0 THEN NULL ELSE cast(id AS STRING) END AS x, id FROM range(60000)")
+    want = {g: "\n".join(str(i) for i in range(4, 60000) if i % 2 == g and i % 7) for g in (0, 1)}
+    got = grouped_string_agg(df, ["g"], "x", ["id"], "t").collect()
+    assert {r.g: r.t for r in got} == want
+    df.createOrReplaceTempView("texts")
+    sql = spark.sql("SELECT g, newline_agg(x) AS t FROM (SELECT * FROM texts DISTRIBUTE BY g SORT BY g, id) GROUP BY g").collect()
+    assert {r.g: r.t for r in sql} == want
+    joined = spark.sql("SELECT newline_join(array('', NULL, 'a', '', 'b')), newline_join(array('')), newline_join(NULL)").first()
+    assert tuple(joined) == ("a\n\nb", "", None)
+
+
+def test_sql_bins_and_whole_division(spark):
+    row = spark.sql("SELECT int_div(-7, 2), cast(date_bin(INTERVAL '0 00:00:10' DAY TO SECOND, TIMESTAMP '2024-01-01 00:00:19.5') AS STRING)").first()
+    assert tuple(row) == (-3, "2024-01-01 00:00:10")

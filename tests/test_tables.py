@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from lakekit.operators import features, sinks, tables, wire
 from lakekit.operators.wire import WireField
+from lakekit import session
 from lakekit.session import scratch_path, shared_dir, shuffle_partitions_for
 from lakekit.sources import catalog, grid, inputs, inventory
 
@@ -41,7 +42,7 @@ def test_csv_types_are_inferred_and_text_survives(spark):
     df = spark.createDataFrame([(1, "", 1.5), (2, None, None), (3, 'a "b"', 2.0)], "a int, s string, d double")
     back = inputs.read_input(spark, sinks.write_result(df, scratch_path(spark, "c") + ".csv"))
     assert [f.dataType.simpleString() for f in back.schema] == ["int", "string", "double"]
-    assert sorted(map(tuple, back.collect())) == [(1, None, 1.5), (2, None, None), (3, 'a "b"', 2.0)]
+    assert sorted(map(tuple, back.collect())) == [(1, "", 1.5), (2, None, None), (3, 'a "b"', 2.0)]
 
 
 def test_dispositions(spark):
@@ -147,7 +148,22 @@ def test_decode_errors_and_json_text(spark):
     assert decode(spark, WireField("c", "JSON"), '"{\\"k\\":1}"', json_text=True)[0] == ['{"k":1}']
     lines = spark.createDataFrame([('{"f":[{"v":"1"},{"v":"2"}]}',), ("{}",), ("bad",)], "line string")
     rows = wire.decode_rows(lines, "line", [WireField("c", "INTEGER")]).collect()
-    assert [tuple(r) for r in rows] == [(1, True), (None, False), (None, False)]
+    assert [tuple(r) for r in rows] == [(1, True), (None, False), (None, True)]
+
+
+def test_decode_faults_at_any_depth(spark):
+    day = WireField("r", "RECORD", "NULLABLE", (WireField("d", "DATE"), WireField("ds", "DATE", "REPEATED")))
+    good, flags = decode(spark, day, '{"f":[{"v":"2024-02-29"},{"v":[{"v":"2024-01-01"}]}]}', '{"f":[{"v":"2023-02-29"},{"v":[]}]}',
+                         '{"f":[{"v":null},{"v":[{"v":"no"}]}]}', '{"f":[{"v":null},{"v":[]},{"v":"more"}]}', "null", '{"f":[{"v":5}]}')
+    assert flags == [False, True, True, True, False, False]
+    assert good[0] == (datetime.date(2024, 2, 29), [datetime.date(2024, 1, 1)]) and good[5][0] == datetime.date(1970, 1, 1)
+    assert decode(spark, WireField("c", "TIMESTAMP"), "999999999999", '"999999999999"', "1.5")[1] == [True, True, False]
+    assert decode(spark, WireField("c", "INTEGER"), '["1"]', '"42\\n"') == ([None, 0], [True, False])
+    assert decode(spark, WireField("c", "STRING"), "1.0", "1e20", "1.5e3", "-2.5e-7", "0.0001", "12345678901234567890") == (
+        ["1.0", "1e20", "1500.0", "-2.5e-7", "0.0001", "12345678901234567890"], [False] * 6)
+    lines = spark.createDataFrame([('  {"f" : [ {"v" : "a\\"}b"} ] }',), (None,), ("[]",), ('{"f":null}',)], "line string")
+    rows = wire.decode_rows(lines, "line", [WireField("c", "STRING")]).collect()
+    assert [tuple(r) for r in rows] == [('a"}b', False), (None, True), (None, True), (None, False)]
 
 
 def test_decode_nested(spark):
@@ -222,3 +238,45 @@ def test_shared_dir_is_the_configured_one(spark):
 def test_shuffle_partitions_grow_with_the_data():
     assert shuffle_partitions_for(10 << 30) == 200
     assert shuffle_partitions_for(100 << 40) == 204800
+
+
+def test_rows_match_tables_by_name(spark):
+    df, name = spark.createDataFrame([(1, "x")], "a long, b string"), "t_by_name"
+    tables.query_to_table(df, name)
+    tables.query_to_table(df.select("b", "a"), name, "append")
+    assert [tuple(r) for r in spark.table(name).collect()] == [(1, "x")] * 2
+    with pytest.raises(ValueError):
+        tables.query_to_table(df.select("a"), name, "append")
+    tables.query_to_table(df.select(F.lit(2.5).alias("c")), name, "truncate")
+    assert [tuple(r) for r in spark.table(name).collect()] == [(2.5,)]
+    tables.drop_table(spark, name)
+
+
+def test_text_survives_csv(spark):
+    values = [" pad ", "a\nb", "a\r\nb\rc", "", None, '"', "\\", "\\N", ",", "# x", "null", "\t", "é😀"]
+    df = spark.createDataFrame(list(enumerate(values)), "k long, v string")
+    path = sinks.write_result(df, scratch_path(spark, "text") + ".csv")
+    assert [r.v for r in inputs.read_input(spark, path, df.schema).orderBy("k").collect()] == values
+
+
+def test_objects_by_name_and_prefix(spark):
+    path = scratch_path(spark, "named")
+    df = spark.createDataFrame([("a/1.txt", bytearray(b"x" * 5000), "text/html"), ("a/2z.bin", bytearray(b""), "bad"), ("b/1.webm", None, None)],
+                               "name string, body binary, kind string")
+    put = inventory.put_objects(df, "name", "body", path, "kind")
+    assert {r.name: (r.content_type, r["size"]) for r in put.collect()} == {
+        "a/1.txt": ("text/html", 5000), "a/2z.bin": ("application/octet-stream", 0), "b/1.webm": ("video/webm", 0)}
+    listed = inventory.inventory_from_files(spark, path, prefix="/a/2")
+    assert [r.path.rsplit("/", 1)[1] for r in listed.collect()] == ["2z.bin"]
+    assert inventory.inventory_from_files(spark, path, prefix="c").collect() == []
+    chunks = inventory.read_binary_chunks(spark, f"{path}/a/1.txt", 1024).orderBy("position").collect()
+    assert [len(c.bytes) for c in chunks] == [1024] * 4 + [904] and b"".join(bytes(c.bytes) for c in chunks) == b"x" * 5000
+
+
+def test_scratch_can_be_cleared(spark, monkeypatch):
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert session.clear_scratch(spark) == 1 and session._SCRATCH == []
+    with pytest.raises(Exception):
+        spark.read.parquet(path)
