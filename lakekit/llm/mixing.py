@@ -9,7 +9,7 @@ tokens are integers and shares are rounded by running totals, so the budget is m
 Every leaf then reads its documents in epochs. Whole epochs take all its documents; the last
 epoch takes a prefix of the leaf's token stream, whose documents stand in the order of the
 hash of (seed, epoch, id), and cuts the document at its end. Only the documents of one
-of 65,536 hash buckets per leaf are ever sorted: buckets before it are taken whole.
+of 4,096 hash buckets per leaf are ever sorted: buckets before it are taken whole.
 
 Tokens are words (runs of other characters than white space). Null labels form a node of
 their own, named by the empty text. Null, empty and blank texts have no tokens and are not chosen.
@@ -112,14 +112,14 @@ def mix(docs: DataFrame, levels: list[Column], weights: list[Column], share: tup
         return rows.join(F.broadcast(tree) if n_leaves <= TREE_ROWS else tree, list(LEVELS))
 
     slim = placed(labelled.select(id_col, *LEVELS, "_mix_n"), plan.where("_mix_part > 0"))
-    buckets = slim.groupBy(*LEVELS, F.substring(order(), 1, 4).alias("_mix_cut")).agg(F.sum("_mix_n").alias("n"))
-    ahead = W.partitionBy(*LEVELS).orderBy("_mix_cut").rowsBetween(W.unboundedPreceding, -1)  # at most 65,536 rows
+    buckets = slim.groupBy(*LEVELS, F.substring(order(), 1, 3).alias("_mix_cut")).agg(F.sum("_mix_n").alias("n"))
+    ahead = W.partitionBy(*LEVELS).orderBy("_mix_cut").rowsBetween(W.unboundedPreceding, -1)  # at most 4,096 rows
     cuts = buckets.withColumn("_mix_base", F.coalesce(F.sum("n").over(ahead), F.lit(0))).join(plan, list(LEVELS)).where(
         "_mix_base < _mix_part and _mix_part <= _mix_base + n").select(*LEVELS, "_mix_cut", "_mix_base")
     tree = plan.join(cuts, list(LEVELS), "left")
 
     rows = placed(labelled, tree).withColumn("_mix_at", order())
-    bucket = F.substring("_mix_at", 1, 4)
+    bucket = F.substring("_mix_at", 1, 3)
     chosen = rows.withColumn("_mix_epochs", F.col("_mix_whole") + F.when(bucket < F.col("_mix_cut"), 1).otherwise(0))
     whole = chosen.where("_mix_epochs > 0").withColumn("epoch", F.explode(F.expr("sequence(1L, _mix_epochs)"))).withColumn(
         "take", F.col("_mix_n"))
