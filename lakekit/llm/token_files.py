@@ -49,39 +49,93 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tails = {"": -1} | {t: self.tokenizer.encode(t, add_special_tokens=False).ids[0] for t in ",."}
         self.reset()
 
     def reset(self) -> None:
         self.codes: dict[str, int] = {"": 0}
         self.flat, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.hits = np.zeros(1, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the pieces that came up more than once; most of a long table came up once."""
+        keep = self.hits > 1
+        keep[0] = True
+        number = np.cumsum(keep) - 1
+        self.codes = {p: int(number[c]) for p, c in self.codes.items() if keep[c]}
+        at = ragged(self.starts[keep], self.sizes[keep])
+        self.flat, self.sizes, self.hits = self.flat[at], self.sizes[keep], self.hits[keep]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        if len(self.codes) > CACHE_WORDS // 2:
+            self.reset()
 
     def _learn(self, pieces: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((x for own in ids for x in own), np.uint32, int(sizes.sum()))
+        """Add new pieces: each by its plain form, which most of them share with others."""
+        plain = [_plain(p) for p in pieces]
+        fresh = [f for f in dict.fromkeys(f for f, _ in plain) if f not in self.codes]
+        if fresh:
+            self._encode(fresh)
+        rest = [(p, self.codes[f], self.tails[t]) for p, (f, t) in zip(pieces, plain) if p not in self.codes]
+        if not rest:
+            return
+        form, tail = np.array([f for _, f, _ in rest], np.int64), np.array([t for _, _, t in rest], np.int64)
+        sizes = self.sizes[form]
+        ends = np.cumsum(sizes + 1)
+        flat = np.zeros(int(ends[-1]), np.uint32)
+        flat[ragged(ends - sizes - 1, sizes)] = self.flat[ragged(self.starts[form], sizes)]
+        flat[ends - 1] = np.maximum(tail, 0)  # unused without a tail
+        self._add([p for p, _, _ in rest], flat, ends - sizes - 1, sizes + (tail >= 0))
+
+    def _encode(self, pieces: list[str]) -> None:
+        """Encode pieces as one text; each id belongs to the piece at its place."""
+        encoded = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        begins = np.cumsum(lengths + 1) - lengths - 1
+        places = np.fromiter((a for a, _ in encoded.offsets), np.int64, len(encoded))
+        sizes = np.bincount(np.searchsorted(begins, places, "right") - 1, minlength=len(pieces))
+        self._add(pieces, np.array(encoded.ids, np.uint32), np.cumsum(sizes) - sizes, sizes)
+
+    def _add(self, pieces: list[str], flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
         known = len(self.codes)
         self.codes.update(zip(pieces, range(known, known + len(pieces))))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
-        self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, flat])
+        self.starts, self.sizes = np.concatenate([self.starts, len(self.flat) + starts]), np.concatenate([self.sizes, sizes])
+        self.flat = np.concatenate([self.flat, flat])
+        self.hits = np.concatenate([self.hits, np.zeros(len(pieces), np.int64)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after another, and how many each has."""
         if len(self.codes) > CACHE_WORDS:
-            self.reset()
+            self._forget()
         pieces: list[str] = []
         cuts = [0]
         for text in texts:
             pieces += text.replace("\n", " ").split(" ")
             cuts.append(len(pieces))
-        new = [p for p in dict.fromkeys(pieces) if p not in self.codes]
-        if new:
-            self._learn(new)
-        codes = np.fromiter(map(self.codes.__getitem__, pieces), np.int64, len(pieces))
+        get = self.codes.get
+        codes = np.array([get(p, -1) for p in pieces], np.int64)
+        missing = np.flatnonzero(codes < 0)
+        if len(missing):
+            self._learn(list(dict.fromkeys(pieces[i] for i in missing.tolist())))
+            codes[missing] = [self.codes[pieces[i]] for i in missing.tolist()]
+        self.hits += np.bincount(codes, minlength=len(self.hits))
         sizes = self.sizes[codes]
         total = np.concatenate([[0], np.cumsum(sizes)])
         return self.flat[ragged(self.starts[codes], sizes)], np.diff(total[cuts])
 
 
+def _plain(piece: str) -> tuple[str, str]:
+    """A piece's form in lower case without a closing comma or full stop, and that sign.
+
+    The tokenizer lower-cases, and a sign after a letter or digit is a token run of its own, so both give the same
+    ids. Other scripts, whose case rules differ, and texts that may hold a special token stay as they are.
+    """
+    if not piece.isascii() or "<|" in piece:
+        return piece, ""
+    if len(piece) > 1 and piece[-1] in ",." and piece[-2].isalnum():
+        return piece[:-1].lower(), piece[-1]
+    return piece.lower(), ""
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
@@ -99,7 +153,7 @@ def _slices(texts: list[str]) -> Iterator[list[str]]:
         yield part
 
 
-def _tokenize(path: str, end_id: int):
+def _tokenize(path: str, end_id: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
         for batch in batches:
@@ -107,25 +161,28 @@ def _tokenize(path: str, end_id: int):
             for texts in _slices([t or "" for t in batch.column(1).to_pylist()]):
                 ids, sizes = encoder.encode(texts)
                 ends = np.cumsum(sizes + 1)
-                whole = np.full(int(ends[-1]), end_id, np.uint32)
+                whole = np.full(int(ends[-1]), end_id, kind)
                 whole[ragged(ends - sizes - 1, sizes)] = ids
                 blobs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [
-                    None, pa.py_buffer(np.append(0, ends * 4)), pa.py_buffer(whole)])
+                    None, pa.py_buffer(np.append(0, ends * whole.itemsize)), pa.py_buffer(whole)])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), blobs.cast(pa.binary())], names=["doc_id", "ids"])
                 at += len(texts)
 
     return run
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
-    for batch in batches:
-        for blob in batch.column(0).to_pylist():
-            own = np.bincount(np.frombuffer(blob, np.uint32), minlength=len(total))
-            own[:len(total)] += total
-            total = own
-    seen = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
+def _count(kind: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                own = np.bincount(np.frombuffer(blob, kind), minlength=len(total))
+                own[:len(total)] += total
+                total = own
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
+
+    return run
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -178,19 +235,19 @@ def _pack(ids: np.ndarray, code_of: np.ndarray, bits_of: np.ndarray) -> tuple[by
 BLOCKS = ("part int, block int, before bigint, n_ids bigint, docs array<bigint>, sizes array<bigint>, code binary, marks binary")
 
 
-def _blocks(book):
+def _blocks(book, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, bits = book.value
         order, codes = canonical_codes(ids, bits)
         code_of, bits_of = np.zeros(int(ids.max(initial=0)) + 1, np.uint64), np.zeros(int(ids.max(initial=0)) + 1, np.int64)
         code_of[ids[order]], bits_of[ids] = codes.astype(np.uint64), bits
-        part, block, before = TaskContext.get().partitionId(), 0, 0
+        part, block, before, width = TaskContext.get().partitionId(), 0, 0, np.dtype(kind).itemsize
 
         def flush(docs, blobs):
             nonlocal block, before
-            own = np.concatenate([np.frombuffer(b, np.uint32) for b in blobs])
+            own = np.concatenate([np.frombuffer(b, kind) for b in blobs])
             code, marks = _pack(own, code_of, bits_of)
-            row = [part, block, before, len(own), docs, [len(b) // 4 for b in blobs], code, marks.tobytes()]
+            row = [part, block, before, len(own), docs, [len(b) // width for b in blobs], code, marks.tobytes()]
             block, before = block + 1, before + len(own)
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)],
@@ -201,7 +258,7 @@ def _blocks(book):
             for doc, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 docs.append(doc)
                 blobs.append(blob)
-                size += len(blob) // 4
+                size += len(blob) // width
                 if size >= BLOCK:
                     yield flush(docs, blobs)
                     docs, blobs, size = [], [], 0
@@ -218,15 +275,16 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, id_co
     path = path or scratch_path(spark, "tokens")
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     raw = scratch_path(spark, "token-ids")
-    plain.mapInArrow(_tokenize(tokenizer, end_id), "doc_id bigint, ids binary").write.option("compression", "zstd").parquet(raw)
+    kind = "<u2" if max(_encoder(tokenizer).tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+    plain.mapInArrow(_tokenize(tokenizer, end_id, kind), "doc_id bigint, ids binary").write.option("compression", "zstd").parquet(raw)
     tokens = spark.read.schema("doc_id bigint, ids binary").parquet(raw)
-    counted = tokens.select("ids").mapInArrow(_count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = tokens.select("ids").mapInArrow(_count(kind), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     rows = sorted(counted.collect())  # one row per id in use, at most the vocabulary
     ids, bits = np.array([r["id"] for r in rows], np.int64), code_lengths(np.array([r["n"] for r in rows], np.int64), limit)
     spark.createDataFrame([(int(a), int(b)) for a, b in zip(ids, bits)], "id bigint, bits int").coalesce(1).write.parquet(f"{path}/codebook")
     # the content hash splits ranges of one repeated id
     ordered = tokens.withColumn("h", F.xxhash64("ids")).repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "ids")
-    ordered.select("doc_id", "ids").mapInArrow(_blocks(spark.sparkContext.broadcast((ids, bits))), BLOCKS).write.option(
+    ordered.select("doc_id", "ids").mapInArrow(_blocks(spark.sparkContext.broadcast((ids, bits)), kind), BLOCKS).write.option(
         "compression", "none").parquet(f"{path}/blocks")
     return path
 

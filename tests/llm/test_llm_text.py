@@ -172,7 +172,7 @@ def tokens_brute(texts):
 
 
 def test_token_files(spark, monkeypatch):
-    odd = [None, "", " ", "Don't stop<|endoftext|>now ß́ éﬁ \x1c a b   tab\tnew\r\nline", "ΑΣ Σ", "  lead", "漢字 かな 😀", "x" * 3000]
+    odd = [None, "", " ", "Don't stop<|endoftext|>now ß́ éﬁ \x1c a b   tab\tnew\r\nline", "ΑΣ Σ", "It's, OK. A.B. x!, it's. 'S, <|ENDOFTEXT|>, 3.14, a., ., ,. Ab, AB. ab", "  lead", "漢字 かな 😀", "x" * 3000]
     rows = [(i * 3 % 101, t) for i, t in enumerate([*odd, *(t for _, t in corpus(4, 40))])]
     docs = frame(spark, rows)
     path = token_files.write_tokens(docs, TOKENIZER)
