@@ -12,7 +12,8 @@ A set with too few non-empty parts makes up for it with one-deletion neighbourho
 it also lists its parts with any one shingle left out, so parts that differ by one
 shingle meet. (A set whose shingles crowd into less than half of its needed segments would escape even so; the chance is below 1e-9, as for two hashes being equal.)
 
-Candidates are verified exactly on the shingle sets, and parts that many sets share are never expanded into
+Pairs that only share a segment are told apart by parity sketches, whose distance is never more
+than that of the sets. Candidates are verified exactly on the shingle sets, and parts that many sets share are never expanded into
 all pairs (see `linking`). Sets equal as wholes are one from the start.
 
 Words are runs of other bytes than white space, A-Z lower-cased; shingles are 64-bit hashes
@@ -195,6 +196,30 @@ def _verify(width: int, num: int, den: int):
     return run
 
 
+SKETCH_WORDS = 16
+
+
+def _sketches(width: int):
+    """Parity of the shingles in each of 1,024 hash classes: two sets differ in at least as many shingles as bits."""
+    bits, step = SKETCH_WORDS * 64, 2048
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in chunks(batch.column(1)):
+                every, rows = shingles(chunk, width)
+                for lo in range(0, chunk.rows, step):
+                    hi = min(lo + step, chunk.rows)
+                    own = every[rows[lo]:rows[hi]]
+                    place = np.repeat(np.arange(hi - lo), np.diff(rows[lo:hi + 1])) * bits + (own >> np.uint64(54)).astype(np.int64)
+                    odd = (np.bincount(place, minlength=(hi - lo) * bits) & 1).astype(np.uint8)
+                    packed = np.packbits(odd).view(np.int64).reshape(hi - lo, SKETCH_WORDS)
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column(0).slice(chunk.lo + lo, hi - lo), *(pa.array(packed[:, k].copy()) for k in range(SKETCH_WORDS))],
+                        names=["node", *(f"s{k}" for k in range(SKETCH_WORDS))])
+
+    return run
+
+
 def similar_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest id reachable over links of Jaccard >= num / den)."""
@@ -210,8 +235,13 @@ def similar_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
         return (f"(({a} | {b}) & {PROBE}) <> 0 and (({a} | {b}) & {OWN}) <> 0"
                 f" and {den} * least({a} >> 2, {b} >> 2) >= {num} * greatest({a} >> 2, {b} >> 2)")
 
-    roots = linked_classes(filled.select("node").distinct(), equal_nodes(filled, ["n_shingles", "k1", "k2"]),
-                           known.mapInArrow(_signatures(width, num, den), SIGNATURE), known, _verify(width, num, den), valid)
+    def close(u: str, v: str) -> str:
+        differ = " + ".join(f"bit_count({u}.s{k} ^ {v}.s{k})" for k in range(SKETCH_WORDS))
+        return f"({differ}) * {den + num} <= (({u}.info >> 2) + ({v}.info >> 2)) * {den - num}"
+
+    roots = linked_classes(equal_nodes(filled, ["n_shingles", "k1", "k2"]),
+                           known.mapInArrow(_signatures(width, num, den), SIGNATURE), known, _verify(width, num, den), valid,
+                           _sketches(width), SKETCH_WORDS, close)
     roots = roots.select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
     linked = keys.where("doc_id is not null").join(roots, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

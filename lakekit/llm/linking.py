@@ -1,15 +1,17 @@
 """Classes of linked nodes from bucket rows, without expanding any bucket into all pairs.
 
 Signature rows are (sig, node, info): nodes that share a signature may be linked. `info` has the
-flag LEAD in its lowest bit; only buckets with a LEAD row can hold valid pairs. Three steps give all
-links that classes need:
+flag LEAD in its lowest bit; only buckets with a LEAD row can hold valid pairs. All links that classes
+need are found in steps:
 
-1. Each bucket's first LEAD row meets the others; these pairs are verified and give first classes.
-2. Buckets whose nodes are still in several classes pair the nodes of different classes.
-3. Those pairs, too, are verified, and both sets of links give the classes.
+1. A node's weight is the number of bucket rows it meets; in a group of copies of one text the text itself
+   meets most. In each round, each bucket's heaviest node that led no round before meets the
+   bucket's nodes of other classes; the pairs are verified and nodes close by links get one root.
+2. After ROUNDS rounds, buckets whose nodes still have several roots pair the nodes of different roots.
+3. Those pairs, too, are verified, and all links give the classes.
 
-A pair inside one class is never needed, so nothing is lost, and a bucket of n linked
-nodes costs n pairs. Nodes known to be equal are replaced by one of them before pairing. Every
+A pair under one root is never needed, so nothing is lost, and a bucket of n nodes linked
+to one of them costs n pairs. Nodes known to be equal are replaced by one of them before pairing. Every
 intermediate is written to the shared folder, so a lost executor costs its tasks alone.
 """
 
@@ -26,25 +28,33 @@ from lakekit.operators.components import connected_components
 from lakekit.session import scratch_path
 
 LEAD = 1
+ROUNDS = 3
+FEW = 500_000  # nodes that may be broadcast
 SIGNATURE = "sig bigint, node bigint, info bigint"
-BUCKET = "sig bigint, first bigint, first_info bigint, node bigint, info bigint"
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by signature, LEAD rows first -> each row beside its bucket's first; lone rows go."""
-    sig0 = first0 = info0 = None
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by signature, LEAD rows first -> the rows of buckets of two rows and more that hold a LEAD row."""
+    last = None  # the bucket at hand: its signature, its first row, and whether that was passed on
     for batch in batches:
         sig, node, info = (batch.column(i).to_numpy() for i in range(3))
         if not len(sig):
             continue
-        new = np.concatenate([[sig0 is None or sig[0] != sig0], sig[1:] != sig[:-1]])
+        new = np.concatenate([[last is None or sig[0] != last[0]], sig[1:] != sig[:-1]])
         start = np.maximum.accumulate(np.where(new, np.arange(len(sig)), -1))
-        first = np.where(start < 0, first0 if first0 is not None else 0, node[start])
-        first_info = np.where(start < 0, info0 if info0 is not None else 0, info[start])
-        sig0, first0, info0 = sig[-1], first[-1], first_info[-1]
-        keep = ~new & (first_info & LEAD == LEAD) & ((node != first) | (info != first_info))
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (sig, first, first_info, node, info)],
-                                         names=["sig", "first", "first_info", "node", "info"])
+        first_info = np.where(start < 0, last[2] if last else 0, info[start])
+        lead = first_info & LEAD == LEAD
+        keep = ~new & lead
+        keep[:-1] |= new[:-1] & ~new[1:] & lead[:-1]
+        rows = [x[keep] for x in (sig, node, info)]
+        if not new[0] and last[2] & LEAD and not last[3]:
+            rows = [np.append(x, v) for x, v in zip(rows, last[:3])]
+        at = start[-1]
+        if at < 0:
+            last = (last[0], last[1], last[2], True)
+        else:
+            last = (sig[-1], node[at], info[at], bool(keep[at]))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["sig", "node", "info"])
 
 
 def _stored(rows: DataFrame, name: str, schema: str) -> DataFrame:
@@ -53,10 +63,13 @@ def _stored(rows: DataFrame, name: str, schema: str) -> DataFrame:
     return rows.sparkSession.read.schema(schema).parquet(path)
 
 
-def _links(pairs: DataFrame, texts: DataFrame, verify: Callable) -> DataFrame:
+def _among(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows whose node is one of `nodes`; few nodes are broadcast, so the rows' texts stay where they are."""
+    return rows.join(F.broadcast(nodes) if nodes.count() <= FEW else nodes, "node", "left_semi")
+
+
+def _links(pairs: DataFrame, needed: DataFrame, verify: Callable) -> DataFrame:
     """The pairs (u, v) that `verify` keeps, given rows of u, v and their texts."""
-    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    needed = _stored(texts.join(wanted, "node").select("node", "text"), "pair-texts", "node bigint, text string")
     both = pairs.join(needed.select(F.col("node").alias("u"), F.col("text").alias("a")), "u").join(
         needed.select(F.col("node").alias("v"), F.col("text").alias("b")), "v")
     return _stored(both.select("u", "v", "a", "b").mapInArrow(verify, "u bigint, v bigint"), "links", "u bigint, v bigint")
@@ -72,33 +85,69 @@ def _as_rep(rows: DataFrame, copies: DataFrame, column: str) -> DataFrame:
 def equal_nodes(keys: DataFrame, by: list[str]) -> DataFrame:
     """(node, rep) for every node that is not the smallest among those with the same key."""
     classes = keys.groupBy(*by).agg(F.min("node").alias("rep"), F.count("*").alias("n")).where("n > 1")
-    return keys.join(classes, by).where("node <> rep").select("node", "rep").distinct()
+    return _stored(keys.join(classes, by).where("node <> rep").select("node", "rep").distinct(), "copies", "node bigint, rep bigint")
+
+
+def _near_roots(links: DataFrame) -> DataFrame:
+    """(node, root): the least node within three links. Equal roots are surely connected, and a
+    group around one node has one root; between rounds that is enough to skip pairs."""
+    both = links.union(links.select("v", "u")).union(links.select("u", "u")).union(links.select("v", "v")).distinct()
+    least = both.groupBy("u").agg(F.min("v").alias("root"))
+    for _ in range(2):
+        step = least.select(F.col("u").alias("v"), "root")
+        least = both.join(step, "v").groupBy("u").agg(F.min("root").alias("root"))
+    return _stored(least.select(F.col("u").alias("node"), "root"), "near-roots", "node bigint, root bigint")
 
 
-def linked_classes(nodes: DataFrame, copies: DataFrame, signatures: DataFrame, texts: DataFrame, verify: Callable,
-                   valid: Callable[[str, str], str]) -> DataFrame:
-    """(node, root) for nodes(node): the smallest node reachable over links and equal nodes.
+def linked_classes(copies: DataFrame, signatures: DataFrame, texts: DataFrame, verify: Callable,
+                   valid: Callable[[str, str], str], sketch: Callable | None = None, words: int = 0,
+                   close: Callable[[str, str], str] | None = None, rounds: int = ROUNDS) -> DataFrame:
+    """(node, root) of every node with a link or an equal: the smallest node reachable over those.
 
     texts(node, text) has each node's text, valid(x, y) is a SQL condition on two info columns that
-    every link meets in some bucket, and verify maps Arrow batches (u, v, a, b) to kept (u, v).
+    every link meets in some bucket, and verify maps Arrow batches (u, v, a, b) to kept (u, v). `sketch` maps
+    batches (node, text) to (node, s0 .. s`words`-1), and close(u, v) is a SQL condition on rows u and v with those
+    and info that every link meets: it spares pairs that only share a bucket.
     """
+    spark = signatures.sparkSession
     ordered = signatures.repartition("sig").sortWithinPartitions("sig", F.expr(f"{LEAD} - (info & {LEAD})"), "node")
-    buckets = _stored(ordered.mapInArrow(_stars, BUCKET), "buckets", BUCKET)
-    near = buckets.where(valid("info", "first_info")).select("first", "node").distinct()
-    near = _as_rep(_as_rep(near, copies, "first"), copies, "node").where("first <> node")
-    pairs = _stored(near.select(F.least("first", "node").alias("u"), F.greatest("first", "node").alias("v")).distinct(),
-                    "pairs", "u bigint, v bigint")
-    links = _links(pairs, texts, verify)
-    roots = connected_components(nodes, links)
-
-    members = buckets.select("sig", "node", "info").union(buckets.select("sig", "first", "first_info").distinct())
-    labelled = _as_rep(members, copies, "node").distinct().join(roots, "node")
-    split = labelled.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
-    rest = _stored(labelled.join(split, "sig").select("sig", "node", "info", "root"), "open-buckets", f"{SIGNATURE}, root bigint")
-    one, two = (rest.select("sig", F.col("node").alias(x), F.col("info").alias(f"{x}_info"), F.col("root").alias(f"{x}_root")) for x in "uv")
-    across = one.join(two, "sig").where(f"u < v and u_root <> v_root and ({valid('u_info', 'v_info')})").select("u", "v").distinct()
-    more = _stored(across.join(pairs, ["u", "v"], "left_anti"), "pairs", "u bigint, v bigint")
-    every = links.union(copies.select("rep", "node"))
-    if not more.isEmpty():
-        every = every.union(_links(more, texts, verify))
-    return connected_components(nodes, every)
+    buckets = _stored(ordered.mapInArrow(_shared, SIGNATURE), "buckets", SIGNATURE)
+    # dealt by signature once: what follows up to the join needs no other shuffle
+    rows = _as_rep(buckets, copies, "node").repartition("sig").distinct()
+    sizes = rows.groupBy("sig").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
+    rows = _stored(rows.join(sizes.select("sig", "n"), "sig"), "rows", f"{SIGNATURE}, n bigint")
+    weights = rows.groupBy("node").agg(F.sum("n").alias("weight"))
+    members = _stored(rows.join(weights, "node").select("sig", "node", "info", "weight"), "members", f"{SIGNATURE}, weight bigint")
+    needed = _stored(_among(texts, members.select("node").distinct()).select("node", "text"), "member-texts", "node bigint, text string")
+
+    pair, same = "u bigint, v bigint", copies.select(F.col("rep").alias("u"), F.col("node").alias("v"))
+    seen, links, led = spark.createDataFrame([], pair), spark.createDataFrame([], pair), spark.createDataFrame([], "node bigint")
+    open_ = members.withColumn("root", F.col("node"))
+    for turn in range(rounds + 1):
+        if turn < rounds:
+            heads = open_.where(f"(info & {LEAD}) <> 0").join(led, "node", "left_anti").groupBy("sig").agg(
+                F.max(F.struct("weight", "node", "info", "root")).alias("head"))
+            met = open_.join(heads, "sig").where(f"root <> head.root and ({valid('info', 'head.info')})").select(
+                F.col("head.node").alias("head"), "node")
+            led = _stored(led.union(met.select("head")).distinct(), "heads", "node bigint")
+            found = met.select(F.least("head", "node").alias("u"), F.greatest("head", "node").alias("v"))
+        else:
+            rows, names, test = open_, [], f"u.node < v.node and u.root <> v.root and ({valid('u.info', 'v.info')})"
+            if sketch is not None:
+                names = [f"s{k}" for k in range(words)]
+                schema = ", ".join(["node bigint", *(f"{n} bigint" for n in names)])
+                rows = rows.join(_stored(needed.mapInArrow(sketch, schema), "sketches", schema), "node")
+                test += f" and ({close('u', 'v')})"
+            rows = rows.select("sig", "node", "info", "root", *names)
+            found = rows.alias("u").join(rows.alias("v"), F.expr(f"u.sig = v.sig and {test}")).selectExpr("u.node AS u", "v.node AS v")
+        pairs = _stored(found.distinct().join(seen, ["u", "v"], "left_anti"), "pairs", pair)
+        if not pairs.isEmpty():
+            seen, links = seen.union(pairs), links.union(_links(pairs, needed, verify))
+        if turn < rounds:
+            labelled = members.join(_near_roots(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+            split = labelled.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
+            open_ = _stored(labelled.join(split, "sig").select("sig", "node", "info", "weight", "root"), "open", f"{SIGNATURE}, weight bigint, root bigint")
+            if open_.isEmpty():
+                break
+    every = _stored(links.union(same), "all-links", pair)
+    return connected_components(every.select(F.col("u").alias("node")).union(every.select("v")).distinct(), every)
