@@ -21,46 +21,87 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.arrays import BYTE_VALUES, chunks, mix, prefix_hash, ragged, span_hash
-from lakekit.llm.linking import LEAD, SIGNATURE, equal_nodes, linked_classes
+from lakekit.llm.arrays import BYTE_VALUES, byte_view, chunks, mix, prefix_hash, ragged, span_hash
+from lakekit.llm.linking import FEW, LEAD, SIGNATURE, equal_nodes, linked_classes
 from lakekit.session import scratch_path
 
 LIMIT = 2
 SHORT = 20
 INDEX, PROBE = LEAD, 2
-LINES = "rid bigint, doc_id bigint, line int, text string, h1 bigint, h2 bigint, size int"
+BASE = "rid bigint, doc_id bigint, text string, node0 bigint"
+LINES = "node bigint, rid bigint, doc_id bigint, line int, h1 bigint, h2 bigint, size int"
+PART_BITS = 40  # a node is its task's number, then the line's number among the task's lines
 
 
-def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add the node of each row's first line."""
+    following = TaskContext.get().partitionId() << PART_BITS
     for batch in batches:
-        for chunk in chunks(batch.column(2)):
-            valid = batch.column(2).is_valid().to_numpy(zero_copy_only=False)[chunk.lo:chunk.hi]
-            data = chunk.data
-            feed = np.flatnonzero(data == 10)
-            rows = np.searchsorted(chunk.offsets, feed, "right") - 1
-            rows = np.concatenate([np.arange(chunk.rows), rows])
-            starts = np.concatenate([chunk.offsets[:-1], feed + 1])
-            order = np.lexsort((starts, rows))
-            rows, starts = rows[order], starts[order]
-            ends = np.concatenate([starts[1:] - 1, [0]]) if len(starts) else starts
-            last = np.append(rows[1:] != rows[:-1], True)
-            ends[last] = chunk.offsets[rows[last] + 1]
-            keep = valid[rows]
-            rows, starts, ends = rows[keep], starts[keep], ends[keep]
-            first = np.searchsorted(rows, rows)
-            values = BYTE_VALUES[data]
+        data, offsets = byte_view(batch.column(2))
+        feeds = np.concatenate([[0], np.cumsum(data[offsets[0]:offsets[-1]] == 10)])
+        count = feeds[offsets[1:] - offsets[0]] - feeds[offsets[:-1] - offsets[0]] + 1
+        count[~batch.column(2).is_valid().to_numpy(zero_copy_only=False)] = 0
+        ends = following + np.cumsum(count)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ends - count, pa.int64())], names=["rid", "doc_id", "text", "node0"])
+        following = int(ends[-1]) if len(ends) else following
+
+
+def _split(batch: pa.RecordBatch):
+    """For each chunk of a base batch: (chunk, row, line, start, end, size in code points, node) of its lines."""
+    valid = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
+    node0 = batch.column(3).to_numpy()
+    for chunk in chunks(batch.column(2)):
+        data = chunk.data
+        feed = np.flatnonzero(data == 10)
+        rows = np.concatenate([np.arange(chunk.rows), np.searchsorted(chunk.offsets, feed, "right") - 1])
+        starts = np.concatenate([chunk.offsets[:-1], feed + 1])
+        order = np.lexsort((starts, rows))
+        rows, starts = rows[order], starts[order]
+        ends = np.append(starts[1:] - 1, 0)
+        last = np.append(rows[1:] != rows[:-1], True)
+        ends[last] = chunk.offsets[rows[last] + 1]
+        keep = valid[chunk.lo + rows]
+        rows, starts, ends = rows[keep], starts[keep], ends[keep]
+        line = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        lead = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        yield chunk, rows, line, starts, ends, lead[ends] - lead[starts], node0[chunk.lo + rows] + line
+
+
+def _blank(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    solid = np.concatenate([[0], np.cumsum(data != 32)])
+    return solid[ends] == solid[starts]
+
+
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of the lines that are not blank."""
+    for batch in batches:
+        for chunk, rows, line, starts, ends, size, node in _split(batch):
+            values = BYTE_VALUES[chunk.data]
             one, two = prefix_hash(values), prefix_hash(mix(values + np.uint64(1)))
-            lead = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-            texts = pa.StringArray.from_buffers(len(rows), pa.py_buffer(np.append(0, np.cumsum(ends - starts)).astype(np.int32)),
-                                                pa.py_buffer(data[ragged(starts, ends - starts)]))
-            own = [batch.column(i).slice(chunk.lo, chunk.rows).take(pa.array(rows)) for i in (0, 1)]
+            use = ~_blank(chunk.data, starts, ends)
+            own = [batch.column(i).slice(chunk.lo, chunk.rows).take(pa.array(rows[use])) for i in (0, 1)]
+            h1, h2 = (span_hash(h, starts[use], ends[use]).view(np.int64) for h in (one, two))
             yield pa.RecordBatch.from_arrays([
-                *own, pa.array((np.arange(len(rows)) - first).astype(np.int32)), texts,
-                pa.array(span_hash(one, starts, ends).view(np.int64)), pa.array(span_hash(two, starts, ends).view(np.int64)),
-                pa.array((lead[ends] - lead[starts]).astype(np.int32))], names=["rid", "doc_id", "line", "text", "h1", "h2", "size"])
+                pa.array(node[use]), *own, pa.array(line[use].astype(np.int32)), pa.array(h1), pa.array(h2),
+                pa.array(size[use].astype(np.int32))], names=["node", "rid", "doc_id", "line", "h1", "h2", "size"])
+
+
+def _texts(least: int):
+    """Texts of the lines of at least that size."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, _, _, starts, ends, size, node in _split(batch):
+                use = (size >= least) & ~_blank(chunk.data, starts, ends)
+                starts, sizes = starts[use], (ends - starts)[use]
+                texts = pa.StringArray.from_buffers(len(sizes), pa.py_buffer(np.append(0, np.cumsum(sizes)).astype(np.int32)),
+                                                    pa.py_buffer(chunk.data[ragged(starts, sizes)]))
+                yield pa.RecordBatch.from_arrays([pa.array(node[use]), texts], names=["node", "text"])
+
+    return run
 
 
 def segments(size: np.ndarray, limit: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -86,36 +127,34 @@ def probes(size: np.ndarray, limit: int):
                 yield i, listed, low + step, length, low + step <= high
 
 
-def _signatures(limit: int, short: int):
+def _signatures(limit: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # hashes of this task's lines: an equal line needs no list of its own
         for batch in batches:
-            nodes = batch.column(0).to_numpy()
-            for chunk in chunks(batch.column(1)):
+            for chunk, _, _, starts, ends, size, node in _split(batch):
                 # running hashes over code points: one entry per lead byte
-                data = chunk.data
-                lead = np.flatnonzero((data & 0xC0) != 0x80)
-                bounds = np.append(lead, len(data))
-                prefix = prefix_hash(BYTE_VALUES[data])
-                begin = np.searchsorted(lead, chunk.offsets)
-                size = np.diff(begin)
-                use = np.flatnonzero(size >= max(short, limit + 1))
+                lead = np.flatnonzero((chunk.data & 0xC0) != 0x80)
+                bounds = np.append(lead, len(chunk.data))
+                prefix = prefix_hash(BYTE_VALUES[chunk.data])
+                use = np.flatnonzero((size >= least) & ~_blank(chunk.data, starts, ends))
+                whole = span_hash(prefix, starts[use], ends[use]).tolist()
+                use = use[[h not in seen and not seen.add(h) for h in whole]]
                 if not len(use):
                     continue
-                first, size = begin[use], size[use]
-                node = nodes[chunk.lo + use]
+                first, size, node = np.searchsorted(lead, starts[use]), size[use], node[use]
 
                 def rows(i, listed, start, length, flag, ok):
                     a, b = first[ok] + start[ok], first[ok] + start[ok] + length[ok]
                     place = mix(listed[ok].astype(np.uint64) * np.uint64(64) + np.uint64(i))
                     sig = mix(span_hash(prefix, bounds[a], bounds[b]) ^ place)
-                    return pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(node[ok]), pa.array(size[ok] * 4 + flag)],
+                    return pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(node[ok]), pa.array(np.full(len(a), flag))],
                                                       names=["sig", "node", "info"])
 
-                whole = np.ones(len(use), bool)
+                whole = np.ones(len(node), bool)
                 for i, (start, length) in enumerate(segments(size, limit)):
                     yield rows(i, size, start, length, INDEX, whole)
                 for i, listed, start, length, ok in probes(size, limit):
-                    ok = ok & (listed >= max(short, limit + 1))
+                    ok = ok & (listed >= least)
                     if ok.any():
                         yield rows(i, listed, start, length, PROBE, ok)
 
@@ -180,40 +219,32 @@ def _verify(limit: int):
     return run
 
 
-def line_classes(docs: DataFrame, limit: int = LIMIT, short: int = SHORT, id_col: str = "doc_id", text_col: str = "text"):
-    """All lines with a `node` each, and (node, root) of those that are not blank."""
-    spark = docs.sparkSession
-    line_path = scratch_path(spark, "lines")
-    numbered = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    numbered = numbered.withColumn("rid", F.monotonically_increasing_id())
-    numbered.select("rid", "doc_id", "text").mapInArrow(_split, LINES).withColumn(
-        "node", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(line_path)
-    lines = spark.read.schema(f"{LINES}, node bigint").parquet(line_path)
-    wordy = lines.where("size > 0 and trim(text) <> ''")
-    copies = equal_nodes(wordy.select("node", "h1", "h2", "size"), ["h1", "h2", "size"])
-    texts = wordy.where(f"size >= {max(short, limit + 1)}").select("node", "text")
+def drop_lines(docs: DataFrame, limit: int = LIMIT, short: int = SHORT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: doc_id, n_lines, n_removed, kept (the text without the removed lines, null for a null text)."""
+    spark, least = docs.sparkSession, max(short, limit + 1)
+    base_path, line_path, gone_path = (scratch_path(spark, n) for n in ("line-rows", "lines", "gone-lines"))
+    numbered = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    numbered.mapInArrow(_number, BASE).write.option("compression", "zstd").parquet(base_path)
+    base = spark.read.schema(BASE).parquet(base_path)
+    base.mapInArrow(_lines, LINES).write.option("compression", "zstd").parquet(line_path)
+    lines = spark.read.schema(LINES).parquet(line_path)
 
     def valid(a: str, b: str) -> str:
         return f"(({a} & {INDEX}) <> ({b} & {INDEX}))"
 
-    roots = linked_classes(wordy.select("node"), copies, texts.mapInArrow(_signatures(limit, short), SIGNATURE), texts, _verify(limit), valid)
-    return lines, roots
-
-
-def drop_lines(docs: DataFrame, limit: int = LIMIT, short: int = SHORT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_lines, n_removed, kept (the text without the removed lines, null for a null text)."""
-    lines, roots = line_classes(docs, limit, short, id_col, text_col)
-    shared = roots.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
-    members = lines.select("rid", "doc_id", "line", "node").join(roots.join(shared, "root"), "node")
+    copies = equal_nodes(lines.select("node", "h1", "h2", "size"), ["h1", "h2", "size"])
+    roots = linked_classes(copies, base.mapInArrow(_signatures(limit, least), SIGNATURE),
+                           base.mapInArrow(_texts(least), "node bigint, text string"), _verify(limit), valid)
+    members = lines.select("rid", "doc_id", "line", "node").join(roots, "node")
     first = members.groupBy("root").agg(F.min(F.struct("doc_id", "rid", "line", "node")).alias("first"))
-    removed = members.join(first, "root").where("node <> first.node").groupBy("rid").agg(F.collect_set("line").alias("gone"))
-    whole = lines.groupBy("rid").agg(F.first("doc_id").alias("doc_id"), F.count("*").alias("n_lines"),
-                                     F.collect_list(F.struct("line", "text")).alias("all"))  # one text's own lines
-    stay = F.filter(F.array_sort("all"), lambda x: ~F.coalesce(F.array_contains("gone", x["line"]), F.lit(False)))
-    kept = whole.join(removed, "rid", "left").select(
-        "doc_id", "n_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"),
-        F.array_join(F.transform(stay, lambda x: x["text"]), "\n").alias("kept"))
-    nothing = docs.where(F.col(text_col).isNull()).select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.lit(0).cast("bigint").alias("n_lines"),
-        F.lit(0).cast("bigint").alias("n_removed"), F.lit(None).cast("string").alias("kept"))
-    return kept.unionByName(nothing)
+    gone = members.join(first, "root").where("node <> first.node").groupBy("rid").agg(F.collect_set("line").alias("gone"))
+    gone.write.parquet(gone_path)  # a row's list is no longer than its text
+    gone = spark.read.schema("rid bigint, gone array<int>").parquet(gone_path)
+    n_gone = gone.agg(F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()[0]
+    rows = base.select("rid", "doc_id", "text", F.split("text", "\n", -1).alias("lines"))
+    rows = rows.join(F.broadcast(gone) if n_gone <= FEW else gone, "rid", "left")
+    stay = F.filter(F.transform("lines", lambda x, i: F.struct(i.alias("i"), x.alias("x"))),
+                    lambda p: ~F.array_contains("gone", p["i"]))
+    kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda p: p["x"]), "\n"))
+    return rows.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("bigint").alias("n_lines"),
+                       F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"), kept.alias("kept"))
