@@ -158,7 +158,7 @@ def _from_string(text: Column, declared: str, json_text: bool) -> Column:
 # skeleton has the declared shape is read as texts, level by level, and cast; any
 # other line, and any token that is not a string or null, goes through VARIANT.
 
-_STRING = r'"(?:[^"\\]|\\.)*+"'
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _BOXES = "array<struct<v:string>>"
 _RECORD = f"struct<f:{_BOXES}>"
 
