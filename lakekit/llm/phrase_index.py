@@ -4,7 +4,9 @@
 shard, the postings of all its words: word hash -> positions. `phrase_matches`
 looks up every benchmark phrase by intersecting the offset-adjusted position lists of
 its words, the globally rarest word first, and gives exact phrase hits; with `near` it
-also gives items whose rarest words stand close together.
+also gives items whose rarest words stand close together. Only words that the corpus has are
+taken for that, so an item of which some words were altered is still found near; an item with none
+of its words in the corpus is near nothing.
 
 Words are runs of ASCII letters and digits (A-Z lower-cased) and of any non-ASCII
 characters; they are known by 64-bit hashes. Null and empty texts have no words and no
@@ -128,9 +130,9 @@ def _matcher(block, counts, near: bool):
         close = []
         if near:
             for k, words in enumerate(packed["words"]):
-                terms = sorted(set(words.tolist()), key=lambda w: (rank.get(w, 0), w))[:NEAR_TERMS]
-                if terms and rank.get(terms[0], 0):
-                    close.append((k, terms))
+                present = [w for w in set(words.tolist()) if w in rank]  # an altered copy has lost some words
+                if present:
+                    close.append((k, sorted(present, key=lambda w: (rank[w], w))[:NEAR_TERMS]))
         names = ["" if i is None else str(i) for i in packed["items"]]
         for batch in batches:
             for row in batch.to_pylist():

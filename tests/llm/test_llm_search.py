@@ -75,6 +75,13 @@ def test_proximity_and_empty_tables(spark):
     assert [(r.n_hit, r.n_items, r.contaminated) for r in none] == [(0, 0, False)] * 3
 
 
+def test_proximity_passes_over_words_the_corpus_lacks(spark):
+    items = [(1, "red green missing blue yellow"), (2, "nowhere found"), (3, "red green blue yellow")]
+    rows = [(1, "red green other blue yellow"), (2, "red " + "x " * 60 + "green blue yellow"), (3, "red green")]
+    got = {r.doc_id: (sorted(r.near), r.n_near) for r in phrase_index.decontaminate(frame(spark, rows), benchmark_of(spark, items)).collect()}
+    assert got == {1: (["1", "3"], 2), 2: ([], 0), 3: ([], 0)}
+
+
 def bm25_brute(rows, queries, top):
     docs = [(d, Counter(tokens(t))) for d, t in rows]
     size = [sum(c.values()) for _, c in docs]
