@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept. Every stage
 but the last returns the columns of documents. Rows with a null or empty text pass the filters;
-the mix takes tokens, so it drops texts without any.
+the mix takes tokens, so it drops texts without any. Stages decide by row: ids may be null or
+repeat, and doc_id only tells which row of a class of near copies stays.
 """
 
 from __future__ import annotations
@@ -12,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakekit.llm import jaccard_join, mixing, phrase_index, token_files, toxicity
-from lakekit.session import scratch_path
+from lakekit.llm.linking import FEW
+from lakekit.session import cut_lineage, scratch_path
+
+ROW = "_pipeline_row"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,18 +26,36 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("_toxicity") < toxicity.THRESHOLD).drop("_toxicity")
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a written number of their own under ROW: ids may be null or repeat."""
+    path = scratch_path(docs.sparkSession, "numbered")
+    rows = docs.withColumn(ROW, F.monotonically_increasing_id())
+    rows.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows whose number is not among `dropped`; few numbers are broadcast, so the texts stay where they are."""
+    dropped = cut_lineage(dropped)
+    return rows.join(F.broadcast(dropped) if dropped.count() <= FEW else dropped, ROW, "left_anti")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each class at a Jaccard similarity of 0.8 over five-word shingles, once."""
-    found = jaccard_join.similar_classes(docs).where("component_id is null or doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).join(found, "doc_id")
-    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """The row of least id (rows without an id last) of each class at a Jaccard similarity of 0.8 over five-word shingles, once."""
+    rows = _numbered(docs)
+    classes = jaccard_join.similar_classes(rows, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id")
+    ranked = F.struct(F.col("doc_id").isNull(), "doc_id", ROW)
+    first = classes.join(rows.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(F.min(ranked).alias("first"))
+    others = rows.select(ROW).join(first.select(f"first.{ROW}"), ROW, "left_anti")
+    return _without(rows, others).select(*docs.columns)
 
 
 def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any ten-word window of a benchmark item."""
-    checked = phrase_index.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), near=False)
-    hit = checked.where("contaminated and doc_id is not null").select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    """Rows without any ten-word window of a benchmark item."""
+    rows = _numbered(docs)
+    checked = phrase_index.decontaminate(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=ROW, near=False)
+    hit = checked.where("contaminated").select(F.col("doc_id").alias(ROW))
+    return _without(rows, hit).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

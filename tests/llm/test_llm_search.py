@@ -173,3 +173,20 @@ def test_pipeline_stages(spark, tmp_path):
     mixed = sorted((r.doc_id, r.text) for r in kept.collect())
     assert sorted(r.doc_id for r in final.collect()) == [d for d, _ in mixed]
     assert final.agg(F.max(F.col("start") + F.col("n_tokens")), F.sum("n_tokens")).first()[0] == final.agg(F.sum("n_tokens")).first()[0]
+
+
+def test_pipeline_stages_decide_by_row(spark, tmp_path):
+    """Null and repeated ids: clean rows stay, copies and benchmark text go, whatever id they have."""
+    rng = random.Random(12)
+    texts = [" ".join(words(rng, 60, 4000)) for _ in range(8)]
+    near = [(1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[2]), (None, texts[3]), (5, texts[3] + " more"), (None, None), (None, ""),
+            (7, texts[4]), (3, texts[4] + " more"), (3, texts[5]), (8, texts[6]), (8, texts[6])]
+    kept = corpus_pipeline.drop_near_copies(spark, frame(spark, near), str(tmp_path))
+    want = [(1, texts[0]), (1, texts[1]), (None, texts[2]), (5, texts[3] + " more"), (None, None), (None, ""),
+            (3, texts[4] + " more"), (3, texts[5]), (8, texts[6])]
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(want)
+
+    benchmark_of(spark, [(1, " ".join(texts[0].split()[4:20]))]).write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, texts[0]), (1, texts[0]), (1, texts[1]), (None, texts[2]), (2, texts[3]), (2, texts[3]), (None, None), (None, "")]
+    kept = corpus_pipeline.drop_benchmark_text(spark, frame(spark, rows), str(tmp_path))
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(rows[2:])
