@@ -10,8 +10,8 @@ The guess cost of a value is the cheapest way to cut it into words of a ranked l
 case, simple digit-for-letter swaps), dates, repeats, keyboard walks and brute-force spans:
 costs multiply along the cut, a cut of k pieces is multiplied by k! for their unknown
 order, and each piece beyond the first adds PIECE guesses. The program keeps, for each prefix and
-number of pieces, the least product; values over VALUE_MAX characters are valued as
-brute force beyond that (they cost more than the threshold in any case unless they are one repeat, which is tested on the whole value).
+number of pieces, the least product. For values over VALUE_MAX characters only cuts of at most three pieces
+are tried, over the whole value: four cost PIECE ** 3 at least, more than the threshold.
 
 Words come ranked by their count over all documents (a bounded head of the list is
 broadcast) after a short fixed list of common passwords. Null and empty texts have no spans.
@@ -50,6 +50,7 @@ MIN_GUESSES = 1e10
 PIECE = 1e4
 WORDS = 20_000
 VALUE_MAX = 64
+SHORT = 9  # one character more by brute force, or in a repeated unit, costs MIN_GUESSES with the least alphabet
 MIN_WALK, MIN_REPEAT = 3, 3
 _DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])([-/._]?)(?:0?[1-9]|1[0-2])\2(?:19|20)?\d\d|(?:19|20)\d\d")
 
@@ -89,9 +90,13 @@ def _word_cost(piece: str, ranks: dict[str, int]) -> float:
     return rank * extra
 
 
+def _date_cost(length: int) -> float:
+    return 365.0 * 100 * (1 if length <= 8 else 4)
+
+
 def pieces(value: str, ranks: dict[str, int]) -> Iterator[tuple[int, int, float]]:
     """(start, end, guesses) of every word, date, repeat and keyboard walk inside `value`."""
-    n, low = len(value), value.lower()
+    n = len(value)
     for i in range(n):
         for j in range(i + 2, min(n, i + 24) + 1):
             cost = _word_cost(value[i:j], ranks)
@@ -100,8 +105,14 @@ def pieces(value: str, ranks: dict[str, int]) -> Iterator[tuple[int, int, float]
     for i in range(n):
         found = _DATE.match(value, i)
         if found:
-            yield i, found.end(), 365.0 * 100 * (1 if found.end() - i <= 8 else 4)
-    for unit in range(1, n // MIN_REPEAT + 1):
+            yield i, found.end(), _date_cost(found.end() - i)
+    yield from _runs(value, n // MIN_REPEAT)
+
+
+def _runs(value: str, units: int) -> Iterator[tuple[int, int, float]]:
+    """(start, end, guesses) of every repeat of up to `units` characters and every keyboard walk inside `value`."""
+    n, low = len(value), value.lower()
+    for unit in range(1, min(units, n // MIN_REPEAT) + 1):
         i = 0
         while i + unit < n:
             j = i
@@ -123,18 +134,19 @@ def pieces(value: str, ranks: dict[str, int]) -> Iterator[tuple[int, int, float]
 
 
 def guess_cost(value: str, ranks: dict[str, int]) -> float:
-    """Least number of guesses over all cuts of `value` into pieces; 1 for an empty value."""
-    whole = _whole_repeat(value)
-    if whole is not None:
-        return whole
-    head, rest = value[:VALUE_MAX], value[VALUE_MAX:]
-    n = len(head)
+    """Least number of guesses over all cuts of `value` into pieces; 1 for an empty value.
+
+    Of a value over VALUE_MAX characters, MIN_GUESSES and more may be given as infinite.
+    """
+    n = len(value)
+    if n > VALUE_MAX:
+        return _long_cost(value, ranks)
     if not n:
         return 1.0
     ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-    for i, j, cost in pieces(head, ranks):
+    for i, j, cost in pieces(value, ranks):
         ends[j].append((i, max(1.0, cost)))
-    size = max(10, _alphabet(head))
+    size = max(10, _alphabet(value))
     for j in range(1, n + 1):
         for i in range(j):
             ends[j].append((i, float(size) ** (j - i)))
@@ -145,17 +157,41 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
             for k, before in best[i].items():
                 if k < 12 and before * cost < row.get(k + 1, math.inf):
                     row[k + 1] = before * cost
-    least = min(math.factorial(k) * product + PIECE ** (k - 1) for k, product in best[n].items())
-    return least * float(max(10, _alphabet(rest))) ** min(len(rest), 150) if rest else least
-
-
-def _whole_repeat(value: str) -> float | None:
-    """Cost of a long value that is one short unit over and over."""
-    if len(value) > VALUE_MAX:
-        period = (value + value).find(value, 1)
-        if period <= VALUE_MAX // 2 and len(value) // period >= MIN_REPEAT:
-            return float(_alphabet(value[:period])) ** period * (len(value) // period)
-    return None
+    return min(math.factorial(k) * product + PIECE ** (k - 1) for k, product in best[n].items())
+
+
+def _long_cost(value: str, ranks: dict[str, int]) -> float:
+    """Least number of guesses over the cuts of a long value into at most three pieces, infinite if there are none
+    under MIN_GUESSES. The work beyond one pass for the runs does not grow with the length."""
+    n, size = len(value), max(10, _alphabet(value))
+    runs: dict[int, list[tuple[int, float]]] = {}
+    for i, j, cost in _runs(value, SHORT):
+        runs.setdefault(i, []).append((j, cost))
+
+    def after(i: int) -> dict[int, float]:
+        """The ends of the pieces that start at `i`, with the least guesses."""
+        out = {j: float(size) ** (j - i) for j in range(i + 1, min(n, i + SHORT) + 1)}
+        found = [(j, _word_cost(value[i:j], ranks)) for j in range(i + 2, min(n, i + 24) + 1)] + runs.get(i, [])
+        dated = _DATE.match(value, i)
+        if dated:
+            found.append((dated.end(), _date_cost(dated.end() - i)))
+        for j, cost in found:
+            if cost < out.get(j, MIN_GUESSES):
+                out[j] = max(1.0, cost)
+        return out
+
+    least, heads = math.inf, {0: 1.0}
+    for k in (1, 2, 3):
+        reached: dict[int, float] = {}
+        for i, before in heads.items():
+            for j, cost in after(i).items():
+                if before * cost < reached.get(j, MIN_GUESSES):
+                    reached[j] = before * cost
+        if n in reached:
+            least = min(least, math.factorial(k) * reached.pop(n) + PIECE ** (k - 1))
+        # the last piece reaches the end by a short piece or by a run
+        heads = {i: x for i, x in reached.items() if k < 2 or n - i <= 24 or i in runs}
+    return least
 
 
 def spans_of(text: str, ranks: dict[str, int]) -> list[tuple[int, int, int]]:

@@ -98,6 +98,25 @@ def test_secret_scan(spark):
     assert secret_scan.scan(frame(spark, [])).collect() == []
 
 
+def test_long_values_are_cut_whole(monkeypatch):
+    ranks = {w: k for k, w in enumerate(["love", "monkey", "the", "cat", "counterrevolutionaries"], 1)}
+    rng = random.Random(4)
+    fillers = ["-" * 70, "ab" * 40, "=" * 65, "abc123" * 12, "qwqw" * 20, "counterrevolutionaries" * 3]
+    ends = ["", "x", "monkey", "1999-12-31", "xK9#", "abcdefghij"]
+    values = [a + f + b for f in fillers for a in ends for b in ends] + ["".join(rng.choice("lovecat19qw-") for _ in range(n)) for n in (65, 70, 90)]
+    values = [v for v in values if len(v) > 64]
+    got = [secret_scan.guess_cost(v, ranks) for v in values]
+    monkeypatch.setattr(secret_scan, "VALUE_MAX", 1000)
+    want = [secret_scan.guess_cost(v, ranks) for v in values]
+    assert [g < secret_scan.MIN_GUESSES for g in got] == [w < secret_scan.MIN_GUESSES for w in want]
+    assert any(w < secret_scan.MIN_GUESSES for w in want) and any(w >= secret_scan.MIN_GUESSES for w in want)
+    for v, g, w in zip(values, got, want):
+        assert w >= secret_scan.MIN_GUESSES or g == pytest.approx(w, rel=1e-9), v
+    monkeypatch.undo()
+    for n in (60, 70, 5000):
+        assert secret_scan.spans_of("pwd: " + "-" * n + "x", ranks) == []
+
+
 def test_guess_cost_is_the_cheapest_cut():
     ranks = {w: k for k, w in enumerate(["love", "monkey", "the", "cat"], 1)}
     rng = random.Random(1)
