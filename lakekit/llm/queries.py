@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import bm25, jaccard_join, line_join, mixing, page_diff, phrase_index, secret_scan, suffix_dedup, token_files, toxicity
+from lakekit.llm import (bag_search, bm25, jaccard_join, line_join, mixing, packing, page_diff, phrase_index, secret_scan, spelling,
+                         suffix_dedup, token_files, toxicity)
 
 QUERIES, ORACLES = {}, {}
 
@@ -94,3 +95,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train_on_labels(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs.withColumn("held_out", toxicity.held_out()), model, ["doc_id", "held_out"])
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
+@_query("op11_bag_search", bag_search.oracle_sql())
+def op11_bag_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query("op12_spelling")
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(table(spark, sf_dir, "documents"))
+
+
+@_query("op13_packing")
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
