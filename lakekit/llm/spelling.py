@@ -146,13 +146,13 @@ def pivots(word: np.ndarray, place: np.ndarray, cost: np.ndarray) -> tuple[np.nd
     n = len(word)
     index = np.arange(n)
     far = int(cost.max(initial=0)) * 2 + 1
-    # keys fall from word to word, so a running minimum starts anew with each; the place rides along
-    key = ((cost - word * far) << 32) + index
-    best = np.minimum.accumulate(key)
+    # keys fall from word to word, so a running minimum starts anew with each; the place rides along, costs by their order
+    level, bits = np.unique(cost, return_inverse=True)[1], max(n, 1).bit_length()
+    best = np.minimum.accumulate(((level - word * GRAMS) << bits) + index)
     before = index - np.where((index > 0) & (np.roll(place, 1) == place - 1) & (np.roll(word, 1) == word), 2, 1)
     there = before >= 0
     there[there] &= word[before[there]] == word[there]
-    partner = np.where(there, best[before] & 0xFFFFFFFF, 0)
+    partner = np.where(there, best[before] & ((1 << bits) - 1), 0)
     total = np.where(there, cost + cost[partner], far)
     order = np.lexsort((index, total, word))
     second = order[np.searchsorted(word, np.unique(word))]
