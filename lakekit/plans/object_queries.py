@@ -1,5 +1,8 @@
 """Object inventories, file catalogue, sheets and mime types."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakekit.functions import fixed_values as fixed
@@ -8,6 +11,7 @@ from lakekit.operators import sinks
 from lakekit.plans.registry import query, table
 from lakekit.session import scratch_path
 from lakekit.sources import files, grid, inventory
+from lakekit.sources.objects import read_objects
 
 INVENTORY = r"""(SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#:]*)([^?#]*)', 1) AS bucket,
         regexp_replace(regexp_extract(url, '^[a-z]+://([^/?#:]*)([^?#]*)', 2), '^/', '') AS name FROM pages)"""
@@ -41,16 +45,60 @@ def list_buckets(spark, sf_dir):
 
 @query("object_metadata", """
 SELECT lang || '/' || doc_id || '.txt' AS name, CAST(octet_length(encode(text)) AS BIGINT) AS length, 'text/plain' AS content_type
-FROM documents WHERE lang = 'fr' AND starts_with(CAST(doc_id AS VARCHAR), '1')
+FROM documents
 """)
 def object_metadata(spark, sf_dir):
-    """Documents put as named objects; the listing of a prefix gives their metadata, no body is read."""
+    """Documents put as named objects; the listings of the languages' folders give their metadata, no body is read."""
     path = scratch_path(spark, "named")
     named = table(spark, sf_dir, "documents").select(
         F.concat("lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"), F.encode("text", "UTF-8").alias("body"))
     put = inventory.put_objects(named, "name", "body", path)
-    found = inventory.inventory_from_files(spark, path, "*.txt", prefix="/fr/1")
-    return found.select(F.substring_index("path", "/", -2).alias("name"), "length").join(put.select("name", "content_type"), "name")
+    listed = [inventory.inventory_from_files(spark, path, "*.txt", prefix=f"/{lang}/") for lang in ("en", "fr", "de", "es")]
+    found = reduce(DataFrame.unionByName, listed)
+    return found.select("name", "length").join(put.select("name", "content_type"), "name")
+
+
+# names that file scans pass over or cannot spell, and empty bodies
+ODD_NAME = "CASE doc_id % 5 WHEN 0 THEN '_' WHEN 1 THEN '.' WHEN 2 THEN '_a/.b/' WHEN 3 THEN 'p%20 q/' ELSE '' END || lang || ' ' || doc_id"
+ODD_BODY = "CASE WHEN doc_id % 7 = 0 THEN '' ELSE text END"
+
+
+def _put_odd(spark, sf_dir):
+    path = scratch_path(spark, "odd names")
+    rows = table(spark, sf_dir, "documents").select(F.expr(ODD_NAME).alias("name"), F.encode(F.expr(ODD_BODY), "UTF-8").alias("body"))
+    inventory.put_objects(rows, "name", "body", path)
+    return path
+
+
+@query("object_odd_names", f"SELECT {ODD_NAME} AS name, CAST(octet_length(encode({ODD_BODY})) AS BIGINT) AS length FROM documents")
+def object_odd_names(spark, sf_dir):
+    """Every object is listed: empty ones, hidden names and folders, blanks and percent signs."""
+    return inventory.inventory_from_files(spark, _put_odd(spark, sf_dir)).select("name", "length")
+
+
+@query("object_name_range", f"SELECT name FROM (SELECT {ODD_NAME} AS name FROM documents) WHERE name >= '.fr' AND name < '_b'")
+def object_name_range(spark, sf_dir):
+    """Bounds on the name go to the lister, which enters only folders that can hold such names."""
+    return inventory.list_objects(read_objects(spark, _put_odd(spark, sf_dir)), start=".fr", end="_b").select("name")
+
+
+@query("object_odd_texts", f"SELECT {ODD_NAME} AS name, {ODD_BODY} AS text FROM documents")
+def object_odd_texts(spark, sf_dir):
+    """The same objects read as text."""
+    path = _put_odd(spark, sf_dir)
+    return inventory.read_text_objects(spark, path).select(F.substring(F.col("path"), F.lit(len(path) + 2), F.length("path")).alias("name"), "text")
+
+
+@query("object_odd_chunks", f"""
+SELECT {ODD_NAME} AS name, CAST(greatest(1, ceil(octet_length(encode({ODD_BODY})) / 1000)) AS BIGINT) AS chunks,
+       CAST(octet_length(encode({ODD_BODY})) AS BIGINT) AS length FROM documents
+""")
+def object_odd_chunks(spark, sf_dir):
+    """The same objects as byte chunks."""
+    path = _put_odd(spark, sf_dir)
+    chunks = inventory.read_binary_chunks(spark, path, 1000)
+    return chunks.groupBy(F.substring(F.col("path"), F.lit(len(path) + 2), F.length("path")).alias("name")).agg(
+        F.count("*").alias("chunks"), F.sum(F.octet_length("bytes").cast("long")).alias("length"))
 
 
 def _put_documents(spark, sf_dir):

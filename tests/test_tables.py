@@ -3,6 +3,7 @@ import datetime
 from typing import Optional
 
 import pytest
+from pyspark.sql import datasource as ds
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +11,7 @@ from lakekit.operators import features, sinks, tables, wire
 from lakekit.operators.wire import WireField
 from lakekit import session
 from lakekit.session import scratch_path, shared_dir, shuffle_partitions_for
-from lakekit.sources import catalog, grid, inputs, inventory
+from lakekit.sources import catalog, grid, inputs, inventory, objects
 
 
 def test_formats(spark):
@@ -273,6 +274,55 @@ def test_objects_by_name_and_prefix(spark):
     assert [len(c.bytes) for c in chunks] == [1024] * 4 + [904] and b"".join(bytes(c.bytes) for c in chunks) == b"x" * 5000
 
 
+def test_odd_objects_are_listed_and_read(spark):
+    path = scratch_path(spark, "odd place")
+    bodies = {"_x.txt": b"1", ".y.txt": b"", "_b/k.txt": b"23", "z.txt": "é".encode(), "s p%20c.txt": b"456", "a/.b/_c/d#e?.txt": b"7"}
+    df = spark.createDataFrame([(k, bytearray(v)) for k, v in bodies.items()], "name string, body binary")
+    inventory.put_objects(df, "name", "body", path)
+    assert {r.name: r.length for r in inventory.inventory_from_files(spark, path).collect()} == {k: len(v) for k, v in bodies.items()}
+    cut = len(path) + 1
+    assert {r.path[cut:]: r.text for r in inventory.read_text_objects(spark, path).collect()} == {k: v.decode() for k, v in bodies.items()}
+    assert {r.path[cut:]: bytes(r.bytes) for r in inventory.read_binary_chunks(spark, path).collect()} == bodies
+    assert [r.text for r in inventory.read_text_objects(spark, f"{path}/s p%20c.txt").collect()] == ["456"]
+    assert {r.path[cut:] for r in inventory.read_text_objects(spark, f"{path}/*.txt").collect()} == {"_x.txt", ".y.txt", "z.txt", "s p%20c.txt"}
+    assert {r.path[len("file://") + cut:] for r in inventory.inventory_from_files(spark, f"file://{path}", "?y.*").collect()} == {".y.txt"}
+    inventory.put_objects(spark.createDataFrame([("bad", bytearray(b"\xff"))], df.schema), "name", "body", path)
+    with pytest.raises(Exception, match="not UTF-8"):
+        inventory.read_text_objects(spark, f"{path}/bad").collect()
+
+
+@pytest.mark.parametrize("name", [None, "", "../esc.txt", "a/../../b", "/abs", "a//b", "a/.", "a/"])
+def test_names_that_leave_the_folder_are_refused(spark, name):
+    path = scratch_path(spark, "refused")
+    df = spark.createDataFrame([("good", bytearray(b"x")), (name, bytearray(b"y"))], "name string, body binary")
+    with pytest.raises(ValueError):
+        inventory.put_objects(df, "name", "body", path)
+    assert inventory.inventory_from_files(spark, path).collect() == []
+
+
+def test_names_go_to_the_lister(spark, monkeypatch):
+    path = scratch_path(spark, "tree")
+    names = [f"{a}/{b}/{c}" for a in "abc" for b in range(6) for c in range(3)] + ["top"]
+    inventory.put_objects(spark.createDataFrame([(n, bytearray(b"x")) for n in names], "name string, body binary"), "name", "body", path)
+    every = objects.read_objects(spark, path, splits=5)
+    for condition in (F.col("name").startswith("b/2"), F.col("name").startswith("b/"), F.col("name") == "c/5/1", F.col("name") >= "b/3", F.col("name") < "a/2/1",
+                      F.col("name").between("a/4/2", "b/1/0"), (F.col("name") > "a/5/2") & F.col("name").startswith("a/5"), F.col("name") == "none",
+                      F.col("name").startswith("zz/top"), F.col("length") > 0, F.col("name").isin("top", "a/0/0")):
+        want = spark.createDataFrame([(n, 1) for n in names], "name string, length bigint").where(condition)
+        assert sorted(r.name for r in every.where(condition).collect()) == sorted(r.name for r in want.collect())
+    reader = objects.ObjectReader(path, 5)
+    seen = []
+    real = objects.ObjectReader._list
+    monkeypatch.setattr(objects.ObjectReader, "_list", lambda self, f: seen.append(f) or real(self, f))
+    parts = reader.partitions()
+    assert len(seen) == 5 and sorted(r[0] for p in parts for r in reader.read(p)) == sorted(names)
+    seen.clear()
+    reader = objects.ObjectReader(path, 5)
+    assert list(reader.pushFilters([ds.StringStartsWith(("name",), "b/2/"), ds.EqualTo(("length",), 1)])) == [ds.EqualTo(("length",), 1)]
+    assert len([r[0] for p in reader.partitions() for r in reader.read(p) if r[0]]) == 3
+    assert set(seen) == {"b/2/"}  # no other folder is entered
+
+
 def test_scratch_can_be_cleared(spark, monkeypatch):
     monkeypatch.setattr(session, "_SCRATCH", [])
     path = scratch_path(spark, "gone")
