@@ -132,6 +132,11 @@ def dbscan(df: DataFrame, columns: list[str], eps: float, min_points: int, label
     coordinate order.
     """
     clustered, total = cluster_points(distinct_features(df, columns), columns, eps, min_points)
+    return label_rows(df, clustered, total, columns, label)
+
+
+def label_rows(df: DataFrame, clustered: DataFrame, total: int, columns: list[str], label: str) -> DataFrame:
+    """Every row of df with the label of its tuple, given the `total` distinct tuples (id, columns, cluster)."""
     clustered = cut_lineage(clustered)
     noise = with_rank(clustered.where("cluster IS NULL").select("id", *columns), ["id"], "_rank")
     labels = clustered.where("cluster IS NOT NULL").select(*columns, F.col("cluster").alias(label)).unionByName(

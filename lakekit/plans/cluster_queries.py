@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from lakekit.operators import dbscan as db
-from lakekit.operators import features, kmeans, neighbours, silhouette
+from lakekit.operators import features, kmeans, metric, neighbours, silhouette
 from lakekit.plans.registry import query, table
 from lakekit.session import cut_lineage, scratch_path
 
@@ -91,6 +91,30 @@ def dbscan_wide(spark, sf_dir):
     return db.dbscan(_wide(spark, sf_dir), WIDE, WIDE_EPS, WIDE_MIN).select("vec_id", "label")
 
 
+# all embedding columns: pivots and rings instead of a grid
+ALL, ALL_EPS, ALL_MIN = [f"c{i}" for i in range(1, 65)], 1.15, 5
+ALL_ROWS = f"(SELECT vec_id, {', '.join(f'CAST(embedding[{i}] AS DOUBLE) AS c{i}' for i in range(1, 65))} FROM embeddings)"
+
+
+def _all(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select("vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(ALL)])
+
+
+@query("eps_neighbours_all", f"""
+WITH p AS (SELECT DISTINCT {', '.join(ALL)} FROM {ALL_ROWS})
+SELECT {', '.join('x.' + c for c in ALL)}, count(*) AS n_neighbours FROM p x JOIN p y
+  ON {' + '.join(f'(x.{c} - y.{c}) * (x.{c} - y.{c})' for c in ALL)} <= CAST({ALL_EPS} AS DOUBLE) * CAST({ALL_EPS} AS DOUBLE)
+GROUP BY {', '.join('x.' + c for c in ALL)}
+""")
+def eps_neighbours_all(spark, sf_dir):
+    return metric.eps_neighbours(features.distinct_features(_all(spark, sf_dir), ALL), ALL, ALL_EPS)
+
+
+@query("dbscan_all", f"SELECT vec_id, label FROM ({_dbscan_sql(ALL_ROWS, ALL, ALL_EPS, ALL_MIN)})")
+def dbscan_all(spark, sf_dir):
+    return metric.dbscan(_all(spark, sf_dir), ALL, ALL_EPS, ALL_MIN).select("vec_id", "label")
+
+
 @query("kmeans_assign", f"SELECT vec_id, label FROM {ASSIGNED}")
 def kmeans_assign(spark, sf_dir):
     return kmeans.assign(_plane(spark, sf_dir), ["a", "b"], CENTRES).select("vec_id", "label")
@@ -101,19 +125,6 @@ def kmeans_fit(spark, sf_dir):
     return kmeans.cluster(_plane(spark, sf_dir), ["a", "b"], 4).select("vec_id", "label")
 
 
-@query("kmeans_fit_known", """
-SELECT c_custkey, (c_custkey % 4) // 2 AS label, 1.0::DOUBLE AS cost FROM customer
-""")
-def kmeans_fit_known(spark, sf_dir):
-    """Four distinct points in two far pairs: the only sensible fit costs 1."""
-    points = table(spark, sf_dir, "customer").select(
-        "c_custkey", F.expr("CASE WHEN c_custkey % 4 < 2 THEN 0D ELSE 10D END").alias("a"),
-        F.expr("cast(c_custkey % 2 + CASE WHEN c_custkey % 4 < 2 THEN 0 ELSE 10 END AS DOUBLE)").alias("b"))
-    model = kmeans.fit(points, ["a", "b"], 2, seeds=(42, 43, 44))
-    return kmeans.predict(points, ["a", "b"], model).select(
-        "c_custkey", F.col("label").cast("bigint").alias("label"), F.lit(round(model.summary.trainingCost, 9)).alias("cost"))
-
-
 @query("kmeans_fit_invariants", f"""
 SELECT count(*) AS n_rows, CAST(4 AS BIGINT) AS n_labels, true AS all_nearest, true AS centres_are_means, true AS below_half FROM {PLANE}
 """)

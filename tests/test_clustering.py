@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lakekit.operators import components, dbscan, kmeans, neighbours, silhouette
+from lakekit.operators import components, dbscan, kmeans, metric, neighbours, silhouette
 from lakekit.session import scratch_path
 
 
@@ -178,3 +178,59 @@ def test_depth_is_bounded():
     neighbours.too_deep(neighbours.MAX_DEPTH)
     with pytest.raises(RuntimeError):
         neighbours.too_deep(neighbours.MAX_DEPTH + 1)
+
+
+def tall(seed, d, per_blob=30, blobs=5, noise=30):
+    """Tight groups in d dimensions, on a grid of exact decimals, far from each other and from the noise."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(blobs):
+        centre = [rng.uniform(-5, 5) for _ in range(d)]
+        rows += [tuple(round(c + rng.gauss(0, 0.05), 4) for c in centre) for _ in range(per_blob)]
+    rows += [tuple(round(rng.uniform(-6, 6), 4) for _ in range(d)) for _ in range(noise)]
+    return rows + rng.choices(rows, k=20)
+
+
+@pytest.mark.parametrize("seed, d, eps, block, pivots", [(1, 64, 0.6, 128, 16), (2, 64, 0.55, 8, 5), (3, 12, 0.22, 16, 16), (4, 2, 0.2, 4, 3), (5, 1, 0.05, 7, 1)])
+def test_pivots_match_brute_force(spark, monkeypatch, seed, d, eps, block, pivots):
+    monkeypatch.setattr(metric, "BLOCK", block)
+    monkeypatch.setattr(metric, "PIVOTS", pivots)
+    rows = tall(seed, d)
+    columns = [f"c{i}" for i in range(d)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], ["k", *columns]).repartition(3)
+    found = metric.eps_neighbours(df.select(columns).distinct(), columns, eps).collect()
+    want = brute_counts(sorted(set(rows)), eps)
+    assert {tuple(r[c] for c in columns): r.n_neighbours for r in found} == want
+    assert 1 < max(want.values()) and min(want.values()) == 1
+    labels = {r.k: r.label for r in metric.dbscan(df, columns, eps, 5).select("k", "label").collect()}
+    expected = brute_dbscan(rows, eps, 5)
+    assert labels == {k: expected[r] for k, r in enumerate(rows)}
+
+
+def test_pivots_compare_few_pairs(spark, monkeypatch):
+    monkeypatch.setattr(metric, "BLOCK", 32)
+    rows = sorted(set(tall(7, 64, per_blob=200, blobs=12)))
+    columns = [f"c{i}" for i in range(64)]
+    points = metric._indexed(spark.createDataFrame(rows, columns), columns)
+    blocks = metric.Blocks(points, 0.6)
+    neighbours_found = metric._counts(blocks).agg(F.sum("n_neighbours")).first()[0]
+    assert blocks.candidates() < len(rows) ** 2 / 8
+    assert blocks.candidates() < 2 * neighbours_found
+
+
+def test_pivots_of_no_and_one_point(spark):
+    columns = ["a", "b"]
+    empty = spark.createDataFrame([], "a double, b double")
+    assert metric.eps_neighbours(empty, columns, 1.0).collect() == [] and metric.dbscan(empty, columns, 1.0, 2).collect() == []
+    one = spark.createDataFrame([(1.0, 2.0)], columns)
+    assert [r.n_neighbours for r in metric.eps_neighbours(one, columns, 1.0).collect()] == [1]
+    assert [r.label for r in metric.dbscan(one, columns, 1.0, 2).collect()] == [2]
+    with pytest.raises(ValueError):
+        metric.eps_neighbours(one, columns, 0.0)
+
+
+def test_kmeans_of_two_far_pairs(spark):
+    points = spark.createDataFrame([(0.0, 0.0), (0.0, 1.0), (10.0, 10.0), (10.0, 11.0)] * 3, ["a", "b"])
+    model = kmeans.fit(points, ["a", "b"], 2, seeds=(42, 43, 44))
+    assert model.summary.trainingCost == pytest.approx(1.0)
+    assert {(r.a, r.label) for r in kmeans.predict(points, ["a", "b"], model).collect()} == {(0.0, 0), (10.0, 1)}
