@@ -1,11 +1,13 @@
 """Message streams run to completion over the stored events."""
 
+import json
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakekit.plans.registry import query, table
 from lakekit.session import scratch_path
-from lakekit.streaming import messages
+from lakekit.streaming import messages, positions, redelivery
 
 EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
@@ -89,3 +91,48 @@ def publish_batch(spark, sf_dir):
             .withColumn("batch", F.lit(k + 1)) for k in (0, 1)]
     held = spark.read.parquet(path).agg(F.count("*").alias("n_in_topic"))
     return sent[0].unionByName(sent[1]).join(F.broadcast(held))
+
+
+def stubborn(payload, attempt):
+    """The retry handler: takes $.k above 90 at try 2 + k % 3, what remains at once."""
+    k = json.loads(payload)["k"]
+    return (str(k), None) if attempt >= 2 + (k % 3 if k > 90 else 0) else (None, f"k {k} refused at try {attempt}")
+
+
+NEED = f"(2 + CASE WHEN {K} > 90 THEN {K} % 3 ELSE 0 END)"
+
+
+@query("stream_redelivery", f"""
+SELECT CASE WHEN NOT (event_type = 'signup' AND value < 5) THEN CAST(event_id AS VARCHAR) END AS ack_id,
+       CASE WHEN event_type = 'signup' AND value < 5 THEN 2 ELSE least({NEED}, 3) END AS tries,
+       CASE WHEN event_type = 'signup' AND value < 5 THEN CASE WHEN {NEED} = 2 THEN CAST({K} AS VARCHAR) END
+            WHEN {NEED} <= 3 THEN CAST({K} AS VARCHAR) END AS result,
+       CASE WHEN event_type = 'signup' AND value < 5 THEN CASE WHEN {NEED} > 2 THEN 'k ' || {K} || ' refused at try 2' END
+            WHEN {NEED} > 3 THEN 'k ' || {K} || ' refused at try 3' END AS error,
+       CASE WHEN event_type = 'signup' AND value < 5 THEN 'no_ack' WHEN {NEED} <= 3 THEN 'ok' ELSE 'given_up' END AS outcome
+FROM events WHERE event_type <> 'error' AND ({K} > 90 OR (event_type = 'signup' AND value < 5))
+""")
+def stream_redelivery(spark, sf_dir):
+    """What the first handling refused comes again, three tries in all; the stream is stopped after its first batch and started again."""
+    refused = redelivery.retries_of(spark, _processed(spark, sf_dir))
+    out, checkpoint = scratch_path(spark, "redelivered"), scratch_path(spark, "redelivered-checkpoint")
+    redelivery.redeliver(refused, stubborn, out, checkpoint, tries=3, deadline_ms=100, stop_after=1)
+    redelivery.redeliver(refused, stubborn, out, checkpoint, tries=3, deadline_ms=100)
+    return redelivery.delivered(spark, out)
+
+
+@query("stream_message_bound", """
+SELECT event_id, event_type, value, ceil(count(*) OVER () / ((count(*) OVER () + 6) // 7))::BIGINT AS n_batches, true AS bounded FROM events
+""")
+def stream_message_bound(spark, sf_dir):
+    """Three files in batches of at most a seventh of all rows; the second run starts in the middle of a file."""
+    folder, out, checkpoint = scratch_path(spark, "bounded"), scratch_path(spark, "bounded-out"), scratch_path(spark, "bounded-checkpoint")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    events.repartition(3, "event_id").write.parquet(folder)
+    bound = (events.count() + 6) // 7
+    for last in (1, None):
+        stream = positions.position_stream(spark, folder, events.schema, bound, checkpoint)
+        messages.run_batches(stream, lambda batch, k: batch.write.mode("overwrite").parquet(f"{out}/batch_id={k}"), checkpoint, last)
+    rows = spark.read.schema("event_id BIGINT, event_type STRING, value DOUBLE, batch_id BIGINT").parquet(out)
+    sizes = rows.groupBy("batch_id").agg(F.count("*").alias("n")).agg(F.count("*").alias("n_batches"), (F.max("n") <= bound).alias("bounded"))
+    return rows.drop("batch_id").join(F.broadcast(sizes))

@@ -14,6 +14,7 @@ A bad message therefore never holds up the rest of its batch.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,6 +62,21 @@ def _run(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint:
     return query
 
 
+def run_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, last: int | None = None) -> None:
+    """Run a stream whose source bounds its batches until nothing new is there, or until batch number `last` is done."""
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).start()
+    try:
+        if last is None:
+            query.processAllAvailable()
+        while last is not None and query.isActive and (query.lastProgress is None or query.lastProgress["batchId"] < last):
+            time.sleep(0.1)
+    finally:
+        failed = query.exception()
+        query.stop()
+    if failed is not None:
+        raise failed
+
+
 def _prepare(spark: SparkSession, out: str, column: str) -> None:
     """An empty first part, so an output no batch has reached yet reads as no rows."""
     spark.createDataFrame([], f"{column} STRING").write.mode("ignore").parquet(f"{out}/batch_id=-1/outcome=none")
