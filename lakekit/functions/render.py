@@ -27,6 +27,8 @@ def _exact_times(col: Column, kind: T.DataType) -> Column:
         return F.when(col.isNotNull(), F.struct(*[_exact_times(col[f.name], f.dataType).alias(f.name) for f in kind.fields]))
     if isinstance(kind, T.ArrayType):
         return F.transform(col, lambda x: _exact_times(x, kind.elementType))
+    if isinstance(kind, T.MapType):  # keys are text in JSON, and times among them may not merge
+        return F.transform_values(F.transform_keys(col, lambda k, v: _exact_times(k, kind.keyType)), lambda k, v: _exact_times(v, kind.valueType))
     return col
 
 

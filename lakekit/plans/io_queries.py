@@ -1,5 +1,6 @@
 """Inputs, sinks, renderers and catalog listings."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lakekit.functions import render
@@ -7,7 +8,7 @@ from lakekit.functions.aggregates import grouped_string_agg
 from lakekit.operators import sinks, tables
 from lakekit.plans.registry import query, table
 from lakekit.session import cut_lineage, scratch_path
-from lakekit.sources import catalog, inputs
+from lakekit.sources import catalog, csv_records, inputs
 
 # Three inputs of three formats as t0..t2, one SQL text with both session functions.
 FLAGSHIP = """
@@ -411,17 +412,64 @@ def string_agg_large_groups(spark, sf_dir):
         "l_returnflag", "n", F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("joined"))
 
 
-@query("sql_newline_agg", """
-SELECT l_orderkey, list_reduce(list(x ORDER BY l_linenumber, l_partkey, x), lambda a, v:
-         CASE WHEN length(a) > 0 THEN a || chr(10) || v ELSE v END, '') AS lines
-FROM (SELECT l_orderkey, l_linenumber, l_partkey,
-             CASE WHEN l_returnflag = 'N' THEN '' ELSE concat(l_returnflag, l_suppkey) END AS x FROM lineitem)
-GROUP BY l_orderkey
-""")
+NEWLINE_LINES = """(SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey,
+  CASE WHEN l_linestatus = 'F' THEN '' ELSE concat(l_returnflag, l_suppkey) END AS x FROM {t})"""
+NEWLINE_ORACLE = """
+SELECT {key}, count(*) AS n, {text} AS lines FROM (
+  SELECT {key}, x, bool_or(x <> '') OVER (PARTITION BY {key} ORDER BY l_orderkey, l_linenumber, l_partkey, x) AS begun,
+         row_number() OVER (PARTITION BY {key} ORDER BY l_orderkey, l_linenumber, l_partkey, x) AS nr FROM {lines}) GROUP BY {key}
+"""
+NEWLINE_JOINED = "coalesce(array_to_string(list(x ORDER BY nr) FILTER (WHERE begun), chr(10)), '')"
+
+
+def _newline_agg(spark, sf_dir, key, result):
+    return inputs.run_query(spark, [f"{sf_dir}/lineitem.parquet"], f"""
+        SELECT {key}, count(*) AS n, {result.format("newline_text(listagg(newline_item(x), '\n') WITHIN GROUP (ORDER BY l_orderkey, l_linenumber, l_partkey, x))")} AS lines
+        FROM {NEWLINE_LINES.format(t='t0')} GROUP BY {key}""")
+
+
+@query("sql_newline_agg", NEWLINE_ORACLE.format(key="l_orderkey", text=NEWLINE_JOINED, lines=NEWLINE_LINES.format(t="lineitem")))
 def sql_newline_agg(spark, sf_dir):
-    """The one-argument aggregate in SQL; sorted rows of a key reach it in order."""
-    return inputs.run_query(spark, [f"{sf_dir}/lineitem.parquet"], """
-        SELECT l_orderkey, newline_agg(x) AS lines FROM (
-          SELECT l_orderkey, CASE WHEN l_returnflag = 'N' THEN '' ELSE concat(l_returnflag, l_suppkey) END AS x
-          FROM t0 DISTRIBUTE BY l_orderkey SORT BY l_orderkey, l_linenumber, l_partkey, x)
-        GROUP BY l_orderkey""")
+    """The newline aggregate in SQL, over many small groups."""
+    return _newline_agg(spark, sf_dir, "l_orderkey", "{}")
+
+
+@query("sql_newline_agg_large", NEWLINE_ORACLE.format(key="l_returnflag", text=f"md5({NEWLINE_JOINED})", lines=NEWLINE_LINES.format(t="lineitem")))
+def sql_newline_agg_large(spark, sf_dir):
+    """The same over three groups that hold the whole table; partial lists merge in the JVM."""
+    return _newline_agg(spark, sf_dir, "l_returnflag", "md5({})")
+
+
+@query("csv_one_column", "SELECT CASE WHEN doc_id % 3 > 0 THEN CASE WHEN doc_id % 5 > 0 THEN text ELSE '' END END AS line FROM documents")
+def csv_one_column(spark, sf_dir):
+    """Nulls, empty texts and line breaks in a file of one column."""
+    line = F.expr("CASE WHEN doc_id % 3 > 0 THEN CASE WHEN doc_id % 5 > 0 THEN text ELSE '' END END")
+    path = sinks.write_result(table(spark, sf_dir, "documents").select(line.alias("line")), scratch_path(spark, "one") + ".csv")
+    return inputs.read_input(spark, path, "line STRING")
+
+
+@query("csv_crlf", "SELECT doc_id, replace(text, ' ', chr(13) || chr(10)) AS text, lang FROM documents")
+def csv_crlf(spark, sf_dir):
+    """Records that end with CRLF and hold line breaks of both kinds."""
+    quoted = F.concat(F.lit('"'), F.replace(F.replace("text", F.lit(" "), F.lit("\r\n")), F.lit('"'), F.lit('""')), F.lit('"'))
+    lines = table(spark, sf_dir, "documents").select(F.concat_ws(",", F.col("doc_id").cast("string"), quoted, "lang").alias("line"))
+    path = scratch_path(spark, "crlf") + ".csv"
+    lines.repartition(2).sortWithinPartitions("line").mapInArrow(_with_header("doc_id,text,lang"), "line STRING").write.option("lineSep", "\r\n").text(path)
+    return inputs.read_input(spark, path, "doc_id BIGINT, text STRING, lang STRING")
+
+
+def _with_header(header):
+    def run(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([header])], names=["line"])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["line"])
+
+    return run
+
+
+@query("csv_cut_file", "SELECT doc_id, text || chr(10) || '\"' AS text, source FROM documents")
+def csv_cut_file(spark, sf_dir):
+    """One file whose values hold line breaks and quotes, read in ranges of 64 KB."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.concat("text", F.lit('\n"')).alias("text"), "source")
+    path = sinks.write_result(rows, scratch_path(spark, "cut") + ".csv")
+    return csv_records.read_csv(spark, path, "doc_id BIGINT, text STRING, source STRING", 1 << 16)

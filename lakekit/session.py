@@ -6,9 +6,7 @@ import os
 import tempfile
 import uuid
 
-import pandas as pd
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 # Runtime settings the operators rely on. Partition counts and memory are left
 # to the cluster; AQE coalesces and splits shuffle partitions from there.
@@ -41,6 +39,16 @@ SESSION_FUNCTIONS = (
                          transform(array_compact(parts), x -> length(x) > 0), true) AS INT), size(parts)), '\\n')
                   ELSE '' END END
     """,
+    # the newline aggregate is newline_text(listagg(newline_item(x), '\n') WITHIN GROUP (ORDER BY ...)): each text that is not empty gets a mark,
+    # so empty texts before the first one are told from line feeds it begins with; marks in texts are doubled
+    """
+    CREATE OR REPLACE TEMPORARY FUNCTION newline_item(x STRING) RETURNS STRING
+    RETURN CASE WHEN x = '' THEN '' ELSE concat(chr(1), replace(x, chr(1), concat(chr(1), chr(1)))) END
+    """,
+    """
+    CREATE OR REPLACE TEMPORARY FUNCTION newline_text(joined STRING) RETURNS STRING
+    RETURN coalesce(regexp_replace(regexp_replace(joined, '^\\\\n+', ''), '\\\\x01(\\\\x01?)', '$1'), '')
+    """,
     """
     CREATE OR REPLACE TEMPORARY FUNCTION int_div(a BIGINT, b BIGINT) RETURNS BIGINT
     RETURN a div b
@@ -54,12 +62,6 @@ SESSION_FUNCTIONS = (
 )
 
 
-def _newline_texts(parts: pd.Series) -> str:
-    present = [p for p in parts if p is not None]
-    first = next((i for i, p in enumerate(present) if p), len(present))
-    return "\n".join(present[first:])
-
-
 SHUFFLE_TARGET = 512 << 20  # bytes one shuffle partition should hold
 
 
@@ -89,8 +91,6 @@ def configure(spark: SparkSession) -> SparkSession:
         spark.conf.set(key, value)
     for ddl in SESSION_FUNCTIONS:
         spark.sql(ddl)
-    # one-argument aggregate for SQL: texts in the order they come, which a subquery's sort settles
-    spark.udf.register("newline_agg", F.pandas_udf(_newline_texts, "string"))
     spark.conf.set("lakekit.configured", "yes")
     return spark
 

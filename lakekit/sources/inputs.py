@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakekit.sources.csv_records import OPTIONS, read_csv
+from lakekit.sources.objects import store_of
+
 # Format by (case-sensitive) file extension.
 READ_FORMATS = {"json": "json", "njson": "json", "parquet": "parquet", "csv": "csv"}
 
@@ -27,21 +30,28 @@ def format_of(path: str, formats: dict[str, str]) -> str:
 def read_input(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """One input by extension. Paths and URLs go to the Hadoop connector; a glob is one table.
 
-    A schema given here saves the extra pass that CSV and JSON inference needs. Quoted CSV
-    values may span lines, so a CSV file is one task: large tables should be many files, as sinks write them.
+    A schema given here saves the extra pass that CSV and JSON inference needs. CSV files are cut into records, which may span
+    lines and end with LF or CRLF, inside one file; where Arrow has no file system for a URL, a file is one task.
     """
     reader = spark.read
     kind = format_of(path, READ_FORMATS)
+    if kind == "csv" and _arrow_reads(path):
+        return read_csv(spark, path, schema)
     if kind == "csv":
-        # only an unquoted nothing is null: the parser then reports this text, which no value has
-        reader = (reader.option("header", True).option("escape", '"').option("inferSchema", schema is None)
-                  .option("multiLine", True).option("lineSep", "\n").option("nullValue", "\x00null\x00").option("emptyValue", "")
-                  .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+        reader = reader.options(**OPTIONS).option("header", True).option("inferSchema", schema is None)
     if schema is not None and kind != "parquet":
         reader = reader.schema(schema)
     return reader.format(kind).load(path)
 
 
+def _arrow_reads(path: str) -> bool:
+    try:
+        store_of(path)
+    except (ValueError, OSError):
+        return False
+    return True
+
+
 def register_inputs(spark: SparkSession, paths: list[str], schemas: dict[int, object] | None = None) -> list[str]:
     """Register each path as the temp view `t{position}` and return the view names."""
     names = []

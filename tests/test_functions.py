@@ -160,12 +160,23 @@ def test_newline_aggregates_agree_and_are_linear(spark):
     got = grouped_string_agg(df, ["g"], "x", ["id"], "t").collect()
     assert {r.g: r.t for r in got} == want
     df.createOrReplaceTempView("texts")
-    sql = spark.sql("SELECT g, newline_agg(x) AS t FROM (SELECT * FROM texts DISTRIBUTE BY g SORT BY g, id) GROUP BY g").collect()
-    assert {r.g: r.t for r in sql} == want
+    sql = spark.sql("SELECT g, newline_text(listagg(newline_item(x), '\\n') WITHIN GROUP (ORDER BY id)) AS t FROM texts GROUP BY g")
+    assert {r.g: r.t for r in sql.collect()} == want and "Python" not in sql._jdf.queryExecution().executedPlan().toString()
     joined = spark.sql("SELECT newline_join(array('', NULL, 'a', '', 'b')), newline_join(array('')), newline_join(NULL)").first()
     assert tuple(joined) == ("a\n\nb", "", None)
 
 
+@pytest.mark.parametrize("texts", [["", "", "a", "", "b", ""], ["", "\na", "\x01b", "\n\x01\x01", "c\x01"], ["", None, ""], [None], [], ["\x01", "\x01\x01\n"], ["$1\\", "\n"]])
+def test_newline_aggregate_of_odd_texts(spark, texts):
+    want = ""
+    for x in texts:
+        if x is not None:
+            want = f"{want}\n{x}" if want else x
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, x string")
+    rows.createOrReplaceTempView("odd_texts")
+    assert spark.sql("SELECT newline_text(listagg(newline_item(x), '\\n') WITHIN GROUP (ORDER BY k)) FROM odd_texts").first()[0] == want
+
+
 def test_sql_bins_and_whole_division(spark):
     row = spark.sql("SELECT int_div(-7, 2), cast(date_bin(INTERVAL '0 00:00:10' DAY TO SECOND, TIMESTAMP '2024-01-01 00:00:19.5') AS STRING)").first()
     assert tuple(row) == (-3, "2024-01-01 00:00:10")

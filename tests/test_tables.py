@@ -1,5 +1,6 @@
 import dataclasses
 import datetime
+import random
 from typing import Optional
 
 import pytest
@@ -11,7 +12,8 @@ from lakekit.operators import features, sinks, tables, wire
 from lakekit.operators.wire import WireField
 from lakekit import session
 from lakekit.session import scratch_path, shared_dir, shuffle_partitions_for
-from lakekit.sources import catalog, grid, inputs, inventory, objects
+from lakekit.functions.render import rows_to_json
+from lakekit.sources import catalog, csv_records, grid, inputs, inventory, objects
 
 
 def test_formats(spark):
@@ -260,6 +262,42 @@ def test_text_survives_csv(spark):
     assert [r.v for r in inputs.read_input(spark, path, df.schema).orderBy("k").collect()] == values
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 64, 1 << 20])
+def test_records_are_cut_inside_a_file(spark, tmp_path, size):
+    rng = random.Random(size)
+    cells = ["", "x", "a\nb", "a\r\nb\rc", 'q"u"o', '"', ",", " pad ", "é😀", "\n", "\r\n", None]
+    rows = [(k, rng.choice(cells), rng.choice(cells)) for k in range(60)]
+
+    def text(v):
+        return "" if v is None else '"' + v.replace('"', '""') + '"'
+
+    for end, mark in (("\n", ""), ("\r\n", "\ufeff")):
+        path = tmp_path / f"f{len(end)}.csv"
+        body = mark + end.join(["k,v,w", *(f"{k},{text(v)},{text(w)}" for k, v, w in rows)]) + (end if size % 2 else "")
+        path.write_bytes(body.encode())
+        got = csv_records.read_csv(spark, str(path), "k long, v string, w string", size)
+        assert sorted(tuple(r) for r in got.collect()) == rows
+    assert csv_records._ranges(spark, str(path), 100).count() == -(-len(body.encode()) // 100)
+
+
+def test_crlf_one_column_and_inferred_types(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b"a,b\r\n1,x\r\n2,\"y\r\nz\"\r\n")
+    got = inputs.read_input(spark, str(tmp_path / "a.csv"))
+    assert got.columns == ["a", "b"] and dict(got.dtypes)["a"] == "int" and sorted(tuple(r) for r in got.collect()) == [(1, "x"), (2, "y\r\nz")]
+    df = spark.createDataFrame([("x",), (None,), ("y",), ("",)], "v string").coalesce(1)
+    path = sinks.write_result(df, scratch_path(spark, "one") + ".csv")
+    assert sorted((r.v or "", r.v is None) for r in inputs.read_input(spark, path).collect()) == [("", False), ("", True), ("x", False), ("y", False)]
+    (tmp_path / "e.csv").write_bytes(b"")
+    assert inputs.read_input(spark, str(tmp_path / "e.csv")).collect() == []
+    (tmp_path / "h.csv").write_bytes(b"a,,A\n")
+    assert inputs.read_input(spark, str(tmp_path / "h.csv")).columns == ["a0", "_c1", "A2"]
+
+
+def test_times_in_maps_keep_their_digits(spark):
+    df = spark.sql("SELECT map('k', timestamp '2024-01-02 00:00:00.123456') AS m, map(timestamp '2024-01-02 00:00:00.5', 1) AS n")
+    assert [r.json for r in rows_to_json(df).collect()] == ['{"m":{"k":"2024-01-02T00:00:00.123456+00:00"},"n":{"2024-01-02T00:00:00.500+00:00":1}}']
+
+
 def test_objects_by_name_and_prefix(spark):
     path = scratch_path(spark, "named")
     df = spark.createDataFrame([("a/1.txt", bytearray(b"x" * 5000), "text/html"), ("a/2z.bin", bytearray(b""), "bad"), ("b/1.webm", None, None)],
