@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -133,8 +134,29 @@ def clear_scratch(spark: SparkSession) -> int:
     return deleted
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession):
+    """Executions in here delete their shuffle files once they have ended: what they write is all that is read from then on."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate whose successor is written."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def cut_lineage(df):
     """The rows written to the shared folder and read back, so that later reads prune and a lost executor costs nothing."""
     path = scratch_path(df.sparkSession, "rows")
-    df.write.parquet(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
