@@ -31,6 +31,7 @@ from lakekit.session import scratch_path
 
 LIMIT = 2
 SHORT = 20
+SEEN = 200_000  # lines a task remembers; one listed twice costs rows, which are made one later
 INDEX, PROBE = LEAD, 2
 BASE = "rid bigint, doc_id bigint, text string, node0 bigint"
 LINES = "node bigint, rid bigint, doc_id bigint, line int, h1 bigint, h2 bigint, size int"
@@ -42,8 +43,8 @@ def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     following = TaskContext.get().partitionId() << PART_BITS
     for batch in batches:
         data, offsets = byte_view(batch.column(2))
-        feeds = np.concatenate([[0], np.cumsum(data[offsets[0]:offsets[-1]] == 10)])
-        count = feeds[offsets[1:] - offsets[0]] - feeds[offsets[:-1] - offsets[0]] + 1
+        feeds = np.flatnonzero(data[offsets[0]:offsets[-1]] == 10) + offsets[0]
+        count = np.diff(np.searchsorted(feeds, offsets)) + 1
         count[~batch.column(2).is_valid().to_numpy(zero_copy_only=False)] = 0
         ends = following + np.cumsum(count)
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ends - count, pa.int64())], names=["rid", "doc_id", "text", "node0"])
@@ -129,8 +130,10 @@ def probes(size: np.ndarray, limit: int):
 
 def _signatures(limit: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # hashes of this task's lines: an equal line needs no list of its own
+        seen: set[int] = set()  # hashes of lines this task has listed: an equal line needs no list of its own
         for batch in batches:
+            if len(seen) > SEEN:
+                seen.clear()
             for chunk, _, _, starts, ends, size, node in _split(batch):
                 # running hashes over code points: one entry per lead byte
                 lead = np.flatnonzero((chunk.data & 0xC0) != 0x80)

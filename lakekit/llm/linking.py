@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakekit.operators.components import connected_components
-from lakekit.session import scratch_path
+from lakekit.session import discard, freed_shuffles, scratch_path
 
 LEAD = 1
 ROUNDS = 3
@@ -58,8 +58,13 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _stored(rows: DataFrame, name: str, schema: str) -> DataFrame:
-    path = scratch_path(rows.sparkSession, name)
-    rows.write.option("compression", "zstd").parquet(path)
+    """The rows written and read back; the shuffles that made them are freed."""
+    return _at(rows, scratch_path(rows.sparkSession, name), schema)
+
+
+def _at(rows: DataFrame, path: str, schema: str) -> DataFrame:
+    with freed_shuffles(rows.sparkSession):
+        rows.write.option("compression", "zstd").parquet(path)
     return rows.sparkSession.read.schema(schema).parquet(path)
 
 
@@ -111,13 +116,16 @@ def linked_classes(copies: DataFrame, signatures: DataFrame, texts: DataFrame, v
     """
     spark = signatures.sparkSession
     ordered = signatures.repartition("sig").sortWithinPartitions("sig", F.expr(f"{LEAD} - (info & {LEAD})"), "node")
-    buckets = _stored(ordered.mapInArrow(_shared, SIGNATURE), "buckets", SIGNATURE)
+    bucket_path, row_path = scratch_path(spark, "buckets"), scratch_path(spark, "rows")
+    buckets = _at(ordered.mapInArrow(_shared, SIGNATURE), bucket_path, SIGNATURE)
     # dealt by signature once: what follows up to the join needs no other shuffle
     rows = _as_rep(buckets, copies, "node").repartition("sig").distinct()
     sizes = rows.groupBy("sig").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    rows = _stored(rows.join(sizes.select("sig", "n"), "sig"), "rows", f"{SIGNATURE}, n bigint")
+    rows = _at(rows.join(sizes.select("sig", "n"), "sig"), row_path, f"{SIGNATURE}, n bigint")
+    discard(spark, bucket_path)
     weights = rows.groupBy("node").agg(F.sum("n").alias("weight"))
     members = _stored(rows.join(weights, "node").select("sig", "node", "info", "weight"), "members", f"{SIGNATURE}, weight bigint")
+    discard(spark, row_path)
     needed = _stored(_among(texts, members.select("node").distinct()).select("node", "text"), "member-texts", "node bigint, text string")
 
     pair, same = "u bigint, v bigint", copies.select(F.col("rep").alias("u"), F.col("node").alias("v"))
