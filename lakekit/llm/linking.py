@@ -18,6 +18,7 @@ intermediate is written to the shared folder, so a lost executor costs its tasks
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,7 @@ from lakekit.session import discard, freed_shuffles, scratch_path
 LEAD = 1
 ROUNDS = 3
 FEW = 500_000  # nodes that may be broadcast
+PARTS, PAIRS = 16, 100_000  # a round's pairs are verified in so many parts at most, of no fewer pairs
 SIGNATURE = "sig bigint, node bigint, info bigint"
 
 
@@ -74,10 +76,25 @@ def _among(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _links(pairs: DataFrame, needed: DataFrame, verify: Callable) -> DataFrame:
-    """The pairs (u, v) that `verify` keeps, given rows of u, v and their texts."""
-    both = pairs.join(needed.select(F.col("node").alias("u"), F.col("text").alias("a")), "u").join(
-        needed.select(F.col("node").alias("v"), F.col("text").alias("b")), "v")
-    return _stored(both.select("u", "v", "a", "b").mapInArrow(verify, "u bigint, v bigint"), "links", "u bigint, v bigint")
+    """The pairs (u, v) that `verify` keeps, given rows of u, v and their texts.
+
+    A text goes out once per pair, so pairs are verified in parts that send about as many texts as there are; each part's
+    shuffle is freed before the next. Few pairs are broadcast to the texts, so a text without a pair in the part stays where it is.
+    """
+    n = pairs.count()
+    parts = max(1, min(-(-2 * n // max(needed.count(), 1)), -(-n // PAIRS), PARTS)) if n > PAIRS else 1
+    done = []
+    for k in range(parts):
+        part = pairs.where(F.pmod(F.xxhash64("u", "v"), F.lit(parts)) == k)
+        few = part.count() <= FEW
+        part = F.broadcast(part) if few else part
+        left = needed.select(F.col("node").alias("u"), F.col("text").alias("a")).join(part, "u")
+        right = needed.select(F.col("node").alias("v"), F.col("text").alias("b"))
+        if few:
+            right = right.join(F.broadcast(part.select("v").distinct()), "v", "left_semi")
+        both = left.join(right, "v").select("u", "v", "a", "b")
+        done.append(_stored(both.mapInArrow(verify, "u bigint, v bigint"), "links", "u bigint, v bigint"))
+    return reduce(DataFrame.union, done)
 
 
 def _as_rep(rows: DataFrame, copies: DataFrame, column: str) -> DataFrame:

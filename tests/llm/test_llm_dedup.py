@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from cases import corpus, frame
 
-from lakekit.llm import jaccard_join, line_join, suffix_dedup
+from lakekit.llm import jaccard_join, line_join, suffix_dedup, linking
 
 
 def fold(text):
@@ -53,8 +53,12 @@ def test_jaccard_classes(spark, seed, width, num):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == jaccard_brute(rows, width, num, 100)
 
 
-def test_jaccard_chains_near_the_threshold(spark):
-    """Each copy differs a little more from the first, so classes need links between neighbours."""
+@pytest.mark.parametrize("few", [500_000, 0])
+def test_jaccard_chains_near_the_threshold(spark, monkeypatch, few):
+    """Each copy differs a little more from the first, so classes need links between neighbours. Pairs are verified in parts."""
+    monkeypatch.setattr(linking, "PAIRS", 20)
+    monkeypatch.setattr(linking, "PARTS", 2)
+    monkeypatch.setattr(linking, "FEW", few)
     rng = random.Random(5)
     rows, text = [], [f"t{rng.randrange(10 ** 6)}" for _ in range(120)]
     for i in range(60):
