@@ -2,15 +2,15 @@
 
 Sizes fall into bands so wide that linked sets stand in the same band or in neighbouring ones.
 Linked sets of a band differ in at most H shingles. Hashing cuts the universe into
-m = H + 1 + spare segments per band, and each set is indexed, in its own band and in the next, by the
-part of it in every segment: of linked sets at least m - H parts are equal, as each
-differing shingle spoils one segment at most.
+m = H + 1 + spare segments per band: of linked sets at least m - H parts are equal, as each
+differing shingle spoils one segment at most. A set is listed in its own band by all its parts, and in the next band
+by those it probes with, as the sets at home there list all of theirs.
 
 Allocation: a set probes with H + 1 parts and passes over the spare ones that would cost most. Empty
 parts cost most (half the corpus would match), then the smallest, whose lists are longest.
 A set with too few non-empty parts makes up for it with one-deletion neighbourhoods:
 it also lists its parts with any one shingle left out, so parts that differ by one
-shingle meet. (A set whose shingles crowd into less than half of its needed segments would escape even so; the chance is below 1e-9, as for two hashes being equal.)
+shingle meet. That costs a row per shingle, so a band has as many spare segments as make it rare among its smallest sets. (A set whose shingles crowd into less than half of its needed segments would escape even so; the chance is below 1e-9, as for two hashes being equal.)
 
 Pairs that only share a segment are told apart by parity sketches, whose distance is never more
 than that of the sets. Candidates are verified exactly on the shingle sets, and parts that many sets share are never expanded into
@@ -18,8 +18,8 @@ all pairs (see `linking`). Sets equal as wholes are one from the start.
 
 Words are runs of other bytes than white space, A-Z lower-cased; shingles are 64-bit hashes
 of `width` consecutive words. A text of fewer words is one shingle; null, empty and blank texts
-have none and link with nothing. Repeated rows are equal sets. Rows that share an id count as one document; rows without
-an id are in no class (null component). Only the named columns are read. An empty table gives no rows.
+have none and link with nothing. Repeated rows are equal sets, and of equal sets one is listed for all. Rows that share an id count as
+one document, linked by any of its texts; rows without an id are in no class (null component). Only the named columns are read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakekit.llm.arrays import BYTE_VALUES, byte_class, chunks, fold_case, mix, prefix_hash, span_hash, word_spans
-from lakekit.llm.linking import LEAD, SIGNATURE, equal_nodes, linked_classes
+from lakekit.llm.linking import LEAD, SIGNATURE, equal_nodes, linked_classes, without_nodes
 from lakekit.session import scratch_path
 
 WORD = byte_class(lambda b: not (b == 32 or 9 <= b <= 13))
@@ -101,6 +101,13 @@ class Bands:
         self.starts = lows[:-1]
         self.apart = 2 * (lows[1:] - 1) * (den - num) // (den + num)  # H: the most shingles linked sets can differ in
         self.segments = self.apart + 2 + self.apart // 24
+        least = np.maximum(lows[:-1] * num // den, 1)  # the smallest sets listed in a band
+        for step in range(2, 25):
+            parts = self.segments.astype(float)
+            empty = np.exp(-least / parts)
+            spread = np.sqrt(parts * empty * np.maximum(1 - (1 + least / parts) * empty, 0))
+            few = parts * (1 - empty) - 2 * spread < self.apart + 1
+            self.segments = np.where(few, self.apart + 2 + self.apart * step // 24, self.segments)
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, sizes, "right") - 1
@@ -156,13 +163,15 @@ def _parts(every, rows, use, band, bands, own):
     filled = count > 0
     have = np.bincount(owner[filled], minlength=len(sizes))
     need = bands.apart[band] + 1
-    # the spare parts, smallest first, are listed but don't probe
+    # the spare parts, smallest first, don't probe
     listed = np.flatnonzero(filled)
     order = np.argsort((owner[listed] << 20) + np.minimum(count[listed], (1 << 20) - 1), kind="stable")
     listed = listed[order]
     first = np.cumsum(have) - have
     rank = np.arange(len(listed)) - first[owner[listed]]
     flag = np.where(rank < (have - need)[owner[listed]], 0, PROBE) + own
+    if not own:
+        listed, flag = listed[flag == PROBE], flag[flag == PROBE]
     sig, row = [mix(part_sum[listed] ^ place[listed])], [owner[listed]]
     flags = [flag]
     short = use & (have < need)
@@ -239,9 +248,11 @@ def similar_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
         differ = " + ".join(f"bit_count({u}.s{k} ^ {v}.s{k})" for k in range(SKETCH_WORDS))
         return f"({differ}) * {den + num} <= (({u}.info >> 2) + ({v}.info >> 2)) * {den - num}"
 
-    roots = linked_classes(equal_nodes(filled, ["n_shingles", "k1", "k2"]),
-                           known.mapInArrow(_signatures(width, num, den), SIGNATURE), known, _verify(width, num, den), valid,
-                           _sketches(width), SKETCH_WORDS, close)
+    copies = equal_nodes(filled, ["n_shingles", "k1", "k2"])
+    several = filled.groupBy("node").count().where("count > 1")  # ids with texts of their own beside an equal one
+    listed = without_nodes(known, copies.join(several, "node", "left_anti").select("node"))
+    roots = linked_classes(copies, listed.mapInArrow(_signatures(width, num, den), SIGNATURE), known, _verify(width, num, den), valid,
+                           _sketches(width), SKETCH_WORDS, close, replace=False)
     roots = roots.select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
     linked = keys.where("doc_id is not null").join(roots, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

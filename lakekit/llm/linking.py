@@ -11,7 +11,7 @@ need are found in steps:
 3. Those pairs, too, are verified, and all links give the classes.
 
 A pair under one root is never needed, so nothing is lost, and a bucket of n nodes linked
-to one of them costs n pairs. Nodes known to be equal are replaced by one of them before pairing. Every
+to one of them costs n pairs. Nodes known to be equal are replaced by one of them before pairing, or listed once from the start. Every
 intermediate is written to the shared folder, so a lost executor costs its tasks alone.
 """
 
@@ -75,6 +75,12 @@ def _among(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(nodes) if nodes.count() <= FEW else nodes, "node", "left_semi")
 
 
+def without_nodes(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows whose node is not one of `nodes`."""
+    nodes = _stored(nodes, "left-out", "node bigint")
+    return rows.join(F.broadcast(nodes) if nodes.count() <= FEW else nodes, "node", "left_anti")
+
+
 def _links(pairs: DataFrame, needed: DataFrame, verify: Callable) -> DataFrame:
     """The pairs (u, v) that `verify` keeps, given rows of u, v and their texts.
 
@@ -123,20 +129,21 @@ def _near_roots(links: DataFrame) -> DataFrame:
 
 def linked_classes(copies: DataFrame, signatures: DataFrame, texts: DataFrame, verify: Callable,
                    valid: Callable[[str, str], str], sketch: Callable | None = None, words: int = 0,
-                   close: Callable[[str, str], str] | None = None, rounds: int = ROUNDS) -> DataFrame:
+                   close: Callable[[str, str], str] | None = None, rounds: int = ROUNDS, replace: bool = True) -> DataFrame:
     """(node, root) of every node with a link or an equal: the smallest node reachable over those.
 
     texts(node, text) has each node's text, valid(x, y) is a SQL condition on two info columns that
     every link meets in some bucket, and verify maps Arrow batches (u, v, a, b) to kept (u, v). `sketch` maps
     batches (node, text) to (node, s0 .. s`words`-1), and close(u, v) is a SQL condition on rows u and v with those
-    and info that every link meets: it spares pairs that only share a bucket.
+    and info that every link meets: it spares pairs that only share a bucket. Without `replace` the signatures already leave
+    equal nodes out.
     """
     spark = signatures.sparkSession
     ordered = signatures.repartition("sig").sortWithinPartitions("sig", F.expr(f"{LEAD} - (info & {LEAD})"), "node")
     bucket_path, row_path = scratch_path(spark, "buckets"), scratch_path(spark, "rows")
     buckets = _at(ordered.mapInArrow(_shared, SIGNATURE), bucket_path, SIGNATURE)
     # dealt by signature once: what follows up to the join needs no other shuffle
-    rows = _as_rep(buckets, copies, "node").repartition("sig").distinct()
+    rows = (_as_rep(buckets, copies, "node") if replace else buckets).repartition("sig").distinct()
     sizes = rows.groupBy("sig").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     rows = _at(rows.join(sizes.select("sig", "n"), "sig"), row_path, f"{SIGNATURE}, n bigint")
     discard(spark, bucket_path)

@@ -76,6 +76,39 @@ def test_jaccard_odd_rows(spark):
     assert jaccard_join.similar_classes(frame(spark, [])).collect() == []
 
 
+def test_jaccard_ids_with_several_texts(spark):
+    """An id stands for all its texts: one that equals another id's text doesn't hide the others."""
+    rng = random.Random(8)
+    one, two = ([f"{k}{rng.randrange(10 ** 6)}" for _ in range(80)] for k in "ab")
+    near = [*one[:79], "other"]
+    rows = [(3, " ".join(two)), (5, " ".join(one)), (5, " ".join(two)), (7, " ".join(one)), (9, " ".join(near)), (9, "else"), (11, "else where")]
+    got = {(r.doc_id, r.component_id) for r in jaccard_join.similar_classes(frame(spark, rows)).collect()}
+    assert got == {(3, 3), (5, 3), (7, 3), (9, 3), (11, 11)}
+
+
+@pytest.mark.parametrize("num", [80, 85])
+def test_linked_sets_share_a_probe(num):
+    """Sets at the threshold, in one band or in neighbouring ones, meet where one is at home and one probes."""
+    bands, rng, across = jaccard_join.bands_of(num, 100), np.random.default_rng(num), 0
+    for _ in range(300):
+        n = int(rng.integers(5, 900))
+        values = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
+        lost = int(rng.integers(0, n * (100 - num) // 100 + 1))
+        added = max(((n - lost) * 100 - num * n) // num, 0)
+        other = np.unique(np.concatenate([rng.permutation(values)[lost:], rng.integers(0, 1 << 63, added).astype(np.uint64)]))
+        every, rows = np.concatenate([values, other]), np.array([0, n, n + len(other)])
+        sizes, listed = np.diff(rows), [{}, {}]
+        for role in (0, 1):
+            band = bands.of(sizes) + role
+            use = (bands.apart[band] > 0) & ((role == 0) | (100 * sizes >= num * bands.starts[band]))
+            for sig, row, flag in zip(*(x.tolist() for x in jaccard_join._parts(every, rows, use, band, bands, jaccard_join.OWN if role == 0 else 0))):
+                listed[row][sig] = listed[row].get(sig, 0) | flag
+        both = [listed[0][s] | listed[1][s] for s in listed[0].keys() & listed[1].keys()]
+        assert lost + added == 0 or any(f & jaccard_join.OWN and f & jaccard_join.PROBE for f in both)
+        across += bands.of(sizes)[0] != bands.of(sizes)[1]
+    assert across > 20
+
+
 def test_one_deletion_neighbourhoods_meet():
     """A set with too few filled segments lists its parts without each one shingle."""
     bands = jaccard_join.bands_of(85, 100)
