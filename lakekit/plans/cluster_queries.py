@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from lakekit.operators import dbscan as db
-from lakekit.operators import features, kmeans, metric, neighbours, silhouette
+from lakekit.operators import features, kmeans, metric, neighbours, silhouette, silhouette_bounds
 from lakekit.plans.registry import query, table
 from lakekit.session import cut_lineage, scratch_path
 
@@ -180,6 +180,18 @@ def silhouette_exact(spark, sf_dir):
     return silhouette.silhouette_exact(labelled, ["a", "b"]).withColumn("silhouette", F.round("silhouette", 6))
 
 
+@query("silhouette_interval", f"SELECT n_points, silhouette, true AS holds, true AS narrow FROM ({SCORE.replace('{points}', LOTS).replace('{d}', f'sqrt({SQUARE})')})")
+def silhouette_interval(spark, sf_dir):
+    """The interval of the same tuples' score, at most 0.02 wide, with the exact score in it."""
+    tuples = features.distinct_features(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_discount"]).toDF("a", "b")
+    labelled = cut_lineage(kmeans.assign(tuples, ["a", "b"], [(10.0, 0.05), (25.0, 0.05), (40.0, 0.05)]))
+    found = silhouette_bounds.silhouette_bounds(labelled, ["a", "b"], width=0.02)
+    exact = silhouette.silhouette_exact(labelled, ["a", "b"]).select(F.col("silhouette").alias("exact"))
+    return found.join(F.broadcast(exact)).select(
+        "n_points", F.round("exact", 6).alias("silhouette"), F.col("exact").between(F.col("low") - 1e-9, F.col("high") + 1e-9).alias("holds"),
+        (F.col("high") - F.col("low") <= 0.02).alias("narrow"))
+
+
 @query("silhouette_squared", SCORE.replace("{points}", ASSIGNED).replace("{d}", SQUARE))
 def silhouette_squared(spark, sf_dir):
     points = _labelled(spark, sf_dir)

@@ -2,10 +2,11 @@ import itertools
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakekit.operators import components, dbscan, kmeans, metric, neighbours, silhouette
+from lakekit.operators import components, dbscan, kmeans, metric, neighbours, silhouette, silhouette_bounds
 from lakekit.session import scratch_path
 
 
@@ -234,3 +235,55 @@ def test_kmeans_of_two_far_pairs(spark):
     model = kmeans.fit(points, ["a", "b"], 2, seeds=(42, 43, 44))
     assert model.summary.trainingCost == pytest.approx(1.0)
     assert {(r.a, r.label) for r in kmeans.predict(points, ["a", "b"], model).collect()} == {(0.0, 0), (10.0, 1)}
+
+
+def _blobs(centres, each, seed, d=2):
+    rng = random.Random(seed)
+    return sorted({(*[rng.gauss(c, 1) for c in centre[:d]], k) for k, centre in enumerate(centres) for _ in range(each)})
+
+
+def _silhouette(rows):
+    xs, labels = np.array([r[:-1] for r in rows]), np.array([r[-1] for r in rows])
+    distance = np.sqrt(((xs[:, None] - xs[None]) ** 2).sum(axis=2))
+    found = []
+    for i, own in enumerate(labels):
+        means = {k: distance[i, labels == k].sum() / max((labels == k).sum() - (k == own), 1) for k in set(labels)}
+        other = min([m for k, m in means.items() if k != own], default=None)
+        alone = (labels == own).sum() < 2 or other is None
+        found.append(0.0 if alone or max(means[own], other) == 0 else (other - means[own]) / max(means[own], other))
+    return float(np.mean(found))
+
+
+@pytest.mark.parametrize("width", [0.3, 0.05, 0.002])
+def test_silhouette_bounds_hold_the_score(spark, monkeypatch, width):
+    monkeypatch.setattr(silhouette_bounds, "BLOCK_LEVEL", 1)  # many blocks, several levels
+    rows = _blobs([(0, 0, 0), (6, 0, 3), (0, 7, 1), (40, 40, 40)], 60, 7, 3) + [(90.0, 90.0, 90.0, 9)]
+    found = silhouette_bounds.silhouette_bounds(spark.createDataFrame(rows, ["a", "b", "c", "label"]), ["a", "b", "c"], width=width).first()
+    exact = _silhouette(rows)
+    assert found.n_points == len(rows)
+    assert found.low - 1e-9 <= exact <= found.high + 1e-9
+    assert found.high - found.low <= width
+
+
+def test_silhouette_bounds_open_far_fewer_nodes_than_pairs(spark):
+    rows = _blobs([(0, 0), (9, 0), (0, 9), (9, 9)], 2000, 11)
+    trees = silhouette_bounds.Trees(spark.createDataFrame(rows, ["a", "b", "label"]), ["a", "b"], "label")
+    taken, met = silhouette_bounds._accepted(trees, 0.3)
+    blocks = trees.blocks.count()
+    whole = taken.groupBy("block", "cluster", "size").agg(F.sum("n").alias("n"))
+    assert whole.where("n <> size").isEmpty()  # each point once
+    assert taken.count() < blocks * len(rows) / 10
+    assert len(met) <= trees.depth + 1
+    found = silhouette_bounds.bounds_of(trees, 0.3).first()
+    assert found.low <= _silhouette(rows) <= found.high and found.high - found.low <= 0.01
+
+
+def test_silhouette_bounds_of_odd_tables(spark):
+    schema = "a double, b double, label bigint"
+    empty = silhouette_bounds.silhouette_bounds(spark.createDataFrame([], schema), ["a", "b"]).first()
+    assert (empty.low, empty.high, empty.n_points) == (None, None, 0)
+    one = silhouette_bounds.silhouette_bounds(spark.createDataFrame([(1.0, 2.0, 4), (3.0, 2.0, 4)], schema), ["a", "b"]).first()
+    assert (one.low, one.high, one.n_points) == (0.0, 0.0, 2)  # a single cluster
+    flat = [(1.0, float(k), k % 2) for k in range(40)]  # a constant column
+    found = silhouette_bounds.silhouette_bounds(spark.createDataFrame(flat, schema), ["a", "b"]).first()
+    assert found.low - 1e-9 <= _silhouette(flat) <= found.high + 1e-9
