@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakekit.session import scratch_path
+from lakekit.sources.catalog import EXPIRES, expired_tables
 
 
 class TableNotEmpty(RuntimeError):
@@ -64,12 +65,39 @@ def all_nullable(kind: T.DataType) -> T.DataType:
 
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType, description: str = "",
-                 location: str | None = None) -> None:
+                 location: str | None = None, expires: int | None = None) -> None:
     """Create a table from a declared schema, keeping comments and the description.
 
     Its data live in the warehouse and go with the table, unless a location of their own is given.
+    `expires` is the epoch second of its expiry, see `set_expiry`.
     """
+    if expires is not None:
+        _check_epoch(expires)
     spark.catalog.createTable(name, path=location, source="parquet", schema=schema, description=description)
+    if expires is not None:
+        set_expiry(spark, name, expires)
+
+
+def _check_epoch(expires: int) -> None:
+    if expires < 0:
+        raise ValueError("an expiry is an epoch second")
+
+
+def set_expiry(spark: SparkSession, name: str, expires: int | None) -> None:
+    """Let a table expire at an epoch second, or never (None). It stays readable until `drop_expired` meets it."""
+    if expires is None:
+        spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ('{EXPIRES}')")
+    else:
+        _check_epoch(expires)
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{EXPIRES}' = '{int(expires)}')")
+
+
+def drop_expired(spark: SparkSession, database: str, now: int) -> list[str]:
+    """Drop a database's tables whose expiry has come at the epoch second `now`; their names in order."""
+    gone = sorted(r["table_name"] for r in expired_tables(spark, database, now).select("table_name").collect())
+    for name in gone:
+        drop_table(spark, f"{database}.`{name}`")
+    return gone
 
 
 def drop_table(spark: SparkSession, name: str) -> None:

@@ -1,6 +1,9 @@
 """Inputs, sinks, renderers and catalog listings."""
 
+from functools import reduce
+
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakekit.functions import render
@@ -203,6 +206,32 @@ def catalog_listing(spark, sf_dir):
     return out
 
 
+@query("table_expiry", """
+WITH t AS (SELECT lower(c_mktsegment) AS table_name, sum(c_custkey)::BIGINT AS expires_epoch, count(*) AS n_rows FROM customer GROUP BY 1)
+SELECT * FROM t WHERE expires_epoch > (SELECT median(expires_epoch) FROM t)
+UNION ALL SELECT 'all_customers', NULL, count(*) FROM customer
+""")
+def table_expiry(spark, sf_dir):
+    """One table a market segment, expiring at the sum of its keys, and one without expiry: what is listed once those up to the median are dropped."""
+    database = "lk_" + scratch_path(spark, "x").rsplit("-", 1)[1][:12]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, database)}'")
+    customer = table(spark, sf_dir, "customer")
+    segments = customer.groupBy("c_mktsegment").agg(F.sum("c_custkey").alias("expires"), F.count("*").alias("n_rows"))
+    segments = cut_lineage(segments.withColumn("table_name", F.lower("c_mktsegment")))
+    tables.query_to_table(customer, f"{database}.all_customers")
+    for row in segments.collect():  # five market segments at any size
+        name = f"{database}.`{row['table_name']}`"
+        tables.query_to_table(customer.where(F.col("c_mktsegment") == row["c_mktsegment"]), name)
+        tables.set_expiry(spark, name, row["expires"])
+    tables.drop_expired(spark, database, int(segments.agg(F.median("expires")).first()[0]))
+    listed = catalog.list_tables(spark, database).select("table_name", "expires_epoch")
+    stored = [spark.table(f"{database}.`{r['table_name']}`").agg(F.count("*").alias("n_rows")).withColumn("table_name", F.lit(r["table_name"]))
+              for r in listed.select("table_name").collect()]
+    out = cut_lineage(listed.join(F.broadcast(reduce(DataFrame.unionByName, stored)), "table_name"))
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return out
+
+
 @query("catalog_databases", """
 SELECT 'spark_catalog' AS catalog, 'own' AS database, count(*) AS n_rows FROM nation
 """)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,8 +19,11 @@ def list_databases(spark: SparkSession) -> DataFrame:
                                  "catalog STRING, database STRING")
 
 
+EXPIRES = "lakekit.expires_epoch"  # table property: the epoch second at which the table may go
+
+
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
-    """Tables of a database with type, location and creation time as an epoch second.
+    """Tables of a database with type, location, creation and expiry (null: never) as epoch seconds.
 
     One listing command answers for all tables; its text is taken apart as a DataFrame.
     """
@@ -32,7 +36,13 @@ def list_tables(spark: SparkSession, database: str) -> DataFrame:
     return shown.select(
         F.col("namespace").alias("database"), F.col("tableName").alias("table_name"), part("Type").alias("table_type"),
         part("Created Time").alias("created"), part("Location").alias("location"),
-        F.unix_timestamp(created).alias("created_epoch"))
+        F.unix_timestamp(created).alias("created_epoch"),
+        F.nullif(F.regexp_extract(part("Table Properties"), re.escape(EXPIRES) + r"=(\d+)", 1), F.lit("")).cast("bigint").alias("expires_epoch"))
+
+
+def expired_tables(spark: SparkSession, database: str, now: int) -> DataFrame:
+    """The listed tables whose expiry has come at the epoch second `now`."""
+    return list_tables(spark, database).where(F.col("expires_epoch") <= now)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

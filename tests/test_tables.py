@@ -41,6 +41,60 @@ def test_glob_is_one_table_and_url_paths_work(spark):
     assert {"t0", "t1"} <= {r.table_name for r in inputs.information_schema_tables(spark).collect()}
 
 
+@pytest.fixture
+def mounted(spark, tmp_path):
+    """A second file system scheme of the Hadoop client: a mount table whose /in is a local folder."""
+    lake = "lake" + "".join(c for c in tmp_path.name if c.isalnum())  # file systems are kept by scheme and authority
+    spark._jsc.hadoopConfiguration().set(f"fs.viewfs.mounttable.{lake}.link./in", tmp_path.as_uri())
+    return f"viewfs://{lake}/in"
+
+
+@pytest.mark.parametrize("extension", ["json", "parquet", "csv"])
+def test_urls_of_another_file_system(spark, mounted, tmp_path, extension):
+    df = spark.createDataFrame([(1, 'a "b"\r\nc', 1.5), (2, None, None), (3, "", 2.0)], "a bigint, s string, d double")
+    path = sinks.write_result(df, f"{mounted}/one.{extension}")
+    assert path.startswith("viewfs://") and (tmp_path / f"one.{extension}").is_dir()
+    with pytest.raises(Exception, match="already exists"):
+        sinks.write_result(df, path)
+    sinks.write_result(df.withColumn("a", F.col("a") + 10), f"{mounted}/two.{extension}")
+    schemas = {0: df.schema, 1: df.schema}
+    both = inputs.run_query(spark, [path, f"{mounted}/*.{extension}"],
+                            "SELECT (SELECT count(*) FROM t0) AS one, count(*) AS n, sum(a) AS total, max(s) AS s FROM t1", schemas)
+    assert both.first() == (3, 6, 42, 'a "b"\r\nc')
+    sinks.write_result(df.limit(1), path, remove=True)
+    assert inputs.read_input(spark, path, df.schema).count() == 1
+
+
+def test_urls_without_a_file_system_are_refused(spark):
+    for extension in ("json", "parquet", "csv"):
+        with pytest.raises(Exception, match="(?i)scheme"):
+            inputs.read_input(spark, f"nosuch://bucket/x.{extension}", "a int").count()
+
+
+def test_tables_expire(spark):
+    database = "expiring"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, database)}'")
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    for name, expires in (("gone", 100), ("kept", 101), ("forever", None)):
+        tables.create_table(spark, f"{database}.{name}", schema, expires=expires)
+
+    def listed():
+        return {r.table_name: r.expires_epoch for r in catalog.list_tables(spark, database).collect()}
+
+    assert listed() == {"gone": 100, "kept": 101, "forever": None}
+    assert tables.drop_expired(spark, database, 100) == ["gone"]
+    tables.set_expiry(spark, f"{database}.kept", None)
+    tables.set_expiry(spark, f"{database}.forever", 0)
+    assert listed() == {"kept": None, "forever": 0}
+    assert tables.drop_expired(spark, database, 10**12) == ["forever"]
+    assert tables.drop_expired(spark, database, 10**12) == []
+    for bad in (lambda: tables.create_table(spark, f"{database}.x", schema, expires=-1), lambda: tables.set_expiry(spark, f"{database}.kept", -1)):
+        with pytest.raises(ValueError, match="epoch"):
+            bad()
+    assert listed() == {"kept": None}
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 def test_csv_types_are_inferred_and_text_survives(spark):
     df = spark.createDataFrame([(1, "", 1.5), (2, None, None), (3, 'a "b"', 2.0)], "a int, s string, d double")
     back = inputs.read_input(spark, sinks.write_result(df, scratch_path(spark, "c") + ".csv"))
