@@ -3,11 +3,14 @@
 A grid parts points by a few columns only; with dozens of columns its cells meet far too often. Here a point belongs to the nearest of
 a few pivot points and to a ring around it, one radius wide. Two points within the radius differ by at most the radius in their
 distance to any pivot, so a point of pivot p has neighbours at pivot q only if it is less than two radii farther from q
-than from p, and only in four rings there. Points are kept in blocks of one ring; a block refers to blocks of
-other rings only where its border reaches them, and points are never copied. Blocks that meet are told apart by their least and greatest
-distances to all pivots; what remains is compared point by point, summing squares in column order.
-
-Pivots are drawn farthest first from SAMPLE points by hash. They settle how much is compared, never the result.
+than from p. Points are kept in blocks of one ring, and blocks in order make up tiles. A tile goes once to every tile that its least and
+greatest distances to the pivots let it meet, one cell of the triangle of tiles a task: the number of tiles is fixed as long as a tile
+holds at most TILE points, so what is moved grows with the points and not with their pairs. Within a cell blocks are told apart by their
+distances to all pivots; what remains is compared by matrix products, and pairs that rounding could turn by squares summed in column order.
+A cell gives a count or one link a point, never its pairs.
+
+Pivots are drawn farthest first from SAMPLE points by hash. They settle how much is compared, never the result. Points that no pivot parts are
+all compared, which stays quadratic in time.
 A crowded ring is dealt to tasks by its points' distances to the next pivot, so it may hold any share of them. Every
 intermediate is written to the shared folder.
 
@@ -33,7 +36,10 @@ from lakekit.session import cut_lineage
 PIVOTS = 16
 SAMPLE = 2000
 BLOCK = 128
-FAR = np.iinfo(np.int64).max
+TILES = 24         # tiles of a table, so a tile is sent about as often
+TILE = 100_000     # points a tile should hold at most; beyond it there are more tiles
+CHUNK = 4096       # points a block is compared with at a time
+EDGES = 1 << 20    # links a cell keeps before they are cut down to one a point
 
 RINGED = "home int, ring bigint, second int, far double, id bigint, v array<double>"
 BLOCKS = "block bigint, home int, ring bigint, n int, ids array<bigint>, vectors binary, low array<double>, high array<double>"
@@ -113,75 +119,150 @@ def _slack(eps: float, *sizes: np.ndarray) -> np.ndarray:
     return eps + 1e-9 * (eps + sum(np.abs(s) for s in sizes))
 
 
-def _probes(pivots: int, eps: float):
-    """Per block the rings of each pivot that its points' neighbours can be in."""
+def _meets(low, high, home, k: int, others: slice, eps: float) -> np.ndarray:
+    """Which of the other blocks can hold neighbours of block k's points."""
+    reach = _slack(eps, high[k], high[others])
+    near = ((low[k] - high[others] <= reach) & (low[others] - high[k] <= reach)).all(axis=1)
+    at, own = home[others], home[k]
+    every = np.arange(len(at))
+    # the points' nearest pivots: within two radii of being the other's
+    far = low[k][at] - high[k, own] <= 2 * reach[every, at]
+    back = low[others][:, own] - high[others][every, at] <= 2 * reach[:, own]
+    return near & far & back
+
+
+class Cell:
+    """The blocks of two tiles, or of one, side by side: their points and what is known of them."""
+
+    def __init__(self, batch: pa.Table, width: int, pivots: int):
+        self.home, self.n, self.second = (batch[c].to_numpy() for c in ("home", "n", "second"))
+        self.ids = batch["ids"].combine_chunks().flatten().to_numpy()
+        self.points = np.frombuffer(b"".join(batch["vectors"].to_pylist())).reshape(-1, width)
+        self.low, self.high = (_matrix(batch[c].combine_chunks(), pivots) for c in ("low", "high"))
+        flags = batch["flags"].combine_chunks()
+        self.core = None if flags.null_count else flags.flatten().to_numpy(zero_copy_only=False)
+        self.starts = np.concatenate([[0], np.cumsum(self.n)])
+        with np.errstate(all="ignore"):
+            self.squares = (self.points * self.points).sum(axis=1)
+            self.left = np.column_stack([-2 * self.points, np.ones(len(self.points))])
+            self.right = np.column_stack([self.points, self.squares])
+
+    def pairs(self, eps: float) -> Iterator[tuple[int, np.ndarray]]:
+        """(block, blocks it is to be compared with): each pair once, a block with itself if the cell is one tile's."""
+        one = not self.second.any()
+        first = len(self.n) if one else int(self.second.argmax())  # blocks of the first tile come first
+        for k in range(first):
+            others = slice(k if one else first, len(self.n))
+            yield k, np.flatnonzero(_meets(self.low, self.high, self.home, k, others, eps)) + others.start
+
+    def places(self, blocks: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.arange(self.starts[b], self.starts[b + 1]) for b in blocks]) if len(blocks) else np.zeros(0, np.int64)
+
+    def hits(self, eps: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
+        """(places, places, which are neighbours, whether both are the same block) of all pairs that are compared."""
+        for k, blocks in self.pairs(eps):
+            rows = np.arange(self.starts[k], self.starts[k + 1])
+            if len(blocks) and blocks[0] == k:
+                yield rows, rows, self.near(rows, rows, eps), True
+                blocks = blocks[1:]
+            columns = self.places(blocks)
+            for at in range(0, len(columns), CHUNK):
+                some = columns[at:at + CHUNK]
+                yield rows, some, self.near(rows, some, eps), False
+
+    def near(self, rows: np.ndarray, columns: np.ndarray, eps: float) -> np.ndarray:
+        """As `near_matrix`: distances by a matrix product, those within its rounding of the radius once more."""
+        whole = len(columns) and columns[-1] - columns[0] == len(columns) - 1
+        right = self.right[columns[0]:columns[-1] + 1] if whole else self.right[columns]
+        with np.errstate(all="ignore"):
+            product = self.left[rows[0]:rows[-1] + 1] @ right.T  # the square of the distance less that of the row's point
+            own = self.squares[rows]
+            slack = 16 * (self.points.shape[1] + 8) * np.finfo(float).eps * (own.max() + self.squares[columns].max() + eps * eps)
+            limit = eps * eps - own
+            sure = product <= (limit - slack)[:, None]
+            apart = product > (limit + slack)[:, None]
+        open_ = sure.size - np.count_nonzero(sure) - np.count_nonzero(apart)
+        if not open_:
+            return sure
+        if open_ > sure.size // 8:
+            return near_matrix(self.points[rows], self.points[columns], eps)
+        i, j = (~(sure | apart)).nonzero()
+        total = np.zeros(len(i))
+        for x, y in zip(self.points[rows[i]].T, self.points[columns[j]].T):
+            gap = x - y
+            total += gap * gap
+        sure[i, j] = total <= eps * eps
+        return sure
+
+
+def _cells(work: Callable, width: int, pivots: int, eps: float):
+    """Rows sorted by cell, tile and block -> `work(cell, eps)` of every cell."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, key = [], None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            home = batch.column(1).to_numpy()
-            low, high = (_matrix(batch.column(k), pivots) for k in (2, 3))
-            every = np.arange(len(home))
-            near, far = low[every, home][:, None], high[every, home][:, None]
-            reach = _slack(eps, low, far)
-            meets = (low - far <= 2 * reach).nonzero()
-            first = np.floor((np.maximum(low, near) - reach)[meets] / eps).astype(np.int64)
-            last = np.floor((far + reach)[meets] / eps).astype(np.int64)
-            for step in range(int((last - first).max(initial=-1)) + 1):
-                use = np.flatnonzero((first + step <= last) & (first + step >= 0))
-                row = pa.array(meets[0][use])
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), pa.array(meets[1][use], pa.int32()), pa.array(first[use] + step),
-                                                  batch.column(2).take(row), batch.column(3).take(row)], names=["a", "home", "ring", "low", "high"])
-
-    return run
-
-
-def _apart(pivots: int, eps: float):
-    """Keep the pairs of blocks whose distances to every pivot come within the radius."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            low_a, high_a, low_b, high_b = (_matrix(batch.column(k), pivots) for k in range(2, 6))
-            reach = _slack(eps, high_a, high_b)
-            keep = pa.array(((low_a - high_b <= reach) & (low_b - high_a <= reach)).all(axis=1))
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
+            i, j = (batch.column(k).to_numpy() for k in (0, 1))
+            starts = np.flatnonzero(np.concatenate([[True], (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+            for a, b in zip(starts, np.append(starts[1:], len(i))):
+                if key != (i[a], j[a]) and held:
+                    yield from work(Cell(pa.Table.from_batches(held), width, pivots), eps)
+                    held = []
+                key = (i[a], j[a])
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from work(Cell(pa.Table.from_batches(held), width, pivots), eps)
 
     return run
 
 
 class Blocks:
-    """Points (id, v) in blocks, and the pairs of blocks that can hold neighbours."""
+    """Points (id, v) in blocks, blocks in tiles, and the pairs of tiles that can hold neighbours."""
 
     def __init__(self, points: DataFrame, eps: float, pivots: int = PIVOTS):
         if eps <= 0:
             raise ValueError("epsilon must be positive")
         chosen = choose_pivots(points, pivots)
-        self.eps, self.width = float(eps), chosen.shape[1]
+        self.eps, self.width, self.pivots = float(eps), chosen.shape[1], len(chosen)
         ringed = points.select("id", "v").mapInArrow(_ringed(chosen, self.eps), RINGED)
         keys = ["home", "ring", "second", "far", "id"]
         self.blocks = cut_lineage(ringed.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(_blocks(chosen), BLOCKS))
-        own = self.blocks.select("block", "home", "low", "high")
-        probes = own.mapInArrow(_probes(len(chosen), self.eps), "a bigint, home int, ring bigint, low array<double>, high array<double>")
-        met = probes.alias("p").join(self.blocks.alias("q"), F.expr("p.home = q.home and p.ring = q.ring and p.a <= q.block"))
-        self.pairs = cut_lineage(met.selectExpr("a", "block AS b", "p.low AS low_a", "p.high AS high_a", "q.low AS low_b", "q.high AS high_b").mapInArrow(
-            _apart(len(chosen), self.eps), "a bigint, b bigint"))
-
-    def candidates(self) -> int:
-        """Number of pairs of points that are compared."""
-        sizes = self.blocks.select("block", "n")
-        both = self.pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-        return both.agg(F.coalesce(F.sum(F.col("na").cast("bigint") * F.col("nb")), F.lit(0))).first()[0]
+        total = self.blocks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        count = max(TILES, -(-total // TILE))
+        cuts = self.blocks.agg(F.percentile_approx("block", [k / count for k in range(1, count)], 100 * count)).first()[0] or []
+        self.tile = F.size(F.filter(F.array(*(F.lit(c).cast("bigint") for c in sorted(set(cuts)))), lambda c: c < F.col("block")))
+        self.cells = self._meeting()
+
+    def _meeting(self) -> list[tuple[int, int]]:
+        """Pairs of tiles whose distances to every pivot come within the radius; a row per tile comes to the driver."""
+        if not self.pivots:
+            return []
+        ends = [f(F.col(c)[k]) for c, f in (("low", F.min), ("high", F.max)) for k in range(self.pivots)]
+        rows = self.blocks.groupBy(self.tile.alias("tile")).agg(F.array(*ends[:self.pivots]), F.array(*ends[self.pivots:])).collect()
+        out = []
+        for a in sorted(rows):
+            for b in rows:
+                if b[0] >= a[0]:
+                    low, high = (np.array([x[k] for x in (a, b)]) for k in (1, 2))
+                    reach = _slack(self.eps, high[0], high[1])
+                    if ((low[0] - high[1] <= reach) & (low[1] - high[0] <= reach)).all():
+                        out.append((a[0], b[0]))
+        return out
 
     def compare(self, work: Callable, schema: str, flags: DataFrame | None = None) -> DataFrame:
-        """`work(a, b, hits)` of all pairs of blocks, where a and b are (ids, flags) and hits tells which points are neighbours."""
-        blocks = self.blocks.select("block", "ids", "vectors", F.lit(None).cast("array<boolean>").alias("flags"))
+        """`work(cell, eps)` of all pairs of tiles that can hold neighbours."""
+        blocks = self.blocks.select("*", self.tile.alias("tile"), F.lit(None).cast("array<boolean>").alias("flags"))
         if flags is not None:
             blocks = blocks.drop("flags").join(flags, "block")
-        names = ("ids", "vectors", "flags")
-        both = self.pairs
-        for side in ("a", "b"):
-            both = both.join(blocks.select(F.col("block").alias(side), *(F.col(n).alias(f"{side}_{n}") for n in names)), side)
-        columns = ["a", "b", *(f"{side}_{n}" for side in ("a", "b") for n in names)]
-        return both.select(*columns).mapInArrow(_comparer(work, self.width, self.eps), schema)
+        sent = [(tile, i, j, side) for i, j in self.cells for side, tile in enumerate((i, j)[:1 if i == j else 2])]
+        where = F.broadcast(self.blocks.sparkSession.createDataFrame(sent, "tile int, i int, j int, second int"))
+        dealt = blocks.join(where, "tile").select("i", "j", "second", "block", "home", "n", "ids", "vectors", "low", "high", "flags")
+        dealt = dealt.repartition(max(len(self.cells), 1), "i", "j").sortWithinPartitions("i", "j", "second", "block")
+        return dealt.mapInArrow(_cells(work, self.width, self.pivots, self.eps), schema)
+
+    def candidates(self) -> int:
+        """Number of pairs of points that are compared."""
+        return self.compare(_compared, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def near_matrix(left: np.ndarray, right: np.ndarray, eps: float) -> np.ndarray:
@@ -193,53 +274,88 @@ def near_matrix(left: np.ndarray, right: np.ndarray, eps: float) -> np.ndarray:
     return total <= eps * eps
 
 
-def _comparer(work: Callable, width: int, eps: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                a, b, *sides = (c[k].as_py() for c in batch.columns)
-                ids = [np.array(x, np.int64) for x in (sides[0], sides[3])]
-                left, right = (np.frombuffer(x).reshape(-1, width) for x in (sides[1], sides[4]))
-                flags = [None if x is None else np.array(x, bool) for x in (sides[2], sides[5])]
-                yield from work((ids[0], flags[0]), (ids[1], flags[1]), near_matrix(left, right, eps), a == b)
-
-    return run
+def _compared(cell: Cell, eps: float) -> Iterator[pa.RecordBatch]:
+    n = sum(int(cell.n[k]) * int(cell.n[blocks].sum()) for k, blocks in cell.pairs(eps))
+    yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
 
-def _count(a, b, hits, same) -> Iterator[pa.RecordBatch]:
-    sides = [(a[0], hits.sum(axis=1))] + ([] if same else [(b[0], hits.sum(axis=0))])
-    for ids, n in sides:
-        some = n > 0
-        yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(n[some], pa.int64())], names=["id", "n"])
+def _count(cell: Cell, eps: float) -> Iterator[pa.RecordBatch]:
+    n = np.zeros(len(cell.ids), np.int64)
+    for rows, columns, hits, same in cell.hits(eps):
+        n[rows] += np.count_nonzero(hits, axis=1)
+        if not same:
+            n[columns] += np.count_nonzero(hits, axis=0)
+    some = n > 0
+    yield pa.RecordBatch.from_arrays([pa.array(cell.ids[some]), pa.array(n[some])], names=["id", "n"])
 
 
-def _least(labels: np.ndarray, hits: np.ndarray) -> np.ndarray:
-    return np.where(hits, labels[None, :], FAR).min(axis=1, initial=FAR)
+def _roots(root: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The least place each place is tied to, given such roots so far and more links."""
+    while True:
+        a, b = root[u], root[v]
+        low, high = np.minimum(a, b), np.maximum(a, b)
+        open_ = low != high
+        if not open_.any():
+            return root
+        u, v = u[open_], v[open_]
+        np.minimum.at(root, high[open_], low[open_])
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def _link(cell: Cell, eps: float) -> Iterator[pa.RecordBatch]:
+    """(u, v): core points to the first core point of the cell they are tied to within it; other points to their core neighbours."""
+    root, core = np.arange(len(cell.ids)), cell.core
+    held, size = [], 0
+    for rows, columns, hits, same in cell.hits(eps):
+        if not hits.any():
+            continue
+        if np.count_nonzero(hits) > hits.size // 8:  # of a crowded chunk: each point to the first core point it meets, and those to each other
+            inner = hits & core[rows][:, None] & core[columns][None, :]
+            some, other = inner.any(axis=1), inner.any(axis=0)
+            one = _chunk_roots(inner)
+            u = np.concatenate([rows[some], columns[other]])
+            v = np.concatenate([rows, columns])[np.concatenate([one[:len(rows)][some], one[len(rows):][other]])]
+            i, j = (hits & (core[rows][:, None] ^ core[columns][None, :])).nonzero()
+        else:
+            i, j = hits.nonzero()
+            both = core[rows[i]] & core[columns[j]]
+            u, v = rows[i[both]], columns[j[both]]
+            edge = core[rows[i]] ^ core[columns[j]]
+            i, j = i[edge], j[edge]
+        held.append((u, v))
+        size += len(u)
+        if size > EDGES:
+            root = _roots(root, *(np.concatenate(x) for x in zip(*held)))
+            held, size = [], 0
+        if same:  # each pair comes both ways
+            use = ~core[rows[i]]
+            i, j = i[use], j[use]
+        if len(i):
+            x, y = rows[i], columns[j]
+            yield _links(cell, np.where(core[x], y, x), np.where(core[x], x, y), True)
+    if held:
+        root = _roots(root, *(np.concatenate(x) for x in zip(*held)))
+    tied = np.flatnonzero(root != np.arange(len(root)))
+    if len(tied):
+        yield _links(cell, tied, root[tied], False)
+
+
+def _chunk_roots(hits: np.ndarray) -> np.ndarray:
+    """Least place tied to each row and then each column of a matrix of links; rows come before columns."""
+    m, n = hits.shape
+    labels = np.concatenate([np.arange(m), m + np.arange(n)])
+    while True:
+        one = np.minimum(labels[:m], np.where(hits, labels[None, m:], m + n).min(axis=1, initial=m + n))
+        two = np.minimum(labels[m:], np.where(hits, one[:, None], m + n).min(axis=0, initial=m + n))
+        new = np.concatenate([one, two])
+        if (new == labels).all():
+            return labels
+        labels = new
 
 
-def _link(a, b, hits, same) -> Iterator[pa.RecordBatch]:
-    """(u, v): core points of the two blocks to the first core point they reach in them; other points to their core neighbours."""
-    (ids_a, core_a), (ids_b, core_b) = a, b
-    inner = hits & core_a[:, None] & core_b[None, :]
-    one, two = ids_a.copy(), ids_b.copy()
-    while True:
-        new_one = np.minimum(one, _least(two, inner))
-        new_two = np.minimum(two, _least(new_one, inner.T))
-        if same:
-            new_one = new_two = np.minimum(new_one, new_two)
-        if (new_one == one).all() and (new_two == two).all():
-            break
-        one, two = new_one, new_two
-    out = []
-    for ids, labels, core in ((ids_a, one, core_a), (ids_b, two, core_b)):
-        use = core & (labels != ids)
-        out.append((ids[use], labels[use], np.zeros(int(use.sum()), bool)))
-    for ids, others, edge in ((ids_a, ids_b, hits & ~core_a[:, None] & core_b[None, :]), (ids_b, ids_a, hits.T & ~core_b[:, None] & core_a[None, :])):
-        u, v = edge.nonzero()
-        out.append((ids[u], others[v], np.ones(len(u), bool)))
-    u, v, border = (np.concatenate(x) for x in zip(*out))
-    if len(u):
-        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(border)], names=["u", "v", "border"])
+def _links(cell: Cell, u: np.ndarray, v: np.ndarray, border: bool) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(cell.ids[u]), pa.array(cell.ids[v]), pa.array(np.full(len(u), border))], names=["u", "v", "border"])
 
 
 def _indexed(points: DataFrame, columns: list[str]) -> DataFrame:

@@ -3,6 +3,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -287,3 +288,62 @@ def test_silhouette_bounds_of_odd_tables(spark):
     flat = [(1.0, float(k), k % 2) for k in range(40)]  # a constant column
     found = silhouette_bounds.silhouette_bounds(spark.createDataFrame(flat, schema), ["a", "b"]).first()
     assert found.low - 1e-9 <= _silhouette(flat) <= found.high + 1e-9
+
+
+@pytest.mark.parametrize("seed, d, eps, shift", [(6, 64, 0.6, 0.0), (7, 12, 0.25, 0.0), (8, 8, 0.6, 1e6)])
+def test_tiles_move_points_a_fixed_number_of_times(spark, monkeypatch, seed, d, eps, shift):
+    """Blocks are sent once a tile they can meet, however many blocks are there; far from the origin products settle nothing."""
+    for name, value in (("BLOCK", 4), ("TILES", 3)):
+        monkeypatch.setattr(metric, name, value)
+    rows = [tuple(x + shift for x in r) for r in tall(seed, d)]
+    columns = [f"c{i}" for i in range(d)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], ["k", *columns])
+    blocks = metric.Blocks(metric._indexed(df.select(columns).distinct(), columns), eps)
+    assert len(blocks.cells) <= 6 < blocks.blocks.count()
+    found = neighbours.eps_neighbours(df.select(columns).distinct(), columns, eps)
+    assert {tuple(r[c] for c in columns): r.n_neighbours for r in found.collect()} == brute_counts(sorted(set(rows)), eps)
+    labels = {r.k: r.label for r in dbscan.dbscan(df, columns, eps, 5).select("k", "label").collect()}
+    expected = brute_dbscan(rows, eps, 5)
+    assert labels == {k: expected[r] for k, r in enumerate(rows)}
+
+
+def test_products_settle_only_what_rounding_cannot_turn():
+    rng = np.random.default_rng(4)
+    for points, eps in ((rng.normal(size=(60, 64)), 11.0), (rng.integers(0, 3, (60, 5)).astype(float), math.sqrt(5)), (rng.normal(size=(60, 3)) * 1e200, 1e200)):
+        cell = object.__new__(metric.Cell)
+        with np.errstate(all="ignore"):
+            cell.points, cell.squares = points, (points * points).sum(axis=1)
+            cell.left, cell.right = np.column_stack([-2 * points, np.ones(60)]), np.column_stack([points, cell.squares])
+            assert (cell.near(np.arange(20), np.arange(20, 60), eps) == metric.near_matrix(points[:20], points[20:], eps)).all()
+
+
+def test_roots_of_chains_and_of_nothing():
+    links = [(k + 1, k) for k in range(9)] + [(12, 15)]
+    u, v = np.array(links).T
+    assert metric._roots(np.arange(17), u, v).tolist() == [0] * 10 + [10, 11, 12, 13, 14, 12, 16]
+    assert metric._roots(np.arange(2), u[:0], v[:0]).tolist() == [0, 1]
+
+
+@pytest.mark.parametrize("chunk, edges, tiles", [(5, 3, 1), (4096, 1 << 20, 2), (7, 20, 2)])
+def test_a_cell_links_its_core_points(monkeypatch, chunk, edges, tiles):
+    monkeypatch.setattr(metric, "CHUNK", chunk)
+    monkeypatch.setattr(metric, "EDGES", edges)
+    rng = np.random.default_rng(2)
+    points = np.concatenate([rng.normal(c, 0.3, (24, 2)) for c in (0, 4)] + [rng.uniform(-2, 6, (16, 2))])
+    core, size, eps = rng.random(64) < 0.8, 8, 0.7
+    second = np.arange(8) * tiles // 8
+    away = metric.to_pivots(points, points[:2]).reshape(8, size, 2)
+    lists = lambda x: pa.array(list(x.reshape(8, -1)))
+    table = pa.table({"home": np.zeros(8, np.int32), "n": np.full(8, size, np.int32), "second": second, "ids": lists(np.arange(64)), "flags": lists(core),
+                      "vectors": [points[a:a + size].tobytes() for a in range(0, 64, size)], "low": lists(away.min(axis=1) * 0), "high": lists(away.max(axis=1))})
+    found = pa.Table.from_batches(list(metric._link(metric.Cell(table, 2, 2), eps)))
+    hits = metric.near_matrix(points, points, eps)
+    of = second[np.arange(64) // size]
+    if tiles == 2:  # a cell of two tiles holds only pairs across
+        hits &= of[:, None] != of[None, :]
+    links = found.to_pylist()
+    borders = sorted((r["u"], r["v"]) for r in links if r["border"])
+    assert borders == sorted((i, j) for i, j in zip(*hits.nonzero()) if not core[i] and core[j])
+    want = metric._roots(np.arange(64), *(hits & core[:, None] & core[None, :]).nonzero())
+    got = metric._roots(np.arange(64), *(np.array([r[c] for r in links if not r["border"]], int) for c in "uv"))
+    assert (got == want).all()
