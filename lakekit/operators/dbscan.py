@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakekit.operators.components import connected_components
 from lakekit.operators.features import distinct_features, label_join_back, with_rank
-from lakekit.operators.neighbours import (STEP, Grid, cell_pairs, cell_table, index_points, largest_cell,
+from lakekit.operators.neighbours import (HASH_DIMS, STEP, Grid, cell_pairs, cell_table, index_points, largest_cell,
                                           neighbour_counts, too_deep)
 from lakekit.session import cut_lineage
 
@@ -129,8 +129,11 @@ def dbscan(df: DataFrame, columns: list[str], eps: float, min_points: int, label
     """Every row of df with its cluster; each noise point gets a label of its own.
 
     Noise labels start at the number of distinct points plus one and follow
-    coordinate order.
+    coordinate order. More than HASH_DIMS columns are clustered by pivots instead of a grid.
     """
+    if len(columns) > HASH_DIMS:
+        from lakekit.operators import metric
+        return metric.dbscan(df, columns, eps, min_points, label)
     clustered, total = cluster_points(distinct_features(df, columns), columns, eps, min_points)
     return label_rows(df, clustered, total, columns, label)
 

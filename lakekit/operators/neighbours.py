@@ -184,8 +184,12 @@ def neighbour_counts(points: DataFrame, queries: DataFrame, pairs: DataFrame, gr
 
 
 def eps_neighbours(points: DataFrame, columns: list[str], eps: float) -> DataFrame:
-    """Coordinates and neighbour count (itself included) of every distinct point."""
+    """Coordinates and neighbour count (itself included) of every distinct point. Beyond HASH_DIMS columns a grid's cells
+    meet far too often; pivots part the points there."""
     grid = Grid(columns, eps)
+    if grid.d > HASH_DIMS:
+        from lakekit.operators import metric
+        return metric.eps_neighbours(points, columns, eps)
     indexed = index_points(points, grid)
     cells = cut_lineage(cell_table(indexed, grid))
     # written out: renaming many filtered columns would make the optimizer derive every combination of names
