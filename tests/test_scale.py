@@ -64,6 +64,38 @@ def test_a_hot_range_is_many_cells(spark, monkeypatch):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+@pytest.mark.parametrize("cell, ranges", [(200_000, 64), (40, 8), (7, 1)])
+def test_band_sums_make_no_pairs(spark, monkeypatch, cell, ranges):
+    monkeypatch.setattr(bands, "CELL", cell)
+    rng = random.Random(5)
+    points = [(5.0 if k % 3 == 0 else round(rng.uniform(0, 100), 1), None if k % 4 == 0 else k / 8) for k in range(600)]
+    points += [(None, 1.0), (float("nan"), 1.0), (float("inf"), 2.0), (200.0, None), (300.0, float("nan")), (301.0, 1e300), (302.0, 1.0)]
+    intervals = [(k % 150, x, x + rng.choice([0.0, 0.5, 20.0, 90.0])) for k, x in ((k, round(rng.uniform(-5, 105), 1)) for k in range(200))]
+    intervals += [(500, 9.0, 8.0), (501, None, 4.0), (503, float("nan"), 9.0), (504, 150.0, 250.0), (505, 299.0, 300.0), (506, 302.0, 400.0), (None, 0.0, 100.0)]
+    left = spark.createDataFrame(points, "x double, v double").repartition(3)
+    right = spark.createDataFrame(intervals, "k long, lo double, hi double").repartition(2)
+    joined = bands.band_join(left, right, F.col("x"), F.col("lo"), F.col("hi"), ranges, sums=["v"])
+    want = []
+    for k, lo, hi in intervals:
+        held = [v for x, v in points if None not in (x, lo, hi) and lo <= x <= hi]
+        if held:
+            some = [v for v in held if v is not None]
+            want.append((k, lo, hi, len(held), sum(some) if some else None))
+    assert sorted(map(repr, map(tuple, joined.collect()))) == sorted(map(repr, want))
+    assert bands.band_join(left.limit(0), right, F.col("x"), F.col("lo"), F.col("hi"), sums=["v"]).collect() == []
+
+
+def test_pairs_of_a_range_are_dealt_by_their_number(spark, monkeypatch):
+    """Few rows that make many pairs are many tasks."""
+    monkeypatch.setattr(bands, "PAIRS", 1000)
+    left = spark.createDataFrame([(i, 7) for i in range(300)], "p long, x long")
+    right = spark.createDataFrame([(k, 7, 7) for k in range(200)], "k long, lo long, hi long")
+    joined = bands.band_join(left, right, F.col("x"), F.col("lo"), F.col("hi"))
+    per_task = joined.groupBy(F.spark_partition_id().alias("task")).count()
+    sizes = [r["count"] for r in per_task.collect()]
+    assert sum(sizes) == 300 * 200 and max(sizes) < 15_000 and len(sizes) > 10
+
+
 @pytest.mark.parametrize("key", ["join_time_band", "join_price_band", "quantiles_exact", "chain_totals"])
 def test_no_product_and_no_percentile_map(spark, key):
     plan = catalog.queries()[key](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
