@@ -463,10 +463,21 @@ def sql_newline_agg(spark, sf_dir):
     return _newline_agg(spark, sf_dir, "l_orderkey", "{}")
 
 
+PIECE = 250_000  # rows joined at once, as a list in memory
+
+
 @query("sql_newline_agg_large", NEWLINE_ORACLE.format(key="l_returnflag", text=f"md5({NEWLINE_JOINED})", lines=NEWLINE_LINES.format(t="lineitem")))
 def sql_newline_agg_large(spark, sf_dir):
-    """The same over three groups that hold the whole table; partial lists merge in the JVM."""
-    return _newline_agg(spark, sf_dir, "l_returnflag", "md5({})")
+    """The same over three groups that hold the whole table: ranges in order are joined first, each by a task, and a group's last step reads their texts only."""
+    order = "l_orderkey, l_linenumber, l_partkey, x"
+    pieces = 1 + table(spark, sf_dir, "lineitem").count() // PIECE
+    return inputs.run_query(spark, [f"{sf_dir}/lineitem.parquet"], f"""
+        SELECT l_returnflag, CAST(sum(n) AS BIGINT) AS n, md5(newline_text(listagg(piece, '\n') WITHIN GROUP (ORDER BY part))) AS lines
+        FROM (SELECT l_returnflag, part, count(*) AS n, listagg(newline_item(x), '\n') WITHIN GROUP (ORDER BY {order}) AS piece
+              FROM (SELECT *, spark_partition_id() AS part FROM (
+                      SELECT /*+ REPARTITION_BY_RANGE({pieces}, l_returnflag, {order}) */ * FROM {NEWLINE_LINES.format(t='t0')}))
+              GROUP BY l_returnflag, part)
+        GROUP BY l_returnflag""")
 
 
 @query("csv_one_column", "SELECT CASE WHEN doc_id % 3 > 0 THEN CASE WHEN doc_id % 5 > 0 THEN text ELSE '' END END AS line FROM documents")
@@ -483,7 +494,7 @@ def csv_crlf(spark, sf_dir):
     quoted = F.concat(F.lit('"'), F.replace(F.replace("text", F.lit(" "), F.lit("\r\n")), F.lit('"'), F.lit('""')), F.lit('"'))
     lines = table(spark, sf_dir, "documents").select(F.concat_ws(",", F.col("doc_id").cast("string"), quoted, "lang").alias("line"))
     path = scratch_path(spark, "crlf") + ".csv"
-    lines.repartition(2).sortWithinPartitions("line").mapInArrow(_with_header("doc_id,text,lang"), "line STRING").write.option("lineSep", "\r\n").text(path)
+    lines.hint("rebalance").sortWithinPartitions("line").mapInArrow(_with_header("doc_id,text,lang"), "line STRING").write.option("lineSep", "\r\n").text(path)
     return inputs.read_input(spark, path, "doc_id BIGINT, text STRING, lang STRING")
 
 

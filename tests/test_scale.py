@@ -1,6 +1,7 @@
 """Inequality joins, exact quantiles and recursion by doubling against brute force."""
 
 import datetime
+import hashlib
 import math
 import random
 
@@ -8,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakekit.operators import bands, closure, quantiles
-from lakekit.plans import catalog
+from lakekit import session
+from lakekit.plans import catalog, io_queries
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -168,3 +170,36 @@ def test_reachable(spark):
             best |= {(start, v): steps for v in front}
     got = closure.reachable(spark.createDataFrame(sorted(edges) + [(1, 2)], "u long, v long"))
     assert {(r.u, r.v): r.steps for r in got.collect()} == best
+
+
+def test_newline_text_of_a_group_in_pieces(spark, tmp_path, monkeypatch):
+    """Empty texts vanish before a group's first other text only, wherever its pieces are cut."""
+    rng = random.Random(8)
+    rows = [(rng.choice(["A", "N", None]), rng.choice([None, *range(300)]), rng.randrange(4), rng.randrange(9), rng.choice([None, 1, 22]), rng.choice("FO")) for _ in range(900)]
+    rows += [("A", -k, 0, 0, 5, "F") for k in range(1, 200)] + [("E", k, 0, 0, 5, "F") for k in range(50)] + [("X", k, 0, 0, None, "O") for k in range(50)]
+    names = "l_returnflag string, l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_linestatus string"
+    spark.createDataFrame(rows, names).repartition(3).write.parquet(str(tmp_path / "lineitem.parquet"))
+    want = {}
+    for flag in {r[0] for r in rows}:
+        held = [(r[1:4], "" if r[5] == "F" else None if None in (flag, r[4]) else f"{flag}{r[4]}") for r in rows if r[0] == flag]
+        held.sort(key=lambda r: ([(x is not None, x or 0) for x in r[0]], r[1] is not None, r[1] or ""))
+        texts = [x for _, x in held if x is not None]
+        begun = next((k for k, x in enumerate(texts) if x), len(texts))
+        want[flag] = (len(held), hashlib.md5("\n".join(texts[begun:]).encode()).hexdigest())
+    monkeypatch.setattr(io_queries, "PIECE", 100)
+    found = catalog.queries()["sql_newline_agg_large"](spark, str(tmp_path))
+    assert {r.l_returnflag: (r.n, r.lines) for r in found.collect()} == want
+    assert "rangepartitioning(l_returnflag" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_crlf_files_grow_in_number(spark, tmp_path):
+    rows = [(k, f"a \"b\" {k}" * 20, "en") for k in range(2000)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8KB")
+    try:
+        found = catalog.queries()["csv_crlf"](spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    written = next(p for p in reversed(session._SCRATCH) if "crlf" in p) + ".csv"
+    assert len(spark.read.format("binaryFile").load(written).select("path").collect()) > 2
+    assert {tuple(r) for r in found.collect()} == {(k, t.replace(" ", "\r\n"), lang) for k, t, lang in rows}
