@@ -16,6 +16,8 @@ from lakekit.functions.scalars import mime_guess, mime_normalize, split_object_u
 from lakekit.session import cut_lineage
 from lakekit.sources.objects import read_objects, store_of
 
+HANDED_ON = 4 << 20  # characters of objects handed on together; one object is handed on whole
+
 
 def inventory_from_urls(df: DataFrame, url: str, *keep: str) -> DataFrame:
     """An inventory (bucket, name, content_type) read off an URL column."""
@@ -85,13 +87,21 @@ def read_text_objects(spark: SparkSession, path: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, inner = store_of(base)
         for batch in batches:
+            paths, texts, size = [], [], 0
             for name in batch.column(0).to_pylist():
                 with store.open_input_file(f"{inner}/{name}") as source:
                     try:
                         text = source.read().decode()
                     except UnicodeDecodeError as wrong:
                         raise ValueError(f"object {name!r} is not UTF-8: {wrong}") from None
-                yield pa.RecordBatch.from_arrays([pa.array([f"{base}/{name}"]), pa.array([text])], names=["path", "text"])
+                paths.append(f"{base}/{name}")
+                texts.append(text)
+                size += len(text)
+                if size >= HANDED_ON:
+                    yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(texts)], names=["path", "text"])
+                    paths, texts, size = [], [], 0
+            if paths:
+                yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(texts)], names=["path", "text"])
 
     return objects.select("name").repartition("name").mapInArrow(read, "path STRING, text STRING")
 
@@ -135,11 +145,15 @@ def put_objects(df: DataFrame, name: str, body: str, path: str, content_type: st
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = store_of(path)
         store.create_dir(f"{base}.aside", recursive=True)
+        made = set()  # folders of the last objects
         for batch in batches:
             sizes = []
             for own, content in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
                 target = f"{base}/{own}"
-                store.create_dir(target.rpartition("/")[0], recursive=True)
+                folder = target.rpartition("/")[0]
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made = {folder} if len(made) >= 1000 else made | {folder}
                 aside = f"{base}.aside/{uuid.uuid4().hex}"
                 with store.open_output_stream(aside) as sink:
                     sink.write(content or b"")

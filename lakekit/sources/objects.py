@@ -15,12 +15,14 @@ from collections import deque
 from collections.abc import Iterable, Iterator
 from urllib.parse import quote
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import SparkSession
 from pyspark.sql import datasource as ds
 
 SCHEMA = "name STRING, path STRING, length BIGINT, modificationTime TIMESTAMP"
 SPLITS = 64
+LISTED = 4096  # objects handed on at a time
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
 
@@ -112,14 +114,19 @@ class ObjectReader(ds.DataSourceReader):
             todo += below
         return out + [Folder(f, True) for f in todo] or [Folder(self.names.start(), False)]
 
-    def read(self, partition: Folder) -> Iterator[tuple]:
+    def read(self, partition: Folder) -> Iterator[pa.RecordBatch]:
         todo = deque([partition.name])
         while todo:
             folder = todo.pop()
             found, below = self._list(folder)
-            for info in found:
-                name = folder + info.base_name
-                yield name, f"{self.path}/{name}", info.size, info.mtime
+            for at in range(0, len(found), LISTED):
+                some = found[at:at + LISTED]
+                names = [folder + info.base_name for info in some]
+                times = [None if info.mtime_ns is None else info.mtime_ns // 1000 for info in some]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names, pa.string()), pa.array([f"{self.path}/{name}" for name in names], pa.string()),
+                     pa.array([info.size for info in some], pa.int64()), pa.array(times, pa.timestamp("us", "UTC"))],
+                    names=["name", "path", "length", "modificationTime"])
             if partition.deep:
                 todo += below
 

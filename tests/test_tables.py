@@ -422,3 +422,17 @@ def test_scratch_can_be_cleared(spark, monkeypatch):
     assert session.clear_scratch(spark) == 1 and session._SCRATCH == []
     with pytest.raises(Exception):
         spark.read.parquet(path)
+
+
+def test_objects_are_handed_on_in_batches(spark, tmp_path):
+    """A listing is rows by the batch, not one by one; small objects are read many to a batch."""
+    for k in range(50):
+        (tmp_path / f"_{k}.txt").write_text("x" * k)
+    reader = objects.ObjectReader(str(tmp_path), 8)
+    batches = [b for part in reader.partitions() for b in reader.read(part)]
+    assert [b.num_rows for b in batches] == [50]
+    listed = objects.read_objects(spark, str(tmp_path)).collect()
+    assert {(r.name, r.length) for r in listed} == {(f"_{k}.txt", k) for k in range(50)}
+    assert {r.modificationTime.timestamp() for r in listed} == {(tmp_path / f"_{k}.txt").stat().st_mtime_ns // 1000 / 1e6 for k in range(50)}
+    texts = inventory.read_text_objects(spark, str(tmp_path)).collect()
+    assert {(r.path, r.text) for r in texts} == {(str(tmp_path / f"_{k}.txt"), "x" * k) for k in range(50)}
