@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lakekit.session import cut_lineage
+
 EPOCHS = 3
 SHARE = (3, 5)
 SEED = 17
@@ -97,12 +99,13 @@ def mix(docs: DataFrame, levels: list[Column], weights: list[Column], share: tup
     kept = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns if c.lower() not in ("epoch", "take")]
     labelled = docs.select(*kept, *(F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in zip(LEVELS, levels)),
                            token_count(F.col(text_col)).alias("_mix_n")).where("_mix_n > 0")
-    supply = labelled.groupBy(*LEVELS).agg(F.sum("_mix_n").alias("supply"))
+    # the tree's tables are small but many operators stand on them: each is written once, so no later plan holds or runs them again
+    supply = cut_lineage(labelled.groupBy(*LEVELS).agg(F.sum("_mix_n").alias("supply")))
     leaves = supply.withColumn("cap", F.col("supply") * epochs)
     total = leaves.agg(F.sum("supply"), F.count("*")).first()
     tokens, n_leaves = total[0] or 0, total[1]
-    plan = leaves.join(budgets(leaves, weights, tokens * share[0] // share[1]), list(LEVELS)).select(
-        *LEVELS, F.expr("budget div supply").alias("_mix_whole"), (F.col("budget") % F.col("supply")).alias("_mix_part"))
+    plan = cut_lineage(leaves.join(budgets(leaves, weights, tokens * share[0] // share[1]), list(LEVELS)).select(
+        *LEVELS, F.expr("budget div supply").alias("_mix_whole"), (F.col("budget") % F.col("supply")).alias("_mix_part")))
 
     def order() -> Column:
         return F.md5(F.concat_ws(":", F.lit(str(seed)), (F.col("_mix_whole") + 1).cast("string"),
@@ -116,7 +119,7 @@ def mix(docs: DataFrame, levels: list[Column], weights: list[Column], share: tup
     ahead = W.partitionBy(*LEVELS).orderBy("_mix_cut").rowsBetween(W.unboundedPreceding, -1)  # at most 4,096 rows
     cuts = buckets.withColumn("_mix_base", F.coalesce(F.sum("n").over(ahead), F.lit(0))).join(plan, list(LEVELS)).where(
         "_mix_base < _mix_part and _mix_part <= _mix_base + n").select(*LEVELS, "_mix_cut", "_mix_base")
-    tree = plan.join(cuts, list(LEVELS), "left")
+    tree = cut_lineage(plan.join(cuts, list(LEVELS), "left"))
 
     rows = placed(labelled, tree).withColumn("_mix_at", order())
     bucket = F.substring("_mix_at", 1, 3)

@@ -269,6 +269,12 @@ def test_shortage_stays_among_siblings(spark):
     assert mixing.mix_documents(frame(spark, [])).collect() == []
 
 
+def test_the_mix_does_not_hold_the_tree_in_its_plan(spark):
+    """The budgets of the tree are written before the documents are chosen: one plan of all levels, used five times, filled the driver."""
+    plan = mixing.mix_documents(frame(spark, corpus(3)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") <= 2 and plan.count("Aggregate") == 0
+
+
 def test_queries_with_sql(spark):
     duck = duckdb.connect()
     duck.execute(f"create view documents as select * from '{SF_DIR}/documents.parquet'")
