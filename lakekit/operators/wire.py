@@ -3,8 +3,8 @@
 A line is `{"f": [{"v": cell}, ...]}`. A cell is a JSON string, number, boolean,
 null, an array of cells (repeated) or an object `{"f": [...]}` (record). The
 decoder is one expression tree generated from the declared schema; no Python runs
-per row. Lines of the usual shape are read as typed texts, the others as VARIANT
-values, where the kind of each JSON token is known.
+per row. Lines of the usual shape are read as typed texts, in one parse if they are written without blanks, the
+others as VARIANT values, where the kind of each JSON token is known.
 """
 
 from __future__ import annotations
@@ -152,6 +152,55 @@ def _from_string(text: Column, declared: str, json_text: bool) -> Column:
     return _null(SPARK_TYPES[declared])
 
 
+# ---- plain lines: usual ones (see below) without blanks between tokens, their keys written `f` and `v`
+#
+# One pattern tells them, and one parse reads them: the key of a box that holds a list becomes `a`, of one that holds a
+# record `r`, so cells of every kind fit one struct. Outside of strings only, as a quote within a string has a backslash before it.
+
+def _plain_line(fields: list[WireField]) -> str:
+    return rf"\A{_shape(fields, _STRING, '"v"', '"f"')}\z"
+
+
+def _plain_schema(fields: list[WireField] | tuple[WireField, ...]) -> str:
+    """Type of a cell that may be any of these columns."""
+    kinds = ["v:string"]
+    lists = [dataclasses.replace(f, mode="NULLABLE") for f in fields if f.mode == "REPEATED"]
+    records = [f for f in fields if f.mode != "REPEATED" and f.type == "RECORD"]
+    if lists:
+        kinds.append(f"a:array<{_plain_schema(lists)}>")
+    if records:
+        kinds.append(f"r:struct<f:array<{_plain_schema([sub for f in records for sub in f.fields])}>>")
+    return f"struct<{','.join(kinds)}>"
+
+
+def _plain_text(text: Column) -> Column:
+    named = F.replace(text, F.lit('{"v":['), F.lit('{"a":['))
+    return F.replace(named, F.lit('{"v":{"f":['), F.lit('{"r":{"f":['))
+
+
+def _plain_cell(cell: Column, field: WireField, json_text: bool) -> Column:
+    if field.mode == "REPEATED":
+        single = dataclasses.replace(field, mode="NULLABLE")
+        return F.transform(cell["a"], lambda x: _plain_cell(x, single, json_text))
+    if field.type == "RECORD":
+        cells = cell["r"]["f"]
+        return F.when(cells.isNotNull(), F.struct(*[
+            _plain_cell(F.get(cells, F.lit(k)), f, json_text).alias(f.name) for k, f in enumerate(field.fields)]))
+    return _from_string(cell["v"], field.type, json_text)
+
+
+def _plain_bad(cell: Column, field: WireField) -> Column | None:
+    """Whether a time in the cell is unreadable; None where no time is declared."""
+    if not _has_time(field):
+        return None
+    if field.mode == "REPEATED":
+        single = dataclasses.replace(field, mode="NULLABLE")
+        return F.coalesce(F.exists(cell["a"], lambda x: F.coalesce(_plain_bad(x, single), F.lit(False))), F.lit(False))
+    if field.type == "RECORD":
+        return _any([_plain_bad(F.get(cell["r"]["f"], F.lit(k)), f) for k, f in enumerate(field.fields) if _has_time(f)])
+    return cell["v"].isNotNull() & _from_string(cell["v"], field.type, False).isNull()
+
+
 # ---- usual lines: strings and nulls only, every cell in its `{"v": ...}` box
 #
 # A line's skeleton is its text with every JSON string replaced by `s` and blanks removed. A line whose
@@ -163,20 +212,20 @@ _BOXES = "array<struct<v:string>>"
 _RECORD = f"struct<f:{_BOXES}>"
 
 
-def _shape(fields: tuple[WireField, ...] | list[WireField]) -> str:
-    """Pattern of the skeleton of a record: its cells in order, later ones may be absent."""
+def _shape(fields: tuple[WireField, ...] | list[WireField], string: str = "s", box: str = "s", cells: str = "s") -> str:
+    """Pattern of a record, or of its skeleton: its cells in order, later ones may be absent. `box` and `cells` are the keys."""
     tail = ""
     for k, field in reversed(list(enumerate(fields))):
-        tail = f"(?:{',' if k else ''}{_box(field)}{tail})?+"
-    return rf"\{{s:\[{tail}\]\}}"
+        tail = f"(?:{',' if k else ''}{_box(field, string, box, cells)}{tail})?+"
+    return rf"\{{{cells}:\[{tail}\]\}}"
 
 
-def _box(field: WireField) -> str:
-    inner = _shape(field.fields) if field.type == "RECORD" else "s"
+def _box(field: WireField, string: str, box: str, cells: str) -> str:
+    inner = _shape(field.fields, string, box, cells) if field.type == "RECORD" else string
     if field.mode == "REPEATED":
-        item = rf"\{{s:(?:null|{inner})\}}"
+        item = rf"\{{{box}:(?:null|{inner})\}}"
         inner = rf"\[(?:{item}(?:,{item})*+)?+\]"
-    return rf"\{{s:(?:null|{inner})\}}"
+    return rf"\{{{box}:(?:null|{inner})\}}"
 
 
 def _nested_schema(field: WireField) -> str:
@@ -340,26 +389,32 @@ def decode_rows(lines: DataFrame, line: str, fields: list[WireField], json_text:
     columns give null unless `json_text` asks for their text.
     """
     keep, text = keep or [], F.col(line)
-    skeleton = F.translate(F.regexp_replace(text, _STRING, "s"), " \t\r\n", "")
+    skeleton = F.translate(F.regexp_replace("_line", _STRING, "s"), " \t\r\n", "")
     usual = F.coalesce(skeleton.rlike(rf"\A{_shape(fields)}\z"), F.lit(False))
-    staged = lines.select(*keep, text.alias("_line"), usual.alias("_usual"))
+    staged = lines.select(*keep, text.alias("_line"), F.coalesce(text.rlike(_plain_line(fields)), F.lit(False)).alias("_is_plain"))
+    staged = staged.select(*keep, "_line", "_is_plain", F.when(F.col("_is_plain"), False).otherwise(usual).alias("_usual"))
     staged = staged.select(
-        *keep, "_usual", F.from_json(F.when(F.col("_usual"), F.col("_line")), _RECORD)["f"].alias("_cells"),
-        F.try_parse_json(F.when(~F.col("_usual"), F.col("_line"))).alias("_root"))
-    staged = staged.select(*keep, "_usual", "_root", _cells(F.col("_root")).alias("_odd"),
+        *keep, "_is_plain", "_usual", F.from_json(F.when(F.col("_is_plain"), _plain_text(F.col("_line"))),
+                                                  f"struct<f:array<{_plain_schema(fields)}>>")["f"].alias("_plain"),
+        F.from_json(F.when(F.col("_usual"), F.col("_line")), _RECORD)["f"].alias("_cells"),
+        F.try_parse_json(F.when(~F.col("_usual") & ~F.col("_is_plain"), F.col("_line"))).alias("_root"))
+    staged = staged.select(*keep, "_is_plain", "_usual", "_plain", "_root", _cells(F.col("_root")).alias("_odd"),
                            *[F.get("_cells", F.lit(k))["v"].alias(f"_t{k}") for k in range(len(fields))])
-    out, bad, odd_bad = [], [], []
+    out, plain_bad, bad, odd_bad = [], [], [], []
     for k, f in enumerate(fields):
         nested = f.type == "RECORD" or f.mode == "REPEATED"
         odd = _unwrapped(_unwrapped(F.get("_odd", F.lit(k)))) if nested else _unwrapped(F.get("_odd", F.lit(k)))
         usual_value = _usual_cell(F.col(f"_t{k}"), f, json_text)
-        out.append(F.when(F.col("_usual"), usual_value).otherwise(_bind(odd, partial(_walk_as, f, json_text))).alias(f.name))
+        cell = F.get("_plain", F.lit(k))
+        value = F.when(F.col("_is_plain"), _plain_cell(cell, f, json_text)).when(F.col("_usual"), usual_value)
+        out.append(value.otherwise(_bind(odd, partial(_walk_as, f, json_text))).alias(f.name))
         flag = _usual_bad(F.col(f"_t{k}"), f)
         if flag is not None:
             bad.append(flag)
+            plain_bad.append(_plain_bad(cell, f))
         odd_bad.append(_bind(odd, partial(_walk_bad, f)))
     unread = F.col("_root").isNull() | ~F.schema_of_variant("_root").startswith("OBJECT") | F.coalesce(F.size("_odd") > len(fields), F.lit(False))
-    flag = F.when(F.col("_usual"), _any(bad)).otherwise(unread | _any(odd_bad))
+    flag = F.when(F.col("_is_plain"), _any(plain_bad)).when(F.col("_usual"), _any(bad)).otherwise(unread | _any(odd_bad))
     return staged.select(*keep, *out, flag.alias("_decode_error"))
 
 

@@ -436,3 +436,25 @@ def test_objects_are_handed_on_in_batches(spark, tmp_path):
     assert {r.modificationTime.timestamp() for r in listed} == {(tmp_path / f"_{k}.txt").stat().st_mtime_ns // 1000 / 1e6 for k in range(50)}
     texts = inventory.read_text_objects(spark, str(tmp_path)).collect()
     assert {(r.path, r.text) for r in texts} == {(str(tmp_path / f"_{k}.txt"), "x" * k) for k in range(50)}
+
+
+def test_lines_without_blanks_are_read_in_one_parse(spark):
+    """Plain lines and the same lines with blanks, which are read level by level, give the same rows."""
+    fields = [wire.WireField("id", "INTEGER"), wire.WireField("days", "DATE", "REPEATED"), wire.WireField("part", "RECORD", "NULLABLE", (
+        wire.WireField("name", "STRING"), wire.WireField("at", "TIME"))), wire.WireField("steps", "RECORD", "REPEATED", (
+            wire.WireField("codes", "INTEGER", "REPEATED"), wire.WireField("in", "RECORD", "NULLABLE", (wire.WireField("x", "FLOAT"), wire.WireField("on", "DATE")))))]
+    trap = r'"a\"{\"v\":[\\"'
+    plain = [
+        '{"f":[]}', '{"f":[{"v":null},{"v":null},{"v":null},{"v":null}]}', '{"f":[{"v":"7"},{"v":[]},{"v":{"f":[]}},{"v":[]}]}',
+        f'{{"f":[{{"v":"x"}},{{"v":[{{"v":"2024-01-02"}},{{"v":null}}]}},{{"v":{{"f":[{{"v":{trap}}},{{"v":"1:2:3"}}]}}}},{{"v":['
+        '{"v":{"f":[{"v":[{"v":"1"},{"v":"?"}]},{"v":{"f":[{"v":"2.5"},{"v":"2024-02-03"}]}}]}},{"v":null},{"v":{"f":[{"v":null},{"v":null}]}}]}]}',
+        '{"f":[{"v":"1"},{"v":[{"v":"bad"}]},{"v":null},{"v":null}]}', '{"f":[{"v":"1"},{"v":[]},{"v":{"f":[{"v":"n"},{"v":"late"}]}}]}',
+        '{"f":[{"v":"1"},{"v":[]},{"v":null},{"v":[{"v":{"f":[{"v":[]},{"v":{"f":[{"v":"1"},{"v":"no day"}]}}]}}]}]}', r'{"f":[{"v":"\x"}]}']
+    kept = spark.createDataFrame([(k, w, t) for k, t in enumerate(plain) for w, t in (("plain", t), ("blank", t.replace("},{", "} , {") + " "))],
+                                 "k int, w string, line string")
+    assert [r[0] for r in kept.orderBy("w", "k").select(kept.line.rlike(wire._plain_line(fields))).collect()] == [False] * len(plain) + [True] * len(plain)
+    rows = {(r.w, r.k): r[2:] for r in wire.decode_rows(kept, "line", fields, keep=["w", "k"]).collect()}
+    for k in range(len(plain)):
+        assert rows["plain", k] == rows["blank", k], plain[k]
+    assert [rows["plain", k][-1] for k in range(len(plain))] == [False] * 4 + [True] * 3 + [False]
+    assert rows["plain", 3][2].name == 'a"{"v":[\\' and rows["plain", 3][3][0].codes == [1, 0] and rows["plain", 3][3][1] is None
