@@ -55,7 +55,7 @@ def handle_messages(messages: DataFrame, handler: Handler) -> DataFrame:
         .when(F.col("ack_id").isNull(), "no_ack").otherwise("ok").alias("outcome"))
 
 
-def _run(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+def run_available(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     query = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
@@ -90,7 +90,7 @@ def process_messages(messages: DataFrame, handler: Handler, out: str, checkpoint
          .parquet(f"{out}/batch_id={batch_id}"))
 
     _prepare(messages.sparkSession, out, "ack_id")
-    _run(messages, write, checkpoint)
+    run_available(messages, write, checkpoint)
 
 
 def read_outcomes(spark: SparkSession, out: str, result_type: str = "STRING") -> DataFrame:
@@ -117,7 +117,7 @@ def stream_insert(lines: DataFrame, line: str, schema: T.StructType, out: str, c
         checked.write.mode("overwrite").partitionBy("outcome").parquet(f"{out}/batch_id={batch_id}")
 
     _prepare(lines.sparkSession, out, line)
-    _run(lines, write, checkpoint)
+    run_available(lines, write, checkpoint)
 
 
 def _insert_outcomes(spark: SparkSession, out: str, line: str, schema: T.StructType) -> DataFrame:

@@ -1,3 +1,6 @@
+import os
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -107,6 +110,20 @@ def test_refused_messages_come_again(spark):
         redelivery.redeliver(spark.readStream.format("rate").load(), patient, out, checkpoint, tries=1)
 
 
+def test_many_messages_are_handled_by_the_batch(spark):
+    """A batch of messages goes through one Python call, not one group with tables of its own per message and try; few tables of pending ones are kept."""
+    batch = pa.RecordBatch.from_pylist([{"ack_id": a, "payload": b"x", "tries": 1, "error": None, "due": d} for a, d in (("a", 0), ("b", 9), (None, 0))])
+    run = redelivery._deliver(lambda p, n: (p.decode(), "no" if n < 3 else None), 3, 50, 5)
+    assert [tuple(r.values())[i] for r in next(run(iter([batch]))).to_pylist() for i in (0, 2, 6)] == ["a", 2, "pending", "b", 1, "pending", None, 2, "no_ack"]
+    source, out, checkpoint = (scratch_path(spark, n) for n in ("src", "out", "ckpt"))
+    spark.range(20_000).selectExpr("string(id) AS ack_id", "encode(string(id), 'UTF-8') AS payload").write.parquet(source)
+    stream = messages.file_stream(spark, source, "ack_id string, payload binary", "*.parquet")
+    redelivery.redeliver(stream, lambda p, n: (p.decode(), None if n > int(p) % 5 else "no"), out, checkpoint, tries=4, deadline_ms=100)
+    got = redelivery.delivered(spark, out).groupBy("outcome", "tries").count().collect()
+    assert {tuple(r) for r in got} == {("ok", 2, 8000), ("ok", 3, 4000), ("ok", 4, 4000), ("given_up", 4, 4000)}
+    assert len(os.listdir(f"{checkpoint}/pending")) == 2
+
+
 def test_redelivery_of_what_a_stream_refused(spark):
     source, out, checkpoint = (scratch_path(spark, n) for n in ("src", "out", "ckpt"))
     put(spark, source, ROWS + [("5", b"bad too")])
