@@ -5,7 +5,9 @@ share at least one segment, at places that differ by no more than the edits arou
 listed by its own segments, under its length and the segment's number, and probes, for each length down to
 n - LIMIT, with the substrings a shared segment could have become. Substrings are hashed
 in constant time from running hashes. Candidates are verified by a banded bit-parallel edit distance.
-Equal lines are one from the start. Lines linked directly or through others form a class (see `linking`: a
+Equal lines are one from the start: a line goes by a 64-bit hash of its bytes, which is
+chosen anew if two different lines share it, by a second hash and their sizes. Before lines of one bucket are paired, parities of their
+character pairs must be as near as the limit asks. Lines linked directly or through others form a class (see `linking`: a
 segment that many lines share is not expanded into all pairs).
 
 Of each class the first line by (doc_id, line number) stays, wherever the others stand.
@@ -18,43 +20,34 @@ An empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakekit.llm.arrays import BYTE_VALUES, byte_view, chunks, mix, prefix_hash, ragged, span_hash
-from lakekit.llm.linking import FEW, LEAD, SIGNATURE, equal_nodes, linked_classes
-from lakekit.session import scratch_path
+from lakekit.llm.linking import LEAD, SIGNATURE, linked_classes, stored
+from lakekit.session import discard, scratch_path
 
 LIMIT = 2
 SHORT = 20
 SEEN = 200_000  # lines a task remembers; one listed twice costs rows, which are made one later
 INDEX, PROBE = LEAD, 2
-BASE = "rid bigint, doc_id bigint, text string, node0 bigint"
-LINES = "node bigint, rid bigint, doc_id bigint, line int, h1 bigint, h2 bigint, size int"
-PART_BITS = 40  # a node is its task's number, then the line's number among the task's lines
+SKETCH_WORDS = 4
+BASE = "rid bigint, doc_id bigint, text string"
+LINES = "node bigint, rid bigint, doc_id bigint, line int, h2 bigint, size int"
 
 
-def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add the node of each row's first line."""
-    following = TaskContext.get().partitionId() << PART_BITS
-    for batch in batches:
-        data, offsets = byte_view(batch.column(2))
-        feeds = np.flatnonzero(data[offsets[0]:offsets[-1]] == 10) + offsets[0]
-        count = np.diff(np.searchsorted(feeds, offsets)) + 1
-        count[~batch.column(2).is_valid().to_numpy(zero_copy_only=False)] = 0
-        ends = following + np.cumsum(count)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ends - count, pa.int64())], names=["rid", "doc_id", "text", "node0"])
-        following = int(ends[-1]) if len(ends) else following
+def line_values(salt: int) -> np.ndarray:
+    """Values of the bytes for the hash that lines go by."""
+    return mix(BYTE_VALUES + np.uint64(salt)) if salt else BYTE_VALUES
 
 
 def _split(batch: pa.RecordBatch):
-    """For each chunk of a base batch: (chunk, row, line, start, end, size in code points, node) of its lines."""
+    """For each chunk of a base batch: (chunk, row, line, start, end, size in code points) of its lines."""
     valid = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
-    node0 = batch.column(3).to_numpy()
     for chunk in chunks(batch.column(2)):
         data = chunk.data
         feed = np.flatnonzero(data == 10)
@@ -69,7 +62,7 @@ def _split(batch: pa.RecordBatch):
         rows, starts, ends = rows[keep], starts[keep], ends[keep]
         line = np.arange(len(rows)) - np.searchsorted(rows, rows)
         lead = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-        yield chunk, rows, line, starts, ends, lead[ends] - lead[starts], node0[chunk.lo + rows] + line
+        yield chunk, rows, line, starts, ends, lead[ends] - lead[starts]
 
 
 def _blank(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -77,30 +70,33 @@ def _blank(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return solid[ends] == solid[starts]
 
 
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _lines(values: np.ndarray):
     """Hashes of the lines that are not blank."""
-    for batch in batches:
-        for chunk, rows, line, starts, ends, size, node in _split(batch):
-            values = BYTE_VALUES[chunk.data]
-            one, two = prefix_hash(values), prefix_hash(mix(values + np.uint64(1)))
-            use = ~_blank(chunk.data, starts, ends)
-            own = [batch.column(i).slice(chunk.lo, chunk.rows).take(pa.array(rows[use])) for i in (0, 1)]
-            h1, h2 = (span_hash(h, starts[use], ends[use]).view(np.int64) for h in (one, two))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(node[use]), *own, pa.array(line[use].astype(np.int32)), pa.array(h1), pa.array(h2),
-                pa.array(size[use].astype(np.int32))], names=["node", "rid", "doc_id", "line", "h1", "h2", "size"])
-
-
-def _texts(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        other = mix(BYTE_VALUES + np.uint64(1))
+        for batch in batches:
+            for chunk, rows, line, starts, ends, size in _split(batch):
+                use = ~_blank(chunk.data, starts, ends)
+                own = [batch.column(i).slice(chunk.lo, chunk.rows).take(pa.array(rows[use])) for i in (0, 1)]
+                node, h2 = (span_hash(prefix_hash(v[chunk.data]), starts[use], ends[use]).view(np.int64) for v in (values, other))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(node), *own, pa.array(line[use].astype(np.int32)), pa.array(h2),
+                    pa.array(size[use].astype(np.int32))], names=["node", "rid", "doc_id", "line", "h2", "size"])
+
+    return run
+
+
+def _texts(least: int, values: np.ndarray):
     """Texts of the lines of at least that size."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, _, _, starts, ends, size, node in _split(batch):
+            for chunk, _, _, starts, ends, size in _split(batch):
                 use = (size >= least) & ~_blank(chunk.data, starts, ends)
+                node = span_hash(prefix_hash(values[chunk.data]), starts[use], ends[use]).view(np.int64)
                 starts, sizes = starts[use], (ends - starts)[use]
                 texts = pa.StringArray.from_buffers(len(sizes), pa.py_buffer(np.append(0, np.cumsum(sizes)).astype(np.int32)),
                                                     pa.py_buffer(chunk.data[ragged(starts, sizes)]))
-                yield pa.RecordBatch.from_arrays([pa.array(node[use]), texts], names=["node", "text"])
+                yield pa.RecordBatch.from_arrays([pa.array(node), texts], names=["node", "text"])
 
     return run
 
@@ -128,23 +124,24 @@ def probes(size: np.ndarray, limit: int):
                 yield i, listed, low + step, length, low + step <= high
 
 
-def _signatures(limit: int, least: int):
+def _signatures(limit: int, least: int, values: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # hashes of lines this task has listed: an equal line needs no list of its own
+        seen: set[int] = set()  # lines this task has listed: an equal line needs no list of its own
         for batch in batches:
             if len(seen) > SEEN:
                 seen.clear()
-            for chunk, _, _, starts, ends, size, node in _split(batch):
+            for chunk, _, _, starts, ends, size in _split(batch):
                 # running hashes over code points: one entry per lead byte
                 lead = np.flatnonzero((chunk.data & 0xC0) != 0x80)
                 bounds = np.append(lead, len(chunk.data))
-                prefix = prefix_hash(BYTE_VALUES[chunk.data])
+                prefix = prefix_hash(values[chunk.data])
                 use = np.flatnonzero((size >= least) & ~_blank(chunk.data, starts, ends))
-                whole = span_hash(prefix, starts[use], ends[use]).tolist()
-                use = use[[h not in seen and not seen.add(h) for h in whole]]
+                node = span_hash(prefix, starts[use], ends[use]).view(np.int64)
+                fresh = np.array([h not in seen and not seen.add(h) for h in node.tolist()], bool)
+                use, node = use[fresh], node[fresh]
                 if not len(use):
                     continue
-                first, size, node = np.searchsorted(lead, starts[use]), size[use], node[use]
+                first, size = np.searchsorted(lead, starts[use]), size[use]
 
                 def rows(i, listed, start, length, flag, ok):
                     a, b = first[ok] + start[ok], first[ok] + start[ok] + length[ok]
@@ -153,17 +150,35 @@ def _signatures(limit: int, least: int):
                     return pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(node[ok]), pa.array(np.full(len(a), flag))],
                                                       names=["sig", "node", "info"])
 
-                whole = np.ones(len(node), bool)
-                for i, (start, length) in enumerate(segments(size, limit)):
-                    yield rows(i, size, start, length, INDEX, whole)
+                whole, own = np.ones(len(node), bool), segments(size, limit)
+                for i, (start, length) in enumerate(own):
+                    yield rows(i, size, start, length, INDEX | PROBE, whole)  # a line also probes with its own segments
                 for i, listed, start, length, ok in probes(size, limit):
-                    ok = ok & (listed >= least)
+                    ok = ok & (listed >= least) & ((listed != size) | (start != own[i][0]))
                     if ok.any():
                         yield rows(i, listed, start, length, PROBE, ok)
 
     return run
 
 
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parity of the character pairs in each hash class: an edit changes four at most."""
+    bits, step = SKETCH_WORDS * 64, 2048
+    for batch in batches:
+        for lo in range(0, batch.num_rows, step):
+            part = batch.slice(lo, step)
+            texts = [t.encode("utf-32-le") for t in part.column(1).to_pylist()]
+            ends = np.cumsum([len(t) // 4 for t in texts])
+            points = np.frombuffer(b"".join(texts), "<u4").astype(np.uint64)
+            row = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))
+            inside = row[1:] == row[:-1]
+            pair = mix((points[:-1] << np.uint64(32) | points[1:])[inside] + np.uint64(1)) % np.uint64(bits)
+            odd = (np.bincount(row[1:][inside] * bits + pair.astype(np.int64), minlength=len(texts) * bits) & 1).astype(np.uint8)
+            packed = np.packbits(odd).view(np.int64).reshape(len(texts), SKETCH_WORDS)
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(packed[:, k].copy()) for k in range(SKETCH_WORDS))],
+                                             names=["node", *(f"s{k}" for k in range(SKETCH_WORDS))])
+
+
 def within(a: str, b: str, limit: int) -> bool:
     """Whether the edit distance is at most `limit`: bit-parallel columns over a band of 2 * limit + 1 diagonals."""
     if len(a) > len(b):
@@ -225,27 +240,39 @@ def _verify(limit: int):
 def drop_lines(docs: DataFrame, limit: int = LIMIT, short: int = SHORT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_lines, n_removed, kept (the text without the removed lines, null for a null text)."""
     spark, least = docs.sparkSession, max(short, limit + 1)
-    base_path, line_path, gone_path = (scratch_path(spark, n) for n in ("line-rows", "lines", "gone-lines"))
+    base_path, gone_path = (scratch_path(spark, n) for n in ("line-rows", "gone-lines"))
     numbered = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    numbered.mapInArrow(_number, BASE).write.option("compression", "zstd").parquet(base_path)
+    numbered.write.option("compression", "zstd").parquet(base_path)
     base = spark.read.schema(BASE).parquet(base_path)
-    base.mapInArrow(_lines, LINES).write.option("compression", "zstd").parquet(line_path)
-    lines = spark.read.schema(LINES).parquet(line_path)
+    for salt in count():
+        values, line_path = line_values(salt), scratch_path(spark, "lines")
+        base.mapInArrow(_lines(values), LINES).write.option("compression", "zstd").parquet(line_path)
+        lines = spark.read.schema(LINES).parquet(line_path)
+        repeated = lines.groupBy("node").agg(F.count("*").alias("n"), *(f(c).alias(f.__name__ + c) for f in (F.min, F.max) for c in ("h2", "size")))
+        repeated = stored(repeated.where("n > 1").selectExpr("node", "minh2 <> maxh2 or minsize <> maxsize AS clash"), "repeated",
+                          "node bigint, clash boolean")
+        if repeated.where("clash").isEmpty():
+            break
 
     def valid(a: str, b: str) -> str:
-        return f"(({a} & {INDEX}) <> ({b} & {INDEX}))"
-
-    copies = equal_nodes(lines.select("node", "h1", "h2", "size"), ["h1", "h2", "size"])
-    roots = linked_classes(copies, base.mapInArrow(_signatures(limit, least), SIGNATURE),
-                           base.mapInArrow(_texts(least), "node bigint, text string"), _verify(limit), valid)
-    members = lines.select("rid", "doc_id", "line", "node").join(roots, "node")
-    first = members.groupBy("root").agg(F.min(F.struct("doc_id", "rid", "line", "node")).alias("first"))
-    gone = members.join(first, "root").where("node <> first.node").groupBy("rid").agg(F.collect_set("line").alias("gone"))
+        return f"(({a} & {INDEX}) <> 0 and ({b} & {PROBE}) <> 0 or ({b} & {INDEX}) <> 0 and ({a} & {PROBE}) <> 0)"
+
+    def close(u: str, v: str) -> str:
+        return " + ".join(f"bit_count({u}.s{k} ^ {v}.s{k})" for k in range(SKETCH_WORDS)) + f" <= {4 * limit}"
+
+    roots = linked_classes(spark.createDataFrame([], "node bigint, rep bigint"), base.mapInArrow(_signatures(limit, least, values), SIGNATURE),
+                           base.mapInArrow(_texts(least, values), "node bigint, text string"), _verify(limit), valid, _sketches, SKETCH_WORDS,
+                           close, once=False)
+    classes = repeated.select("node").join(roots, "node", "full").select("node", F.coalesce("root", "node").alias("root"))
+    members = stored(lines.join(classes, "node").select("rid", "doc_id", "line", "root"), "line-members",
+                     "rid bigint, doc_id bigint, line int, root bigint")
+    discard(spark, line_path)
+    first = members.groupBy("root").agg(F.min(F.struct("doc_id", "rid", "line")).alias("first"))
+    gone = members.join(first, "root").where("rid <> first.rid or line <> first.line").groupBy("rid").agg(F.collect_set("line").alias("gone"))
     gone.write.parquet(gone_path)  # a row's list is no longer than its text
     gone = spark.read.schema("rid bigint, gone array<int>").parquet(gone_path)
-    n_gone = gone.agg(F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()[0]
     rows = base.select("rid", "doc_id", "text", F.split("text", "\n", -1).alias("lines"))
-    rows = rows.join(F.broadcast(gone) if n_gone <= FEW else gone, "rid", "left")
+    rows = rows.join(gone.hint("merge"), "rid", "left")
     stay = F.filter(F.transform("lines", lambda x, i: F.struct(i.alias("i"), x.alias("x"))),
                     lambda p: ~F.array_contains("gone", p["i"]))
     kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda p: p["x"]), "\n"))

@@ -11,8 +11,8 @@ need are found in steps:
 3. Those pairs, too, are verified, and all links give the classes.
 
 A pair under one root is never needed, so nothing is lost, and a bucket of n nodes linked
-to one of them costs n pairs. Nodes known to be equal are replaced by one of them before pairing, or listed once from the start. Every
-intermediate is written to the shared folder, so a lost executor costs its tasks alone.
+to one of them costs n pairs. Nodes known to be equal are listed once from the start. Nodes that share a bucket without being
+close meet in step 2 by sketches of fixed size alone; pairs, and with them texts, are made of those that pass. Every intermediate is written to the shared folder, so a lost executor costs its tasks alone.
 """
 
 from __future__ import annotations
@@ -36,12 +36,20 @@ SIGNATURE = "sig bigint, node bigint, info bigint"
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by signature, LEAD rows first -> the rows of buckets of two rows and more that hold a LEAD row."""
+    """Rows sorted by signature, LEAD rows first -> the rows of buckets of two rows and more that hold a LEAD row, equal rows as one."""
     last = None  # the bucket at hand: its signature, its first row, and whether that was passed on
+    before = None  # the row before
     for batch in batches:
         sig, node, info = (batch.column(i).to_numpy() for i in range(3))
         if not len(sig):
             continue
+        again = np.ones(len(sig), bool)
+        for at, x in enumerate((sig, node, info)):
+            again &= np.concatenate([[before is not None and x[0] == before[at]], x[1:] == x[:-1]])
+        before = sig[-1], node[-1], info[-1]
+        if again.all():
+            continue
+        sig, node, info = (x[~again] for x in (sig, node, info))
         new = np.concatenate([[last is None or sig[0] != last[0]], sig[1:] != sig[:-1]])
         start = np.maximum.accumulate(np.where(new, np.arange(len(sig)), -1))
         first_info = np.where(start < 0, last[2] if last else 0, info[start])
@@ -59,7 +67,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["sig", "node", "info"])
 
 
-def _stored(rows: DataFrame, name: str, schema: str) -> DataFrame:
+def stored(rows: DataFrame, name: str, schema: str) -> DataFrame:
     """The rows written and read back; the shuffles that made them are freed."""
     return _at(rows, scratch_path(rows.sparkSession, name), schema)
 
@@ -77,7 +85,7 @@ def _among(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def without_nodes(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """The rows whose node is not one of `nodes`."""
-    nodes = _stored(nodes, "left-out", "node bigint")
+    nodes = stored(nodes, "left-out", "node bigint")
     return rows.join(F.broadcast(nodes) if nodes.count() <= FEW else nodes, "node", "left_anti")
 
 
@@ -99,21 +107,14 @@ def _links(pairs: DataFrame, needed: DataFrame, verify: Callable) -> DataFrame:
         if few:
             right = right.join(F.broadcast(part.select("v").distinct()), "v", "left_semi")
         both = left.join(right, "v").select("u", "v", "a", "b")
-        done.append(_stored(both.mapInArrow(verify, "u bigint, v bigint"), "links", "u bigint, v bigint"))
+        done.append(stored(both.mapInArrow(verify, "u bigint, v bigint"), "links", "u bigint, v bigint"))
     return reduce(DataFrame.union, done)
 
 
-def _as_rep(rows: DataFrame, copies: DataFrame, column: str) -> DataFrame:
-    """`column` replaced by the node that stands for all equal ones."""
-    same = copies.select(F.col("node").alias("_copy"), F.col("rep").alias("_rep"))
-    joined = rows.join(same, F.col(column) == F.col("_copy"), "left")
-    return joined.withColumn(column, F.coalesce("_rep", column)).drop("_copy", "_rep")
-
-
 def equal_nodes(keys: DataFrame, by: list[str]) -> DataFrame:
     """(node, rep) for every node that is not the smallest among those with the same key."""
     classes = keys.groupBy(*by).agg(F.min("node").alias("rep"), F.count("*").alias("n")).where("n > 1")
-    return _stored(keys.join(classes, by).where("node <> rep").select("node", "rep").distinct(), "copies", "node bigint, rep bigint")
+    return stored(keys.join(classes, by).where("node <> rep").select("node", "rep").distinct(), "copies", "node bigint, rep bigint")
 
 
 def _near_roots(links: DataFrame) -> DataFrame:
@@ -124,33 +125,34 @@ def _near_roots(links: DataFrame) -> DataFrame:
     for _ in range(2):
         step = least.select(F.col("u").alias("v"), "root")
         least = both.join(step, "v").groupBy("u").agg(F.min("root").alias("root"))
-    return _stored(least.select(F.col("u").alias("node"), "root"), "near-roots", "node bigint, root bigint")
+    return stored(least.select(F.col("u").alias("node"), "root"), "near-roots", "node bigint, root bigint")
 
 
 def linked_classes(copies: DataFrame, signatures: DataFrame, texts: DataFrame, verify: Callable,
                    valid: Callable[[str, str], str], sketch: Callable | None = None, words: int = 0,
-                   close: Callable[[str, str], str] | None = None, rounds: int = ROUNDS, replace: bool = True) -> DataFrame:
+                   close: Callable[[str, str], str] | None = None, rounds: int = ROUNDS, once: bool = True) -> DataFrame:
     """(node, root) of every node with a link or an equal: the smallest node reachable over those.
 
     texts(node, text) has each node's text, valid(x, y) is a SQL condition on two info columns that
     every link meets in some bucket, and verify maps Arrow batches (u, v, a, b) to kept (u, v). `sketch` maps
     batches (node, text) to (node, s0 .. s`words`-1), and close(u, v) is a SQL condition on rows u and v with those
-    and info that every link meets: it spares pairs that only share a bucket. Without `replace` the signatures already leave
-    equal nodes out.
+    and info that every link meets: it spares pairs that only share a bucket. Signatures leave equal nodes out, or give them as equal
+    rows. A node whose text may come several times is told by `once`.
     """
     spark = signatures.sparkSession
     ordered = signatures.repartition("sig").sortWithinPartitions("sig", F.expr(f"{LEAD} - (info & {LEAD})"), "node")
     bucket_path, row_path = scratch_path(spark, "buckets"), scratch_path(spark, "rows")
     buckets = _at(ordered.mapInArrow(_shared, SIGNATURE), bucket_path, SIGNATURE)
     # dealt by signature once: what follows up to the join needs no other shuffle
-    rows = (_as_rep(buckets, copies, "node") if replace else buckets).repartition("sig").distinct()
+    rows = buckets.repartition("sig").distinct()
     sizes = rows.groupBy("sig").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     rows = _at(rows.join(sizes.select("sig", "n"), "sig"), row_path, f"{SIGNATURE}, n bigint")
     discard(spark, bucket_path)
     weights = rows.groupBy("node").agg(F.sum("n").alias("weight"))
-    members = _stored(rows.join(weights, "node").select("sig", "node", "info", "weight"), "members", f"{SIGNATURE}, weight bigint")
+    members = stored(rows.join(weights, "node").select("sig", "node", "info", "weight"), "members", f"{SIGNATURE}, weight bigint")
     discard(spark, row_path)
-    needed = _stored(_among(texts, members.select("node").distinct()).select("node", "text"), "member-texts", "node bigint, text string")
+    needed = _among(texts, members.select("node").distinct()).select("node", "text")
+    needed = stored(needed if once else needed.groupBy("node").agg(F.min("text").alias("text")), "member-texts", "node bigint, text string")
 
     pair, same = "u bigint, v bigint", copies.select(F.col("rep").alias("u"), F.col("node").alias("v"))
     seen, links, led = spark.createDataFrame([], pair), spark.createDataFrame([], pair), spark.createDataFrame([], "node bigint")
@@ -161,25 +163,25 @@ def linked_classes(copies: DataFrame, signatures: DataFrame, texts: DataFrame, v
                 F.max(F.struct("weight", "node", "info", "root")).alias("head"))
             met = open_.join(heads, "sig").where(f"root <> head.root and ({valid('info', 'head.info')})").select(
                 F.col("head.node").alias("head"), "node")
-            led = _stored(led.union(met.select("head")).distinct(), "heads", "node bigint")
+            led = stored(led.union(met.select("head")).distinct(), "heads", "node bigint")
             found = met.select(F.least("head", "node").alias("u"), F.greatest("head", "node").alias("v"))
         else:
             rows, names, test = open_, [], f"u.node < v.node and u.root <> v.root and ({valid('u.info', 'v.info')})"
             if sketch is not None:
                 names = [f"s{k}" for k in range(words)]
                 schema = ", ".join(["node bigint", *(f"{n} bigint" for n in names)])
-                rows = rows.join(_stored(needed.mapInArrow(sketch, schema), "sketches", schema), "node")
+                rows = rows.join(stored(needed.mapInArrow(sketch, schema), "sketches", schema), "node")
                 test += f" and ({close('u', 'v')})"
             rows = rows.select("sig", "node", "info", "root", *names)
             found = rows.alias("u").join(rows.alias("v"), F.expr(f"u.sig = v.sig and {test}")).selectExpr("u.node AS u", "v.node AS v")
-        pairs = _stored(found.distinct().join(seen, ["u", "v"], "left_anti"), "pairs", pair)
+        pairs = stored(found.distinct().join(seen, ["u", "v"], "left_anti"), "pairs", pair)
         if not pairs.isEmpty():
             seen, links = seen.union(pairs), links.union(_links(pairs, needed, verify))
         if turn < rounds:
             labelled = members.join(_near_roots(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
             split = labelled.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
-            open_ = _stored(labelled.join(split, "sig").select("sig", "node", "info", "weight", "root"), "open", f"{SIGNATURE}, weight bigint, root bigint")
+            open_ = stored(labelled.join(split, "sig").select("sig", "node", "info", "weight", "root"), "open", f"{SIGNATURE}, weight bigint, root bigint")
             if open_.isEmpty():
                 break
-    every = _stored(links.union(same), "all-links", pair)
+    every = stored(links.union(same), "all-links", pair)
     return connected_components(every.select(F.col("u").alias("node")).union(every.select("v")).distinct(), every)

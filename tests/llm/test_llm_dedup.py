@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import corpus, frame
 
@@ -232,3 +233,42 @@ def test_line_dedup_odd_rows(spark):
     got = line_join.drop_lines(frame(spark, [(1, line), (1, line), (None, line + "!"), (7, "own\n" + "z" * 50_000)])).collect()
     assert sorted((r.doc_id or 0, r.n_removed) for r in got) == [(0, 0), (1, 1), (1, 1), (7, 0)]
     assert line_join.drop_lines(frame(spark, [])).collect() == []
+
+
+def test_near_copies_of_a_line_are_not_all_paired(spark, monkeypatch):
+    rng = random.Random(5)
+    base = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(24)]
+    lines = []
+    for _ in range(60):
+        own = list(base)
+        own[rng.randrange(24)] = "".join(rng.choice("qrstuvwxyz") for _ in range(9))
+        lines.append(" ".join(own))
+    pairs, links = [], linking._links
+    monkeypatch.setattr(linking, "_links", lambda found, *rest: pairs.append(found.count()) or links(found, *rest))
+    plain, both = line_join.line_values, line_join.line_values(0).copy()
+    both[ord("b")] = both[ord("a")]
+    monkeypatch.setattr(line_join, "line_values", lambda salt: plain(salt) if salt else both)  # two lines with one hash: another is taken
+    got = line_join.drop_lines(frame(spark, [*enumerate(lines), (60, lines[7] + "!"), (61, "a" * 30), (62, "b" * 30)])).collect()
+    assert {r.doc_id for r in got if r.n_removed} == {60}
+    assert sum(pairs) < 6 * len(lines)
+
+
+def test_equal_rows_fill_no_bucket():
+    def shared(*batches):
+        columns = [pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], names=["sig", "node", "info"]) for rows in batches]
+        return [tuple(r.values()) for b in linking._shared(iter(columns)) for r in b.to_pylist()]
+
+    assert sorted(shared([(1, 5, 3), (1, 5, 3)], [(1, 5, 3), (2, 5, 3)], [(2, 5, 3), (2, 6, 2), (2, 6, 2)])) == [(2, 5, 3), (2, 6, 2)]
+
+
+@pytest.mark.parametrize("limit", [1, 2])
+def test_sketches_of_linked_lines_are_near(limit):
+    rng = random.Random(limit)
+    pairs = []
+    for _ in range(300):
+        text = "".join(rng.choice("abcdé😀 ") for _ in range(rng.randint(0, 50)))
+        pairs += [text, edited(rng, text, limit)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(pairs)), pa.int64()), pa.array(pairs)], names=["node", "text"])
+    rows = [[v for k, v in r.items() if k != "node"] for b in line_join._sketches(iter([batch])) for r in b.to_pylist()]
+    for a, b in zip(rows[::2], rows[1::2]):
+        assert sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(a, b)) <= 4 * limit
