@@ -16,22 +16,25 @@ protocol guards them against lost executors.
 A null text is an empty one: the end id alone. Null ids come first. Repeated documents are all
 written; equal ids are ordered by their contents. An empty table gives empty files. Only the named columns
 are read. A text is cut at spaces and line breaks, where the tokenizer never joins, and each piece is encoded
-by the tokenizer once per task and looked up from then on.
+by the tokenizer once per task and looked up from then on. Arrow cuts a stretch of texts and tells its distinct pieces. Words of
+letters are put in lower case here, so the tokenizer's model takes them without its normalizer and word pattern.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm.arrays import ragged
+from lakekit.llm.arrays import chunks, ragged
 from lakekit.session import scratch_path
 
 LIMIT = 16
@@ -39,7 +42,8 @@ BLOCK = 1 << 19
 MARK = 256
 END_ID = 1
 CACHE_WORDS = 400_000
-SLICE_CHARS = 1 << 21
+SLICE = 1 << 22  # bytes encoded at once
+WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.]?)")  # letters whose lower case is one letter of the same range
 
 
 class PieceEncoder:
@@ -47,8 +51,14 @@ class PieceEncoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.words = Tokenizer(self.tokenizer.model)
+        self.words.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary, suffix = self.words.get_vocab(), self.tokenizer.model.end_of_word_suffix
+        self.closing = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        self.closing[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
         self.tails = {"": -1} | {t: self.tokenizer.encode(t, add_special_tokens=False).ids[0] for t in ",."}
         self.reset()
 
@@ -71,11 +81,13 @@ class PieceEncoder:
 
     def _learn(self, pieces: list[str]) -> None:
         """Add new pieces: each by its plain form, which most of them share with others."""
-        plain = [_plain(p) for p in pieces]
-        fresh = [f for f in dict.fromkeys(f for f, _ in plain) if f not in self.codes]
-        if fresh:
-            self._encode(fresh)
-        rest = [(p, self.codes[f], self.tails[t]) for p, (f, t) in zip(pieces, plain) if p not in self.codes]
+        forms, tails, is_word = zip(*map(_plain, pieces))
+        fresh = {f: w for f, w in zip(forms, is_word) if f not in self.codes}
+        for words in (True, False):
+            some = [f for f, w in fresh.items() if w == words]
+            if some:
+                self._encode(some, words)
+        rest = [(p, self.codes[f], self.tails[t]) for p, f, t in zip(pieces, forms, tails) if p not in self.codes]
         if not rest:
             return
         form, tail = np.array([f for _, f, _ in rest], np.int64), np.array([t for _, _, t in rest], np.int64)
@@ -86,14 +98,20 @@ class PieceEncoder:
         flat[ends - 1] = np.maximum(tail, 0)  # unused without a tail
         self._add([p for p, _, _ in rest], flat, ends - sizes - 1, sizes + (tail >= 0))
 
-    def _encode(self, pieces: list[str]) -> None:
-        """Encode pieces as one text; each id belongs to the piece at its place."""
-        encoded = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
-        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        begins = np.cumsum(lengths + 1) - lengths - 1
-        places = np.fromiter((a for a, _ in encoded.offsets), np.int64, len(encoded))
-        sizes = np.bincount(np.searchsorted(begins, places, "right") - 1, minlength=len(pieces))
-        self._add(pieces, np.array(encoded.ids, np.uint32), np.cumsum(sizes) - sizes, sizes)
+    def _encode(self, pieces: list[str], words: bool) -> None:
+        """Encode pieces as one text; each id belongs to the piece at its place, or to the word that the next closing id ends."""
+        text = " ".join(pieces)
+        if words:
+            ids = np.array(self.words.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            sizes = np.diff(np.flatnonzero(self.closing[ids]), prepend=-1)
+        if not words or len(sizes) != len(pieces):
+            encoded = self.tokenizer.encode(text, add_special_tokens=False)
+            ids = np.array(encoded.ids, np.uint32)
+            lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+            begins = np.cumsum(lengths + 1) - lengths - 1
+            places = np.fromiter((a for a, _ in encoded.offsets), np.int64, len(encoded))
+            sizes = np.bincount(np.searchsorted(begins, places, "right") - 1, minlength=len(pieces))
+        self._add(pieces, ids, np.cumsum(sizes) - sizes, sizes)
 
     def _add(self, pieces: list[str], flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
         known = len(self.codes)
@@ -102,38 +120,39 @@ class PieceEncoder:
         self.flat = np.concatenate([self.flat, flat])
         self.hits = np.concatenate([self.hits, np.zeros(len(pieces), np.int64)])
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after another, and how many each has."""
         if len(self.codes) > CACHE_WORDS:
             self._forget()
-        pieces: list[str] = []
-        cuts = [0]
-        for text in texts:
-            pieces += text.replace("\n", " ").split(" ")
-            cuts.append(len(pieces))
-        get = self.codes.get
-        codes = np.array([get(p, -1) for p in pieces], np.int64)
+        cut = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
+        found = cut.flatten().dictionary_encode()
+        pieces, place = found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy()
+        codes = np.array([self.codes.get(p, -1) for p in pieces], np.int64)
         missing = np.flatnonzero(codes < 0)
         if len(missing):
-            self._learn(list(dict.fromkeys(pieces[i] for i in missing.tolist())))
+            self._learn([pieces[i] for i in missing.tolist()])
             codes[missing] = [self.codes[pieces[i]] for i in missing.tolist()]
-        self.hits += np.bincount(codes, minlength=len(self.hits))
+        self.hits[codes] += np.bincount(place, minlength=len(pieces))
+        codes = codes[place]
         sizes = self.sizes[codes]
         total = np.concatenate([[0], np.cumsum(sizes)])
-        return self.flat[ragged(self.starts[codes], sizes)], np.diff(total[cuts])
+        return self.flat[ragged(self.starts[codes], sizes)], np.diff(total[np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy())])])
 
 
-def _plain(piece: str) -> tuple[str, str]:
-    """A piece's form in lower case without a closing comma or full stop, and that sign.
+def _plain(piece: str) -> tuple[str, str, bool]:
+    """A piece's form in lower case without a closing comma or full stop, that sign, and whether the form is one word of letters.
 
     The tokenizer lower-cases, and a sign after a letter or digit is a token run of its own, so both give the same
     ids. Other scripts, whose case rules differ, and texts that may hold a special token stay as they are.
     """
+    word = WORD.fullmatch(piece)
+    if word:
+        return word[1].lower(), word[2], True
     if not piece.isascii() or "<|" in piece:
-        return piece, ""
+        return piece, "", False
     if len(piece) > 1 and piece[-1] in ",." and piece[-2].isalnum():
-        return piece[:-1].lower(), piece[-1]
-    return piece.lower(), ""
+        return piece[:-1].lower(), piece[-1], False
+    return piece.lower(), "", False
 
 
 @lru_cache(maxsize=2)
@@ -141,32 +160,18 @@ def _encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
-def _slices(texts: list[str]) -> Iterator[list[str]]:
-    part, size = [], 0
-    for text in texts:
-        part.append(text)
-        size += len(text)
-        if size > SLICE_CHARS:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
 def _tokenize(path: str, end_id: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
         for batch in batches:
-            at = 0
-            for texts in _slices([t or "" for t in batch.column(1).to_pylist()]):
-                ids, sizes = encoder.encode(texts)
+            for chunk in chunks(batch.column(1), SLICE):
+                ids, sizes = encoder.encode(batch.column(1).slice(chunk.lo, chunk.rows))
                 ends = np.cumsum(sizes + 1)
                 whole = np.full(int(ends[-1]), end_id, kind)
                 whole[ragged(ends - sizes - 1, sizes)] = ids
-                blobs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [
+                blobs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), chunk.rows, [
                     None, pa.py_buffer(np.append(0, ends * whole.itemsize)), pa.py_buffer(whole)])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), blobs.cast(pa.binary())], names=["doc_id", "ids"])
-                at += len(texts)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(chunk.lo, chunk.rows), blobs.cast(pa.binary())], names=["doc_id", "ids"])
 
     return run
 

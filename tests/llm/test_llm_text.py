@@ -8,6 +8,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from cases import corpus, frame
 from pyspark.sql import functions as F
@@ -208,6 +209,21 @@ def test_token_files(spark, monkeypatch):
     assert token_files.read_tokens(spark, token_files.write_tokens(frame(spark, []), TOKENIZER)).collect() == []
 
 
+def test_words_pass_the_normalizer_by(monkeypatch):
+    rng, letters = random.Random(9), "abzABZßÀÿÖéñ×÷µªŸİ́'1,.#"
+    texts = [None, *(" ".join("".join(rng.choice(letters) for _ in range(rng.randint(0, 9))) for _ in range(40)) for _ in range(300))]
+    texts += ["\n" + "".join(map(chr, range(33, 0x250))), " ".join(map(chr, range(33, 0x250))), " ".join(chr(c) + "a," for c in range(33, 0x250))]
+    encoder, taken = token_files.PieceEncoder(TOKENIZER), []
+    whole = encoder.tokenizer
+    encode = encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda pieces, words: taken.append((words, len(pieces))) or encode(pieces, words))
+    for _ in range(2):
+        ids, sizes = encoder.encode(pa.array(texts))
+        want = [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == want
+    assert sorted(w for w, _ in taken) == [False, True]  # once each: the second time all pieces are known
+
+
 def test_huffman_lengths_are_best_within_the_limit():
     rng = np.random.default_rng(2)
     for n, limit in ((1, 4), (2, 4), (5, 3), (8, 3), (9, 4), (200, 8), (300, 12)):
