@@ -73,7 +73,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op7_token_files")
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
-    return token_files.read_tokens(spark, path).drop("ids")
+    return token_files.read_tokens(spark, path, ids=False)
 
 
 @_query("op8_suffix_dedup")

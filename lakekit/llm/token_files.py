@@ -22,7 +22,6 @@ letters are put in lower case here, so the tokenizer's model takes them without
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm.arrays import chunks, ragged
+from lakekit.llm.arrays import byte_view, chunks, ragged
 from lakekit.session import scratch_path
 
 LIMIT = 16
@@ -43,7 +42,7 @@ MARK = 256
 END_ID = 1
 CACHE_WORDS = 400_000
 SLICE = 1 << 22  # bytes encoded at once
-WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.]?)")  # letters whose lower case is one letter of the same range
+WORD = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[,.]?$"  # letters whose lower case is one letter of the same range
 
 
 class PieceEncoder:
@@ -81,13 +80,20 @@ class PieceEncoder:
 
     def _learn(self, pieces: list[str]) -> None:
         """Add new pieces: each by its plain form, which most of them share with others."""
-        forms, tails, is_word = zip(*map(_plain, pieces))
-        fresh = {f: w for f, w in zip(forms, is_word) if f not in self.codes}
-        for words in (True, False):
-            some = [f for f, w in fresh.items() if w == words]
-            if some:
-                self._encode(some, words)
-        rest = [(p, self.codes[f], self.tails[t]) for p, f, t in zip(pieces, forms, tails) if p not in self.codes]
+        every = pa.array(pieces, pa.string())
+        words = pc.match_substring_regex(every, WORD)
+        is_word = words.to_numpy(zero_copy_only=False)
+        some = every.filter(words)
+        plain = list(zip(pc.utf8_lower(pc.utf8_rtrim(some, ",.")).to_numpy(zero_copy_only=False).tolist(), some.to_numpy(zero_copy_only=False).tolist()))
+        self._learn_plain([(p, f, p[-1] if p[-1] in ",." else "") for f, p in plain], True)
+        self._learn_plain([(pieces[i], *_plain(pieces[i])) for i in np.flatnonzero(~is_word).tolist()], False)
+
+    def _learn_plain(self, plain: list[tuple[str, str, str]], words: bool) -> None:
+        """Add pieces given with their plain forms and closing signs."""
+        fresh = [f for f in dict.fromkeys(f for _, f, _ in plain) if f not in self.codes]
+        if fresh:
+            self._encode(fresh, words)
+        rest = [(p, self.codes[f], self.tails[t]) for p, f, t in plain if p not in self.codes]
         if not rest:
             return
         form, tail = np.array([f for _, f, _ in rest], np.int64), np.array([t for _, _, t in rest], np.int64)
@@ -139,20 +145,17 @@ class PieceEncoder:
         return self.flat[ragged(self.starts[codes], sizes)], np.diff(total[np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy())])])
 
 
-def _plain(piece: str) -> tuple[str, str, bool]:
-    """A piece's form in lower case without a closing comma or full stop, that sign, and whether the form is one word of letters.
+def _plain(piece: str) -> tuple[str, str]:
+    """A piece's form in lower case without a closing comma or full stop, and that sign.
 
     The tokenizer lower-cases, and a sign after a letter or digit is a token run of its own, so both give the same
     ids. Other scripts, whose case rules differ, and texts that may hold a special token stay as they are.
     """
-    word = WORD.fullmatch(piece)
-    if word:
-        return word[1].lower(), word[2], True
     if not piece.isascii() or "<|" in piece:
-        return piece, "", False
+        return piece, ""
     if len(piece) > 1 and piece[-1] in ",." and piece[-2].isalnum():
-        return piece[:-1].lower(), piece[-1], False
-    return piece.lower(), "", False
+        return piece[:-1].lower(), piece[-1]
+    return piece.lower(), ""
 
 
 @lru_cache(maxsize=2)
@@ -180,10 +183,10 @@ def _count(kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for blob in batch.column(0).to_pylist():
-                own = np.bincount(np.frombuffer(blob, kind), minlength=len(total))
-                own[:len(total)] += total
-                total = own
+            data, offsets = byte_view(batch.column(0))
+            own = np.bincount(data[offsets[0]:offsets[-1]].view(kind), minlength=len(total))
+            own[:len(total)] += total
+            total = own
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
 
@@ -317,26 +320,26 @@ def decoder(ids: np.ndarray, bits: np.ndarray):
     return decode
 
 
-def _decode(book, base):
+def _decode(book, base, ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = decoder(*book.value)
-        starts = base.value
+        starts, names = base.value, ["doc_id", "start", "n_tokens", "ids_crc32", *(["ids"] if ids else [])]
         for batch in batches:
             for row in batch.to_pylist():
                 own = decode(row["code"], np.frombuffer(row["marks"], "<u4"), row["n_ids"]).astype("<u4")
                 sizes = np.array(row["sizes"], np.int64)
                 ends = np.cumsum(sizes)
-                blobs = [own[b - n:b].tobytes() for b, n in zip(ends.tolist(), sizes.tolist())]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(row["docs"], pa.int64()), pa.array(starts[row["part"]] + row["before"] + ends - sizes, pa.int64()),
-                    pa.array(sizes, pa.int64()), pa.array(map(zlib.crc32, blobs), pa.int64()), pa.array(blobs, pa.binary())],
-                    names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
+                whole = own.tobytes()
+                blobs = [whole[4 * (b - n):4 * b] for b, n in zip(ends.tolist(), sizes.tolist())]
+                columns = [pa.array(row["docs"], pa.int64()), pa.array(starts[row["part"]] + row["before"] + ends - sizes, pa.int64()),
+                           pa.array(sizes, pa.int64()), pa.array(map(zlib.crc32, blobs), pa.int64())]
+                yield pa.RecordBatch.from_arrays([*columns, *([pa.array(blobs, pa.binary())] if ids else [])], names=names)
 
     return run
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """Every document of the files: doc_id, start, n_tokens, ids_crc32, ids (little-endian unsigned 32-bit)."""
+def read_tokens(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
+    """Every document of the files: doc_id, start, n_tokens, ids_crc32, and with `ids` its ids (little-endian unsigned 32-bit)."""
     rows = sorted(spark.read.schema("id bigint, bits int").parquet(f"{path}/codebook").collect())
     book = np.array([r["id"] for r in rows], np.int64), np.array([r["bits"] for r in rows], np.int64)
     blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
@@ -344,4 +347,5 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     for part, n in sorted(blocks.groupBy("part").agg(F.sum("n_ids")).collect()):  # one row per written part
         base[part], total = total, total + n
     share = spark.sparkContext.broadcast
-    return blocks.mapInArrow(_decode(share(book), share(base)), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids binary")
+    schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids binary" * ids
+    return blocks.mapInArrow(_decode(share(book), share(base), ids), schema)
