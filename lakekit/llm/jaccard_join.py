@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from lakekit.llm.arrays import BYTE_VALUES, byte_class, chunks, fold_case, mix, prefix_hash, span_hash, word_spans
 from lakekit.llm.linking import LEAD, SIGNATURE, equal_nodes, linked_classes, without_nodes
+from lakekit.llm.workers import settled
 from lakekit.session import scratch_path
 
 WORD = byte_class(lambda b: not (b == 32 or 9 <= b <= 13))
@@ -235,7 +236,7 @@ def similar_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     spark = docs.sparkSession
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     schema, path = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint", scratch_path(spark, "set-keys")
-    plain.mapInArrow(_keys(width), schema).write.parquet(path)
+    plain.mapInArrow(settled(_keys(width)), schema).write.parquet(path)
     keys = spark.read.schema(schema).parquet(path)
     filled = keys.where("n_shingles > 0 and doc_id is not null").withColumnRenamed("doc_id", "node")
     known = plain.where("doc_id is not null").withColumnRenamed("doc_id", "node")
@@ -251,7 +252,7 @@ def similar_classes(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     copies = equal_nodes(filled, ["n_shingles", "k1", "k2"])
     several = filled.groupBy("node").count().where("count > 1")  # ids with texts of their own beside an equal one
     listed = without_nodes(known, copies.join(several, "node", "left_anti").select("node"))
-    roots = linked_classes(copies, listed.mapInArrow(_signatures(width, num, den), SIGNATURE), known, _verify(width, num, den), valid,
+    roots = linked_classes(copies, listed.mapInArrow(settled(_signatures(width, num, den)), SIGNATURE), known, _verify(width, num, den), valid,
                            _sketches(width), SKETCH_WORDS, close)
     roots = roots.select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
     linked = keys.where("doc_id is not null").join(roots, "doc_id", "left").select(

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakekit.llm.workers import settled
 from lakekit.operators.components import connected_components
 from lakekit.session import discard, freed_shuffles, scratch_path
 
@@ -107,7 +108,7 @@ def _links(pairs: DataFrame, needed: DataFrame, verify: Callable) -> DataFrame:
         if few:
             right = right.join(F.broadcast(part.select("v").distinct()), "v", "left_semi")
         both = left.join(right, "v").select("u", "v", "a", "b")
-        done.append(stored(both.mapInArrow(verify, "u bigint, v bigint"), "links", "u bigint, v bigint"))
+        done.append(stored(both.mapInArrow(settled(verify), "u bigint, v bigint"), "links", "u bigint, v bigint"))
     return reduce(DataFrame.union, done)
 
 
@@ -142,7 +143,7 @@ def linked_classes(copies: DataFrame, signatures: DataFrame, texts: DataFrame, v
     spark = signatures.sparkSession
     ordered = signatures.repartition("sig").sortWithinPartitions("sig", F.expr(f"{LEAD} - (info & {LEAD})"), "node")
     bucket_path, row_path = scratch_path(spark, "buckets"), scratch_path(spark, "rows")
-    buckets = _at(ordered.mapInArrow(_shared, SIGNATURE), bucket_path, SIGNATURE)
+    buckets = _at(ordered.mapInArrow(settled(_shared), SIGNATURE), bucket_path, SIGNATURE)
     # dealt by signature once: what follows up to the join needs no other shuffle
     rows = buckets.repartition("sig").distinct()
     sizes = rows.groupBy("sig").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
@@ -170,7 +171,7 @@ def linked_classes(copies: DataFrame, signatures: DataFrame, texts: DataFrame, v
             if sketch is not None:
                 names = [f"s{k}" for k in range(words)]
                 schema = ", ".join(["node bigint", *(f"{n} bigint" for n in names)])
-                rows = rows.join(stored(needed.mapInArrow(sketch, schema), "sketches", schema), "node")
+                rows = rows.join(stored(needed.mapInArrow(settled(sketch), schema), "sketches", schema), "node")
                 test += f" and ({close('u', 'v')})"
             rows = rows.select("sig", "node", "info", "root", *names)
             found = rows.alias("u").join(rows.alias("v"), F.expr(f"u.sig = v.sig and {test}")).selectExpr("u.node AS u", "v.node AS v")

@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakekit.llm.arrays import byte_view, chunks, ragged
+from lakekit.llm.workers import settled, table
 from lakekit.session import scratch_path
 
 LIMIT = 16
@@ -158,7 +158,7 @@ def _plain(piece: str) -> tuple[str, str]:
     return piece.lower(), ""
 
 
-@lru_cache(maxsize=2)
+@table
 def _encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
@@ -284,15 +284,15 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, id_co
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     raw = scratch_path(spark, "token-ids")
     kind = "<u2" if max(_encoder(tokenizer).tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
-    plain.mapInArrow(_tokenize(tokenizer, end_id, kind), "doc_id bigint, ids binary").write.option("compression", "zstd").parquet(raw)
+    plain.mapInArrow(settled(_tokenize(tokenizer, end_id, kind), _encoder), "doc_id bigint, ids binary").write.option("compression", "zstd").parquet(raw)
     tokens = spark.read.schema("doc_id bigint, ids binary").parquet(raw)
-    counted = tokens.select("ids").mapInArrow(_count(kind), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = tokens.select("ids").mapInArrow(settled(_count(kind)), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     rows = sorted(counted.collect())  # one row per id in use, at most the vocabulary
     ids, bits = np.array([r["id"] for r in rows], np.int64), code_lengths(np.array([r["n"] for r in rows], np.int64), limit)
     spark.createDataFrame([(int(a), int(b)) for a, b in zip(ids, bits)], "id bigint, bits int").coalesce(1).write.parquet(f"{path}/codebook")
     # the content hash splits ranges of one repeated id
     ordered = tokens.withColumn("h", F.xxhash64("ids")).repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "ids")
-    ordered.select("doc_id", "ids").mapInArrow(_blocks(spark.sparkContext.broadcast((ids, bits)), kind), BLOCKS).write.option(
+    ordered.select("doc_id", "ids").mapInArrow(settled(_blocks(spark.sparkContext.broadcast((ids, bits)), kind)), BLOCKS).write.option(
         "compression", "none").parquet(f"{path}/blocks")
     return path
 
@@ -348,4 +348,4 @@ def read_tokens(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
         base[part], total = total, total + n
     share = spark.sparkContext.broadcast
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids binary" * ids
-    return blocks.mapInArrow(_decode(share(book), share(base), ids), schema)
+    return blocks.mapInArrow(settled(_decode(share(book), share(base), ids)), schema)

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakekit.llm.arrays import BYTE_VALUES, byte_class, chunks, fold_case, mix, powers
+from lakekit.llm.workers import settled
 from lakekit.session import scratch_path
 
 SIZES = (4, 5)
@@ -144,7 +145,7 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label",
     rows = labelled.where(F.col(label_col).isin(0, 1) & F.col(text_col).isNotNull())
     rows.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")).write.parquet(path)
     rows = spark.read.schema("text string, label int").parquet(path)
-    counted = rows.mapInArrow(_count, "gram int, n0 bigint, n1 bigint").groupBy("gram").agg(
+    counted = rows.mapInArrow(settled(_count), "gram int, n0 bigint, n1 bigint").groupBy("gram").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     seen = counted.where("gram = -1").first()
     if seen is None or not seen["n0"] or not seen["n1"]:
@@ -158,7 +159,7 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label",
         "gram", ratio.alias("ratio"), gap.alias("gap")).orderBy(F.desc("gap"), "gram").limit(features).collect()
     best.sort(key=lambda r: r["gram"])
     grams, ratios = np.array([r["gram"] for r in best], np.int32), np.array([r["ratio"] for r in best])
-    drawn = rows.mapInArrow(_sparse_rows(spark.sparkContext.broadcast(grams)), "features array<int>, label int").toArrow()
+    drawn = rows.mapInArrow(settled(_sparse_rows(spark.sparkContext.broadcast(grams))), "features array<int>, label int").toArrow()
     lists = drawn.column("features").combine_chunks()
     values, cuts = lists.flatten().to_numpy(), np.cumsum(np.diff(lists.offsets.to_numpy()))
     w, bias = _fit(np.split(values, cuts[:-1]), drawn.column("label").to_numpy().astype(np.float64), ratios)
@@ -189,7 +190,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text"
     columns = keep if text_col in keep else [*keep, text_col]
     plain = docs.select(*(F.col("`" + c.replace("`", "``") + "`") for c in columns))
     schema = T.StructType([*plain.schema.fields[:len(keep)], T.StructField(name, T.DoubleType())])
-    return plain.mapInArrow(_scorer(shared, columns.index(text_col), len(keep), name), schema)
+    return plain.mapInArrow(settled(_scorer(shared, columns.index(text_col), len(keep), name)), schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

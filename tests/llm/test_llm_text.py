@@ -13,7 +13,7 @@ import pytest
 from cases import corpus, frame
 from pyspark.sql import functions as F
 
-from lakekit.llm import mixing, page_diff, queries, secret_scan, token_files, toxicity
+from lakekit.llm import arrays, mixing, page_diff, queries, secret_scan, token_files, toxicity, workers
 
 SF_DIR = "/root/testdata/sf0.001"
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -300,3 +300,18 @@ def test_queries_with_sql(spark):
         names = [d[0] for d in cursor.description]
         assert sorted(names) == sorted(df.columns)
         assert sorted(map(str, (tuple(r) for r in df.select(*names).collect()))) == sorted(map(str, cursor.fetchall()))
+
+
+def test_workers_keep_only_the_tables_in_use():
+    made = workers.table(lambda size: np.zeros(size))
+    try:
+        def uses(batches):
+            for batch in batches:
+                arrays.powers(10)
+                yield made(5)
+
+        assert len(list(workers.settled(uses, made)(iter([1, 2])))) == 2
+        assert made.cache_info().currsize == 1 and arrays._powers_of.cache_info().currsize == 0
+        assert list(workers.settled(lambda batches: batches)(iter([]))) == [] and made.cache_info().currsize == 0
+    finally:
+        workers._TABLES.remove(made)
