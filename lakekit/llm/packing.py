@@ -20,9 +20,7 @@ numbers and starts count within a row. An empty table gives no pieces. Only the
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,35 +29,101 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lakekit.llm.arrays import ragged
+from lakekit.llm.arrays import byte_view, chunks, ragged
+from lakekit.llm.workers import settled, table
 from lakekit.session import cut_lineage, scratch_path
 
 CAP = 1024
 END_ID = 2
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 22  # bytes encoded at once
 FEW = 1_000_000  # rows of task counts that may be broadcast
 PIECES = "doc_id bigint, piece int, start bigint, length int, task int, place bigint, ids binary"
 PLAN = "length int, first bigint, n bigint, each int, sequence bigint, at int"
 
-# Of texts in these signs alone, WORD finds the words that the byte-level tokenizer's own pattern finds (a fixed rule of its
-# vocabulary file); no token runs over the end of a word.
-KNOWN = re.compile(r"[\n !-~À-ɏ]*")
-WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^ \nA-Za-z0-9À-ÖØ-öø-ɏ]+|[ \n]+(?![^ \n])|[ \n]+")
+# Of texts in these signs alone, `cut_words` finds the words that the byte-level tokenizer's own pattern finds (a fixed rule of its
+# vocabulary file); no token runs over the end of a word. 0: any other sign; letters: A-Z, a-z, À-ɏ without × and ÷, which are signs.
+OTHER, LETTER, DIGIT, SIGN, BLANK, LINE = range(6)
+KINDS = np.zeros(256, np.uint8)
+KINDS[0x21:0x7F] = SIGN
+for low, high, kind in ((0x41, 0x5A, LETTER), (0x61, 0x7A, LETTER), (0x30, 0x39, DIGIT), (0x20, 0x20, BLANK), (0x0A, 0x0A, LINE),
+                        (0xC3, 0xC9, LETTER), (0x80, 0xBF, LETTER)):
+    KINDS[low:high + 1] = kind
 ROOM = 500_000
 
 
+def _own_signs() -> np.ndarray:
+    """The code point that stands for each byte in a byte-level vocabulary; line breaks stay, which part words."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    signs = np.arange(256, dtype="<u4")
+    rest = [b for b in range(256) if b not in plain]
+    signs[rest] = 256 + np.arange(len(rest))
+    signs[0x0A] = 0x0A
+    return signs
+
+
+BYTE_SIGNS = _own_signs()
+
+
+def cut_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start in the bytes of texts (each word ends where the next starts), and the rows that hold other signs.
+
+    Words: ` ?letters`, `'s 't 're 've 'm 'll 'd`, ` ?digits`, ` ?signs`, white space up to the last sign before ink, white space.
+    """
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    kind = KINDS[data]
+    odd = kind == OTHER
+    odd[:-1] |= (data[:-1] == 0x3C) & (data[1:] == 0x7C)  # a special token's string is cut out before words are
+    if data.max() >= 0x80:
+        lead, rest = (data >= 0xC3) & (data <= 0xC9), (data & 0xC0) == 0x80
+        odd[1:] |= (rest[1:] != lead[:-1]) | ((data[:-1] == 0xC9) & (data[1:] > 0x8F))
+        odd[0] |= rest[0]
+        odd[-1] |= lead[-1]
+        sign = np.flatnonzero((data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7)))
+        kind[sign] = kind[sign + 1] = SIGN
+    first = np.zeros(len(data) + 3, bool)  # where texts begin, and the end
+    first[offsets] = True
+    first[len(data):] = True
+    white = kind >= BLANK
+    start = first[:len(data)].copy()
+    before, own = kind[:-1], kind[1:]
+    start[1:] |= np.where(white[1:], ~white[:-1], (before == LINE) | (~white[:-1] & (own != before)))
+    start[:-1] |= white[:-1] & ~white[1:] & ~first[1:len(data)]  # the last white sign before ink
+    at = np.flatnonzero(start & (data == 0x27))
+    if len(at):
+        after = np.append(data, np.zeros(3, np.uint8))
+        one, two = after[at + 1], after[at + 2]
+        short = np.isin(one, np.frombuffer(b"stmd", np.uint8)) & ~first[at + 1]
+        pair = (((one == 0x72) | (one == 0x76)) & (two == 0x65)) | ((one == 0x6C) & (two == 0x6C))
+        long = pair & ~first[at + 1] & ~first[at + 2]
+        start[at[short | long] + 1] = False
+        end = np.concatenate([at[short] + 2, at[long] + 3])
+        start[end[end < len(data)]] = True
+    rows = np.searchsorted(offsets, np.flatnonzero(odd), "right") - 1
+    return np.flatnonzero(start), np.unique(rows)
+
+
 class WordEncoder:
-    """Ids of texts through a bounded table of the words seen so far, each encoded by the tokenizer once."""
+    """Ids of texts through a bounded table of the words seen so far, each encoded by the tokenizer once.
+
+    Arrow tells the distinct words of a stretch of texts. New ones go to the tokenizer's model as lines of byte signs, so without
+    its pattern; the widths of the ids in bytes say which word each belongs to.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import Split
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.line = self._ids("\n")[0]
+        self.words = Tokenizer(self.tokenizer.model)
+        self.words.pre_tokenizer = Split("\n", "removed")
+        vocabulary = self.words.get_vocab()
+        self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.width[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self.reset()
 
     def reset(self) -> None:
-        self.codes: dict[str, int] = {}
+        self.codes: dict[bytes, int] = {}
         self.flat, self.starts, self.sizes, self.hits = np.zeros(0, np.uint32), *(np.zeros(0, np.int64) for _ in range(3))
 
     def _forget(self) -> None:
@@ -74,70 +138,80 @@ class WordEncoder:
         self.flat, self.sizes, self.hits = self.flat[at], self.sizes[keep], self.hits[keep]
         self.starts = np.cumsum(self.sizes) - self.sizes
 
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+    def _add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         known = len(self.codes)
         self.codes.update(zip(words, range(known, known + len(words))))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, ids])
         self.hits = np.concatenate([self.hits, np.zeros(len(words), np.int64)])
 
-    def _learn(self, words: list[str]) -> None:
-        """Encode words as lines of one text, where each line break is a token of its own."""
-        inked = [w for w in words if not w.isspace()]
-        ids = np.array(self._ids("\n" + "\n".join(inked)), np.uint32) if inked else np.zeros(0, np.uint32)
-        at = ids == self.line
-        self._add(inked, ids[~at], np.bincount(np.cumsum(at)[~at] - 1, minlength=len(inked)))
-        for word in words:
-            if word not in self.codes:  # white space
-                own = self._ids(word)
-                self._add([word], np.array(own, np.uint32), np.array([len(own)]))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode words as lines of one text; white space and words with a sign that the vocabulary lacks go one by one."""
+        inked, rest = [w for w in words if not w.isspace()], [w for w in words if w.isspace()]
+        if inked:
+            text = BYTE_SIGNS[np.frombuffer(b"\n".join(inked), np.uint8)].tobytes().decode("utf-32-le")
+            ids = np.array(self.words.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.cumsum(np.fromiter(map(len, inked), np.int64, len(inked)))
+            reached = np.cumsum(self.width[ids])
+            upto = np.searchsorted(reached, ends, "right")
+            if upto[-1] == len(ids) and (reached[upto - 1] == ends).all():
+                self._add(inked, ids, np.diff(upto, prepend=0))
+            else:
+                rest = words
+        for word in rest:
+            own = self._ids(word.decode())
+            self._add([word], own, np.array([len(own)]))
+
+    def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after another, and how many each has."""
         if len(self.codes) > ROOM:
             self._forget()
-        words: list[str] = []
-        cuts, whole = [0], {}
-        for k, text in enumerate(texts):
-            if KNOWN.fullmatch(text) and "<|" not in text:  # a special token's string is cut out before words are
-                words += WORD.findall(text)
-            else:
-                whole[k] = np.array(self._ids(text), np.uint32)
-            cuts.append(len(words))
-        get = self.codes.get
-        codes = np.array([get(w, -1) for w in words], np.int64)
-        missing = np.flatnonzero(codes < 0)
-        if len(missing):
-            self._learn(list(dict.fromkeys(words[i] for i in missing.tolist())))
-            codes[missing] = [self.codes[words[i]] for i in missing.tolist()]
-        self.hits += np.bincount(codes, minlength=len(self.hits))
+        texts = _texts(texts)
+        data, offsets = byte_view(texts)
+        data, offsets = data[offsets[0]:offsets[-1]], offsets - offsets[0]
+        starts, odd = cut_words(data, offsets)
+        words = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [
+            None, pa.py_buffer(np.append(starts, len(data)).astype(np.int32)), pa.py_buffer(data)])
+        cuts = np.searchsorted(starts, offsets)
+        if len(odd):
+            keep = np.ones(len(starts), bool)
+            keep[ragged(cuts[odd], cuts[odd + 1] - cuts[odd])] = False
+            words, cuts = words.filter(pa.array(keep)), np.append(0, np.cumsum(keep))[cuts]
+        found = words.dictionary_encode()
+        distinct, place = found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy()
+        codes = np.array([self.codes.get(w, -1) for w in distinct], np.int64)
+        missing = np.flatnonzero(codes < 0).tolist()
+        if missing:
+            self._learn([distinct[i] for i in missing])
+            codes[missing] = [self.codes[distinct[i]] for i in missing]
+        self.hits[codes] += np.bincount(place, minlength=len(distinct))
+        codes = codes[place]
         each = self.sizes[codes]
-        ends = np.concatenate([[0], np.cumsum(each)])[cuts]
+        ends = np.append(0, np.cumsum(each))[cuts]
         ids, sizes = self.flat[ragged(self.starts[codes], each)], np.diff(ends)
-        if whole:
+        if len(odd):
+            whole = {k: self._ids(texts[k].as_py()) for k in odd.tolist()}
             ids = np.concatenate([x for k, (a, b) in enumerate(zip(ends[:-1], ends[1:])) for x in (ids[a:b], whole.get(k, ids[:0]))])
             for k, own in whole.items():
                 sizes[k] = len(own)
         return ids, sizes
 
 
-@lru_cache(maxsize=2)
+@table
 def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
-    lo, size = 0, 0
-    for k, text in enumerate(texts):
-        size += len(text)
-        if size > SLICE_CHARS:
-            yield lo, k + 1
-            lo, size = k + 1, 0
-    if lo < len(texts):
-        yield lo, len(texts)
+def _texts(texts: pa.Array | list[str]) -> pa.Array:
+    return (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).fill_null("")
+
+
+def _slices(texts: pa.Array | list[str]) -> Iterator[tuple[int, int]]:
+    for chunk in chunks(_texts(texts), SLICE_CHARS):
+        yield chunk.lo, chunk.hi
 
 
 def cut_pieces(totals: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -156,13 +230,15 @@ def _pieces(path: str, cap: int, end_id: int):
         encoder, task = _encoder(path), TaskContext.get().partitionId()
         seen = np.zeros(cap + 1, np.int64)
         for batch in batches:
-            every = [t or "" for t in batch.column(1).to_pylist()]
+            every = batch.column(1)
             for lo, hi in _slices(every):
-                ids, sizes = encoder.encode(every[lo:hi])
+                ids, sizes = encoder.encode(every.slice(lo, hi - lo))
                 totals = sizes + 1
                 ends = np.cumsum(totals)
                 whole = np.full(int(ends[-1]), end_id, np.uint32)
-                whole[ragged(ends - totals, sizes)] = ids
+                inside = np.ones(len(whole), bool)
+                inside[ends - 1] = False
+                whole[inside] = ids
                 row, piece, start, length = cut_pieces(totals, cap)
                 order = np.argsort(length, kind="stable")
                 counts = np.bincount(length, minlength=cap + 1)
@@ -184,7 +260,7 @@ def write_pieces(docs: DataFrame, tokenizer: str, cap: int = CAP, end_id: int =
     """The pieces of all documents, written with their ids (little-endian unsigned 32-bit) and read back."""
     spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "pieces")
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    plain.mapInArrow(_pieces(tokenizer, cap, end_id), PIECES).write.option("compression", "zstd").parquet(path)
+    plain.mapInArrow(settled(_pieces(tokenizer, cap, end_id), _encoder), PIECES).write.option("compression", "zstd").parquet(path)
     return spark.read.schema(PIECES).parquet(path)
 
 

@@ -247,6 +247,33 @@ def test_word_encoder_equals_tokenizer(monkeypatch, room):
         assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+PATTERN = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[^ \nA-Za-z0-9À-ÖØ-öø-ɏ]+|[ \n]+(?![^ \n])|[ \n]+")
+
+
+def test_words_are_those_of_the_pattern():
+    rng = random.Random(12)
+    texts = ["".join(rng.choice(["a", "é", "ñ", "Z", "1", " ", " ", "\n", "'", "'s", "'re", "'ll", ".", "×"]) for _ in range(rng.randint(0, 30))) for _ in range(5000)]
+    data, offsets = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *(len(t.encode()) for t in texts)])
+    starts, odd = packing.cut_words(data, offsets)
+    want = [w.encode() for t in texts for w in PATTERN.findall(t)]
+    assert not len(odd) and [data[a:b].tobytes() for a, b in zip(starts, np.append(starts[1:], len(data)))] == want
+    texts = ["tab\t", "fine", "", "<|x|>", "\u0250", "漢", "also fine", "\x7f"]
+    data, offsets = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *(len(t.encode()) for t in texts)])
+    assert packing.cut_words(data, offsets)[1].tolist() == [0, 3, 4, 5, 7]
+
+
+def test_new_words_do_not_meet_the_tokenizers_pattern():
+    texts = [" one two, né 'tis it's 12\n", None, "two Three" * 3]
+    tokenizer, encoder = Tokenizer.from_file(BYTE_BPE), packing.WordEncoder(BYTE_BPE)
+    asked = []
+    one_by_one = encoder._ids
+    encoder._ids = lambda text: asked.append(text) or one_by_one(text)
+    ids, sizes = encoder.encode(pa.array(texts))
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == [i for w in want for i in w] and sizes.tolist() == [len(w) for w in want]
+    assert asked == ["\n"]  # white space alone
+
+
 def brute_bin(left, cap):
     used, gap = Counter(), cap
     while True:
