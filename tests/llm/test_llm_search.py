@@ -138,6 +138,23 @@ def test_pruning_skips_blocks_and_keeps_the_best():
     assert sorted(docs.tolist()) == [5, 1700, 1701, 3900] and sum(read) < 10
 
 
+def test_blocks_are_opened_in_one_step_for_all_words(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randint(0, 60)}" for _ in range(rng.randint(0, 12))) for _ in range(500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(500)), pa.array(texts)], names=["d", "t"])
+    (row,) = [r for out in bm25._index(iter([batch])) for r in out.to_pylist()]
+    shard = bm25.weighed({k: np.frombuffer(row[k], t) for k, t in bm25._ARRAYS.items()}, 6.0)
+    high = shard["ends"].astype(np.int64)
+    low, opened = np.append(0, high[:-1]), np.array([6, 1, 4])
+    steps, ragged = [], bm25.ragged
+    monkeypatch.setattr(bm25, "ragged", lambda *given: steps.append(1) or ragged(*given))
+    rows, own = bm25._open(shard, opened, low, high)
+    want = [(r, w) for w, (a, b) in enumerate(zip(low, high)) for r in range(a, b) if shard["hit_docs"][r] // bm25.BLOCK in (1, 4, 6)]
+    assert list(zip(rows.tolist(), own.tolist())) == want and len(steps) <= 2  # once a word before
+
+
 def test_pipeline_stages(spark, tmp_path):
     """Each stage over small tables beside a plain reading of its rule."""
     rng = random.Random(11)
