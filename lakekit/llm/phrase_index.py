@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.arrays import BYTE_VALUES, byte_class, chunks, fold_case, prefix_hash, span_hash, word_spans
+from lakekit.llm.arrays import BYTE_VALUES, CHUNK, byte_class, chunks, fold_case, prefix_hash, span_hash, word_spans
+from lakekit.llm.shards import arrays, write_shards
 from lakekit.llm.workers import settled
 from lakekit.session import scratch_path
 
@@ -42,6 +43,7 @@ NEAR_TERMS, NEAR_SPAN = 4, 24
 WORD = byte_class(lambda b: 48 <= b <= 57 or 97 <= b <= 122 or b >= 128)
 
 INDEX = "shard bigint, docs array<bigint>, first array<bigint>, words binary, ends binary, places binary"
+_ARRAYS = {"words": np.uint64, "ends": np.uint32, "places": np.uint32}
 
 
 def _words(chunk):
@@ -51,28 +53,41 @@ def _words(chunk):
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[tuple[list, np.ndarray, np.ndarray]] = []  # (ids, words, words per document), hashed chunk by chunk
+    size = 0
+
+    def flush() -> pa.RecordBatch:
+        ids = [i for own, _, _ in held for i in own]
+        words = np.concatenate([w for _, w, _ in held])
+        rows = np.concatenate([[0], np.cumsum(np.concatenate([n for _, _, n in held]))])
+        held.clear()
+        order = np.argsort(words, kind="stable").astype(np.uint32)
+        ordered = words[order]
+        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
+        ends = np.append(first[1:], len(ordered)).astype(np.uint32) if len(ordered) else np.zeros(0, np.uint32)
+        return pa.RecordBatch.from_arrays([
+            pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
+            pa.array([rows.tolist()], pa.list_(pa.int64())), pa.array([ordered[first].tobytes()], pa.binary()),
+            pa.array([ends.tobytes()], pa.binary()), pa.array([order.tobytes()], pa.binary())],
+            names=["shard", "docs", "first", "words", "ends", "places"])
+
     for batch in batches:
-        ids = batch.column(0)
-        for chunk in chunks(batch.column(1), SHARD_BYTES):
+        for chunk in chunks(batch.column(1), min(CHUNK, SHARD_BYTES)):
+            if held and size + len(chunk.data) > SHARD_BYTES:
+                yield flush()
+                size = 0
             words, rows = _words(chunk)
-            order = np.argsort(words, kind="stable").astype(np.uint32)
-            ordered = words[order]
-            first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
-            ends = np.append(first[1:], len(ordered)).astype(np.uint32) if len(ordered) else np.zeros(0, np.uint32)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([ids.slice(chunk.lo, chunk.rows).to_pylist()], pa.list_(pa.int64())),
-                pa.array([rows.tolist()], pa.list_(pa.int64())), pa.array([ordered[first].tobytes()], pa.binary()),
-                pa.array([ends.tobytes()], pa.binary()), pa.array([order.tobytes()], pa.binary())],
-                names=["shard", "docs", "first", "words", "ends", "places"])
+            held.append((batch.column(0).slice(chunk.lo, chunk.rows).to_pylist(), words, np.diff(rows)))
+            size += len(chunk.data)
+    if held:
+        yield flush()
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """Write the shard index of all documents under the shared folder and return it as read back."""
-    spark = docs.sparkSession
-    path = path or scratch_path(spark, "phrase-index")
+    path = path or scratch_path(docs.sparkSession, "phrase-index")
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    plain.mapInArrow(settled(_index), INDEX).write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(INDEX).parquet(path)
+    return write_shards(plain.mapInArrow(settled(_index), INDEX), path)
 
 
 def _phrases(items: list[tuple], window: int) -> dict:
@@ -136,14 +151,14 @@ def _matcher(block, counts, near: bool):
                     close.append((k, sorted(present, key=lambda w: (rank[w], w))[:NEAR_TERMS]))
         names = ["" if i is None else str(i) for i in packed["items"]]
         for batch in batches:
-            for row in batch.to_pylist():
-                yield _match_shard(row, plans, close, names)
+            for k, row in enumerate(arrays(batch, _ARRAYS)):
+                yield _match_shard(row | {c: batch.column(c)[k].as_py() for c in ("shard", "docs", "first")}, plans, close, names)
 
     return run
 
 
 def _match_shard(row, plans, close, names) -> pa.RecordBatch:
-    words, ends, places = (np.frombuffer(row[c], t) for c, t in (("words", np.uint64), ("ends", np.uint32), ("places", np.uint32)))
+    words, ends, places = (row[c] for c in _ARRAYS)
     first = np.asarray(row["first"], np.int64)
     found: dict[int, np.ndarray] = {}
 
@@ -214,10 +229,10 @@ def _term_counts(index: DataFrame, wanted):
         terms = wanted.value
         total = np.zeros(len(terms), np.int64)
         for batch in batches:
-            for blob, tail in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words, ends = np.frombuffer(blob, np.uint64), np.frombuffer(tail, np.uint32).astype(np.int64)
+            for row in arrays(batch, {c: _ARRAYS[c] for c in ("words", "ends")}):
+                words = row["words"]
                 if len(words):
-                    sizes = np.diff(ends, prepend=0)
+                    sizes = np.diff(row["ends"].astype(np.int64), prepend=0)
                     at = np.minimum(np.searchsorted(words, terms), len(words) - 1)
                     total += np.where(words[at] == terms, sizes[at], 0)
         keep = np.flatnonzero(total)

@@ -8,6 +8,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from cases import corpus, frame, words
 from pyspark.sql import functions as F
@@ -42,6 +43,29 @@ def hits_brute(rows, items, window):
     return out
 
 
+def groups_of(index):
+    """Rows, and which columns have statistics, of each row group of a written index."""
+    found = []
+    for path in index.inputFiles():
+        meta = pq.ParquetFile(path.removeprefix("file:")).metadata
+        for group in (meta.row_group(k) for k in range(meta.num_row_groups)):
+            found.append((group.num_rows, [group.column(k).path_in_schema for k in range(group.num_columns) if group.column(k).is_stats_set]))
+    return found
+
+
+def large_texts(spark):
+    rng = np.random.default_rng(5)
+    return frame(spark, [(k, " ".join(map(str, rng.integers(0, 10**9, 100_000)))) for k in range(20)], 1)
+
+
+def test_phrase_shards_are_written_one_by_one(spark):
+    """However many shards a task makes, writers and readers hold a few."""
+    index = phrase_index.build_index(large_texts(spark))
+    groups = groups_of(index)
+    assert len(groups) >= 4 and max(n for n, _ in groups) <= 2 and not any(stats for _, stats in groups)
+    assert sorted(d for r in index.select("docs").collect() for d in r.docs) == list(range(20))
+
+
 def benchmark_of(spark, items):
     return spark.createDataFrame([(*x, 1, 2) for x in items], "item_id bigint, text string, shard bigint, doc_id bigint")
 
