@@ -212,8 +212,9 @@ def near_words(words: DataFrame) -> DataFrame:
     rank = np.empty(GRAMS, np.int64)
     rank[np.argsort(counts, kind="stable")] = np.arange(GRAMS)
     plain = words.select("word", "n")
-    probes = plain.mapInArrow(_sides(counts, rank, True), SIDES).alias("u")
-    index = plain.mapInArrow(_sides(counts, rank, False), SIDES).alias("v")
+    # dozens of rows a word, which Spark sizes as the words themselves; no side goes through the driver
+    probes = plain.mapInArrow(_sides(counts, rank, True), SIDES).hint("merge").alias("u")
+    index = plain.mapInArrow(_sides(counts, rank, False), SIDES).hint("merge").alias("v")
     met = probes.join(index, F.expr("u.key = v.key and u.last <= v.last and u.word <> v.word")).where(F.expr("levenshtein(u.word, v.word, 1) = 1"))
     pairs = cut_lineage(met.selectExpr("u.word AS word", "u.n AS n", "v.word AS near", "v.n AS near_n").distinct())
     return pairs.union(pairs.select("near", "near_n", "word", "n")).distinct()
@@ -224,15 +225,15 @@ def variant_forms(words: DataFrame) -> DataFrame:
     best = F.min(F.struct((-F.col("near_n")).alias("m"), "near"))
     found = near_words(words).groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
     is_form = F.expr("-best.m >= 2 * n")
-    rows = cut_lineage(words.select("word", "n").join(found, "word", "left").select(
+    rows = cut_lineage(words.select("word", "n").join(found.hint("merge"), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(is_form, F.col("best.near")).alias("form"),
         F.when(is_form, -F.col("best.m")).alias("form_n")))
     largest = rows.agg(F.max("form_n")).first()[0] or 0
     roots = rows.where("form is not null").select("word", F.col("form").alias("root"))
     for _ in range(max(int(largest).bit_length() - 1, 0).bit_length()):  # a chain has fewer steps than its last count has bits
         step = roots.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        roots = cut_lineage(roots.join(step, "root", "left").select("word", F.coalesce("next", "root").alias("root")))
-    return rows.join(roots, "word", "left").select("word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root"))
+        roots = cut_lineage(roots.join(step.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root")))
+    return rows.join(roots.hint("merge"), "word", "left").select("word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root"))
 
 
 def group_spellings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -154,6 +154,17 @@ def test_long_chains_and_dense_words(spark):
     assert as_set(tuple(r) for r in got) == as_set(forms_brute(counts))
 
 
+def test_spelling_broadcasts_no_words(spark, monkeypatch):
+    """Keys are dozens of rows a word, which Spark sizes as the words' own small table."""
+    plans, real = [], spelling.cut_lineage
+    table = real(spark.createDataFrame([("words", 9), ("wordz", 3), ("other", 4)], "word string, n bigint"))
+    monkeypatch.setattr(spelling, "cut_lineage", lambda df: plans.append(df._jdf.queryExecution().toString()) or real(df))
+    forms = spelling.variant_forms(table)
+    plans.append(forms._jdf.queryExecution().toString())
+    assert sum("SortMergeJoin" in p for p in plans) >= 3 and not any("BroadcastHashJoin" in p or "BroadcastNestedLoopJoin" in p for p in plans)
+    assert sorted((r.word, r.n_near, r.form, r.root) for r in forms.collect()) == [("other", 0, None, "other"), ("words", 1, None, "words"), ("wordz", 1, "words", "words")]
+
+
 def test_near_words_of_a_small_alphabet(spark):
     rng = random.Random(9)
     counts = {"".join(rng.choice("abcÀÿ") for _ in range(rng.randint(5, 8))): rng.randint(3, 90) for _ in range(1500)}
