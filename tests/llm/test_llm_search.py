@@ -8,6 +8,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from cases import corpus, frame, words
@@ -66,6 +67,24 @@ def test_phrase_shards_are_written_one_by_one(spark):
     assert sorted(d for r in index.select("docs").collect() for d in r.docs) == list(range(20))
 
 
+def test_bm25_shards_are_written_one_by_one(spark):
+    groups = groups_of(bm25.build_index(large_texts(spark)))
+    assert len(groups) >= 3 and max(n for n, _ in groups) <= 2 and not any(stats for _, stats in groups)
+
+
+def test_bm25_tasks_hand_on_the_best_of_all_their_shards():
+    """Shards that follow have to reach what a task has found; equal scores go by id, nulls first."""
+    texts = [["same words"] * 3 + ["same"], ["same words"] * 2, ["words other", None, "none"]]
+    ids = [[5, 3, 9, 1], [4, None], [7, 8, 2]]
+    shards = [b for t, i in zip(texts, ids) for b in bm25._index(iter([pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(t, pa.string())], names=["d", "t"])]))]
+    query = np.unique(bm25._words(next(bm25.chunks(pa.array(["same words"]))))[0])
+    nothing = np.zeros(1, np.uint64)
+    block = type("Block", (), {"value": [(11, query, np.array([1.0, 1.0])), (12, nothing, np.ones(1)), (13, query[:1], np.ones(1))]})
+    out = [r for b in bm25._searcher(block, 2.0, 3)(iter(shards)) for r in b.to_pylist()]
+    assert [(r["q"], r["doc_id"]) for r in out if r["q"] == 11] == [(11, None), (11, 3), (11, 4)]
+    assert {r["q"] for r in out} == {11, 13} and sum(r["q"] == 13 for r in out) == 3
+
+
 def benchmark_of(spark, items):
     return spark.createDataFrame([(*x, 1, 2) for x in items], "item_id bigint, text string, shard bigint, doc_id bigint")
 
