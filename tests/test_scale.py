@@ -5,6 +5,8 @@ import hashlib
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,6 +89,14 @@ def test_band_sums_make_no_pairs(spark, monkeypatch, cell, ranges):
     assert bands.band_join(left.limit(0), right, F.col("x"), F.col("lo"), F.col("hi"), sums=["v"]).collect() == []
 
 
+def test_few_pairs_are_unfolded_at_once():
+    """What two explodes make of one row is held in the JVM until the row is done."""
+    points = pa.array([{"p": k} for k in range(1000)])
+    lists = [r for b in bands._unfolded(points, points, np.zeros(1000, np.int64), np.full(1000, 1000)) for r in b.to_pylist()]
+    assert sum(len(r["lefts"]) * len(r["rights"]) for r in lists) == 10**6
+    assert max(len(r["lefts"]) * len(r["rights"]) for r in lists) <= 1 << 14
+
+
 def test_pairs_of_a_range_are_dealt_by_their_number(spark, monkeypatch):
     """Few rows that make many pairs are many tasks."""
     monkeypatch.setattr(bands, "PAIRS", 1000)
